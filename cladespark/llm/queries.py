@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe
+from . import bpe, chat, packing, urls
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -27,6 +27,42 @@ def op1_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-QUERIES: dict[str, Query] = {"op1_bpe": op1_bpe}
+def op6_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
+    said = "\\### Assistant: </turn> ok"
+    rows = table(spark, sf_dir, "conversations")
+    extra = spark.createDataFrame([(-7, 0, "user", said), (-7, 1, "assistant", said)], "conv_id long, turn long, role string, text string")
+    turns = chat.turns_of_table(rows.select("conv_id", "turn", "role", "text").unionByName(extra), "conv_id")
+    return chat.read_back(chat.format_turns(turns, "conv_id"), "conv_id")
 
-ORACLE_SQL: dict[str, str] = {}
+
+def op8_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    placed = packing.pack_documents(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"))
+    return placed.select("doc_id", "piece", "start", "length", "ids_crc32", "sequence_id", "offset")
+
+
+#: (action, host, path)
+RULES = [urls.Rule("allow", "com", "/"), urls.Rule("block", "example.com", "/en/"), urls.Rule("allow", "www.example.com", "/en/"), urls.Rule("block", "net", "/es/"), urls.Rule("block", "net", "/fr/")]
+
+
+def op9_urls(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return urls.judge(table(spark, sf_dir, "pages"), RULES).select("page_id", "host", "path", "rule", "verdict")
+
+
+QUERIES: dict[str, Query] = {"op1_bpe": op1_bpe, "op6_chat": op6_chat, "op8_packing": op8_packing, "op9_urls": op9_urls}
+
+OP6_SQL = r"""
+with rows as (
+  select conv_id, turn, coalesce(role, '') as role, coalesce(text, '') as text from conversations
+  union all select -7, 0, 'user', '\### Assistant: </turn> ok' union all select -7, 1, 'assistant', '\### Assistant: </turn> ok'),
+escaped as (
+  select *, replace(replace(replace(replace(role, '\', '\\'), '#', '\#'), '</turn>', '\</turn>'), ':', '\:') as r,
+    replace(replace(replace(text, '\', '\\'), '#', '\#'), '</turn>', '\</turn>') as t from rows)
+select conv_id, count(*) as n_turns,
+  sha256(string_agg(role || chr(10) || text || chr(10), '' order by turn, role, text)) as turns_sha256,
+  cast(coalesce(sum(length(text)) filter (role = 'assistant'), 0) as bigint) as loss_chars,
+  sha256(coalesce(string_agg(text, '' order by turn, role, text) filter (role = 'assistant'), '')) as loss_sha256,
+  cast(sum(length('### ' || r || ':' || chr(10) || t || chr(10) || '</turn>' || chr(10))) as bigint) as formatted_chars
+from escaped group by conv_id
+"""
+
+ORACLE_SQL: dict[str, str] = {"op6_chat": OP6_SQL}
