@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, chat, packing, urls
+from . import bpe, chat, packing, suffix_tree, urls
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -48,7 +48,11 @@ def op9_urls(spark: SparkSession, sf_dir: str) -> DataFrame:
     return urls.judge(table(spark, sf_dir, "pages"), RULES).select("page_id", "host", "path", "rule", "verdict")
 
 
-QUERIES: dict[str, Query] = {"op1_bpe": op1_bpe, "op6_chat": op6_chat, "op8_packing": op8_packing, "op9_urls": op9_urls}
+def op10_suffix_tree(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return suffix_tree.score_texts(table(spark, sf_dir, "documents"))
+
+
+QUERIES: dict[str, Query] = {"op1_bpe": op1_bpe, "op6_chat": op6_chat, "op8_packing": op8_packing, "op9_urls": op9_urls, "op10_suffix_tree": op10_suffix_tree}
 
 OP6_SQL = r"""
 with rows as (
