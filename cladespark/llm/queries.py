@@ -8,7 +8,8 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, chat, packing, suffix_tree, urls
+from . import bpe, chat, packing, suffix_tree, toxicity, urls
+from .batches import remainder
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -27,6 +28,13 @@ def op1_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op5_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    documents = table(spark, sf_dir, "documents")
+    machine = toxicity.fit(documents, table(spark, sf_dir, "labels"))
+    rows = documents.withColumn("held_out", F.coalesce(remainder(F.col("doc_id"), 4) == 2, F.lit(False)))
+    return toxicity.score(rows, machine, ["doc_id", "held_out"])
+
+
 def op6_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
     said = "\\### Assistant: </turn> ok"
     rows = table(spark, sf_dir, "conversations")
@@ -52,7 +60,7 @@ def op10_suffix_tree(spark: SparkSession, sf_dir: str) -> DataFrame:
     return suffix_tree.score_texts(table(spark, sf_dir, "documents"))
 
 
-QUERIES: dict[str, Query] = {"op1_bpe": op1_bpe, "op6_chat": op6_chat, "op8_packing": op8_packing, "op9_urls": op9_urls, "op10_suffix_tree": op10_suffix_tree}
+QUERIES: dict[str, Query] = {"op1_bpe": op1_bpe, "op5_toxicity": op5_toxicity, "op6_chat": op6_chat, "op8_packing": op8_packing, "op9_urls": op9_urls, "op10_suffix_tree": op10_suffix_tree}
 
 OP6_SQL = r"""
 with rows as (
