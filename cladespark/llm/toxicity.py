@@ -4,7 +4,7 @@ A unit is a word's letters in lower case, or the letters of a run of words of on
 each, so ``i.d.i.o.t`` and ``i d i o t`` are read as ``idiot``. Words of more than WINDOW
 letters are read in overlapping windows.
 
-The kernel of two units sums over all common subsequences of three letters, word bounds
+The kernel of two units sums over all common subsequences of four letters, word bounds
 included, that span SPAN letters at most, DECAY to the power of both spans; it is
 normalised. An inserted or missing letter changes some spans and leaves the rest.
 
@@ -27,7 +27,7 @@ columns are left out.
 from __future__ import annotations
 
 import functools
-import heapq
+import itertools
 import re
 from collections import Counter
 from collections.abc import Iterable, Iterator
@@ -41,14 +41,16 @@ from pyspark.sql import functions as F
 from .batches import bound_batches, remainder
 
 SAMPLE = 8000
-LANDMARKS = 256
+LANDMARKS = 512
 NEGATIVES = 12_000
+#: Rounds of fitting; between them, clean units that come out wrong join the negatives.
+TURNS = 3
 SPAN = 6
 DECAY = 0.7
-#: Toxic texts that a unit must explain beyond those that others do.
-COVERED = 4
 WINDOW = 16
-ALPHABET = 48
+ALPHABET = 32
+#: Letters in a subsequence.
+ORDER = 4
 CACHED_WORDS = 500_000
 THRESHOLD = 0.3
 
@@ -95,16 +97,19 @@ def subsequences(units: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     owner = np.repeat(np.arange(len(units)), lengths)
     end = np.cumsum(lengths)[owner]
     at = np.arange(len(letters))
-    size, parts, weights = ALPHABET**3, [], []
-    for last in range(2, SPAN):
+    size, parts, weights = ALPHABET**ORDER, [], []
+    for last in range(ORDER - 1, SPAN):
         first = at[at + last < end]
-        for middle in range(1, last):
-            parts.append(owner[first] * size + (letters[first] * ALPHABET + letters[first + middle]) * ALPHABET + letters[first + last])
-            weights.append(np.full(len(first), DECAY ** (last - 2)))
+        for middle in itertools.combinations(range(1, last), ORDER - 2):
+            code = owner[first]
+            for step in (0, *middle, last):
+                code = code * ALPHABET + letters[first + step]
+            parts.append(code)
+            weights.append(np.full(len(first), DECAY ** (last - ORDER + 1)))
     codes, place = np.unique(np.concatenate(parts), return_inverse=True)
     weight = np.bincount(place, np.concatenate(weights), len(codes))
     who = codes // size
-    norm = np.sqrt(np.bincount(who, weight**2, len(units)))
+    norm = np.sqrt(np.bincount(who, weight**2, len(units)) + 1e-12)
     return who, codes % size, weight / norm[who]
 
 
@@ -164,28 +169,58 @@ def logistic(x: np.ndarray, y: np.ndarray, steps: int = 50) -> np.ndarray:
 
 
 def witnesses(seen: list[set[str]], y: np.ndarray, clean: Counter[str]) -> list[str]:
-    """Units that explain toxic texts: the one that covers most texts not yet explained, again and again."""
+    """Units of toxic texts that stand out, the strongest first.
+
+    As many toxic texts as hold one would hold it by chance with a probability that leaves less
+    than exp(-2) such units among all candidates, and its odds are over 55 to 1.
+    """
     n_toxic, n_clean = int(y.sum()), int(len(y) - y.sum())
-    where: dict[str, set[int]] = {}
-    for at in np.flatnonzero(y):
-        for unit in seen[at]:
-            where.setdefault(unit, set()).add(at)
-    rare = {u: t for u, t in where.items() if len(t) >= COVERED and np.log(len(t) / n_toxic) - np.log((clean[u] + 0.5) / (n_clean + 1.0)) > 2.5}
-    heap = [(-len(t), u) for u, t in rare.items()]
-    heapq.heapify(heap)
-    explained: set[int] = set()
-    out = []
-    while heap:
-        _, unit = heapq.heappop(heap)
-        gain = len(rare[unit] - explained)
-        if gain < COVERED:
-            continue
-        if heap and gain < -heap[0][0]:
-            heapq.heappush(heap, (-gain, unit))
-            continue
-        out.append(unit)
-        explained |= rare[unit]
-    return out
+    toxic = Counter(u for at in np.flatnonzero(y) for u in seen[at])
+    candidates = {u: n for u, n in toxic.items() if n > 2}
+    least = (np.log(max(1, len(candidates))) + 2) / np.log(len(y) / max(1, n_toxic))
+    odds = {u: np.log(n / n_toxic) - np.log((clean[u] + 0.5) / (n_clean + 1.0)) for u, n in candidates.items() if n >= least}
+    return sorted((u for u, v in odds.items() if v > 4), key=lambda u: (-candidates[u] * odds[u], u))
+
+
+def shares(units: list[str], counts: Counter[str]) -> np.ndarray:
+    """The weight of each unit: half alike, half by how many texts have it."""
+    n = np.array([counts[u] for u in units], float) + 1e-9
+    return 0.5 / len(units) + 0.5 * n / n.sum()
+
+
+class Basis:
+    """Landmarks and what whitens kernel values against them."""
+
+    def __init__(self, landmarks: list[str]):
+        who, code, weight = subsequences(landmarks)
+        self.codes, place = np.unique(code, return_inverse=True)
+        self.rows = np.zeros((len(landmarks), len(self.codes)), np.float32)
+        self.rows[who, place] = weight
+        values, vectors = np.linalg.eigh((self.rows @ self.rows.T).astype(float))
+        keep = values > 1e-3
+        self.whiten = vectors[:, keep] / np.sqrt(values[keep])
+        self.known = np.full(ALPHABET**ORDER, -1)
+        self.known[self.codes] = np.arange(len(self.codes))
+
+    def features(self, units: list[str]) -> np.ndarray:
+        out = [np.zeros((0, self.whiten.shape[1]))]
+        for i in range(0, len(units), 1000):
+            part = [windows(u)[0] for u in units[i : i + 1000]]
+            who, code, weight = subsequences(part)
+            at = self.known[code]
+            rows = np.zeros((len(part), len(self.codes)), np.float32)
+            rows[who[at >= 0], at[at >= 0]] = weight[at >= 0]
+            out.append(rows @ self.rows.T @ self.whiten)
+        return np.vstack(out)
+
+    def machine(self, positive: list[str], of_positive: np.ndarray, negative: list[str], of_negative: np.ndarray) -> Machine:
+        """A machine whose weights are folded into one table of subsequences."""
+        x = np.vstack([self.features(positive), self.features(negative)])
+        sign = np.concatenate([np.ones(len(positive)), -np.ones(len(negative))])
+        w = linear_svm(x, sign, np.concatenate([of_positive, of_negative]))
+        table = np.zeros(ALPHABET**ORDER)
+        table[self.codes] = (self.whiten @ w[:-1]) @ self.rows
+        return Machine(table, float(w[-1]), np.zeros(3))
 
 
 def train(texts: list[str], labels: list[int]) -> Machine | None:
@@ -212,49 +247,26 @@ def train(texts: list[str], labels: list[int]) -> Machine | None:
         return None
     toxic_sentences = [s for s in toxic_sentences if not s.isdisjoint(witness)]
     common = sorted(clean, key=lambda u: (-clean[u], u))
-    landmarks = list(dict.fromkeys(windows(u)[0] for u in [*witness[: LANDMARKS // 2], *common[: LANDMARKS // 4], *common[LANDMARKS // 4 :: max(1, len(common) // (LANDMARKS // 4))]]))
-    who, code, weight = subsequences(landmarks)
-    codes, place = np.unique(code, return_inverse=True)
-    basis = np.zeros((len(landmarks), len(codes)), np.float32)
-    basis[who, place] = weight
-    values, vectors = np.linalg.eigh((basis @ basis.T).astype(float))
-    keep = values > 1e-3
-    whiten = vectors[:, keep] / np.sqrt(values[keep])
-    known = np.full(ALPHABET**3, -1)
-    known[codes] = np.arange(len(codes))
-
-    def features(units: list[str]) -> np.ndarray:
-        """Kernel values against the landmarks, whitened."""
-        out = [np.zeros((0, whiten.shape[1]))]
-        for i in range(0, len(units), 2000):
-            part = [windows(u)[0] for u in units[i : i + 2000]]
-            who, code, weight = subsequences(part)
-            at = known[code]
-            rows = np.zeros((len(part), len(codes)), np.float32)
-            rows[who[at >= 0], at[at >= 0]] = weight[at >= 0]
-            out.append(rows @ basis.T @ whiten)
-        return np.vstack(out)
-
+    everyone = sorted(clean)
+    toxic = Counter(u for units, label in zip(seen, y) if label for u in units)
+    loud: list[str] = []
     negative = list(dict.fromkeys([*common[: NEGATIVES // 2], *common[NEGATIVES // 2 :: max(1, len(common) // (NEGATIVES // 2))]]))
-    x_negative, machine = features(negative), None
-    for turn in range(3):
-        x = np.vstack([features(witness), x_negative])
-        sign = np.concatenate([np.ones(len(witness)), -np.ones(len(negative))])
-        weight = np.concatenate([np.full(len(witness), 1.0 / len(witness)), np.full(len(negative), 1.0 / len(negative))])
-        w = linear_svm(x, sign, weight)
-        table = np.zeros(ALPHABET**3)
-        table[codes] = (whiten @ w[:-1]) @ basis
-        machine = Machine(table, float(w[-1]), np.zeros(3))
-        if turn == 2:
-            break
-        units = sorted(set().union(*toxic_sentences))  # sentences' witnesses by the machine's own margin
-        margin = dict(zip(units, machine.margins(units)))
-        witness = sorted({*witness, *(u for s in toxic_sentences if margin[u := max(s, key=lambda v: (margin[v], v))] > 0.5 and not clean[u])})
-        everyone = sorted(clean)
-        loud = [u for u, m in zip(everyone, machine.margins(everyone)) if m > -0.5]
-        loud = sorted({*loud}.difference(negative))[:NEGATIVES]
-        negative, x_negative = negative + loud, np.vstack([x_negative, features(loud)])
-    tops = np.array([largest(machine.margins(sorted(u)) if u else []) for u in seen])
+    for turn in range(TURNS):
+        often = sorted(loud, key=lambda u: (-clean[u], u))
+        basis = Basis(list(dict.fromkeys(windows(u)[0] for u in [*witness[: LANDMARKS // 2], *often[: LANDMARKS // 4], *common[: LANDMARKS // 4]])))
+        machine = basis.machine(witness, shares(witness, toxic), negative, shares(negative, clean))
+        if turn + 1 < TURNS:  # clean units that the machine gets wrong, and witnesses of toxic sentences by its own margin
+            margins = machine.margins(everyone) if everyone else np.zeros(0)
+            worst = np.argsort(-(margins + 0.1 * np.log1p([clean[u] for u in everyone])), kind="stable")
+            loud = [everyone[i] for i in worst[:NEGATIVES] if margins[i] > -0.7]
+            negative = list(dict.fromkeys([*negative, *loud]))
+            units = sorted(set().union(*toxic_sentences))
+            margin = dict(zip(units, machine.margins(units)))
+            best = {max(s, key=lambda v: (margin[v], v)) for s in toxic_sentences}
+            witness = [*witness, *sorted({u for u in best if margin[u] > 0.5 and toxic[u] > 1 and not clean[u]}.difference(witness))]
+    units = list(one)
+    margin = dict(zip(units, machine.margins(units).tolist()))
+    tops = np.array([largest(map(margin.__getitem__, u)) for u in seen])
     return machine._replace(shape=logistic(tops, y))
 
 
