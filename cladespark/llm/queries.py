@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, chat, packing, suffix_tree, toxicity, urls
+from . import bpe, chat, jaccard, packing, suffix_tree, toxicity, urls
 from .batches import remainder
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -28,6 +28,10 @@ def op1_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op2_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard.groups(table(spark, sf_dir, "documents"), words=3, percent=90)
+
+
 def op5_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     documents = table(spark, sf_dir, "documents")
     machine = toxicity.fit(documents, table(spark, sf_dir, "labels"))
@@ -60,7 +64,7 @@ def op10_suffix_tree(spark: SparkSession, sf_dir: str) -> DataFrame:
     return suffix_tree.score_texts(table(spark, sf_dir, "documents"))
 
 
-QUERIES: dict[str, Query] = {"op1_bpe": op1_bpe, "op5_toxicity": op5_toxicity, "op6_chat": op6_chat, "op8_packing": op8_packing, "op9_urls": op9_urls, "op10_suffix_tree": op10_suffix_tree}
+QUERIES: dict[str, Query] = {"op1_bpe": op1_bpe, "op2_jaccard": op2_jaccard, "op5_toxicity": op5_toxicity, "op6_chat": op6_chat, "op8_packing": op8_packing, "op9_urls": op9_urls, "op10_suffix_tree": op10_suffix_tree}
 
 OP6_SQL = r"""
 with rows as (
