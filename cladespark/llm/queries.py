@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, chat, jaccard, packing, suffix_tree, toxicity, urls
+from . import bpe, chat, jaccard, neardup, packing, suffix_tree, topk, toxicity, urls
 from .batches import remainder
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -32,6 +32,14 @@ def op2_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard.groups(table(spark, sf_dir, "documents"), words=3, percent=90)
 
 
+def op3_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return topk.top_k(table(spark, sf_dir, "embeddings"), lambda key: key % 100 == 0)
+
+
+def op4_neardup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return neardup.near_duplicates(table(spark, sf_dir, "embeddings"), 0.95)
+
+
 def op5_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     documents = table(spark, sf_dir, "documents")
     machine = toxicity.fit(documents, table(spark, sf_dir, "labels"))
@@ -64,7 +72,7 @@ def op10_suffix_tree(spark: SparkSession, sf_dir: str) -> DataFrame:
     return suffix_tree.score_texts(table(spark, sf_dir, "documents"))
 
 
-QUERIES: dict[str, Query] = {"op1_bpe": op1_bpe, "op2_jaccard": op2_jaccard, "op5_toxicity": op5_toxicity, "op6_chat": op6_chat, "op8_packing": op8_packing, "op9_urls": op9_urls, "op10_suffix_tree": op10_suffix_tree}
+QUERIES: dict[str, Query] = {"op1_bpe": op1_bpe, "op2_jaccard": op2_jaccard, "op3_topk": op3_topk, "op4_neardup": op4_neardup, "op5_toxicity": op5_toxicity, "op6_chat": op6_chat, "op8_packing": op8_packing, "op9_urls": op9_urls, "op10_suffix_tree": op10_suffix_tree}
 
 OP6_SQL = r"""
 with rows as (
@@ -81,4 +89,40 @@ select conv_id, count(*) as n_turns,
 from escaped group by conv_id
 """
 
-ORACLE_SQL: dict[str, str] = {"op6_chat": OP6_SQL}
+OP2_SQL = r"""
+with recursive words as (
+  select doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') as w from documents),
+shingles as (
+  select distinct doc_id, array_to_string(case when len(w) < 3 then w else w[i : i + 2] end, ' ') as s
+  from (select doc_id, w, unnest(range(1, greatest(len(w) - 1, 2))) as i from words where len(w) > 0)),
+sizes as (select doc_id, count(*) as n from shingles group by doc_id),
+common as (select x.doc_id as a, y.doc_id as b, count(*) as c from shingles x join shingles y on x.s = y.s and x.doc_id <> y.doc_id group by all),
+links as (select a, b from common join sizes p on p.doc_id = a join sizes q on q.doc_id = b where 100 * c >= 90 * (p.n + q.n - c)),
+reach(doc_id, other) as (select doc_id, doc_id from documents union select r.doc_id, l.b from reach r join links l on r.other = l.a)
+select d.doc_id, coalesce(n, 0) as n_shingles, component_id from documents d left join sizes s on s.doc_id = d.doc_id
+join (select doc_id, min(other) as component_id from reach group by doc_id) r on r.doc_id = d.doc_id
+"""
+
+OP3_SQL = """
+with whole as (
+  select vec_id, list_transform(embedding, lambda x: cast(floor(1024 * cast(x as double)) as bigint)) as v from embeddings
+  where embedding is not null and len(list_filter(embedding, lambda x: x is null or not isfinite(x))) = 0),
+scores as (
+  select q.vec_id as query_id, c.vec_id, cast(list_sum(list_transform(list_zip(q.v, c.v), lambda p: p[1] * p[2])) as bigint) as score
+  from whole q join whole c on q.vec_id % 100 = 0 and q.vec_id <> c.vec_id),
+ranked as (select *, cast(row_number() over (partition by query_id order by score desc, vec_id) as integer) as rank from scores)
+select query_id, rank, vec_id, score from ranked where rank <= 10
+"""
+
+OP4_SQL = """
+with recursive whole as (
+  select vec_id, list_transform(embedding, lambda x: cast(x as double)) as v from embeddings
+  where embedding is not null and len(list_filter(embedding, lambda x: x is null or not isfinite(x))) = 0 and len(list_filter(embedding, lambda x: x <> 0)) > 0),
+links as (select a.vec_id as a, b.vec_id as b from whole a join whole b on a.vec_id <> b.vec_id and list_cosine_similarity(a.v, b.v) >= 0.95),
+reach(vec_id, other) as (select vec_id, vec_id from embeddings union select r.vec_id, l.b from reach r join links l on r.other = l.a),
+least as (select vec_id, min(other) as component_id from reach group by vec_id),
+counts as (select a, count(*) as n from links group by a)
+select vec_id, coalesce(n, 0) as n_links, component_id, vec_id = component_id as kept from least left join counts on a = vec_id
+"""
+
+ORACLE_SQL: dict[str, str] = {"op2_jaccard": OP2_SQL, "op3_topk": OP3_SQL, "op4_neardup": OP4_SQL, "op6_chat": OP6_SQL}
