@@ -29,7 +29,6 @@ from __future__ import annotations
 import functools
 import itertools
 import re
-from collections import Counter
 from collections.abc import Iterable, Iterator
 from typing import NamedTuple
 
@@ -40,14 +39,16 @@ from pyspark.sql import functions as F
 
 from .batches import bound_batches, remainder
 
-SAMPLE = 8000
+SAMPLE = 5000
 LANDMARKS = 512
-NEGATIVES = 12_000
+NEGATIVES = 8_000
 #: Rounds of fitting; between them, clean units that come out wrong join the negatives.
 TURNS = 3
 SPAN = 6
 DECAY = 0.7
 WINDOW = 16
+#: Units whose subsequences are in memory together.
+AT_ONCE = 4000
 ALPHABET = 32
 #: Letters in a subsequence.
 ORDER = 4
@@ -122,6 +123,9 @@ class Machine(NamedTuple):
 
     def margins(self, units: list[str]) -> np.ndarray:
         """The margin of each unit, the largest of its windows."""
+        return np.concatenate([np.zeros(0), *(self._margins(units[i : i + AT_ONCE]) for i in range(0, len(units), AT_ONCE))])
+
+    def _margins(self, units: list[str]) -> np.ndarray:
         split = [windows(u) for u in units]
         who, code, weight = subsequences([x for w in split for x in w])
         owner = np.repeat(np.arange(len(units)), list(map(len, split)))
@@ -143,15 +147,15 @@ def largest(margins: Iterable[float]) -> tuple[float, float]:
 
 
 def linear_svm(x: np.ndarray, y: np.ndarray, weight: np.ndarray, rounds: int = 300, cost: float = 3000.0) -> np.ndarray:
-    """Squared-hinge machine by Newton steps on the support vectors; the last weight is the bias."""
-    x = np.hstack([x, np.ones((len(x), 1))])
+    """Squared-hinge machine by Newton steps on the support vectors; the last column is of ones, its weight the bias."""
     w = np.zeros(x.shape[1])
     ridge = np.eye(len(w))
     ridge[-1, -1] = 1e-6
     for _ in range(rounds):
         on = y * (x @ w) < 1
-        a = x[on] * (cost * weight[on])[:, None]
-        new = np.linalg.solve(ridge + a.T @ x[on], a.T @ y[on])
+        own = x[on].astype(float)
+        a = own * (cost * weight[on])[:, None]
+        new = np.linalg.solve(ridge + a.T @ own, a.T @ y[on])
         if np.allclose(new, w, atol=1e-6):
             break
         w = w + 0.7 * (new - w)
@@ -168,24 +172,23 @@ def logistic(x: np.ndarray, y: np.ndarray, steps: int = 50) -> np.ndarray:
     return w
 
 
-def witnesses(seen: list[set[str]], y: np.ndarray, clean: Counter[str]) -> list[str]:
-    """Units of toxic texts that stand out, the strongest first.
+def witnesses(toxic: np.ndarray, clean: np.ndarray, n_toxic: int, n_clean: int, units: list[str]) -> list[str]:
+    """Units of toxic texts that stand out, the strongest first. toxic, clean: how many texts have each unit.
 
     As many toxic texts as hold one would hold it by chance with a probability that leaves less
     than exp(-2) such units among all candidates, and its odds are over 55 to 1.
     """
-    n_toxic, n_clean = int(y.sum()), int(len(y) - y.sum())
-    toxic = Counter(u for at in np.flatnonzero(y) for u in seen[at])
-    candidates = {u: n for u, n in toxic.items() if n > 2}
-    least = (np.log(max(1, len(candidates))) + 2) / np.log(len(y) / max(1, n_toxic))
-    odds = {u: np.log(n / n_toxic) - np.log((clean[u] + 0.5) / (n_clean + 1.0)) for u, n in candidates.items() if n >= least}
-    return sorted((u for u, v in odds.items() if v > 4), key=lambda u: (-candidates[u] * odds[u], u))
+    candidates = toxic > 2
+    least = (np.log(max(1, int(candidates.sum()))) + 2) / np.log((n_toxic + n_clean) / max(1, n_toxic))
+    with np.errstate(divide="ignore"):
+        odds = np.log(toxic / max(1, n_toxic)) - np.log((clean + 0.5) / (n_clean + 1.0))
+    found = np.flatnonzero(candidates & (toxic >= least) & (odds > 4))
+    return sorted((units[i] for i in found), key=dict(zip((units[i] for i in found), zip(-toxic[found] * odds[found], (units[i] for i in found)))).__getitem__)
 
 
-def shares(units: list[str], counts: Counter[str]) -> np.ndarray:
+def shares(n: np.ndarray) -> np.ndarray:
     """The weight of each unit: half alike, half by how many texts have it."""
-    n = np.array([counts[u] for u in units], float) + 1e-9
-    return 0.5 / len(units) + 0.5 * n / n.sum()
+    return 0.5 / len(n) + 0.5 * (n + 1e-9) / (n + 1e-9).sum()
 
 
 class Basis:
@@ -203,15 +206,16 @@ class Basis:
         self.known[self.codes] = np.arange(len(self.codes))
 
     def features(self, units: list[str]) -> np.ndarray:
-        out = [np.zeros((0, self.whiten.shape[1]))]
+        """Whitened kernel values and a last column of ones."""
+        out = np.ones((len(units), self.whiten.shape[1] + 1), np.float32)
         for i in range(0, len(units), 1000):
             part = [windows(u)[0] for u in units[i : i + 1000]]
             who, code, weight = subsequences(part)
             at = self.known[code]
             rows = np.zeros((len(part), len(self.codes)), np.float32)
             rows[who[at >= 0], at[at >= 0]] = weight[at >= 0]
-            out.append(rows @ self.rows.T @ self.whiten)
-        return np.vstack(out)
+            out[i : i + len(part), :-1] = rows @ self.rows.T @ self.whiten
+        return out
 
     def machine(self, positive: list[str], of_positive: np.ndarray, negative: list[str], of_negative: np.ndarray) -> Machine:
         """A machine whose weights are folded into one table of subsequences."""
@@ -228,45 +232,51 @@ def train(texts: list[str], labels: list[int]) -> Machine | None:
     y = np.array(labels)
     if not len(y) or y.min() == y.max():
         return None
-    one: dict[str, str] = {}  # a string for each unit
-    seen: list[set[str]] = []
-    toxic_sentences: list[set[str]] = []
-    openings: set[int] = set()
+    number: dict[str, int] = {}  # of each unit
+    seen: list[np.ndarray] = []
+    toxic_sentences: list[np.ndarray] = []
+    openings: set[bytes] = set()
     first = np.zeros(len(y), bool)  # of texts whose longest sentences are alike, one counts
     for at, text in enumerate(texts):
-        bag = [{one.setdefault(u, u) for u in units_of(_runs(s))} for s in _sentences(text)]
-        seen.append(set().union(*bag))
-        longest = hash(frozenset(max(bag, key=len)))
+        bag = [np.unique(np.array([number.setdefault(u, len(number)) for u in units_of(_runs(s))], np.int32)) for s in _sentences(text)]
+        seen.append(np.unique(np.concatenate(bag)))
+        longest = max(bag, key=len).tobytes()
         first[at] = longest not in openings
         openings.add(longest)
         if y[at]:
-            toxic_sentences += [s for s in bag if s]
-    clean = Counter(u for units, label in zip(seen, y) if not label for u in units)
-    witness = witnesses(seen, y * first, clean)
+            toxic_sentences += [s for s in bag if len(s)]
+    units = list(number)
+
+    def counts(which: np.ndarray) -> np.ndarray:
+        return np.bincount(np.concatenate([np.zeros(0, np.int32), *(seen[i] for i in np.flatnonzero(which))]), minlength=len(units))
+
+    clean, toxic = counts(y == 0), counts(y == 1)
+    witness = witnesses(counts((y == 1) & first), clean, int(((y == 1) & first).sum()), int((y == 0).sum()), units)
     if not witness:
         return None
-    toxic_sentences = [s for s in toxic_sentences if not s.isdisjoint(witness)]
-    common = sorted(clean, key=lambda u: (-clean[u], u))
-    everyone = sorted(clean)
-    toxic = Counter(u for units, label in zip(seen, y) if label for u in units)
+    known = np.zeros(len(units), bool)
+    known[[number[u] for u in witness]] = True
+    toxic_sentences = [s for s in toxic_sentences if known[s].any()]
+    everyone = np.flatnonzero(clean)
+    order = everyone[np.argsort(-clean[everyone], kind="stable")]
+    spread = [*order[: NEGATIVES // 2], *order[NEGATIVES // 2 :: max(1, len(order) // (NEGATIVES // 2))]]
+    negative = list(dict.fromkeys(units[i] for i in spread))
+    common = negative[: LANDMARKS // 4]
     loud: list[str] = []
-    negative = list(dict.fromkeys([*common[: NEGATIVES // 2], *common[NEGATIVES // 2 :: max(1, len(common) // (NEGATIVES // 2))]]))
+    weights = lambda words, n: shares(np.array([n[number[u]] for u in words], float))
     for turn in range(TURNS):
-        often = sorted(loud, key=lambda u: (-clean[u], u))
-        basis = Basis(list(dict.fromkeys(windows(u)[0] for u in [*witness[: LANDMARKS // 2], *often[: LANDMARKS // 4], *common[: LANDMARKS // 4]])))
-        machine = basis.machine(witness, shares(witness, toxic), negative, shares(negative, clean))
+        basis = Basis(list(dict.fromkeys(windows(u)[0] for u in [*witness[: LANDMARKS // 2], *loud[: LANDMARKS // 4], *common])))
+        machine = basis.machine(witness, weights(witness, toxic), negative, weights(negative, clean))
+        margin = machine.margins(units)
         if turn + 1 < TURNS:  # clean units that the machine gets wrong, and witnesses of toxic sentences by its own margin
-            margins = machine.margins(everyone) if everyone else np.zeros(0)
-            worst = np.argsort(-(margins + 0.1 * np.log1p([clean[u] for u in everyone])), kind="stable")
-            loud = [everyone[i] for i in worst[:NEGATIVES] if margins[i] > -0.7]
+            worst = everyone[np.argsort(-(margin[everyone] + 0.1 * np.log1p(clean[everyone])), kind="stable")][:NEGATIVES]
+            worst = worst[margin[worst] > -0.7]
+            loud = [units[i] for i in worst[np.argsort(-clean[worst], kind="stable")]]
             negative = list(dict.fromkeys([*negative, *loud]))
-            units = sorted(set().union(*toxic_sentences))
-            margin = dict(zip(units, machine.margins(units)))
-            best = {max(s, key=lambda v: (margin[v], v)) for s in toxic_sentences}
-            witness = [*witness, *sorted({u for u in best if margin[u] > 0.5 and toxic[u] > 1 and not clean[u]}.difference(witness))]
-    units = list(one)
-    margin = dict(zip(units, machine.margins(units).tolist()))
-    tops = np.array([largest(map(margin.__getitem__, u)) for u in seen])
+            best = {int(s[margin[s].argmax()]) for s in toxic_sentences}
+            new = {units[i] for i in best if margin[i] > 0.5 and toxic[i] > 1 and not clean[i]}
+            witness = [*witness, *sorted(new.difference(witness))]
+    tops = np.array([largest(margin[s].tolist()) for s in seen])
     return machine._replace(shape=logistic(tops, y))
 
 
