@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, chat, jaccard, neardup, packing, suffix_tree, topk, toxicity, urls
+from . import bpe, chat, jaccard, neardup, packing, pii, suffix_tree, topk, toxicity, urls
 from .batches import remainder
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -55,6 +55,11 @@ def op6_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
     return chat.read_back(chat.format_turns(turns, "conv_id"), "conv_id")
 
 
+def op7_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    replaced = pii.replace(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    return replaced.select("doc_id", "text", F.size("entities").cast("long").alias("n_entities"), F.array_join(F.array_sort(F.array_distinct(F.transform("entities", lambda e: e["kind"]))), ",").alias("kinds"))
+
+
 def op8_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     placed = packing.pack_documents(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"))
     return placed.select("doc_id", "piece", "start", "length", "ids_crc32", "sequence_id", "offset")
@@ -72,7 +77,7 @@ def op10_suffix_tree(spark: SparkSession, sf_dir: str) -> DataFrame:
     return suffix_tree.score_texts(table(spark, sf_dir, "documents"))
 
 
-QUERIES: dict[str, Query] = {"op1_bpe": op1_bpe, "op2_jaccard": op2_jaccard, "op3_topk": op3_topk, "op4_neardup": op4_neardup, "op5_toxicity": op5_toxicity, "op6_chat": op6_chat, "op8_packing": op8_packing, "op9_urls": op9_urls, "op10_suffix_tree": op10_suffix_tree}
+QUERIES: dict[str, Query] = {"op1_bpe": op1_bpe, "op2_jaccard": op2_jaccard, "op3_topk": op3_topk, "op4_neardup": op4_neardup, "op5_toxicity": op5_toxicity, "op6_chat": op6_chat, "op7_pii": op7_pii, "op8_packing": op8_packing, "op9_urls": op9_urls, "op10_suffix_tree": op10_suffix_tree}
 
 OP6_SQL = r"""
 with rows as (
