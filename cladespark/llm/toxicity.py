@@ -285,32 +285,40 @@ class Scorer:
 
     def __init__(self, machine: Machine | None):
         self.machine, self.known = machine, {}
+        self.single: dict[str, str] = {}  # words of one letter
 
     def learn(self, words: set[str]) -> None:
         new = list(words)
         units = [u[0] if (u := units_of([w])) else "" for w in new]
         real = sorted({u for u in units if u})
         margin = dict(zip(real, self.machine.margins(real))) if real else {}
+        self.single.update((w, x.lower()) for w in new if len(w) < 6 and len(x := _other.sub("", w)) == 1)
         self.known.update((w, float(margin.get(u, -9.0))) for w, u in zip(new, units))
 
+    def of_runs(self, words: list[str]) -> list[float]:
+        """Margins of runs of words of one letter each."""
+        letters = "".join(map(self.single.get, words, itertools.repeat(" ")))
+        runs = sorted({x for x in letters.split() if len(x) > 2})
+        return self.machine.margins(runs).tolist() if runs else []
+
     def scores(self, texts: list[str | None]) -> np.ndarray:
         if self.machine is None:
             return np.zeros(len(texts))
         tops = []
-        for text in texts:
-            words = _runs(text or "")
-            distinct = {*words}
-            new = distinct.difference(self.known)
-            if new:
-                if len(self.known) + len(new) > CACHED_WORDS:
-                    self.known.clear()
-                    new = distinct
-                self.learn(new)
-            margins = list(map(self.known.__getitem__, distinct))
-            if any(len(w) < 4 and len(_other.sub("", w)) == 1 for w in distinct):
-                runs = sorted({*units_of([w if len(_other.sub("", w)) == 1 else "--" for w in words])})
-                margins += list(self.machine.margins(runs)) if runs else []
-            tops.append(largest(margins))
+        for i in range(0, len(texts), 64):  # new words of some texts together
+            split = [_runs(t or "") for t in texts[i : i + 64]]
+            distinct = [{*words} for words in split]
+            new = set().union(*distinct).difference(self.known)
+            if len(self.known) + len(new) > CACHED_WORDS:
+                self.known.clear()
+                self.single.clear()
+                new = set().union(*distinct)
+            self.learn(new)
+            for words, own in zip(split, distinct):
+                margins = list(map(self.known.__getitem__, own))
+                if not own.isdisjoint(self.single):
+                    margins += self.of_runs(words)
+                tops.append(largest(margins))
         return self.machine.score(np.array(tops).reshape(-1, 2)) if tops else np.zeros(0)
 
 
