@@ -38,6 +38,12 @@ def alleles(spark: SparkSession, sf_dir: str) -> DataFrame:
     return genotype.allelotype(good_calls(spark, sf_dir))
 
 
+def flagship(spark: SparkSession, sf_dir: str, min_reads: int = 1) -> DataFrame:
+    """Pair distances with a depth that the smallest tables reach."""
+    good = view(spark, sf_dir, "v_calls").filter(genotype.good_call(0.85, min_reads, 10.0))
+    return distance.pair_distances(genotype.allelotype(good))
+
+
 @query("P5 P23", "select * from v_calls where depth >= 10 and q >= 0.9 and stutter / depth <= 1")
 def genotype_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     return good_calls(spark, sf_dir)
