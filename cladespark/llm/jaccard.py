@@ -8,15 +8,16 @@ both. Index lists are kept for each size class, block position and block content
 meets only the sets in the lists of its own blocks; all others are skipped unseen. The few
 smallest blocks, which say least, are left out where the count of blocks allows for it.
 
-*By answers.* The sets of a list are compared with its leader alone. A set that links with
-the leader has the leader's component, and the answers of others derive from their
+*By answers.* A set is compared with a leader alone at first: of the sets that lead its lists
+(those in most lists), the one in most. A set that links with the leader has the leader's component, and the answers of others derive from their
 distances to the leader: by the triangle inequality of Jaccard distance, two sets of which
 one is near the leader and one is far can't link. Only pairs of a list that are in different
-components and within reach are compared in a second pass. Lists of more than LONG_LIST
-sets are dealt anew by blocks of a second hash before that.
+components and within reach are compared in a second pass, in blocks of like size, of which
+those too far apart in size are skipped whole. Lists of more than LONG_LIST sets are dealt
+as pairs of parts.
 
-Equal sets are one class from the start. Pairs pass a comparison of counts by hash
-(a lower bound on how much they differ) before whole sets are compared.
+Equal sets are one class from the start. Pairs pass comparisons of counts by hash (lower
+bounds on how much they differ), of few and then of many counts, before whole sets are compared.
 
 Elements are 64-bit hashes of word sequences, as are classes.
 
@@ -42,7 +43,9 @@ from ..storage import Scratch, scratch
 from .batches import WORD, bound_batches
 from .components import components
 
-LONG_LIST = 64
+LONG_LIST = 2048
+#: Members of a list that are compared with others, or skipped, at once.
+BLOCK = 256
 #: The growth of size classes, and the share of blocks that may be left out.
 GROWTH, SPARE = 1.3, 0.04
 CACHED_WORDS = 400_000
@@ -122,10 +125,8 @@ class Shingler:
         return np.unique(total)
 
 
-def block_keys(join: Join, sorted_hashes: np.ndarray, seed: int = 0) -> np.ndarray:
+def block_keys(join: Join, sorted_hashes: np.ndarray) -> np.ndarray:
     """The index lists of a set: a hash of size class, block position and block content each."""
-    if seed:
-        sorted_hashes = np.sort(mixed(sorted_hashes + _odd[seed % 5]))
     out = []
     high = sorted_hashes >> np.uint64(32)
     content = mixed(sorted_hashes)
@@ -141,7 +142,7 @@ def block_keys(join: Join, sorted_hashes: np.ndarray, seed: int = 0) -> np.ndarr
         small = np.cumsum(np.bincount(counts, minlength=2))  # blocks of up to so many elements
         least = int(np.searchsorted(small, spare, "right"))  # as content alone decides, a block that two sets share is left out of both or within the spare ones
         kept = np.flatnonzero(counts >= least)
-        out.append(mixed(sums[kept] * _odd[0] + (kept.astype(np.uint64) + np.uint64((number * 16 + seed) << 32)) * _odd[1]))
+        out.append(mixed(sums[kept] * _odd[0] + (kept.astype(np.uint64) + np.uint64(number << 32)) * _odd[1]))
     return np.concatenate(out) if out else np.zeros(0, np.uint64)
 
 
@@ -176,34 +177,63 @@ def indexed(rows: DataFrame, join: Join) -> DataFrame:
     return rows.select("key", "text").mapInArrow(run, f"key {kind}, n long, class long, sketch binary, lists array<long>")
 
 
+def counts_of(sorted_hashes: np.ndarray) -> bytes:
+    """How many elements fall to each remainder, for so many remainders (a power of two) as half the elements at least."""
+    places = max(SKETCH, 1 << max(0, (len(sorted_hashes) // 2 - 1).bit_length()))
+    return np.minimum(np.bincount((sorted_hashes % np.uint64(places)).astype(np.int64), minlength=places), 255).astype(np.uint8).tobytes()
+
+
+def apart_at_least(x: bytes, y: bytes) -> int:
+    """A lower bound on how many elements two sets differ in, from their counts; the longer list is folded."""
+    p, q = (np.frombuffer(v, np.uint8).astype(np.int32) for v in sorted((x, y), key=len))
+    if p.max() == 255 or q.max() == 255:
+        return 0  # a count that may be cut can't be added up
+    return int(np.abs(p - q.reshape(-1, len(p)).sum(0)).sum())
+
+
 def sets_of(rows: DataFrame, join: Join) -> DataFrame:
-    """class, elements (binary: sorted 64-bit hashes), again (index lists under a second hash)."""
+    """class, n, elements (binary: sorted 64-bit hashes), counts (see counts_of)."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         shingler = Shingler(join)
         for batch in batches:
             sets = [shingler.shingles(x) for x in batch.column(0).to_pylist()]
             sets = [x for x in sets if len(x)]
-            yield pa.RecordBatch.from_arrays([pa.array([set_class(x) for x in sets], pa.int64()), pa.array([x.tobytes() for x in sets], pa.binary())], ["class", "elements"])
+            yield pa.RecordBatch.from_arrays([pa.array([set_class(x) for x in sets], pa.int64()), pa.array(list(map(len, sets)), pa.int64()), pa.array([x.tobytes() for x in sets], pa.binary()), pa.array(list(map(counts_of, sets)), pa.binary())], ["class", "n", "elements", "counts"])
+
+    return rows.select("text").mapInArrow(run, "class long, n long, elements binary, counts binary").dropDuplicates(["class"])
 
-    return rows.select("text").mapInArrow(run, "class long, elements binary").dropDuplicates(["class"])
 
+def in_groups(batches: Iterator[pa.RecordBatch], keys: int) -> Iterator[tuple[tuple, list[tuple]]]:
+    """The rows of each run of equal first columns, without these."""
+    now, held = None, []
+    for batch in batches:
+        for row in zip(*(c.to_pylist() for c in batch.columns)):
+            if row[:keys] != now:
+                if held:
+                    yield now, held
+                now, held = row[:keys], []
+            held.append(row[keys:])
+    if held:
+        yield now, held
 
-def near_by_count(pairs: DataFrame, classes: DataFrame, join: Join) -> DataFrame:
-    """a, b, na, nb, least: pairs with a lower bound on their distance, from counts by hash."""
-    side = lambda x: classes.select(F.col("class").alias(x), F.col("n").alias("n" + x), F.col("sketch").alias("s" + x))
+
+def sketches_of(rows: list[tuple], at: int) -> np.ndarray:
+    return np.frombuffer(b"".join(r[at] for r in rows), np.uint8).reshape(-1, SKETCH).astype(np.int16)
+
+
+def near_by_count(pairs: DataFrame, sets: DataFrame, join: Join) -> DataFrame:
+    """a, b: the pairs that counts don't keep apart. Counts are a small part of the sets' size."""
+    side = lambda x: sets.select(F.col("class").alias(x), F.col("n").alias("n" + x), F.col("counts").alias("c" + x))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            sketches = [np.frombuffer(b"".join(batch.column(i).to_pylist()), np.uint8).reshape(-1, SKETCH).astype(np.int32) for i in (4, 5)]
-            apart = np.abs(sketches[0] - sketches[1]).sum(1)
-            sizes = batch.column(2).to_numpy() + batch.column(3).to_numpy()
-            apart = np.maximum(apart, np.abs(batch.column(2).to_numpy() - batch.column(3).to_numpy()))
-            least = 2 * apart / (sizes + apart)
-            yield pa.RecordBatch.from_arrays([*(batch.column(i) for i in range(4)), pa.array(least, pa.float64())], ["a", "b", "na", "nb", "least"])
+            near = [apart_at_least(x, y) <= join.apart(m + n) for m, n, x, y in zip(*(batch.column(i).to_pylist() for i in range(2, 6)))]
+            kept = pa.array(near, pa.bool_())
+            yield pa.RecordBatch.from_arrays([batch.column(i).filter(kept) for i in (0, 1)], ["a", "b"])
 
-    joined = pairs.join(side("a"), "a").join(side("b"), "b").select("a", "b", "na", "nb", "sa", "sb")
-    return joined.mapInArrow(run, "a long, b long, na long, nb long, least double")
+    joined = pairs.select("a", "b").join(side("a"), "a").join(side("b"), "b").select("a", "b", "na", "nb", "ca", "cb")
+    return joined.mapInArrow(run, "a long, b long")
 
 
 def compared(pairs: DataFrame, sets: DataFrame) -> DataFrame:
@@ -226,6 +256,50 @@ def compared(pairs: DataFrame, sets: DataFrame) -> DataFrame:
     return joined.mapInArrow(run, "a long, b long, common long, na long, nb long")
 
 
+def within_reach(dealt: DataFrame, join: Join, reach: float) -> DataFrame:
+    """a, b: pairs of a list in different components that no bound keeps apart.
+
+    Members come by size, so blocks of them that are too far apart in size are skipped whole.
+    """
+
+    def block(rows: list[tuple]) -> tuple[np.ndarray, ...]:
+        own, component, leader, low, high, n = (np.array(x) for x in list(zip(*rows))[1:7])
+        return own, component, low, high, n, sketches_of(rows, 7), leader
+
+    def near(x: tuple[np.ndarray, ...], y: tuple[np.ndarray, ...]) -> tuple[np.ndarray, np.ndarray]:
+        may = x[1][:, None] != y[1][None]
+        bounded = (x[2][:, None] - y[3][None] > reach) | (y[2][None] - x[3][:, None] > reach)
+        may &= ~bounded | (x[6][:, None] != y[6][None])
+        if x is y:
+            may = np.triu(may, 1)
+        p, q = np.nonzero(may)
+        out = []
+        for k in range(0, len(p), 20_000):
+            r, s = p[k : k + 20_000], q[k : k + 20_000]
+            sizes = x[4][r] + y[4][s]
+            apart = np.abs(x[5][r] - y[5][s]).sum(1)
+            ok = apart * (100 + join.percent) <= (100 - join.percent) * sizes
+            out.append((x[0][r[ok]], y[0][s[ok]]))
+        a, b = (np.concatenate([np.zeros(0, np.int64), *(o[i] for o in out)]) for i in (0, 1))
+        return np.minimum(a, b), np.maximum(a, b)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for (_, i, j), rows in in_groups(batches, 3):
+            own = [r for r in rows if r[0] == i]
+            other = own if i == j else [r for r in rows if r[0] != i]
+            left, right = ([block(side[k : k + BLOCK]) for k in range(0, len(side), BLOCK)] for side in (own, other))
+            right = left if i == j else right
+            for at, x in enumerate(left):
+                for y in right[at if i == j else 0 :]:
+                    if max(x[4][0], y[4][0]) > join.largest(min(x[4][-1], y[4][-1])):
+                        continue
+                    a, b = near(x, y)
+                    if len(a):
+                        yield pa.RecordBatch.from_arrays([pa.array(a), pa.array(b)], ["a", "b"])
+
+    return dealt.select("list", "i", "j", "part", "class", "component", "leader", "low", "high", "n", "sketch").mapInArrow(run, "a long, b long")
+
+
 def checked_broadcast(ids: DataFrame) -> DataFrame:
     """Few enough ids are broadcast."""
     return F.broadcast(ids) if ids.limit(BROADCAST_IDS + 1).count() <= BROADCAST_IDS else ids
@@ -256,49 +330,39 @@ def class_links(rows: DataFrame, index: DataFrame, classes: DataFrame, join: Joi
     """a, b: links between classes that connect all that any link connects."""
     reach = (100 - join.percent) / 100 + 1e-9
     in_list = Window.partitionBy("list")
-    lists = index.select("class", "n", F.explode("lists").alias("list"))
-    lists = lists.withColumns({"leader": F.min("class").over(in_list), "last": F.max("class").over(in_list)}).filter("leader <> last").select("list", "class", "leader")
+    lists = index.select("class", F.explode("lists").alias("list"))
+    lists = lists.withColumns({"c0": F.min("class").over(in_list), "c1": F.max("class").over(in_list), "size": F.count(F.lit(1)).over(in_list)}).filter("c0 <> c1").select("list", "class", "size").distinct()
     lists = tables.keep(lists, "lists")
-    first = tables.keep(near_by_count(lists.filter("class <> leader").select(F.col("leader").alias("a"), F.col("class").alias("b")).distinct(), classes, join), "first")
-    needed = first.filter(F.col("least") <= reach)
-    needed = needed.select(F.col("a").alias("class")).union(needed.select("b")).distinct()
-
-    def elements(wanted: DataFrame, name: str) -> DataFrame:
-        keys = classes.join(wanted, "class", "left_semi").select("key")
-        return tables.keep(sets_of(rows.join(checked_broadcast(tables.keep(keys.distinct(), "keys")), "key", "left_semi"), join), name)
-
-    sets = elements(needed, "sets")
-    exact = tables.keep(compared(first.filter(F.col("least") <= reach), sets), "compared")
+    degree = lists.groupBy("class").agg(F.count(F.lit(1)).alias("degree"))
+    led = lists.join(degree, "class").withColumn("first", F.max(F.struct("degree", "class")).over(in_list))
+    led = tables.keep(led.select("list", "class", "size", F.col("first.class").alias("leader"), F.col("first.degree").alias("of_leader")), "led")
+    first = led.filter("class <> leader").groupBy("class").agg(F.max(F.struct("of_leader", "leader")).alias("l")).select(F.col("l.leader").alias("a"), F.col("class").alias("b"))
+    first = tables.keep(first, "first")
+
+    def compare(pairs: DataFrame) -> DataFrame:
+        """The exact intersections of the pairs that counts leave."""
+        wanted = pairs.select(F.col("a").alias("class")).union(pairs.select("b")).distinct()
+        keys = tables.keep(classes.join(wanted, "class", "left_semi").select("key").distinct(), "keys")
+        sets = tables.keep(sets_of(rows.join(checked_broadcast(keys), "key", "left_semi"), join), "sets")
+        near = tables.keep(near_by_count(pairs, sets, join), "near")
+        return tables.keep(compared(near, sets), "compared")
+
+    exact = compare(first)
     links = exact.filter(linked(join)).select("a", "b")
     near = components(links, tables).withColumnRenamed("id", "class")
     distance = 1 - F.col("common") / (F.col("na") + F.col("nb") - F.col("common"))
-    known = first.join(exact.select("a", "b", distance.alias("exact")), ["a", "b"], "left").select(F.col("a").alias("leader"), F.col("b").alias("class"), F.coalesce("exact", "least").alias("low"), F.coalesce("exact", F.lit(1.0)).alias("high"))
-    members = lists.distinct().join(near, "class", "left").withColumn("component", F.coalesce("component", "class"))
-    open_ = members.withColumns({"c0": F.min("component").over(in_list), "c1": F.max("component").over(in_list), "size": F.count(F.lit(1)).over(in_list)}).filter("c0 <> c1 and size > 2")
-    open_ = tables.keep(open_.join(known, ["leader", "class"], "left").filter("class <> leader").select("list", "class", "component", "low", "high", "size"), "open")
-    short = open_.filter(F.col("size") <= LONG_LIST)
-    long_ = open_.filter(F.col("size") > LONG_LIST)
-    if long_.limit(1).count():
-        wanted = long_.select("class").distinct()
-        again = elements(wanted, "again").select("class", F.explode(second_lists(join)("elements")).alias("second"))
-        again = long_.join(again, "class").withColumn("list", F.xxhash64("list", "second")).drop("second", "size")
-        in_both = again.withColumn("size", F.count(F.lit(1)).over(in_list)).filter("size > 1")
-        short = short.unionByName(in_both)
-    x, y = short.alias("x"), short.alias("y")
-    within = (F.col("x.class") < F.col("y.class")) & (F.col("x.list") == F.col("y.list")) & (F.col("x.component") != F.col("y.component"))
-    within &= (F.col("x.low") - F.col("y.high") <= reach) & (F.col("y.low") - F.col("x.high") <= reach)
-    second = x.join(y, within).select(F.col("x.class").alias("a"), F.col("y.class").alias("b")).distinct()
-    second = tables.keep(near_by_count(second, classes, join).filter(F.col("least") <= reach), "second")
+    itself = F.col("class") == F.col("leader")
+    members = led.join(near, "class", "left").withColumn("component", F.coalesce("component", "class"))
+    open_ = members.withColumns({"c0": F.min("component").over(in_list), "c1": F.max("component").over(in_list)}).filter("c0 <> c1")
+    open_ = open_.join(exact.select(F.col("a").alias("leader"), F.col("b").alias("class"), distance.alias("exact")), ["leader", "class"], "left")
+    open_ = open_.withColumns({"low": F.when(itself, 0.0).otherwise(F.coalesce("exact", F.lit(0.0))), "high": F.when(itself, 0.0).otherwise(F.coalesce("exact", F.lit(1.0)))})
+    open_ = open_.join(classes.select("class", "n", "sketch"), "class").withColumn("parts", F.ceil(F.col("size") / LONG_LIST).cast("int"))
+    open_ = open_.withColumn("part", F.pmod(F.xxhash64("class"), F.col("parts")).cast("int")).withColumn("x", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)))
+    open_ = open_.withColumns({"i": F.least("part", "x"), "j": F.greatest("part", "x")})
+    dealt = open_.repartition("list", "i", "j").sortWithinPartitions("list", "i", "j", "part", "n", "class")
+    second = within_reach(dealt, join, reach).distinct().join(exact.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")), ["a", "b"], "left_anti")
+    second = tables.keep(second, "second")
     if not second.limit(1).count():
         return links
-    wanted = second.select(F.col("a").alias("class")).union(second.select("b")).distinct()
-    more = compared(second, elements(wanted, "sets")).filter(linked(join)).select("a", "b")
+    more = compare(second).filter(linked(join)).select("a", "b")
     return links.union(more)
-
-
-def second_lists(join: Join):
-    @F.pandas_udf("array<long>")
-    def lists(elements):  # noqa: ANN001, ANN202
-        return elements.map(lambda x: block_keys(join, np.frombuffer(x, np.uint64), 1).view(np.int64))
-
-    return lists
