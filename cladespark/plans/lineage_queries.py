@@ -319,3 +319,47 @@ def locus_outlier_clone(spark: SparkSession, sf_dir: str) -> DataFrame:
  select v.target, v.sample, v.clone, v.value, v.value - f.value as centred from vals v join freq f on f.target = v.target and f.k = 1""")
 def centred_values(spark: SparkSession, sf_dir: str) -> DataFrame:
     return loci.centred(plotted(spark, sf_dir))
+
+
+@query("J17 S3 S4 D1", "with sheet as (select sample, min(grp) as grp from v_samples group by 1) select t.node, t.name, t.len, coalesce(s.grp, 'unknown') as grp, case s.grp when 'g0' then 'red' when 'g1' then 'blue' else 'grey' end as color from v_tree t left join sheet s on s.sample = t.name where t.name is not null")
+def tree_tip_colors(spark: SparkSession, sf_dir: str) -> DataFrame:
+    sheet = labels(spark, sf_dir).withColumn("color", F.when(F.col("grp") == "g0", "red").when(F.col("grp") == "g1", "blue"))
+    tips = view(spark, sf_dir, "v_tree").filter("name is not null")
+    joined = tips.join(sheet, F.col("name") == F.col("sample"), "left")
+    return joined.select("node", "name", "len", F.coalesce("grp", F.lit("unknown")).alias("grp"), F.coalesce("color", F.lit("grey")).alias("color"))
+
+
+@query("A14 S5", "select grp, count(*) as cells from v_samples group by 1")
+def group_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return view(spark, sf_dir, "v_samples").groupBy("grp").agg(F.count(F.lit(1)).alias("cells"))
+
+
+PERM_GROUPS = """places as (select i as perm, sample, target, row_number() over (partition by i, target order by sample) as k, row_number() over (partition by i, target order by md5(concat_ws('|', '1', i, target, sample)), sample) as m, alleles from good, range(1, 4) t(i)),
+ dealt as (select s.perm, s.sample, s.target, g.alleles from places s join places g on g.perm = s.perm and g.target = s.target and g.m = s.k),
+ repeats as (select distinct target, unnest(alleles) as allele from good), groups as (select target, allele, allele - row_number() over (partition by target order by allele) as grp from repeats),
+ members as (select d.perm, d.sample, d.target, r.grp, list_sort(list(distinct r.allele)) as alleles from (select perm, sample, target, unnest(alleles) as allele from dealt) d join groups r on r.target = d.target and r.allele = d.allele group by all),
+ met as (select a.perm, a.sample as s1, b.sample as s2, least(len(a.alleles), len(b.alleles)) as n, len(list_intersect(a.alleles, b.alleles)) as same from members a join members b on a.perm = b.perm and a.target = b.target and a.grp = b.grp and a.sample < b.sample)"""
+
+
+def permuted_distances(spark: SparkSession, sf_dir: str, count: int) -> DataFrame:
+    """perm, s1, s2, ... of calls whose genotypes were dealt anew at each target: (perm, target) takes the place of the target."""
+    dealt = resample.permuted_genotypes(alleles(spark, sf_dir), count)
+    own = dealt.withColumn("target", F.struct("perm", "target"))
+    parts = distance.contributions(own, distance.allele_groups(own), "minComp_EqorNot").withColumn("perm", F.col("target.perm"))
+    return distance.summed(parts, distance.pairs_of_targets(own).withColumn("perm", F.col("target.perm")), ["perm"])
+
+
+@query("T17 T18", f"with {GOOD}, {PERM_GROUPS}, sums as (select perm, s1, s2, cast(sum(n) as bigint) as num_alleles, cast(sum(n - same) as bigint) as num_diff from met group by all) select cast(perm as integer) as perm, s1, s2, num_alleles, num_diff from sums")
+def permuted_genotype_distances(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return permuted_distances(spark, sf_dir, 3).filter("s1 <> s2 and num_alleles > 0").select("perm", "s1", "s2", "num_alleles", "num_diff")
+
+
+@query("T18 A13 K13")
+def genotype_permutation_test(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Shuffled genotypes to trees to sibling percentages; permutations are tree ids."""
+    pairs = permuted_distances(spark, sf_dir, 10).select(F.col("perm").alias("tree_id"), F.col("s1").alias("i"), F.col("s2").alias("j"), "dist")
+    sibs = tree.siblings(tree.neighbour_joining(pairs, outgroup="Midpoint"), ["tree_id"])
+    own = labels(spark, sf_dir)
+    side = lambda n: own.select(F.col("sample").alias(n), F.col("grp").alias(f"g{n}"))
+    runs = sibs.join(side("a"), "a", "left").join(side("b"), "b", "left").groupBy("tree_id").agg((100 * F.avg(F.coalesce(F.col("ga") == F.col("gb"), F.lit(False)).cast("int"))).alias("percentage"))
+    return evaluate.permutation_summary(evaluate.sibling_percentage(tree.siblings(original_tree(spark, sf_dir)), own), runs)
