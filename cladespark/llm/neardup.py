@@ -32,6 +32,7 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ..storage import scratch
 from .components import components
@@ -40,7 +41,9 @@ from .vectors import dimension, matrix
 BOUND = 4.0
 MISS = 0.005
 #: Vectors in a bucket, about, and the size from which a bucket is split.
-BUCKET, LARGE = 256, 2048
+BUCKET, LARGE = 512, 2048
+#: Large buckets are broadcast if they are no more than this, else joined by a shuffle.
+BROADCAST_BUCKETS = 100_000
 
 
 class Plan(NamedTuple):
@@ -49,13 +52,14 @@ class Plan(NamedTuple):
     bits: int
     tables: int
     seed: int = 1
+    number: str = "f8"
 
 
-def plan(count: int, width: int, threshold: float) -> Plan:
+def plan(count: int, width: int, threshold: float, number: str = "f8") -> Plan:
     """So many bits that buckets stay small, so many tables that misses stay rare."""
     bits = max(1, math.ceil(math.log2(max(2, count / BUCKET))))
     agree = 1 - math.acos(threshold) / math.pi
-    return Plan(width, threshold, bits, max(1, math.ceil(math.log(MISS) / math.log(1 - agree**bits))))
+    return Plan(width, threshold, bits, max(1, math.ceil(math.log(MISS) / math.log(1 - agree**bits))), number=number)
 
 
 def rotation(width: int, seed: int) -> np.ndarray:
@@ -85,14 +89,14 @@ class Codes:
         return turned, codes, (codes * turned).sum(1) / math.sqrt(self.plan.width)
 
 
-def unit_vectors(df: DataFrame, width: int) -> DataFrame:
-    """key, class (hash of the vector; null where it takes no part), vector (binary, doubles)."""
+def unit_vectors(df: DataFrame, width: int, number: str) -> DataFrame:
+    """key, class (hash of the vector; null where it takes no part), vector (binary, of the numbers that it came in)."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             rows, whole = matrix(batch.column(1), width)
             whole &= (rows != 0).any(1)
-            data = [x.tobytes() if ok else None for x, ok in zip(rows + 0.0, whole)]
+            data = [x.tobytes() if ok else None for x, ok in zip((rows + 0.0).astype(number), whole)]
             own = [None if x is None else xxhash.xxh3_64_intdigest(x) - (1 << 63) for x in data]
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(own, pa.int64()), pa.array(data, pa.binary())], ["key", "class", "vector"])
 
@@ -100,32 +104,35 @@ def unit_vectors(df: DataFrame, width: int) -> DataFrame:
     return df.mapInArrow(run, f"key {kind}, class long, vector binary")
 
 
-def normalised(data: list[bytes], width: int) -> tuple[np.ndarray, np.ndarray]:
-    rows = np.frombuffer(b"".join(data), float).reshape(len(data), width)
+def normalised(data: list[bytes], p: Plan) -> np.ndarray:
+    rows = np.frombuffer(b"".join(data), p.number).reshape(len(data), p.width).astype(float)
     scaled = rows / np.abs(rows).max(1)[:, None]
-    return rows, scaled / np.sqrt((scaled**2).sum(1))[:, None]
+    return scaled / np.sqrt((scaled**2).sum(1))[:, None]
 
 
-def bucketed(classes: DataFrame, codes: Codes) -> DataFrame:
-    """table, bucket, class, times, vector: a row for each table."""
+def bucketed(classes: DataFrame, codes: Codes, carried: list[str]) -> DataFrame:
+    """table, bucket and the carried columns: a row for each table."""
+    names = ["table", "bucket", *carried]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         tables = codes.plan.tables
         for batch in batches:
             if not batch.num_rows:
                 continue
-            _, units = normalised(batch.column(2).to_pylist(), codes.plan.width)
+            units = normalised(batch.column(0).to_pylist(), codes.plan)
             at = pa.array(np.repeat(np.arange(batch.num_rows), tables))
-            yield pa.RecordBatch.from_arrays([pa.array(np.tile(np.arange(tables, dtype=np.int32), batch.num_rows)), pa.array(codes.buckets(units).ravel()), *(batch.column(i).take(at) for i in range(3))], ["table", "bucket", "class", "times", "vector"])
+            yield pa.RecordBatch.from_arrays([pa.array(np.tile(np.arange(tables, dtype=np.int32), batch.num_rows)), pa.array(codes.buckets(units).ravel()), *(batch.column(1 + i).take(at) for i in range(len(carried)))], names)
 
-    return classes.select("class", "times", "vector").mapInArrow(run, "table int, bucket long, class long, times long, vector binary")
+    rows = classes.select("vector", *(F.col(c).alias(f"_{c}") for c in carried))
+    fields = "".join(f", {f.name} {f.dataType.simpleString()}" for f in classes.select(*carried).schema)
+    return rows.mapInArrow(run, f"table int, bucket long{fields}")
 
 
 def compare(table: int, own: list[tuple], other: list[tuple] | None, codes: Codes) -> tuple[np.ndarray, np.ndarray]:
     """Pairs of places (in own, and in other or own again) that link and meet in no earlier table."""
     p = codes.plan
     sides = [own, own if other is None else other]
-    units = [normalised([x[2] for x in side], p.width)[1] for side in sides]
+    units = [normalised([x[2] for x in side], p) for side in sides]
     turned, signs, factor = codes.estimates(units[0])
     turned = codes.estimates(units[1])[0]
     estimate = signs @ turned.T / (factor * math.sqrt(p.width))[:, None]
@@ -197,12 +204,14 @@ def near_duplicates(df: DataFrame, threshold: float = 0.95, key: str = "vec_id",
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "2000")
     width = dimension(df, vector)
     with scratch(spark) as tables:
-        rows = tables.keep(unit_vectors(df.select(F.col(key).alias("key"), F.col(vector).alias("vector")), width), "vectors")
+        number = "f4" if df.schema[vector].dataType.elementType == T.FloatType() else "f8"
+        rows = tables.keep(unit_vectors(df.select(F.col(key).alias("key"), F.col(vector).alias("vector")), width, number), "vectors")
         classes = tables.keep(rows.filter(F.col("class").isNotNull()).groupBy("class").agg(F.min("key").alias("key"), F.count(F.lit(1)).alias("times"), F.min("vector").alias("vector")), "classes")
-        codes = Codes(plan(classes.count(), max(1, width), threshold))
-        spread = tables.keep(bucketed(classes, codes), "buckets")
-        sizes = spread.groupBy("table", "bucket").agg(F.count(F.lit(1)).alias("size")).filter("size > 1")
-        parts = spread.join(sizes, ["table", "bucket"]).withColumn("parts", F.ceil(F.col("size") / LARGE).cast("int"))
+        codes = Codes(plan(classes.count(), max(1, width), threshold, number))
+        large = tables.keep(bucketed(classes, codes, []).groupBy("table", "bucket").agg(F.count(F.lit(1)).alias("size")).filter(F.col("size") > LARGE), "large")
+        few = large.limit(BROADCAST_BUCKETS + 1).count() <= BROADCAST_BUCKETS
+        spread = bucketed(classes, codes, ["class", "times", "vector"]).join(F.broadcast(large) if few else large, ["table", "bucket"], "left")
+        parts = spread.withColumn("parts", F.ceil(F.coalesce("size", F.lit(1)) / LARGE).cast("int"))
         parts = parts.withColumn("part", F.pmod(F.xxhash64("class"), F.col("parts")).cast("int")).withColumn("x", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)))
         parts = parts.withColumns({"i": F.least("part", "x"), "j": F.greatest("part", "x")})
         dealt = parts.repartition("table", "bucket", "i", "j").sortWithinPartitions("table", "bucket", "i", "j")
