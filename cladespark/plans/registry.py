@@ -7,6 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from .. import reach_workers
 from .views import with_views
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -25,7 +26,11 @@ def query(covers: str, sql: str | None = None) -> Callable[[Query], Query]:
     """Registers a query under its function's name."""
 
     def add(f: Query) -> Query:
-        QUERIES[f.__name__] = lambda spark, sf_dir: rounded(f(spark, sf_dir))
+        def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+            reach_workers(spark)
+            return rounded(f(spark, sf_dir))
+
+        QUERIES[f.__name__] = run
         COVERS[f.__name__] = covers
         if sql is not None:
             ORACLE_SQL[f.__name__] = with_views(sql)
