@@ -65,6 +65,7 @@ def families(seed):
 @pytest.mark.parametrize(("size", "percent", "long_list"), [(3, 90, 2048), (5, 80, 2048), (2, 50, 3)])
 def test_jaccard_groups(spark, monkeypatch, size, percent, long_list):
     monkeypatch.setattr(jaccard, "LONG_LIST", long_list)
+    monkeypatch.setattr(jaccard, "SMALL_LIST", 1)
     rows = families(size)
     df = spark.createDataFrame([(k, t, 0, 0) for k, t in rows], "doc_id long, text string, n long, class long")
     got = sorted((r.doc_id, r.n_shingles, r.component_id) for r in jaccard.groups(df, size, percent).collect())
