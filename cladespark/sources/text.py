@@ -9,14 +9,21 @@ from ..functions.sequence import strip_affixes, without_chr
 
 
 def numbered(spark: SparkSession, paths: str | list[str]) -> DataFrame:
-    """file, line (from 0), value: the lines of each file in order.
+    """file, part, line (from 0), value: the lines of each file in order.
 
-    A line's number is its place among the lines of its file; files that are not compressed are read in
-    parts, so lines are numbered by the offset that Spark's reader gives their part.
+    A part is what one task reads of a file. Lines are numbered within their part; only the sizes of parts
+    are summed over a file, so no task holds a whole file.
     """
-    lines = spark.read.text(paths).withColumns({"file": F.input_file_name(), "_start": F.col("_metadata.file_block_start"), "_row": F.monotonically_increasing_id()})
-    order = Window.partitionBy("file").orderBy("_start", "_row")
-    return lines.select("file", (F.row_number().over(order) - 1).alias("line"), "value")
+    lines = spark.read.text(paths).select(F.input_file_name().alias("file"), F.col("_metadata.file_block_start").alias("part"), F.monotonically_increasing_id().alias("_row"), "value")
+    within = F.row_number().over(Window.partitionBy("file", "part").orderBy("_row")) - 1
+    return lines.withColumn("_k", within).join(before_parts(lines, F.lit(1)), ["file", "part"]).select("file", "part", (F.col("_k") + F.col("_before")).alias("line"), "value")
+
+
+def before_parts(lines: DataFrame, amount: Column) -> DataFrame:
+    """file, part, _before: the sum of an amount over all earlier parts of the file."""
+    sums = lines.groupBy("file", "part").agg(F.sum(amount).alias("_n"))
+    earlier = Window.partitionBy("file").orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
+    return sums.select("file", "part", F.coalesce(F.sum("_n").over(earlier), F.lit(0)).alias("_before"))
 
 
 def sample_sheet(spark: SparkSession, path: str) -> DataFrame:
@@ -166,7 +173,8 @@ def fasta(spark: SparkSession, path: str) -> DataFrame:
     """chrom, seq (upper case): the lines under each heading joined."""
     lines = numbered(spark, path)
     heading = F.col("value").startswith(">")
-    named = lines.withColumn("n", F.sum(heading.cast("int")).over(Window.partitionBy("file").orderBy("line").rowsBetween(Window.unboundedPreceding, 0))).filter("n > 0")
+    so_far = F.sum(heading.cast("int")).over(Window.partitionBy("file", "part").orderBy("line").rowsBetween(Window.unboundedPreceding, 0))
+    named = lines.withColumn("_k", so_far).join(before_parts(lines, heading.cast("int")), ["file", "part"]).withColumn("n", F.col("_k") + F.col("_before")).filter("n > 0")
     heads = named.filter(heading).select("file", "n", F.regexp_extract("value", r"^>(\S*)", 1).alias("chrom"))
     parts = named.filter(~heading).groupBy("file", "n").agg(F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("line", F.trim("value").alias("v")))), lambda x: x["v"]), "").alias("seq"))  # one sequence
     return heads.join(parts, ["file", "n"], "left").select("chrom", F.upper(F.coalesce("seq", F.lit(""))).alias("seq"))
