@@ -11,7 +11,7 @@ normalised. An inserted or missing letter changes some spans and leaves the rest
 Training takes at most ``SAMPLE`` labelled texts, those of the lowest hash. Their
 sentences get labels from their texts: a toxic text's sentence is toxic if one of its
 units stands out by its counts, then by the machine's own margin (the sentence's
-witness). Landmarks are units that stand out for either label. The machine is fitted on
+witness). Witnesses with a letter too many are learned with them. Landmarks are units that stand out for either label. The machine is fitted on
 kernel values against the landmarks, whitened by their own kernel matrix, so its weights
 fold into one table of subsequences, and scoring is a sum over table entries.
 
@@ -29,6 +29,7 @@ from __future__ import annotations
 import functools
 import itertools
 import re
+import zlib
 from collections.abc import Iterable, Iterator
 from typing import NamedTuple
 
@@ -44,8 +45,8 @@ LANDMARKS = 512
 NEGATIVES = 8_000
 #: Rounds of fitting; between them, clean units that come out wrong join the negatives.
 TURNS = 3
-SPAN = 6
-DECAY = 0.7
+SPAN = 7
+DECAY = 0.85
 WINDOW = 16
 #: Units whose subsequences are in memory together.
 AT_ONCE = 4000
@@ -140,9 +141,9 @@ class Machine(NamedTuple):
 
 
 def largest(margins: Iterable[float]) -> tuple[float, float]:
-    """The largest margin and the mean of the three largest, none under -2."""
+    """The largest margin and the mean of the three largest, none under -1, which missing ones count as."""
     top = sorted(margins, reverse=True)[:3]
-    top = [max(x, -2.0) for x in top] + [-2.0] * (3 - len(top))
+    top = [max(x, -1.0) for x in top] + [-1.0] * (3 - len(top))
     return top[0], sum(top) / 3
 
 
@@ -186,6 +187,16 @@ def witnesses(toxic: np.ndarray, clean: np.ndarray, n_toxic: int, n_clean: int,
     return sorted((units[i] for i in found), key=dict(zip((units[i] for i in found), zip(-toxic[found] * odds[found], (units[i] for i in found)))).__getitem__)
 
 
+def disguised(unit: str) -> list[str]:
+    """A unit with one letter too many, in four ways."""
+    out = []
+    for turn in range(4 if len(unit) > 3 else 0):
+        seed = zlib.crc32(f"{turn}{unit}".encode())
+        at = 1 + seed % (len(unit) - 1)
+        out.append(unit[:at] + "abeilnorstuxz"[seed // 64 % 13] + unit[at:])
+    return out
+
+
 def shares(n: np.ndarray) -> np.ndarray:
     """The weight of each unit: half alike, half by how many texts have it."""
     return 0.5 / len(n) + 0.5 * (n + 1e-9) / (n + 1e-9).sum()
@@ -266,7 +277,9 @@ def train(texts: list[str], labels: list[int]) -> Machine | None:
     weights = lambda words, n: shares(np.array([n[number[u]] for u in words], float))
     for turn in range(TURNS):
         basis = Basis(list(dict.fromkeys(windows(u)[0] for u in [*witness[: LANDMARKS // 2], *loud[: LANDMARKS // 4], *common])))
-        machine = basis.machine(witness, weights(witness, toxic), negative, weights(negative, clean))
+        altered = {x: u for u in witness for x in disguised(u) if x not in number}
+        weight = np.concatenate([weights(witness, toxic), 0.5 * weights([*altered.values()], toxic)]) if altered else weights(witness, toxic)
+        machine = basis.machine([*witness, *altered], weight, negative, weights(negative, clean))
         margin = machine.margins(units)
         if turn + 1 < TURNS:  # clean units that the machine gets wrong, and witnesses of toxic sentences by its own margin
             worst = everyone[np.argsort(-(margin[everyone] + 0.1 * np.log1p(clean[everyone])), kind="stable")][:NEGATIVES]
