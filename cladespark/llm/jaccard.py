@@ -5,12 +5,12 @@ Sets skip each other in two ways.
 *By position.* A set is sorted by hash and cut at fixed hash positions into k blocks. Sets
 that link differ in fewer elements than there are blocks, so some block is the same in
 both. Index lists are kept for each size class, block position and block content, and a set
-meets only the sets in the lists of its own blocks; all others are skipped unseen. The few
-smallest blocks, which say least, are left out where the count of blocks allows for it.
+meets only the sets in the lists of its own blocks; all others are skipped unseen. There are
+some blocks more than that needs, so each set leaves as many of its lists, the longest ones.
 
 *By answers.* A set is compared with a leader alone at first: of the sets that lead its lists
-(those in most lists), the one in most. A set that links with the leader has the leader's component, and the answers of others derive from their
-distances to the leader: by the triangle inequality of Jaccard distance, two sets of which
+(those in most lists), the one in most. A set that links with the leader
+has the leader's component, and the answers of others derive from their distances to the leader: by the triangle inequality of Jaccard distance, two sets of which
 one is near the leader and one is far can't link. Only pairs of a list that are in different
 components and within reach are compared in a second pass, in blocks of like size, of which
 those too far apart in size are skipped whole. Lists of more than LONG_LIST sets are dealt
@@ -46,12 +46,17 @@ from .components import components
 LONG_LIST = 2048
 #: Members of a list that are compared with others, or skipped, at once.
 BLOCK = 256
-#: The growth of size classes, and the share of blocks that may be left out.
-GROWTH, SPARE = 1.3, 0.04
+#: The growth of size classes, the share of its lists that a set may leave, and the size up to which it leaves none.
+GROWTH, SPARE, SMALL_LIST = 1.3, 0.15, 16
 CACHED_WORDS = 400_000
-SKETCH = 64
+#: Counts in a sketch at least, and elements to a count at most: few enough that unrelated sets stand apart.
+SKETCH, PER_COUNT = 64, 13
 #: So many ids, 8 bytes each, are broadcast at most; more are joined by a shuffle.
 BROADCAST_IDS = 1_000_000
+#: So many of its lists does a member carry, to tell that a pair meets in an earlier list.
+CARRIED = 8
+#: So many pairs does a task remember to hand each on once.
+REMEMBERED = 300_000
 
 _words = re.compile(WORD).findall
 _odd = np.array([0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0xD6E8FEB86659FD93, 0xA0761D6478BD642F, 0xE7037ED1A0B428DB], np.uint64)
@@ -131,21 +136,24 @@ def block_keys(join: Join, sorted_hashes: np.ndarray) -> np.ndarray:
     high = sorted_hashes >> np.uint64(32)
     content = mixed(sorted_hashes)
     for number in classes_of(join, len(sorted_hashes)):
-        first, last, blocks = size_class(join, number)
-        spare = blocks - 1 - join.apart(last + join.largest(last))
+        blocks = size_class(join, number)[2]
         block = ((high * np.uint64(blocks)) >> np.uint64(32)).astype(np.int64)
         counts = np.bincount(block, minlength=blocks)
         starts = np.cumsum(counts) - counts
         full = np.flatnonzero(counts)
         sums = np.zeros(blocks, np.uint64)
         sums[full] = np.add.reduceat(content, starts[full])
-        small = np.cumsum(np.bincount(counts, minlength=2))  # blocks of up to so many elements
-        least = int(np.searchsorted(small, spare, "right"))  # as content alone decides, a block that two sets share is left out of both or within the spare ones
-        kept = np.flatnonzero(counts >= least)
-        out.append(mixed(sums[kept] * _odd[0] + (kept.astype(np.uint64) + np.uint64(number << 32)) * _odd[1]))
+        place = np.arange(blocks, dtype=np.uint64) + np.uint64(number << 32)
+        out.append(mixed(sums * _odd[0] + place * _odd[1]))
     return np.concatenate(out) if out else np.zeros(0, np.uint64)
 
 
+def spare_lists(join: Join, size: int) -> int:
+    """How many of its lists a set of this size may leave and still meet all sets that it links with."""
+    found = [size_class(join, number) for number in classes_of(join, size)]
+    return min((blocks - 1 - join.apart(last + join.largest(last)) for _, last, blocks in found), default=0)
+
+
 def set_class(sorted_hashes: np.ndarray) -> int:
     return xxhash.xxh3_64_intdigest(sorted_hashes.tobytes()) - (1 << 63)
 
@@ -156,8 +164,8 @@ def list_array(parts: list[np.ndarray]) -> pa.ListArray:
 
 
 def indexed(rows: DataFrame, join: Join) -> DataFrame:
-    """key, n (of shingles), class, sketch, lists: what the first of equal sets in a task is indexed under."""
-    names = ["key", "n", "class", "sketch", "lists"]
+    """key, n (of shingles), class, spare, sketch, lists: what the first of equal sets in a task is indexed under."""
+    names = ["key", "n", "class", "spare", "sketch", "lists"]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         shingler, seen = Shingler(join), set()
@@ -169,26 +177,29 @@ def indexed(rows: DataFrame, join: Join) -> DataFrame:
                 own.append(set_class(hashes) if len(hashes) else None)
                 again = own[-1] in seen or not len(hashes)
                 seen.add(own[-1])
-                sketch.append(None if again else np.minimum(np.bincount((hashes % np.uint64(SKETCH)).astype(np.int64), minlength=SKETCH), 255).astype(np.uint8).tobytes())
+                sketch.append(None if again else counts_of(hashes, PER_COUNT))
                 lists.append(np.zeros(0, np.uint64) if again else block_keys(join, hashes))
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(n, pa.int64()), pa.array(own, pa.int64()), pa.array(sketch, pa.binary()), list_array(lists)], names)
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(n, pa.int64()), pa.array(own, pa.int64()), pa.array([spare_lists(join, x) for x in n], pa.int32()), pa.array(sketch, pa.binary()), list_array(lists)], names)
 
     kind = rows.schema["key"].dataType.simpleString()
-    return rows.select("key", "text").mapInArrow(run, f"key {kind}, n long, class long, sketch binary, lists array<long>")
+    return rows.select("key", "text").mapInArrow(run, f"key {kind}, n long, class long, spare int, sketch binary, lists array<long>")
 
 
-def counts_of(sorted_hashes: np.ndarray) -> bytes:
-    """How many elements fall to each remainder, for so many remainders (a power of two) as half the elements at least."""
-    places = max(SKETCH, 1 << max(0, (len(sorted_hashes) // 2 - 1).bit_length()))
+def counts_of(sorted_hashes: np.ndarray, per_count: int) -> bytes:
+    """How many elements (255 at most) fall to each remainder of a power of two, with so many elements to a count or fewer."""
+    places = max(SKETCH, 1 << max(0, (len(sorted_hashes) // per_count - 1).bit_length()))
     return np.minimum(np.bincount((sorted_hashes % np.uint64(places)).astype(np.int64), minlength=places), 255).astype(np.uint8).tobytes()
 
 
+def folded(counts: bytes, places: int) -> np.ndarray:
+    """Counts by a smaller power of two, 255 at most: what would have been counted by it."""
+    return np.minimum(np.frombuffer(counts, np.uint8).reshape(-1, places).sum(0, dtype=np.int32), 255)
+
+
 def apart_at_least(x: bytes, y: bytes) -> int:
-    """A lower bound on how many elements two sets differ in, from their counts; the longer list is folded."""
-    p, q = (np.frombuffer(v, np.uint8).astype(np.int32) for v in sorted((x, y), key=len))
-    if p.max() == 255 or q.max() == 255:
-        return 0  # a count that may be cut can't be added up
-    return int(np.abs(p - q.reshape(-1, len(p)).sum(0)).sum())
+    """A lower bound on how many elements two sets differ in, from their counts."""
+    places = min(len(x), len(y))
+    return int(np.abs(folded(x, places) - folded(y, places)).sum())
 
 
 def sets_of(rows: DataFrame, join: Join) -> DataFrame:
@@ -199,7 +210,7 @@ def sets_of(rows: DataFrame, join: Join) -> DataFrame:
         for batch in batches:
             sets = [shingler.shingles(x) for x in batch.column(0).to_pylist()]
             sets = [x for x in sets if len(x)]
-            yield pa.RecordBatch.from_arrays([pa.array([set_class(x) for x in sets], pa.int64()), pa.array(list(map(len, sets)), pa.int64()), pa.array([x.tobytes() for x in sets], pa.binary()), pa.array(list(map(counts_of, sets)), pa.binary())], ["class", "n", "elements", "counts"])
+            yield pa.RecordBatch.from_arrays([pa.array([set_class(x) for x in sets], pa.int64()), pa.array(list(map(len, sets)), pa.int64()), pa.array([x.tobytes() for x in sets], pa.binary()), pa.array([counts_of(x, 2) for x in sets], pa.binary())], ["class", "n", "elements", "counts"])
 
     return rows.select("text").mapInArrow(run, "class long, n long, elements binary, counts binary").dropDuplicates(["class"])
 
@@ -218,8 +229,10 @@ def in_groups(batches: Iterator[pa.RecordBatch], keys: int) -> Iterator[tuple[tu
         yield now, held
 
 
-def sketches_of(rows: list[tuple], at: int) -> np.ndarray:
-    return np.frombuffer(b"".join(r[at] for r in rows), np.uint8).reshape(-1, SKETCH).astype(np.int16)
+def sketches_of(rows: list[tuple], at: int, places: int) -> np.ndarray:
+    if all(len(r[at]) == places for r in rows):
+        return np.frombuffer(b"".join(r[at] for r in rows), np.uint8).reshape(-1, places).astype(np.int16)
+    return np.array([folded(r[at], places) for r in rows], np.int16)
 
 
 def near_by_count(pairs: DataFrame, sets: DataFrame, join: Join) -> DataFrame:
@@ -262,42 +275,52 @@ def within_reach(dealt: DataFrame, join: Join, reach: float) -> DataFrame:
     Members come by size, so blocks of them that are too far apart in size are skipped whole.
     """
 
-    def block(rows: list[tuple]) -> tuple[np.ndarray, ...]:
+    def block(rows: list[tuple], places: int) -> tuple[np.ndarray, ...]:
         own, component, leader, low, high, n = (np.array(x) for x in list(zip(*rows))[1:7])
-        return own, component, low, high, n, sketches_of(rows, 7), leader
+        return own, component, low, high, n, sketches_of(rows, 7, places), leader, [r[8] for r in rows]
 
-    def near(x: tuple[np.ndarray, ...], y: tuple[np.ndarray, ...]) -> tuple[np.ndarray, np.ndarray]:
+    def near(x: tuple, y: tuple) -> Iterator[tuple[int, int, list[int], list[int]]]:
+        """Both classes and the lists that each carries."""
         may = x[1][:, None] != y[1][None]
         bounded = (x[2][:, None] - y[3][None] > reach) | (y[2][None] - x[3][:, None] > reach)
         may &= ~bounded | (x[6][:, None] != y[6][None])
         if x is y:
             may = np.triu(may, 1)
         p, q = np.nonzero(may)
-        out = []
-        for k in range(0, len(p), 20_000):
-            r, s = p[k : k + 20_000], q[k : k + 20_000]
+        step = max(1, 1_280_000 // x[5].shape[1])
+        for k in range(0, len(p), step):
+            r, s = p[k : k + step], q[k : k + step]
             sizes = x[4][r] + y[4][s]
             apart = np.abs(x[5][r] - y[5][s]).sum(1)
             ok = apart * (100 + join.percent) <= (100 - join.percent) * sizes
-            out.append((x[0][r[ok]], y[0][s[ok]]))
-        a, b = (np.concatenate([np.zeros(0, np.int64), *(o[i] for o in out)]) for i in (0, 1))
-        return np.minimum(a, b), np.maximum(a, b)
+            for m, n in zip(r[ok].tolist(), s[ok].tolist()):
+                yield int(x[0][m]), int(y[0][n]), x[7][m], y[7][n]
+
+    def here_first(listed: int, x: list[int], y: list[int]) -> bool:
+        """Whether no list that both are known to be in comes before this one."""
+        common = {*x}.intersection(y)
+        return not common or min(common) >= listed
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for (_, i, j), rows in in_groups(batches, 3):
+        told: set[tuple[int, int]] = set()
+        for (listed, i, j), rows in in_groups(batches, 3):
             own = [r for r in rows if r[0] == i]
             other = own if i == j else [r for r in rows if r[0] != i]
-            left, right = ([block(side[k : k + BLOCK]) for k in range(0, len(side), BLOCK)] for side in (own, other))
+            places = min(len(r[7]) for r in rows)
+            left, right = ([block(side[k : k + BLOCK], places) for k in range(0, len(side), BLOCK)] for side in (own, other))
             right = left if i == j else right
             for at, x in enumerate(left):
                 for y in right[at if i == j else 0 :]:
                     if max(x[4][0], y[4][0]) > join.largest(min(x[4][-1], y[4][-1])):
                         continue
-                    a, b = near(x, y)
-                    if len(a):
-                        yield pa.RecordBatch.from_arrays([pa.array(a), pa.array(b)], ["a", "b"])
+                    new = {(m, n) if m < n else (n, m) for m, n, p, q in near(x, y) if here_first(listed, p, q)}.difference(told)
+                    if new:
+                        if len(told) > REMEMBERED:
+                            told.clear()
+                        told |= new
+                        yield pa.RecordBatch.from_arrays([pa.array(list(v), pa.int64()) for v in zip(*new)], ["a", "b"])
 
-    return dealt.select("list", "i", "j", "part", "class", "component", "leader", "low", "high", "n", "sketch").mapInArrow(run, "a long, b long")
+    return dealt.select("list", "i", "j", "part", "class", "component", "leader", "low", "high", "n", "sketch", "carried").mapInArrow(run, "a long, b long")
 
 
 def checked_broadcast(ids: DataFrame) -> DataFrame:
@@ -330,11 +353,14 @@ def class_links(rows: DataFrame, index: DataFrame, classes: DataFrame, join: Joi
     """a, b: links between classes that connect all that any link connects."""
     reach = (100 - join.percent) / 100 + 1e-9
     in_list = Window.partitionBy("list")
-    lists = index.select("class", F.explode("lists").alias("list"))
-    lists = lists.withColumns({"c0": F.min("class").over(in_list), "c1": F.max("class").over(in_list), "size": F.count(F.lit(1)).over(in_list)}).filter("c0 <> c1").select("list", "class", "size").distinct()
-    lists = tables.keep(lists, "lists")
-    degree = lists.groupBy("class").agg(F.count(F.lit(1)).alias("degree"))
-    led = lists.join(degree, "class").withColumn("first", F.max(F.struct("degree", "class")).over(in_list))
+    lists = index.select("class", "spare", F.explode("lists").alias("list"))
+    lists = lists.withColumns({"c0": F.min("class").over(in_list), "c1": F.max("class").over(in_list), "size": F.count(F.lit(1)).over(in_list)}).filter("c0 <> c1")
+    lists = tables.keep(lists.select("list", "class", "spare", "size").distinct(), "lists")
+    # a list's size is the same for all its sets, so of the lists that two sets share at most the spare ones of one of them go
+    as_long = F.count(F.lit(1)).over(Window.partitionBy("class").orderBy(F.col("size").desc()).rangeBetween(Window.unboundedPreceding, 0))
+    kept = lists.withColumn("as_long", as_long).filter((F.col("size") <= SMALL_LIST) | (F.col("as_long") > F.col("spare")))
+    kept = kept.withColumn("degree", F.count(F.lit(1)).over(Window.partitionBy("class")))
+    led = kept.select("list", "class", "degree").withColumns({"first": F.max(F.struct("degree", "class")).over(in_list), "size": F.count(F.lit(1)).over(in_list)}).filter("size > 1")
     led = tables.keep(led.select("list", "class", "size", F.col("first.class").alias("leader"), F.col("first.degree").alias("of_leader")), "led")
     first = led.filter("class <> leader").groupBy("class").agg(F.max(F.struct("of_leader", "leader")).alias("l")).select(F.col("l.leader").alias("a"), F.col("class").alias("b"))
     first = tables.keep(first, "first")
@@ -356,7 +382,8 @@ def class_links(rows: DataFrame, index: DataFrame, classes: DataFrame, join: Joi
     open_ = members.withColumns({"c0": F.min("component").over(in_list), "c1": F.max("component").over(in_list)}).filter("c0 <> c1")
     open_ = open_.join(exact.select(F.col("a").alias("leader"), F.col("b").alias("class"), distance.alias("exact")), ["leader", "class"], "left")
     open_ = open_.withColumns({"low": F.when(itself, 0.0).otherwise(F.coalesce("exact", F.lit(0.0))), "high": F.when(itself, 0.0).otherwise(F.coalesce("exact", F.lit(1.0)))})
-    open_ = open_.join(classes.select("class", "n", "sketch"), "class").withColumn("parts", F.ceil(F.col("size") / LONG_LIST).cast("int"))
+    carried = led.groupBy("class").agg(F.slice(F.array_sort(F.collect_list("list")), 1, CARRIED).alias("carried"))  # a set's lists
+    open_ = open_.join(classes.select("class", "n", "sketch"), "class").join(carried, "class").withColumn("parts", F.ceil(F.col("size") / LONG_LIST).cast("int"))
     open_ = open_.withColumn("part", F.pmod(F.xxhash64("class"), F.col("parts")).cast("int")).withColumn("x", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)))
     open_ = open_.withColumns({"i": F.least("part", "x"), "j": F.greatest("part", "x")})
     dealt = open_.repartition("list", "i", "j").sortWithinPartitions("list", "i", "j", "part", "n", "class")
