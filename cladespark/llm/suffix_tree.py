@@ -1,21 +1,23 @@
 """Language-model scores by a probabilistic suffix tree over words.
 
 Symbols are words of ASCII-lower-cased text and one end at the end of each text. A
-context is a run of up to ``DEPTH`` words. A context, and a symbol after it, counts
-where together they have ``SHARE`` of all training tokens, so the tree has 1 / SHARE
-entries a level at most, at any size of corpus. A context is retained if the
-distribution after it diverges from that of its longest retained suffix by
-``DIVERGENCE`` nats at least, or if a longer context that ends in it is retained.
+context is a run of up to ``DEPTH`` words. A run counts where it occurs LEAST times in
+the training texts, at any size of corpus, so the tree grows with them. A context is
+retained if the distribution after it diverges from that of its longest retained suffix
+by ``DIVERGENCE`` nats at least, or if a longer context that ends in it is retained.
 
 Next-symbol probabilities: (n(s, x) - DISCOUNT) / n(s) for symbols that count after s;
 what is left goes to all others, in proportion to the longest retained suffix, and at
 the root to the smoothed word counts (c + 0.1) / (N + 0.1 (V + 1)). Each text is scored
 from the longest retained context before each symbol.
 
-All counts are over all training texts. Words with WORD_SHARE of the tokens are known
-to every worker (1 / WORD_SHARE at most); the counts of all others are joined.
+The tree is tables of runs, keyed by hash. A run that counts has all its own runs in the
+tables of shorter ones, so a text's log score is a sum of one value for each of its runs
+(``values``), and contexts are joined to the tree without any part of it on the driver.
+Workers hold the words with WORD_SHARE of the tokens (1 / WORD_SHARE at most) and a
+sieve of fixed size, which spares the shuffle runs that are in no table.
 
-Words are compared by 63 bits of a 64-bit hash.
+Words are compared by 63 bits of a 64-bit hash, runs by 64 bits.
 
 Defined results: null text is empty and has the end alone; a null key is held out of
 nothing and trains nothing (held_out null); repeated rows count and are scored each;
@@ -39,7 +41,9 @@ from ..storage import Scratch, scratch
 from .batches import WORD, bound_batches, remainder
 
 DEPTH = 3
-SHARE = 2e-5
+#: Occurrences that a run needs to count, and their share of all training tokens.
+LEAST = 2
+SHARE = 0.0
 WORD_SHARE = 5e-7
 DIVERGENCE = 0.02
 DISCOUNT = 0.5
@@ -49,6 +53,10 @@ END_HASH = 1
 CACHED_WORDS = 400_000
 #: Distinct words that a task counts before it hands its counts on.
 COUNTED_WORDS = 500_000
+#: Symbols whose runs a task counts together.
+AT_ONCE = 2_000_000
+#: Bits of the sieve, as a power of 2, and of each of its blocks.
+SIEVE, BLOCK = 27, 16
 
 _words = re.compile(WORD).findall
 
@@ -85,22 +93,14 @@ def word_counts(texts: DataFrame, tables: Scratch) -> DataFrame:
 
 
 class Lexicon(NamedTuple):
-    """The frequent words, by hash in rising order, and the base probabilities of each and of an unknown word."""
+    """The frequent words, by hash in rising order, and the base probability of each."""
 
     words: np.ndarray
     log_base: np.ndarray
-    unknown: float
     tokens: int
     distinct: int
-    #: words that may be in contexts or follow them: their number among those, or -1
-    symbol: np.ndarray
-    symbols: int
-    end: int
     least: int
 
-    def base(self, n: np.ndarray) -> np.ndarray:
-        return np.log10((n + SMOOTHING) / (self.tokens + SMOOTHING * (self.distinct + 1)))
-
 
 def lexicon(counts: DataFrame) -> Lexicon:
     tokens, distinct = counts.agg(F.coalesce(F.sum("n"), F.lit(0)), F.count(F.lit(1))).first()
@@ -108,11 +108,7 @@ def lexicon(counts: DataFrame) -> Lexicon:
     rows = rows.sort_values("word")
     words, n = rows["word"].to_numpy(np.int64), rows["n"].to_numpy(np.int64)
     z = tokens + SMOOTHING * (distinct + 1)
-    least = max(2, int(np.ceil(SHARE * tokens)))
-    often = (n >= least) | (words == END_HASH)
-    symbol = np.where(often, np.cumsum(often) - 1, -1).astype(np.int64)
-    end = int(symbol[np.searchsorted(words, END_HASH)]) if len(words) else -1
-    return Lexicon(words, np.log10((n + SMOOTHING) / z), float(np.log10(SMOOTHING / z)), int(tokens), int(distinct), symbol, int(often.sum()), end, least)
+    return Lexicon(words, np.log10((n + SMOOTHING) / z), int(tokens), int(distinct), max(LEAST, int(np.ceil(SHARE * tokens))))
 
 
 def coded(documents: DataFrame, words: Lexicon) -> DataFrame:
@@ -155,153 +151,173 @@ def coded(documents: DataFrame, words: Lexicon) -> DataFrame:
     return rows.mapInArrow(run, f"row long, key {key}, held_out boolean, n_tokens long, ids binary, rare array<long>")
 
 
-class Level(NamedTuple):
-    """The frequent runs of one length: code = place of the run before the last symbol * symbols + last symbol."""
-
-    codes: np.ndarray
-    counts: np.ndarray
+def joined(runs: np.ndarray, symbols: np.ndarray) -> np.ndarray:
+    """The hashes of runs with one more symbol each."""
+    z = runs.view(np.uint64) * np.uint64(0x9E3779B97F4A7C15) + symbols.view(np.uint64)
+    z = (z ^ (z >> np.uint64(30))) * np.uint64(0xBF58476D1CE4E5B9)
+    z = (z ^ (z >> np.uint64(27))) * np.uint64(0x94D049BB133111EB)
+    return (z ^ (z >> np.uint64(31))).view(np.int64)
 
 
-def runs_ending(symbols: np.ndarray, levels: list[Level], words: Lexicon) -> list[np.ndarray]:
-    """For each length from 1, the place of the frequent run that ends at each position, or -1; those that end a text are not contexts."""
-    out = [np.where(symbols == words.end, -1, symbols)]
-    for level in levels:
-        before = np.concatenate([[-1], out[-1][:-1]])
-        at = find(level.codes, before * words.symbols + symbols, (before >= 0) & (symbols >= 0))
-        out.append(np.where(symbols == words.end, -1, at))
-    return out
+def symbols_of(ids: list[bytes], rare: pa.Array, words: Lexicon) -> tuple[np.ndarray, np.ndarray]:
+    """The symbols of texts, one after another, as hashes, and the place of each in its text."""
+    places = np.frombuffer(b"".join(ids), np.int32)
+    symbols = np.zeros(len(places), np.int64)
+    symbols[places >= 0] = words.words[places[places >= 0]]
+    symbols[places < 0] = rare.flatten().to_numpy(zero_copy_only=False)
+    lengths = np.array([len(x) // 4 for x in ids], np.int64)
+    return symbols, np.arange(len(places)) - np.repeat(np.cumsum(lengths) - lengths, lengths)
 
 
-def find(codes: np.ndarray, wanted: np.ndarray, valid: np.ndarray) -> np.ndarray:
-    """The place of each wanted code, -1 where there is none or it isn't valid."""
-    out = np.full(len(wanted), -1, np.int64)
-    asked = np.flatnonzero(valid)
-    if len(codes) and len(asked):
-        at = np.minimum(np.searchsorted(codes, wanted[asked]), len(codes) - 1)
-        hit = codes[at] == wanted[asked]
-        out[asked[hit]] = at[hit]
+def runs_ending(symbols: np.ndarray, place: np.ndarray, longest: int) -> list[tuple[np.ndarray, np.ndarray]]:
+    """For each length from 1, hashes of the runs that end at each position, and whether the text has one there."""
+    out = [(symbols, np.ones(len(symbols), bool))]
+    for k in range(1, longest + 1):
+        before = np.concatenate([np.zeros(1, np.int64), out[-1][0]])[: len(symbols)]
+        out.append((joined(before, symbols), place >= k))
     return out
 
 
-def symbols_of(ids: list[bytes], words: Lexicon) -> tuple[np.ndarray, np.ndarray]:
-    """Places in the lexicon and symbols of texts, one after another."""
-    places = np.frombuffer(b"".join(ids), np.int32).astype(np.int64)
-    return places, np.where(places >= 0, words.symbol[places], -1) if len(words.symbol) else np.full(len(places), -1)
+def passed(sieve: np.ndarray | None, runs: np.ndarray) -> np.ndarray:
+    """Which runs may be in the table of a sieve."""
+    if sieve is None:
+        return np.ones(len(runs), bool)
+    bit = runs & ((1 << SIEVE) - 1)
+    return (sieve[bit >> 3] >> (bit & 7).astype(np.uint8) & 1).astype(bool)
 
 
-def count_level(train: DataFrame, levels: list[Level], words: Lexicon) -> Level:
-    """The frequent runs of the next length, with their counts over all training texts."""
+def sieve_of(runs: DataFrame) -> np.ndarray:
+    """One bit for each value of the low bits of a run's hash: 16 MB, however many runs there are."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        bits: dict[int, np.ndarray] = {}
+        for batch in batches:
+            code = batch.column(0).to_numpy(zero_copy_only=False)
+            order = np.argsort(code)
+            code = code[order]
+            block, starts = np.unique(code >> BLOCK, return_index=True)
+            for b, own in zip(block.tolist(), np.split(code & ((1 << BLOCK) - 1), starts[1:])):
+                bits.setdefault(b, np.zeros(1 << BLOCK, bool))[own] = True
+        packed = [np.packbits(x, bitorder="little").tobytes() for x in bits.values()]
+        yield pa.RecordBatch.from_arrays([pa.array(list(bits), pa.int64()), pa.array(packed, pa.binary())], ["block", "bits"])
+
+    code = F.col("run").bitwiseAND(F.lit((1 << SIEVE) - 1))
+    out = np.zeros((1 << (SIEVE - BLOCK), 1 << (BLOCK - 3)), np.uint8)
+    for block, bits in runs.select(code.alias("code")).repartition(F.shiftright("code", BLOCK)).mapInArrow(run, "block long, bits binary").collect():  # 2 ** (SIEVE - BLOCK) rows
+        out[block] = np.frombuffer(bits, np.uint8)
+    return out.ravel()
+
+
+def count_level(train: DataFrame, k: int, shorter: np.ndarray | None, words: Lexicon, tables: Scratch) -> DataFrame:
+    """run, context, suffix, n: the runs of k + 1 symbols that count, each without its last and without its first symbol."""
+    held = train.sparkSession.sparkContext.broadcast(shorter)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        gathered: list[np.ndarray] = []
+        gathered: list[tuple[np.ndarray, ...]] = []
         size = 0
 
-        def flush() -> pa.RecordBatch:
-            codes, counts = np.unique(np.concatenate(gathered), return_counts=True)
+        def flush() -> Iterator[pa.RecordBatch]:
+            runs, context, suffix = (np.concatenate(x) for x in zip(*gathered))
             gathered.clear()
-            return pa.RecordBatch.from_arrays([pa.array(codes), pa.array(counts.astype(np.int64))], ["code", "n"])
+            distinct, at, counts = np.unique(runs, return_index=True, return_counts=True)
+            for i in range(0, len(distinct), 100_000):
+                part = slice(i, i + 100_000)
+                yield pa.RecordBatch.from_arrays([pa.array(x[part]) for x in (distinct, context[at], suffix[at], counts.astype(np.int64))], ["run", "context", "suffix", "n"])
 
         for batch in batches:
-            _, symbols = symbols_of(batch.column(0).to_pylist(), words)
-            last = runs_ending(symbols, levels, words)[-1]
-            before = np.concatenate([[-1], last[:-1]])
-            valid = (before >= 0) & (symbols >= 0)
-            gathered.append(before[valid] * words.symbols + symbols[valid])
-            size += int(valid.sum())
-            if size > 8_000_000:
-                yield flush()
+            ending = runs_ending(*symbols_of(batch.column(0).to_pylist(), batch.column(1), words), k)
+            (runs, valid), suffix = ending[k], ending[k - 1][0]
+            at = np.flatnonzero(valid)
+            at = at[passed(held.value, suffix[at]) & passed(held.value, suffix[at - 1])]  # both are runs that count, or this one isn't
+            gathered.append((runs[at], suffix[at - 1], suffix[at]))
+            size += len(at)
+            if size > AT_ONCE:
+                yield from flush()
                 size = 0
-        if gathered:
-            yield flush()
-
-    sums = train.select("ids").mapInArrow(run, "code long, n long").groupBy("code").agg(F.sum("n").alias("n"))
-    rows = sums.filter(F.col("n") >= words.least).toPandas().sort_values("code")  # 1 / SHARE rows at most
-    return Level(rows["code"].to_numpy(np.int64), rows["n"].to_numpy(np.int64))
+        if size:
+            yield from flush()
 
+    counted = train.select("ids", "rare").mapInArrow(run, "run long, context long, suffix long, n long")
+    sums = counted.repartition("run").groupBy("run").agg(F.max("context").alias("context"), F.max("suffix").alias("suffix"), F.sum("n").alias("n"))
+    return tables.keep(sums.filter(F.col("n") >= words.least), f"runs-{k}")
 
-class Tree(NamedTuple):
-    """levels[k] has runs of k + 2 symbols; log[k] the log10 probability of the last one after the run before it
-    (nan where that context isn't retained); left[k] the log10 weight of all others after each run of k + 1."""
 
-    levels: list[Level]
-    log: list[np.ndarray]
-    left: list[np.ndarray]
+def grow(counts: DataFrame, levels: list[DataFrame], words: Lexicon, tables: Scratch) -> DataFrame:
+    """run, value: what each run adds to a text's log10 score, where that isn't 0.
 
-
-def grow(levels: list[Level], counts: np.ndarray, base: np.ndarray, words: Lexicon) -> Tree:
-    """Tests each context against its longest retained suffix. counts, base: of each symbol."""
-    width = words.symbols
-    number = [counts, *(x.counts for x in levels)]
-    suffix: list[np.ndarray] = [np.full(width, -1, np.int64)]
+    Each context is tested against its longest retained suffix. All runs of a run that counts do so
+    too, hence the probability of its last symbol after the suffix is that of the shorter run.
+    """
+    z = words.tokens + SMOOTHING * (words.distinct + 1)
+    base = counts.filter(F.col("n") >= words.least).select(F.col("word").alias("run"), "n", ((F.col("n") + SMOOTHING) / z).alias("before"))
+    own = []  # p: of the last symbol after the context; shorter: the context without its first symbol
     for k, level in enumerate(levels):
-        context, last = level.codes // width, level.codes % width
-        shorter = suffix[k][context] if k else np.zeros(0, np.int64)
-        suffix.append(last if not k else find(levels[k - 1].codes, shorter * width + last, shorter >= 0))
-    starts = [np.searchsorted(x.codes, np.arange(len(number[k]) + 1) * width) for k, x in enumerate(levels)]
-    own: list[np.ndarray] = [(x.counts - DISCOUNT) / number[k][x.codes // width] for k, x in enumerate(levels)]
-
-    def following(k: int, context: int) -> slice:
-        return slice(starts[k][context], starts[k][context + 1])
-
-    def probability(k: int, context: int, symbols: np.ndarray) -> np.ndarray:
-        """After a context of k + 1 symbols, or after none (k = -1)."""
-        while k >= 0 and not retained[k][context]:
-            k, context = k - 1, int(suffix[k][context]) if k else -1
-        if k < 0:
-            return base[symbols]
-        part = following(k, context)
-        at = find(levels[k].codes[part], context * width + symbols, np.ones(len(symbols), bool))
-        out = weight[k][context] * probability(k - 1, int(suffix[k][context]) if k else -1, symbols)
-        return np.where(at >= 0, own[k][part][at], out) if part.stop > part.start else out
-
-    retained = [np.zeros(len(number[k]), bool) for k in range(len(levels))]
-    weight = [np.ones(len(number[k])) for k in range(len(levels))]
-    for decide in (True, False):  # the second time, with the suffixes of all that were retained
-        for k, level in enumerate(levels):
-            for context in np.unique(level.codes // width):
-                part = following(k, context)
-                symbols = level.codes[part] % width
-                before = probability(k - 1, int(suffix[k][context]) if k else -1, symbols)
-                p, rest, rest_before = own[k][part], max(1e-9, 1 - own[k][part].sum()), max(1e-9, 1 - before.sum())
-                weight[k][context] = rest / rest_before
-                if decide:
-                    retained[k][context] = (p * np.log(p / before)).sum() + rest * np.log(rest / rest_before) >= DIVERGENCE
-        if decide:
-            for k in range(len(levels) - 1, 0, -1):
-                shorter = suffix[k][np.flatnonzero(retained[k])]
-                retained[k - 1][shorter[shorter >= 0]] = True
-    log = [np.where(retained[k][x.codes // width], np.log10(own[k]), np.nan) for k, x in enumerate(levels)]
-    return Tree(levels, log, [np.where(r, np.log10(w), 0.0) for r, w in zip(retained, weight)])
-
-
-def scored(rows: DataFrame, tree: Tree, words: Lexicon) -> DataFrame:
-    """row, base, score, found: log10 sums of each text without its rare words' own base terms."""
-    names = ["row", "base", "score", "found"]
+        of = levels[k - 1].select(F.col("run").alias("context"), F.col("n").alias("total"), F.col("suffix").alias("shorter")) if k else base.select(F.col("run").alias("context"), F.col("n").alias("total"), F.lit(None).cast("long").alias("shorter"))
+        own.append(tables.keep(level.join(of, "context").select("run", "context", "suffix", "shorter", ((F.col("n") - DISCOUNT) / F.col("total")).alias("p")), f"own-{k}"))
+
+    def weighed(k: int, before: DataFrame) -> tuple[DataFrame, DataFrame]:
+        """The runs of a level with before, the probability after the suffix; weight and divergence of each context."""
+        runs = tables.keep(own[k].join(before.select(F.col("run").alias("suffix"), "before"), "suffix"), f"weighed-{k}")
+        sums = runs.groupBy("context").agg(F.max("shorter").alias("shorter"), F.sum(F.col("p") * F.log(F.col("p") / F.col("before"))).alias("gain"), F.sum("p").alias("p"), F.sum("before").alias("b"))
+        rest, rest_before = (F.greatest(F.lit(1e-9), 1 - F.col(c)) for c in ("p", "b"))
+        return runs, sums.select("context", "shorter", F.log10(rest / rest_before).alias("left"), (F.col("gain") + rest * F.log(rest / rest_before) >= DIVERGENCE).alias("retained"))
+
+    def after(runs: DataFrame, contexts: DataFrame) -> DataFrame:
+        """run, before: the probability of the last symbol after the longest retained context."""
+        kept = contexts.filter("retained").select("context", F.lit(True).alias("kept"))
+        return runs.join(kept, "context", "left").select("run", F.when(F.col("kept"), F.col("p")).otherwise(F.col("before")).alias("before"))
+
+    before, retained = base, []
+    for k in range(len(own)):
+        runs, contexts = weighed(k, before)
+        retained.append(tables.keep(contexts.filter("retained").select("context", "shorter", "retained"), f"retained-{k}"))
+        before = after(runs, retained[k])
+    for k in range(len(own) - 1, 0, -1):
+        longer = retained[k].select(F.col("shorter").alias("context"))
+        shorter = levels[k - 2].select(F.col("run").alias("context"), F.col("suffix").alias("shorter")) if k > 1 else base.select(F.col("run").alias("context"), F.lit(None).cast("long").alias("shorter"))
+        both = retained[k - 1].select("context").union(longer).distinct()
+        retained[k - 1] = tables.keep(both.join(shorter, "context").withColumn("retained", F.lit(True)), f"closed-{k}")
+    before, parts = base, []
+    for k in range(len(own)):  # again, with the suffixes of all that were retained
+        runs, contexts = weighed(k, before)
+        left = tables.keep(contexts.drop("retained").join(retained[k].select("context"), "context", "left_semi"), f"left-{k}")
+        parts.append(left.select(F.col("context").alias("run"), F.col("left").alias("value")))
+        parts.append(runs.join(left.select("context", "left"), "context").select("run", (F.log10(F.col("p") / F.col("before")) - F.col("left")).alias("value")))
+        before = after(runs, retained[k])
+    out = parts[0]
+    for part in parts[1:]:
+        out = out.union(part)
+    return tables.keep(out.groupBy("run").agg(F.sum("value").alias("value")), "values")
+
+
+def gained(rows: DataFrame, values: DataFrame, sieve: np.ndarray, words: Lexicon) -> DataFrame:
+    """row, gain: the sum of the values of each text's runs."""
+    held = rows.sparkSession.sparkContext.broadcast(sieve)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             ids = batch.column(1).to_pylist()
-            places, symbols = symbols_of(ids, words)
-            base = np.where(places >= 0, words.log_base[places], 0.0) if len(words.words) else np.zeros(len(places))
-            contexts = runs_ending(symbols, tree.levels[:-1], words) if tree.levels else []
-            score, open_ = np.zeros(len(places)), np.ones(len(places), bool)
-            for k in range(len(tree.levels) - 1, -1, -1):
-                before = np.concatenate([[-1], contexts[k][:-1]])
-                asked = open_ & (before >= 0)
-                at = find(tree.levels[k].codes, before * words.symbols + symbols, asked & (symbols >= 0))
-                value = np.where(at >= 0, tree.log[k][at], np.nan) if len(tree.log[k]) else np.full(len(at), np.nan)
-                hit = ~np.isnan(value)
-                score[hit] += value[hit]
-                open_ &= ~hit
-                down = asked & ~hit
-                score[down] += tree.left[k][before[down]]
-            score += np.where(open_, base, 0.0)
-            ends = np.cumsum([len(x) // 4 for x in ids])
-            starts = np.concatenate([[0], ends[:-1]]).astype(np.int64)
-            sums = [np.add.reduceat(x, starts) if len(starts) else np.zeros(0) for x in (base, score, (places >= 0).astype(np.int64))]
-            yield pa.RecordBatch.from_arrays([batch.column(0), *map(pa.array, sums)], names)
-
-    return rows.select("row", "ids").mapInArrow(run, "row long, base double, score double, found long")
+            symbols, place = symbols_of(ids, batch.column(2), words)
+            row = np.repeat(batch.column(0).to_numpy(), [len(x) // 4 for x in ids])
+            for runs, valid in runs_ending(symbols, place, DEPTH):
+                at = np.flatnonzero(valid & passed(held.value, runs))
+                if len(at):
+                    yield pa.RecordBatch.from_arrays([pa.array(row[at]), pa.array(runs[at])], ["row", "run"])
+
+    found = rows.select("row", "ids", "rare").mapInArrow(run, "row long, run long")
+    return found.join(values.hint("shuffle_hash"), "run").groupBy("row").agg(F.sum("value").alias("gain"))
+
+
+def based(rows: DataFrame, words: Lexicon) -> DataFrame:
+    """row, base, found: log10 sums and the number of each text's words in the lexicon."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            places = [np.frombuffer(x, np.int32) for x in batch.column(1).to_pylist()]
+            places = [x[x >= 0] for x in places]
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array([float(words.log_base[x].sum()) for x in places], pa.float64()), pa.array(list(map(len, places)), pa.int64())], ["row", "base", "found"])
+
+    return rows.select("row", "ids").mapInArrow(run, "row long, base double, found long")
 
 
 def score_texts(documents: DataFrame, divisor: int = 10, held: int = 0, key: str = "doc_id", text: str = "text") -> DataFrame:
@@ -317,22 +333,26 @@ def score_texts(documents: DataFrame, divisor: int = 10, held: int = 0, key: str
         counts = word_counts(texts.filter(~F.col("held_out")), tables)
         words = lexicon(counts)
         rows = tables.keep(coded(texts, words), "coded")
-        levels: list[Level] = []
-        while len(levels) < DEPTH and words.symbols:
-            levels.append(count_level(rows.filter(~F.col("held_out")), levels, words))
-            if not len(levels[-1].codes):
-                break
-        often = words.symbol >= 0
+        trained = rows.filter(~F.col("held_out"))
+        levels: list[DataFrame] = []
+        sieve = None
+        while len(levels) < DEPTH and words.tokens:
+            levels.append(count_level(trained, len(levels) + 1, sieve, words, tables))
+            if len(levels) < DEPTH:
+                sieve = sieve_of(levels[-1])
         z = words.tokens + SMOOTHING * (words.distinct + 1)
-        base = 10 ** words.log_base[often]
-        tree = grow(levels, np.rint(base * z - SMOOTHING).astype(np.int64), base, words)
+        if levels:
+            values = grow(counts, levels, words, tables)
+            gains = gained(rows, values, sieve_of(values), words)
+        else:
+            gains = rows.select("row", F.lit(0.0).alias("gain")).limit(0)
         rare = rows.select("row", F.explode("rare").alias("word")).groupBy("row", "word").agg(F.count(F.lit(1)).alias("times"))
         log = F.log10((F.coalesce("n", F.lit(0)) + SMOOTHING) / F.lit(float(z)))
         rare = rare.join(counts, "word", "left").groupBy("row").agg(F.sum(F.col("times") * log).alias("rare_base"), F.sum(F.when(F.col("n") > 0, F.col("times")).otherwise(0)).alias("rare_known"))
-        sums = rows.select("row", "key", "held_out", "n_tokens").join(scored(rows, tree, words), "row").join(rare, "row", "left")
+        sums = rows.select("row", "key", "held_out", "n_tokens").join(based(rows, words), "row").join(gains, "row", "left").join(rare, "row", "left")
         zero = lambda c: F.coalesce(c, F.lit(0))
         out = sums.select(
             F.col("key").cast(kind).alias(key), "held_out", "n_tokens", (F.col("found") + zero("rare_known")).cast("long").alias("n_known"), F.lit(words.tokens).cast("long").alias("train_tokens"),
-            (F.col("base") + zero("rare_base")).cast("double").alias("base_score"), (F.col("score") + zero("rare_base")).cast("double").alias("score"),
+            (F.col("base") + zero("rare_base")).cast("double").alias("base_score"), (F.col("base") + zero("gain") + zero("rare_base")).cast("double").alias("score"),
         )
         return out.checkpoint()

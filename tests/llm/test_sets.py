@@ -324,6 +324,19 @@ def test_suffix_tree_scores(spark, monkeypatch):
     assert sum(g[6] for g in got if g[1]) > sum(g[5] for g in got if g[1])
 
 
+def test_runs_count_at_any_size(spark):
+    """A pair seen twice counts however many other tokens there are; a share of the tokens would ask for three here."""
+    texts = ["zip zap"] * 2 + [" ".join(f"w{i}x{j}" for j in range(2000)) for i in range(60)]
+    rows = [(i, t) for i, t in enumerate(texts)]
+    got = {r.doc_id: r for r in suffix_tree.score_texts(spark.createDataFrame([*rows, (900, "zip zap")], "doc_id long, text string"), divisor=10**6, held=zlib.crc32(b"900") % 10**6).collect()}
+    assert got[900].held_out
+    assert got[900].train_tokens > 2 / 2e-5
+    n, distinct = got[900].train_tokens, 2 + 60 * 2000 + 1
+    z = n + 0.1 * (distinct + 1)
+    # the first word has no context; zap follows zip, and the end zap, both times
+    assert got[900].score == pytest.approx(math.log10(2.1 / z) + 2 * math.log10(0.75), rel=1e-9)
+
+
 def test_suffix_tree_of_little(spark):
     assert suffix_tree.score_texts(spark.createDataFrame([], "doc_id long, text string")).count() == 0
     got = suffix_tree.score_texts(spark.createDataFrame([(None, "a b")], "doc_id long, text string")).collect()
