@@ -10,7 +10,8 @@ gender and the name's script, and a surname made of syllables of that script, wh
 the same surname always gets.
 
 Collision check: over the whole corpus, no surrogate may equal another's surrogate or any
-entity that occurs. Those that do move on to their next permutation until none is left.
+entity that occurs. Those that do move on to their next permutation, and after TURNS of them
+to longer and longer ones, which can't run out, until none is left.
 
 Defined results: null text stays null with no entities; repeated rows are replaced
 alike; all other columns are kept as they are, under their own names; entities that
@@ -55,8 +56,12 @@ ANY = "|".join(PATTERNS.values())
 #: A text without any of these has no entity, which plain searches see at once.
 WORDS = ["@", "AKIA", "ASIA", "password", "passwd", "secret", "token", "api_key", "apikey", "Mr", "Ms", "Miss ", "Herr ", "Frau ", "Monsieur ", "Madame ", "Señor", "господин ", "госпожа "]
 DIGITS = "[0-9][0-9.]"
-#: Rounds of the collision check.
-TURNS = 40
+#: Permutations of an entity's own shape that are tried before longer ones.
+TURNS = 8
+#: The letters of other scripts, each shifted within its own run.
+LETTERS = ["абвгдеёжзийклмнопрстуфхцчшщъыьэюя", "АБВГДЕЁЖЗИЙКЛМНОПРСТУФХЦЧШЩЪЫЬЭЮЯ", "αβγδεζηθικλμνξοπρστυφχψω", "ΑΒΓΔΕΖΗΘΙΚΛΜΝΞΟΠΡΣΤΥΦΧΨΩ", "ßàáâãäåæçèéêëìíîïðñòóôõöøùúûüýþÿ", "ÀÁÂÃÄÅÆÇÈÉÊËÌÍÎÏÐÑÒÓÔÕÖØÙÚÛÜÝÞ", "אבגדהוזחטיךכלםמןנסעףפץצקרשת", "ءآأؤإئابةتثجحخدذرزسشصضطظعغفقكلمنهوىي", "٠١٢٣٤٥٦٧٨٩"]
+#: First code point and number of each larger run (kana, ideographs, Hangul).
+RANGES = [(0x3041, 86), (0x30A1, 90), (0x4E00, 20976), (0xAC00, 11172)]
 #: Stands on both sides of an entity while a text is cut.
 MARK = "\u0001"
 
@@ -66,25 +71,38 @@ def let(value: Column, body: Callable[[Column], Column]) -> Column:
     return F.element_at(F.transform(F.array(value), body), 1)
 
 
-def shifted(part: Column, stream: Column) -> Column:
-    """Each digit and ASCII letter of ``part``, moved within its class by a byte of a 128-digit hex stream."""
+def shifted(part: Column, stream: Column, scripts: bool) -> Column:
+    """Each digit and letter of ``part``, moved within its class by a byte (two for large scripts) of a 128-digit hex stream.
+
+    Without ``scripts`` those of ASCII alone. Letters of scripts that aren't listed become ASCII letters: for them alone it isn't one-to-one.
+    """
 
     def move(c: Column, i: Column) -> Column:
         by = F.conv(F.substring(stream, 2 * (i % 64) + 1, 2), 16, 10).cast("int")
         within = lambda first, count: F.chr(F.lit(first) + (F.ascii(c) - first + by) % count)
-        return F.when(c.rlike("^[0-9]$"), within(48, 10)).when(c.rlike("^[a-z]$"), within(97, 26)).when(c.rlike("^[A-Z]$"), within(65, 26)).otherwise(c)
+        out = F.when(c.rlike("^[0-9]$"), within(48, 10)).when(c.rlike("^[a-z]$"), within(97, 26)).when(c.rlike("^[A-Z]$"), within(65, 26))
+        return out.when(c.rlike(r"^[\p{L}\p{N}]$"), elsewhere(c, i, by)).otherwise(c) if scripts else out.otherwise(c)
+
+    def elsewhere(c: Column, i: Column, by: Column) -> Column:
+        out = F.chr(F.lit(97) + (F.ascii(c) + by) % 26)
+        wide = F.conv(F.substring(stream, 2 * (i % 63) + 1, 4), 16, 10).cast("int")
+        for first, count in RANGES:
+            moved = F.lit(first) + (F.ascii(c) - first + wide) % count
+            out = F.when(F.ascii(c).between(first, first + count - 1), F.decode(F.unhex(F.lpad(F.hex(moved), 4, "0")), "UTF-16BE")).otherwise(out)
+        run = F.get(F.filter(F.array(*map(F.lit, LETTERS)), lambda x: F.contains(x, c)), F.lit(0))
+        return F.coalesce(F.substring(run, (F.instr(run, c) - 1 + by) % F.char_length(run) + 1, F.lit(1)), out)
 
     return F.array_join(F.transform(F.split(part, ""), move), "")
 
 
-def permuted(text: Column, key: Column) -> Column:
+def permuted(text: Column, key: Column, scripts: bool = False) -> Column:
     """The keyed permutation of a text within its shape."""
     stream = lambda turn, other: F.sha2(F.concat_ws("|", key, F.lit(turn), other).cast("binary"), 512)
     half = (F.char_length(text) / 2).cast("int")
 
     def turns(sides: Column) -> Column:
         left, right = sides["left"], sides["right"]
-        return let(shifted(left, stream("1", right)), lambda a: let(shifted(right, stream("2", a)), lambda b: F.concat(shifted(a, stream("3", b)), b)))
+        return let(shifted(left, stream("1", right), scripts), lambda a: let(shifted(right, stream("2", a), scripts), lambda b: F.concat(shifted(a, stream("3", b), scripts), b)))
 
     return let(F.struct(F.substring(text, F.lit(1), half).alias("left"), F.substring(text, half + 1, F.char_length(text)).alias("right")), turns)
 
@@ -116,12 +134,12 @@ def pick(values: list[str], seed: Column) -> Column:
     return F.element_at(F.array(*map(F.lit, values)), (F.pmod(seed, F.lit(len(values))) + 1).cast("int"))
 
 
-def surrogate_name(text: Column, female: Column, key: Column) -> Column:
+def surrogate_name(text: Column, female: Column, key: Column, more: Column) -> Column:
     """A name of as many words; the surname depends on the surname alone."""
 
     def by_script(script: str) -> Column:
         surname = F.element_at(F.split(text, " "), -1)
-        made = F.initcap(F.concat(*(pick(SYLLABLES[script], F.xxhash64(key, F.lit(i), surname)) for i in range(4))))
+        made = F.initcap(F.array_join(F.transform(F.sequence(F.lit(1), 4 + more), lambda i: pick(SYLLABLES[script], F.xxhash64(key, i, surname))), ""))
         given = F.when(female, pick(GIVEN["female", script], F.xxhash64(key, F.lit("given"), text))).otherwise(pick(GIVEN["male", script], F.xxhash64(key, F.lit("given"), text)))
         return F.when(F.contains(text, F.lit(" ")), F.concat(given, F.lit(" "), made)).otherwise(made)
 
@@ -138,20 +156,21 @@ def kind_of(entity: Column) -> Column:
 
 
 def surrogate(entity: Column, kind: Column, female: Column, key: str, count: Column) -> Column:
-    """What replaces an entity; ``count`` says which of its permutations."""
-    own = F.concat_ws("|", F.lit(key), kind, count.cast("string"))
-    kept = {"phone": r"^\+\d{1,3}", "key": "^A[KS]IA", "iban": "^[A-Z]{2}"}
-
-    def after(prefix: str) -> Column:
-        return let(F.regexp_extract(entity, prefix, 0), lambda p: F.concat(p, permuted(F.substring(entity, F.char_length(p) + 1, F.char_length(entity)), own)))
+    """What replaces an entity; ``count`` says which of its permutations, from TURNS on with more and more digits (a name: syllables).
 
+    A text without a letter or digit to move is replaced by letters.
+    """
+    own = F.concat_ws("|", F.lit(key), kind, count.cast("string"))
+    more = F.greatest(count - (TURNS - 1), F.lit(0))
+    digits = F.array_join(F.transform(F.sequence(F.lit(0), more), lambda i: F.when(i > 0, F.pmod(F.xxhash64(own, entity, i), F.lit(10)).cast("string")).otherwise("")), "")
+    kept = F.when(kind == "phone", F.regexp_extract(entity, r"^\+\d{1,3}", 0)).when(kind == "key", F.regexp_extract(entity, "^A[KS]IA", 0)).when(kind == "iban", F.regexp_extract(entity, "^[A-Z]{2}", 0)).otherwise("")
     local, domain = F.substring_index(entity, "@", 1), F.substring_index(entity, "@", -1)
     top = F.regexp_extract(domain, r"\.[A-Za-z]+$", 0)
-    mail = F.concat(permuted(local, F.concat(own, domain)), F.lit("@"), permuted(F.substring(domain, F.lit(1), F.char_length(domain) - F.char_length(top)), own), top)
-    out = F.when(kind == "email", mail).when(kind == "ip", permuted_quad(entity, own)).when(kind == "card", permuted_card(entity, own)).when(kind == "name", surrogate_name(entity, female, own))
-    for name, prefix in kept.items():
-        out = out.when(kind == name, after(prefix))
-    return out.otherwise(permuted(entity, own))
+    mail = F.concat(permuted(local, F.concat(own, domain)), digits, F.lit("@"), permuted(F.substring(domain, F.lit(1), F.char_length(domain) - F.char_length(top)), own), top)
+    out = F.when(kind == "email", mail).when(kind == "ip", permuted_quad(entity, own)).when(kind == "card", permuted_card(entity, own)).when(kind == "name", surrogate_name(entity, female, own, more))
+    fixed = F.array_join(F.transform(F.split(entity, ""), lambda c, i: F.chr(F.lit(97) + F.pmod(F.xxhash64(own, entity, i), F.lit(26)))), "")
+    out = out.otherwise(F.when(entity.rlike(r"[\p{L}\p{N}]"), let(kept, lambda p: F.concat(p, permuted(F.substring(entity, F.char_length(p) + 1, F.char_length(entity)), own, True)))).otherwise(fixed))
+    return F.when(kind.isin("email", "name"), out).otherwise(F.concat(out, digits))
 
 
 def pieces_of(text: Column) -> Column:
@@ -180,21 +199,20 @@ def moved_on(rows: DataFrame, key: str, tables: Scratch) -> DataFrame | None:
     entities = rows.select(F.explode_outer("_found").alias("e")).filter("e is not null").select("e.*").groupBy("entity", "kind").agg(F.max("female").alias("female"))
     entities = tables.keep(entities.withColumn("count", F.lit(0)), "entities")
     names = F.when(F.col("kind") == "name", F.element_at(F.split("made", " "), -1)).otherwise(F.col("made"))
-    for _ in range(TURNS):
+    while True:  # each round has more room for those that are left
         made = entities.withColumn("made", surrogate(F.col("entity"), F.col("kind"), F.col("female"), key, F.col("count")))
         # a name collides where two surnames get one: what its words stand for is the surname
         made = tables.keep(made.withColumns({"made": names, "of": F.when(F.col("kind") == "name", F.element_at(F.split("entity", " "), -1)).otherwise(F.col("entity"))}), "made")
         one = made.groupBy("kind", "made").agg(F.min("of").alias("first"), F.max("of").alias("last")).filter("first <> last").select("kind", "made", "first")
         real = made.select(F.col("of").alias("made")).distinct()
         twice = made.join(one, ["kind", "made"]).filter("of <> first").select("kind", "of")
-        taken = made.filter("made <> '' and kind <> 'name'").join(real, "made", "left_semi").select("kind", "of")
+        taken = made.filter("made <> ''").join(real, "made", "left_semi").select("kind", "of")
         again = tables.keep(twice.union(taken).distinct(), "again")
         if not again.limit(1).count():
             left = entities.filter("count > 0")
             return left if left.limit(1).count() else None
         next_ = made.join(again.withColumn("more", F.lit(1)), ["kind", "of"], "left")
         entities = tables.keep(next_.select("entity", "kind", "female", (F.col("count") + F.coalesce("more", F.lit(0))).cast("int").alias("count")), "entities")
-    return None  # nearly all texts of a shape occur: first permutations are distinct in any case
 
 
 def replace(df: DataFrame, key: str = "surrogates", text: str = "text") -> DataFrame:

@@ -264,3 +264,16 @@ def test_surrogates_of_a_full_shape_stay_distinct(spark):
 def test_kinds_are_distinct_columns(spark):
     df = spark.createDataFrame([(1, "a@b.io")], "doc_id long, text string").select("doc_id", "text", F.lit("kept").alias("made"))
     assert pii.replace(df).first().made == "kept"
+
+
+def test_collisions_end_for_each_entity(spark):
+    """Texts that no permutation moves, and a shape of which all texts occur, don't keep others from being resolved."""
+    full = [f"{i}@{j}.io" for i in range(10) for j in range(10)]
+    secrets = ["password: ********", "secret = ________", "password: пароль", "password: סיסמהש", "password: 密码密码密码", "password: pässwörter"]
+    got = [r.entities[0].surrogate for r in pii.replace(docs(spark, [f"x {a} y" for a in full] + secrets)).orderBy("doc_id").collect()]
+    old = {*full, *(s.split(" ")[-1] for s in secrets)}
+    assert len({*got}) == len(got) == len(full) + len(secrets)
+    assert not {*got} & old
+    for new, text in zip(got[len(full) :], secrets):
+        assert sum(c == d for c, d in zip(new, text.split(" ")[-1])) <= 3
+    assert all("а" <= c <= "я" or c == "ё" for c in got[len(full) + 2])
