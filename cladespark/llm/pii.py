@@ -6,8 +6,10 @@ class, by a keyed hash of the other half, in three turns. That is one-to-one on
 of a shape and keeps the shape, so different entities stay different and the same entity
 is always replaced alike. Addresses in dotted quads are permuted in the same way within 32
 bits; card numbers keep a valid check digit valid. Names after a title get given names of the title's
-gender and the name's script, and a surname made of syllables of that script, which
-the same surname always gets.
+gender and the name's script, and a surname made of syllables of that script. Each part of
+a name is replaced by itself: the same surname always gets the same one, and different parts
+of a kind get different ones, hence whole names differ too. Words of such a name are replaced
+wherever else the text has them.
 
 Collision check: over the whole corpus, no surrogate may equal another's surrogate or any
 entity that occurs. Those that do move on to their next permutation, and after TURNS of them
@@ -28,6 +30,9 @@ from pyspark.sql import functions as F
 
 from ..storage import Scratch, scratch
 
+#: A word of a name, which may be double, and up to four of them with initials.
+WORD_OF_NAME = r"\p{Lu}(?:['’]\p{Lu})?\p{Ll}+(?:\p{Lu}\p{Ll}+)*(?:-\p{Lu}\p{Ll}+)*"
+NAME = r"(?:\p{Lu}\. ){0,2}WORD(?: (?:\p{Lu}\. )?WORD){0,3}".replace("WORD", WORD_OF_NAME)
 #: What each kind looks like (Java patterns, in the order in which they are tried).
 PATTERNS = {
     "email": r"(?<![A-Za-z0-9._%+-])[A-Za-z0-9._%+-]{1,64}@(?:[A-Za-z0-9-]{1,63}\.){1,8}[A-Za-z]{2,24}",
@@ -38,8 +43,9 @@ PATTERNS = {
     "iban": r"(?<!\w)[A-Z]{2}\d{2}(?: ?[A-Z0-9]{4}){3,7}(?: ?[A-Z0-9]{1,3})?(?!\w)",
     "key": r"(?<!\w)(?:AKIA|ASIA)[0-9A-Z]{16}(?!\w)",
     "secret": r"(?<=(?:password|passwd|secret|token|api_key|apikey)[ ]{0,2}[=:][ ]{0,2}[\"']?)[^\s\"'=:][^\s\"']{5,}",
-    "name": r"(?<=(?<!\w)(?:Mr|Mrs|Ms)\.? |(?<!\w)(?:Miss|Herr|Frau|Monsieur|Madame|Señor|Señora|господин|госпожа) )\p{Lu}\p{Ll}+(?: \p{Lu}\p{Ll}+)?",
+    "name": r"(?<=(?<!\w)(?:Mr|Mrs|Ms)\.? |(?<!\w)(?:Miss|Herr|Frau|Monsieur|Madame|Señor|Señora|господин|госпожа) )" + NAME,
 }
+TITLE = r"(?<!\w)(?:(?:Mr|Mrs|Ms)\.?|Miss|Herr|Frau|Monsieur|Madame|Señor|Señora|господин|госпожа) $"
 TITLED = r"(?:Mrs|Ms|Miss|Frau|Madame|Señora|госпожа)\.? $"
 #: Given names by gender and script, and syllables of surnames by script.
 GIVEN = {
@@ -52,10 +58,13 @@ SYLLABLES = {
     "latin": ["ba", "ber", "cor", "dan", "del", "fen", "gar", "hol", "kel", "lan", "lin", "mar", "mor", "nel", "nor", "per", "ram", "ros", "sel", "sten", "tal", "ter", "vin", "wel"],
     "cyrillic": ["ба", "бер", "вол", "гор", "дан", "зор", "кол", "лан", "мар", "мир", "нов", "пет", "рад", "сер", "тал", "яр"],
 }
+SECRET = r"(?:password|passwd|secret|token|api_key|apikey)[ ]{0,2}[=:][ ]{0,2}[\"']?$"
 ANY = "|".join(PATTERNS.values())
 #: A text without any of these has no entity, which plain searches see at once.
 WORDS = ["@", "AKIA", "ASIA", "password", "passwd", "secret", "token", "api_key", "apikey", "Mr", "Ms", "Miss ", "Herr ", "Frau ", "Monsieur ", "Madame ", "Señor", "господин ", "госпожа "]
 DIGITS = "[0-9][0-9.]"
+#: Kinds of the parts of names.
+NAMES = ["surname", "given female", "given male"]
 #: Permutations of an entity's own shape that are tried before longer ones.
 TURNS = 8
 #: The letters of other scripts, each shifted within its own run.
@@ -134,29 +143,40 @@ def pick(values: list[str], seed: Column) -> Column:
     return F.element_at(F.array(*map(F.lit, values)), (F.pmod(seed, F.lit(len(values))) + 1).cast("int"))
 
 
-def surrogate_name(text: Column, female: Column, key: Column, more: Column) -> Column:
-    """A name of as many words; the surname depends on the surname alone."""
+def surrogate_part(text: Column, kind: Column, key: Column, more: Column) -> Column:
+    """A surname of four syllables (and ``more``), or a given name (with ``more`` syllables)."""
 
     def by_script(script: str) -> Column:
-        surname = F.element_at(F.split(text, " "), -1)
-        made = F.initcap(F.array_join(F.transform(F.sequence(F.lit(1), 4 + more), lambda i: pick(SYLLABLES[script], F.xxhash64(key, i, surname))), ""))
-        given = F.when(female, pick(GIVEN["female", script], F.xxhash64(key, F.lit("given"), text))).otherwise(pick(GIVEN["male", script], F.xxhash64(key, F.lit("given"), text)))
-        return F.when(F.contains(text, F.lit(" ")), F.concat(given, F.lit(" "), made)).otherwise(made)
+        syllables = lambda n: F.initcap(F.array_join(F.transform(F.sequence(F.lit(0), n), lambda i: F.when(i > 0, pick(SYLLABLES[script], F.xxhash64(key, i, text))).otherwise("")), ""))
+        given = F.when(kind == "given female", pick(GIVEN["female", script], F.xxhash64(key, text))).otherwise(pick(GIVEN["male", script], F.xxhash64(key, text)))
+        return F.when(kind == "surname", syllables(4 + more)).when(more > 0, F.concat(given, F.lit("-"), syllables(more))).otherwise(given)
 
     return F.when(text.rlike(r"\p{IsCyrillic}"), by_script("cyrillic")).otherwise(by_script("latin"))
 
 
-def kind_of(entity: Column) -> Column:
-    """The first kind that the whole of an entity looks like. What only its surroundings tell is a secret or a name."""
+def parts_of(e: Column) -> Column:
+    """entity, kind: what is replaced by itself. The last word of a name is the surname, both of a double one."""
+
+    def of_name(words: Column) -> Column:
+        given = F.when(e["female"], "given female").otherwise("given male")
+        surnames = F.when(e["given"], F.size(words)).otherwise(F.size(words) - 1)
+        each = lambda w, i: F.transform(F.split(w, "-"), lambda x: F.struct(x.alias("entity"), F.when(i < surnames, given).otherwise("surname").alias("kind")))
+        return F.flatten(F.transform(words, each))
+
+    return F.when(e["kind"] == "name", let(F.split(e["entity"], " "), of_name)).otherwise(F.array(F.struct(e["entity"].alias("entity"), e["kind"].alias("kind"))))
+
+
+def kind_of(entity: Column, before: Column) -> Column:
+    """The first kind that the whole of an entity looks like. What is before it tells secrets from names."""
     whole = [(k, "^(?:" + PATTERNS[k] + ")$") for k in ("email", "ip", "ssn", "phone", "card", "iban", "key")]
-    out = F.when(entity.rlike(r"^\p{Lu}\p{Ll}+(?: \p{Lu}\p{Ll}+)?$"), "name").otherwise("secret")
+    out = F.when(before.rlike(SECRET), "secret").when(entity.rlike(f"^{NAME}$"), "name").otherwise("secret")
     for kind, pattern in reversed(whole):
         out = F.when(entity.rlike(pattern), kind).otherwise(out)
     return out
 
 
-def surrogate(entity: Column, kind: Column, female: Column, key: str, count: Column) -> Column:
-    """What replaces an entity; ``count`` says which of its permutations, from TURNS on with more and more digits (a name: syllables).
+def surrogate(entity: Column, kind: Column, key: str, count: Column) -> Column:
+    """What replaces an entity or a part of a name; ``count`` says which of its permutations, from TURNS on with more and more digits (a name: syllables).
 
     A text without a letter or digit to move is replaced by letters.
     """
@@ -167,10 +187,10 @@ def surrogate(entity: Column, kind: Column, female: Column, key: str, count: Col
     local, domain = F.substring_index(entity, "@", 1), F.substring_index(entity, "@", -1)
     top = F.regexp_extract(domain, r"\.[A-Za-z]+$", 0)
     mail = F.concat(permuted(local, F.concat(own, domain)), digits, F.lit("@"), permuted(F.substring(domain, F.lit(1), F.char_length(domain) - F.char_length(top)), own), top)
-    out = F.when(kind == "email", mail).when(kind == "ip", permuted_quad(entity, own)).when(kind == "card", permuted_card(entity, own)).when(kind == "name", surrogate_name(entity, female, own, more))
+    out = F.when(kind == "email", mail).when(kind == "ip", permuted_quad(entity, own)).when(kind == "card", permuted_card(entity, own)).when(kind.isin(NAMES), surrogate_part(entity, kind, own, more))
     fixed = F.array_join(F.transform(F.split(entity, ""), lambda c, i: F.chr(F.lit(97) + F.pmod(F.xxhash64(own, entity, i), F.lit(26)))), "")
     out = out.otherwise(F.when(entity.rlike(r"[\p{L}\p{N}]"), let(kept, lambda p: F.concat(p, permuted(F.substring(entity, F.char_length(p) + 1, F.char_length(entity)), own, True)))).otherwise(fixed))
-    return F.when(kind.isin("email", "name"), out).otherwise(F.concat(out, digits))
+    return F.when(kind.isin("email", *NAMES), out).otherwise(F.concat(out, digits))
 
 
 def pieces_of(text: Column) -> Column:
@@ -182,54 +202,81 @@ def pieces_of(text: Column) -> Column:
     return F.when(has, F.when(F.contains(text, F.lit(MARK)), woven).otherwise(marked))
 
 
-def found_in(pieces: Column) -> Column:
-    """entity, kind, female: what is to be replaced, in order."""
+def found_in(pieces: Column, names: Column) -> Column:
+    """entity, kind, female, given: what is to be replaced, in order. A word without a title is given if the text's names have it before a surname."""
+    given = lambda entity, female: F.exists(names, lambda e: (F.lit(True) if female is None else e["female"]) & F.contains(F.concat(F.lit(" "), e["entity"]), F.concat(F.lit(" "), entity, F.lit(" "))))
     places = F.filter(F.transform(pieces, lambda p, i: i), lambda i: i % 2 == 1)
 
     def each(i: Column) -> Column:
-        entity = F.get(pieces, i)
-        return F.struct(entity.alias("entity"), kind_of(entity).alias("kind"), F.get(pieces, i - 1).rlike(TITLED).alias("female"))
+        entity, before = F.get(pieces, i), F.get(pieces, i - 1)
+        titled = before.rlike(TITLE)
+        female = F.when(titled, before.rlike(TITLED)).otherwise(given(entity, True))
+        return F.struct(entity.alias("entity"), kind_of(entity, before).alias("kind"), female.alias("female"), (~titled & given(entity, None)).alias("given"))
 
-    kind = "array<struct<entity:string,kind:string,female:boolean>>"
+    kind = "array<struct<entity:string,kind:string,female:boolean,given:boolean>>"
     return F.coalesce(F.transform(places, each), F.array()).cast(kind)
 
 
+def mentions_in(pieces: Column, names: Column) -> Column:
+    """Pieces in which words of the text's own names, wherever they are, are entities too."""
+    words = F.array_distinct(F.flatten(F.transform(names, lambda e: F.filter(F.split(e["entity"], "[ -]"), lambda w: F.char_length(w) > 1))))
+    words = F.filter(words, lambda w: ~F.endswith(w, F.lit(".")))
+    any_ = F.concat(F.lit(r"((?<![\p{L}\p{N}_])(?:"), F.array_join(words, "|"), F.lit(r")(?![\p{L}\p{N}_]))"))
+
+    def cut(p: Column) -> Column:
+        entities = F.regexp_extract_all(p, any_, F.lit(1))
+        woven = F.flatten(F.zip_with(F.split(p, any_, -1), entities, lambda x, e: F.array(x, F.coalesce(e, F.lit("")))))
+        return F.slice(woven, F.lit(1), 2 * F.size(entities) + 1)
+
+    return F.when(F.size(names) > 0, F.flatten(F.transform(pieces, lambda p, i: F.when(i % 2 == 0, cut(p)).otherwise(F.array(p))))).otherwise(pieces)
+
+
 def moved_on(rows: DataFrame, key: str, tables: Scratch) -> DataFrame | None:
-    """entity, female, count: entities whose first surrogate collides, and which one doesn't; None if there are none."""
-    entities = rows.select(F.explode_outer("_found").alias("e")).filter("e is not null").select("e.*").groupBy("entity", "kind").agg(F.max("female").alias("female"))
+    """entity, kind, count: entities (of names, the parts) whose first surrogate collides, and which one doesn't; None if there are none."""
+    entities = rows.select(F.explode_outer("_found").alias("e")).filter("e is not null").select(F.explode(parts_of(F.col("e"))).alias("e")).select("e.entity", "e.kind").distinct()
     entities = tables.keep(entities.withColumn("count", F.lit(0)), "entities")
-    names = F.when(F.col("kind") == "name", F.element_at(F.split("made", " "), -1)).otherwise(F.col("made"))
     while True:  # each round has more room for those that are left
-        made = entities.withColumn("made", surrogate(F.col("entity"), F.col("kind"), F.col("female"), key, F.col("count")))
-        # a name collides where two surnames get one: what its words stand for is the surname
-        made = tables.keep(made.withColumns({"made": names, "of": F.when(F.col("kind") == "name", F.element_at(F.split("entity", " "), -1)).otherwise(F.col("entity"))}), "made")
-        one = made.groupBy("kind", "made").agg(F.min("of").alias("first"), F.max("of").alias("last")).filter("first <> last").select("kind", "made", "first")
-        real = made.select(F.col("of").alias("made")).distinct()
-        twice = made.join(one, ["kind", "made"]).filter("of <> first").select("kind", "of")
-        taken = made.filter("made <> ''").join(real, "made", "left_semi").select("kind", "of")
+        made = tables.keep(entities.withColumn("made", surrogate(F.col("entity"), F.col("kind"), key, F.col("count"))), "made")
+        one = made.groupBy("kind", "made").agg(F.min("entity").alias("first"), F.max("entity").alias("last")).filter("first <> last").select("kind", "made", "first")
+        real = made.select(F.col("entity").alias("made")).distinct()
+        twice = made.join(one, ["kind", "made"]).filter("entity <> first").select("kind", "entity")
+        # a given name may be another's: beside a surname that is nobody's
+        taken = made.filter("made <> '' and kind not like 'given%'").join(real, "made", "left_semi").select("kind", "entity")
         again = tables.keep(twice.union(taken).distinct(), "again")
         if not again.limit(1).count():
             left = entities.filter("count > 0")
             return left if left.limit(1).count() else None
-        next_ = made.join(again.withColumn("more", F.lit(1)), ["kind", "of"], "left")
-        entities = tables.keep(next_.select("entity", "kind", "female", (F.col("count") + F.coalesce("more", F.lit(0))).cast("int").alias("count")), "entities")
+        next_ = made.join(again.withColumn("more", F.lit(1)), ["kind", "entity"], "left")
+        entities = tables.keep(next_.select("entity", "kind", (F.col("count") + F.coalesce("more", F.lit(0))).cast("int").alias("count")), "entities")
 
 
 def replace(df: DataFrame, key: str = "surrogates", text: str = "text") -> DataFrame:
     """``df`` with surrogates in its text, and entities: array of (kind, surrogate) in order."""
     spark = df.sparkSession
-    rows = df.select(*df.columns, pieces_of(F.col(text)).alias("_pieces")).withColumn("_found", found_in(F.col("_pieces")))
+    none = F.array().cast("array<struct<entity:string,kind:string,female:boolean,given:boolean>>")
+    rows = df.select(*df.columns, pieces_of(F.col(text)).alias("_first"))
+    rows = rows.withColumn("_names", F.filter(found_in(F.col("_first"), none), lambda e: e["kind"] == "name"))
+    rows = rows.withColumn("_pieces", mentions_in(F.col("_first"), F.col("_names"))).withColumn("_found", found_in(F.col("_pieces"), F.col("_names")))
     with scratch(spark) as tables:
         moved = moved_on(rows, key, tables)
         moved = moved.select("entity", "kind", "count").checkpoint() if moved is not None else None
     count: Callable[[Column], Column] = lambda e: F.lit(0)
     if moved is not None:  # the rows that hold one get a map of them
         row = F.xxhash64(text)
-        held = rows.select(row.alias("_row"), F.explode_outer("_found").alias("e")).filter("e is not null").select("_row", "e.entity", "e.kind").distinct().join(moved, ["entity", "kind"])
+        held = rows.select(row.alias("_row"), F.explode_outer("_found").alias("e")).filter("e is not null").select("_row", F.explode(parts_of(F.col("e"))).alias("e")).select("_row", "e.entity", "e.kind").distinct().join(moved, ["entity", "kind"])
         maps = held.groupBy("_row").agg(F.map_from_entries(F.collect_list(F.struct(F.concat_ws("|", "kind", "entity"), "count"))).alias("_moved"))
         rows = rows.withColumn("_row", row).join(maps, "_row", "left")
         count = lambda e: F.coalesce(F.col("_moved")[F.concat_ws("|", e["kind"], e["entity"])], F.lit(0))
-    made = F.transform("_found", lambda e: F.struct(e["kind"].alias("kind"), surrogate(e["entity"], e["kind"], e["female"], key, count(e)).alias("surrogate")))
+    # hyphens and spaces of names stay, and their parts are put between them
+    alone = lambda e: surrogate(e["entity"], e["kind"], key, count(e))
+
+    def whole(e: Column) -> Column:
+        between = F.regexp_extract_all(e["entity"], F.lit("([ -])"), F.lit(1))
+        new = F.transform(parts_of(e), alone)
+        name = F.array_join(F.flatten(F.zip_with(new, between, lambda x, y: F.array(x, F.coalesce(y, F.lit(""))))), "")
+        return F.when(e["kind"] == "name", name).otherwise(F.get(new, F.lit(0)))
+
+    made = F.transform("_found", lambda e: F.struct(e["kind"].alias("kind"), whole(e).alias("surrogate")))
     rows = rows.withColumn("_made", made)
     woven = F.array_join(F.transform("_pieces", lambda p, i: F.when(i % 2 == 1, F.get(F.col("_made")["surrogate"], (i / 2).cast("int"))).otherwise(p)), "")
     new = F.when(F.size("_made") > 0, woven).otherwise(F.col(text)).alias(text)

@@ -3,6 +3,7 @@
 import hashlib
 import itertools
 import random
+import re
 import zlib
 
 import numpy as np
@@ -277,3 +278,23 @@ def test_collisions_end_for_each_entity(spark):
     for new, text in zip(got[len(full) :], secrets):
         assert sum(c == d for c, d in zip(new, text.split(" ")[-1])) <= 3
     assert all("а" <= c <= "я" or c == "ё" for c in got[len(full) + 2])
+
+
+def test_names_stay_distinct_and_are_found_again(spark):
+    given = [f"{a}{b}" for a in ("Ab", "Be", "Ca", "Do", "El") for b in ("ran", "tis", "mon", "lud", "pek")]
+    texts = [f"Mr. {g} Smith spoke; then Smith and {g} left" for g in given] + ["Herr Jan Peter Schulz-Meier, Meier, Schulz-Meier and Jan", "Mrs Ann B. Lee, Ann's Lee and Leeds", "password: Dragon"]
+    got = [r.text for r in pii.replace(docs(spark, texts)).orderBy("doc_id").collect()]
+    names = [t.split(" spoke")[0] for t in got[: len(given)]]
+    assert len({*names}) == len(given)
+    assert len({n.split(" ")[-1] for n in names}) == 1
+    for text, name in zip(got, names):
+        _, first, last = name.split(" ")
+        assert text == f"Mr. {first} {last} spoke; then {last} and {first} left"
+    whole, second, both, first = re.fullmatch(r"Herr (.*), (.*), (.*) and (.*)", got[len(given)]).groups()
+    assert whole.split(" ")[0] == first
+    assert whole.split(" ")[2] == both
+    assert both.split("-")[1] == second
+    assert not re.search("Jan|Peter|Schulz|Meier", got[len(given)])
+    assert re.search(r"Leeds$", got[-2])
+    assert not re.search(r"Ann|Lee\b", got[-2])
+    assert "Dragon" not in got[-1]
