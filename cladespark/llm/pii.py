@@ -42,7 +42,7 @@ PATTERNS = {
     "card": r"(?<![\w.-])[3-6]\d{12,18}(?![\w-])|(?<![\w.-])[3-6]\d{3}(?:[ -]\d{4}){3}(?![\w-])",
     "iban": r"(?<!\w)[A-Z]{2}\d{2}(?: ?[A-Z0-9]{4}){3,7}(?: ?[A-Z0-9]{1,3})?(?!\w)",
     "key": r"(?<!\w)(?:AKIA|ASIA)[0-9A-Z]{16}(?!\w)",
-    "secret": r"(?<=(?:password|passwd|secret|token|api_key|apikey)[ ]{0,2}[=:][ ]{0,2}[\"']?)[^\s\"'=:][^\s\"']{5,}",
+    "secret": r"(?<=(?i:password|passwd|secret|token|api_key|apikey)[ ]{0,2}[=:][ ]{0,2}[\"']?)(?:[^\s\"'=:][^\s\"']{5,}|(?=[^\s\"']{0,4}[\p{L}\p{N}])[^\s\"'=:][^\s\"']{0,4})",
     "name": r"(?<=(?<!\w)(?:Mr|Mrs|Ms)\.? |(?<!\w)(?:Miss|Herr|Frau|Monsieur|Madame|Señor|Señora|господин|госпожа) )" + NAME,
 }
 TITLE = r"(?<!\w)(?:(?:Mr|Mrs|Ms)\.?|Miss|Herr|Frau|Monsieur|Madame|Señor|Señora|господин|госпожа) $"
@@ -58,11 +58,13 @@ SYLLABLES = {
     "latin": ["ba", "ber", "cor", "dan", "del", "fen", "gar", "hol", "kel", "lan", "lin", "mar", "mor", "nel", "nor", "per", "ram", "ros", "sel", "sten", "tal", "ter", "vin", "wel"],
     "cyrillic": ["ба", "бер", "вол", "гор", "дан", "зор", "кол", "лан", "мар", "мир", "нов", "пет", "рад", "сер", "тал", "яр"],
 }
-SECRET = r"(?:password|passwd|secret|token|api_key|apikey)[ ]{0,2}[=:][ ]{0,2}[\"']?$"
+SECRET = r"(?i)(?:password|passwd|secret|token|api_key|apikey)[ ]{0,2}[=:][ ]{0,2}[\"']?$"
 ANY = "|".join(PATTERNS.values())
 #: A text without any of these has no entity, which plain searches see at once.
-WORDS = ["@", "AKIA", "ASIA", "password", "passwd", "secret", "token", "api_key", "apikey", "Mr", "Ms", "Miss ", "Herr ", "Frau ", "Monsieur ", "Madame ", "Señor", "господин ", "госпожа "]
+WORDS = ["@", "AKIA", "ASIA", "Mr", "Ms", "Miss ", "Herr ", "Frau ", "Monsieur ", "Madame ", "Señor", "господин ", "госпожа "]
 DIGITS = "[0-9][0-9.]"
+#: The keywords of secrets, in any case, with what must follow.
+KEYWORDS = "(?i)(?:password|passwd|secret|token|api_?key) {0,2}[=:]"
 #: Kinds of the parts of names.
 NAMES = ["surname", "given female", "given male"]
 #: Permutations of an entity's own shape that are tried before longer ones.
@@ -195,7 +197,7 @@ def surrogate(entity: Column, kind: Column, key: str, count: Column) -> Column:
 
 def pieces_of(text: Column) -> Column:
     """What is between entities and the entities in turn, the first and last between; null without entities to look for."""
-    has = reduce(lambda x, y: x | y, (F.contains(text, F.lit(w)) for w in WORDS)) | text.rlike(DIGITS)
+    has = reduce(lambda x, y: x | y, (F.contains(text, F.lit(w)) for w in WORDS)) | text.rlike(DIGITS) | text.rlike(KEYWORDS)
     marked = F.split(F.regexp_replace(text, f"({ANY})", f"{MARK}$1{MARK}"), MARK, -1)
     between, entities = F.split(text, ANY, -1), F.regexp_extract_all(text, F.lit(f"({ANY})"), F.lit(1))
     woven = F.slice(F.flatten(F.zip_with(between, entities, lambda p, e: F.array(p, F.coalesce(e, F.lit(""))))), F.lit(1), 2 * F.size(entities) + 1)

@@ -298,3 +298,12 @@ def test_names_stay_distinct_and_are_found_again(spark):
     assert re.search(r"Leeds$", got[-2])
     assert not re.search(r"Ann|Lee\b", got[-2])
     assert "Dragon" not in got[-1]
+
+
+def test_secrets_in_any_case(spark):
+    texts = ['TOKEN = "QWHRTZUA"', "API_KEY=ZKLMNOPQ", "Password: hunterab", "export DB_PASSWD='abc'", "ApiKey: x7", "the token, a secret"]
+    got = [r for r in pii.replace(docs(spark, texts)).orderBy("doc_id").collect()]
+    assert [[e.kind for e in r.entities] for r in got] == [["secret"]] * 5 + [[]]
+    for r, secret in zip(got, ["QWHRTZUA", "ZKLMNOPQ", "hunterab", "abc", "x7"]):
+        assert secret not in r.text
+    assert got[5].text == texts[5]
