@@ -307,3 +307,17 @@ def test_secrets_in_any_case(spark):
     for r, secret in zip(got, ["QWHRTZUA", "ZKLMNOPQ", "hunterab", "abc", "x7"]):
         assert secret not in r.text
     assert got[5].text == texts[5]
+
+
+def test_rare_words_and_tokens_count(spark, monkeypatch):
+    """What is not frequent is joined, with the same verdicts, tokens and scores as if it was held."""
+    rows = [(i, f"http://h{'abcde'[i % 5]}.net/es/{'cheapgoods' if i % 2 else 'plainthing'}", "<title>cheap goods plain thing one</title>" if i < 2 else "<title>one</title>") for i in range(60)]
+    rows += [(i, "http://x.com/plainthing", "<title>one</title>") for i in range(60, 70)] + [(100, "http://q.org/cheapgoods", ""), (101, "http://q.org/plainthing", ""), (102, "http://q.org/zzz", None)]
+    df = spark.createDataFrame(rows, "page_id long, url string, html string")
+    want = {r.page_id: r for r in urls.judge(df, RULES).collect()}
+    assert want[100].tokens == ["h:q", "h:org", "p:cheap", "p:goods"]
+    monkeypatch.setattr(urls, "WORD_SHARE", 0.1)
+    monkeypatch.setattr(urls, "TOKEN_SHARE", 0.2)
+    got = {r.page_id: r for r in urls.judge(df, RULES).collect()}
+    assert [(r.tokens, r.verdict) for r in got.values()] == [(want[i].tokens, want[i].verdict) for i in got]
+    assert [got[i].score for i in want] == pytest.approx([want[i].score for i in want])
