@@ -369,7 +369,10 @@ def class_links(rows: DataFrame, index: DataFrame, classes: DataFrame, join: Joi
         """The exact intersections of the pairs that counts leave."""
         wanted = pairs.select(F.col("a").alias("class")).union(pairs.select("b")).distinct()
         keys = tables.keep(classes.join(wanted, "class", "left_semi").select("key").distinct(), "keys")
-        sets = tables.keep(sets_of(rows.join(checked_broadcast(keys), "key", "left_semi"), join), "sets")
+        own = rows.join(checked_broadcast(keys), "key", "left_semi")
+        if keys.filter("key is null").limit(1).count():  # a class of which no row has a key
+            own = own.union(rows.filter("key is null"))
+        sets = tables.keep(sets_of(own, join), "sets")
         near = tables.keep(near_by_count(pairs, sets, join), "near")
         return tables.keep(compared(near, sets), "compared")
 

@@ -324,6 +324,15 @@ def test_suffix_tree_scores(spark, monkeypatch):
     assert sum(g[6] for g in got if g[1]) > sum(g[5] for g in got if g[1])
 
 
+def test_classes_without_keys_link(spark):
+    """Texts of rows without keys connect others."""
+    own = [f"w{i}" for i in range(200)]
+    texts = [" ".join(own[k : k + 150]) for k in (0, 5, 10)]
+    rows = [(1, texts[0]), (None, texts[1]), (None, texts[1]), (3, texts[2])]
+    got = {(r.doc_id, r.component_id) for r in jaccard.groups(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert got == {(1, 1), (None, 1), (3, 1)}
+
+
 def test_runs_count_at_any_size(spark):
     """A pair seen twice counts however many other tokens there are; a share of the tokens would ask for three here."""
     texts = ["zip zap"] * 2 + [" ".join(f"w{i}x{j}" for j in range(2000)) for i in range(60)]
