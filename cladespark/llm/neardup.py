@@ -133,13 +133,16 @@ def compare(table: int, own: list[tuple], other: list[tuple] | None, codes: Code
     p = codes.plan
     sides = [own, own if other is None else other]
     units = [normalised([x[2] for x in side], p) for side in sides]
-    turned, signs, factor = codes.estimates(units[0])
-    turned = codes.estimates(units[1])[0]
-    estimate = signs @ turned.T / (factor * math.sqrt(p.width))[:, None]
-    slack = BOUND * np.sqrt(np.maximum(1 - factor**2, 0) / factor**2 / max(1, p.width - 1))
-    maybe = estimate + slack[:, None] + 1e-4 >= p.threshold
-    if other is None:
-        maybe = np.triu(maybe | maybe.T, 1)  # either one's code may be asked
+    known = [codes.estimates(u) for u in units[: 1 if other is None else 2]]
+
+    def asked(x: int, y: int) -> np.ndarray:
+        """Which pairs may link by the codes of side x."""
+        (_, signs, factor), turned = known[x], known[y][0]
+        slack = BOUND * np.sqrt(np.maximum(1 - factor**2, 0) / factor**2 / max(1, p.width - 1))
+        return signs @ turned.T / (factor * math.sqrt(p.width))[:, None] + slack[:, None] + 1e-4 >= p.threshold
+
+    maybe = asked(0, len(known) - 1)  # either one's code may be asked
+    maybe = np.triu(maybe | maybe.T, 1) if other is None else maybe | asked(1, 0).T
     a, b = np.nonzero(maybe)
     exact = np.einsum("ij,ij->i", units[0][a], units[1][b])
     a, b = a[exact >= p.threshold], b[exact >= p.threshold]

@@ -333,6 +333,26 @@ def test_classes_without_keys_link(spark):
     assert got == {(1, 1), (None, 1), (3, 1)}
 
 
+def test_parts_of_a_bucket_ask_both_codes():
+    """Pairs of two parts are found as within one."""
+    rng = np.random.default_rng(3)
+    codes = neardup.Codes(neardup.Plan(64, 0.95, 2, 1, 1))
+    rows = rng.normal(size=(40, 64))
+    rows = np.vstack([rows, rows + rng.normal(size=(40, 64)) * 0.02]).astype(codes.plan.number)
+    side = [(i, 1, r.tobytes()) for i, r in enumerate(rows)]
+    real = codes.estimates
+    asked = []
+
+    def shy(units):  # codes of the first part give nothing away
+        turned, signs, factor = real(units)
+        asked.append(len(units))
+        return turned, (signs * -1 if len(asked) == 1 else signs), factor
+
+    codes.estimates = shy
+    a, b = neardup.compare(0, side[:40], side[40:], codes)
+    assert {*range(40)} <= {i for i, j in zip(a.tolist(), b.tolist()) if i == j}
+
+
 def test_runs_count_at_any_size(spark):
     """A pair seen twice counts however many other tokens there are; a share of the tokens would ask for three here."""
     texts = ["zip zap"] * 2 + [" ".join(f"w{i}x{j}" for j in range(2000)) for i in range(60)]
