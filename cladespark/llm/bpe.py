@@ -28,7 +28,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
-from .batches import bound_batches
+from .batches import sliced
 
 NONE = 1 << 60
 LONG = 96
@@ -182,11 +182,10 @@ def codec(path: str) -> WordBpe:
 
 def encode_decode(df: DataFrame, path: str, key: str = "doc_id", text: str = "text") -> DataFrame:
     """key, ids (binary: little-endian unsigned 32-bit integers), decoded (the text of these ids)."""
-    bound_batches(df.sparkSession)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         bpe = codec(path)
-        for batch in batches:
+        for batch in sliced(batches, 1):
             ids = [bpe.encode(x or "") for x in batch.column(1).to_pylist()]
             decoded = pa.array([bpe.decode(x) for x in ids], pa.binary()).cast(pa.string())
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(ids, pa.binary()), decoded], ["key", "ids", "decoded"])
@@ -197,11 +196,10 @@ def encode_decode(df: DataFrame, path: str, key: str = "doc_id", text: str = "te
 
 def decode_ids(df: DataFrame, path: str, key: str = "doc_id", ids: str = "ids") -> DataFrame:
     """key, decoded: the text of each row's ids; null ids are none."""
-    bound_batches(df.sparkSession)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         bpe = codec(path)
-        for batch in batches:
+        for batch in sliced(batches, 1):
             decoded = pa.array([bpe.decode(x or b"") for x in batch.column(1).to_pylist()], pa.binary()).cast(pa.string())
             yield pa.RecordBatch.from_arrays([batch.column(0), decoded], ["key", "decoded"])
 

@@ -27,7 +27,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .batches import bound_batches
+from .batches import sliced
 
 #: The layouts. each: where turns are repeated; turns: (role, text) for each, a role as =literal or a field.
 MAPPINGS = [
@@ -124,10 +124,9 @@ def turns_of_record(record: str | None) -> list[tuple[str | None, str | None, st
 
 def turns_of_json(df: DataFrame, key: str, record: str) -> DataFrame:
     """key, turn, role, text, layout of heterogeneous JSON records, each by the mapping that its own paths select."""
-    bound_batches(df.sparkSession)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in sliced(batches, 1):
             found = [(at, n, *t) for at, x in enumerate(batch.column(1).to_pylist()) for n, t in enumerate(turns_of_record(x))]
             at, turn, role, text, layout = (list(x) for x in zip(*found)) if found else ([],) * 5
             yield pa.RecordBatch.from_arrays([batch.column(0).take(pa.array(at, pa.int64())), pa.array(turn, pa.int64()), *(pa.array(x, pa.string()) for x in (role, text, layout))], ["key", "turn", "role", "text", "layout"])
@@ -168,7 +167,6 @@ def read_back(formatted: DataFrame, key: str) -> DataFrame:
     loss_sha256 (of all text under the mask), formatted_chars. A conversation is read in
     order as a stream, so its length doesn't bound memory.
     """
-    bound_batches(formatted.sparkSession)
     kind = formatted.schema[key].dataType.simpleString()
     names = ["key", "n_turns", "turns_sha256", "loss_chars", "loss_sha256", "formatted_chars"]
 

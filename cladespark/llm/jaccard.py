@@ -40,7 +40,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..storage import Scratch, scratch
-from .batches import WORD, bound_batches
+from .batches import WORD, sliced
 from .components import components
 
 LONG_LIST = 2048
@@ -169,7 +169,7 @@ def indexed(rows: DataFrame, join: Join) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         shingler, seen = Shingler(join), set()
-        for batch in batches:
+        for batch in sliced(batches, 1):
             n, own, sketch, lists = [], [], [], []
             for text in batch.column(1).to_pylist():
                 hashes = shingler.shingles(text)
@@ -207,7 +207,7 @@ def sets_of(rows: DataFrame, join: Join) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         shingler = Shingler(join)
-        for batch in batches:
+        for batch in sliced(batches, 0):
             sets = [shingler.shingles(x) for x in batch.column(0).to_pylist()]
             sets = [x for x in sets if len(x)]
             yield pa.RecordBatch.from_arrays([pa.array([set_class(x) for x in sets], pa.int64()), pa.array(list(map(len, sets)), pa.int64()), pa.array([x.tobytes() for x in sets], pa.binary()), pa.array([counts_of(x, 2) for x in sets], pa.binary())], ["class", "n", "elements", "counts"])
@@ -335,7 +335,6 @@ def linked(join: Join) -> F.Column:
 def groups(df: DataFrame, words: int = 3, percent: int = 90, key: str = "doc_id", text: str = "text") -> DataFrame:
     """key, n_shingles, component_id, one row for each row of ``df``."""
     spark, join = df.sparkSession, Join(words, percent)
-    bound_batches(spark)
     rows = df.select(F.col(key).alias("key"), F.col(text).cast("string").alias("text"))
     with scratch(spark) as tables:
         index = tables.keep(indexed(rows, join), "index")

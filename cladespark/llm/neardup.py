@@ -204,7 +204,6 @@ def linked(parts: DataFrame, codes: Codes) -> DataFrame:
 def near_duplicates(df: DataFrame, threshold: float = 0.95, key: str = "vec_id", vector: str = "embedding") -> DataFrame:
     """key, n_links, component_id (the smallest key reachable), kept (whether that is its own), one row for each row."""
     spark = df.sparkSession
-    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "2000")
     width = dimension(df, vector)
     with scratch(spark) as tables:
         number = "f4" if df.schema[vector].dataType.elementType == T.FloatType() else "f8"

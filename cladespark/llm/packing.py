@@ -36,7 +36,7 @@ from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 from ..storage import scratch
-from .batches import bound_batches
+from .batches import sliced
 from .bpe import byte_letters
 
 #: About so many pieces share a salt.
@@ -81,14 +81,13 @@ def pieces(df: DataFrame, path: str, capacity: int = 2048, end: int = 0, key: st
 
     Only texts of more than ``capacity`` ids are cut; the first piece takes what whole pieces leave.
     """
-    bound_batches(df.sparkSession)
     names = ["key", "piece", "start", "length", "ids_crc32"]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         if path not in _coders:
             _coders[path] = ByteBpe(path)
         coder, tail = _coders[path], np.array([end], "<u4")
-        for batch in batches:
+        for batch in sliced(batches, 1):
             at, piece, start, length, crc = [], [], [], [], []
             for row, value in enumerate(batch.column(1).to_pylist()):
                 ids = np.concatenate([coder.encode(value), tail]) if value else tail
@@ -274,7 +273,6 @@ def pack(items: DataFrame, capacity: int = 2048) -> DataFrame:
             yield pa.RecordBatch.from_arrays([*batch.columns[:-1], pa.array(sequence), pa.array(offset)], [*held, "sequence_id", "offset"])
 
     fields = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in items.schema)
-    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "10000")
     return ranked.mapInArrow(run, f"{fields}, sequence_id long, offset long")
 
 

@@ -38,7 +38,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..storage import Scratch, scratch
-from .batches import WORD, bound_batches, remainder
+from .batches import WORD, remainder, sliced
 
 DEPTH = 3
 #: Occurrences that a run needs to count, and their share of all training tokens.
@@ -78,7 +78,7 @@ def word_counts(texts: DataFrame, tables: Scratch) -> DataFrame:
             counts.clear()
             return out
 
-        for batch in batches:
+        for batch in sliced(batches, 0):
             for text in batch.column(0).to_pylist():
                 counts.update(_words((text or "").encode().lower()))
                 ends += 1
@@ -129,7 +129,7 @@ def coded(documents: DataFrame, words: Lexicon) -> DataFrame:
             found[found] = words.words[at[found]] == hashes[found]
             known.update(zip(order, np.where(found, at, ~hashes).tolist()))
 
-        for batch in batches:
+        for batch in sliced(batches, 3):
             n, ids, rare = [], [], []
             for text in batch.column(3).to_pylist():
                 own = _words((text or "").encode().lower())
@@ -326,7 +326,6 @@ def score_texts(documents: DataFrame, divisor: int = 10, held: int = 0, key: str
     Held out are keys whose crc32 as text, modulo ``divisor``, is ``held``; all others train.
     """
     spark = documents.sparkSession
-    bound_batches(spark)
     kind = documents.schema[key].dataType.simpleString()
     texts = documents.select(F.col(key).alias("key"), (remainder(F.col(key), divisor) == held).alias("held_out"), F.coalesce(F.col(text).cast("string"), F.lit("")).alias("text"))
     with scratch(spark) as tables:

@@ -38,7 +38,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .batches import bound_batches, remainder
+from .batches import remainder, sliced
 
 SAMPLE = 5000
 LANDMARKS = 512
@@ -346,13 +346,12 @@ def fit(documents: DataFrame, labels: DataFrame, divisor: int = 4, held: int = 2
 
 def score(documents: DataFrame, machine: Machine | None, columns: list[str], text: str = "text", threshold: float = THRESHOLD) -> DataFrame:
     """The named columns of ``documents`` with score (double) and predicted (int)."""
-    bound_batches(documents.sparkSession)
     cast = documents.select(*columns, F.col(text).cast("string").alias("_scored"))
     names = [*columns, "score", "predicted"]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         scorer = Scorer(machine)
-        for batch in batches:
+        for batch in sliced(batches, len(columns)):
             scores = scorer.scores(batch.column(len(columns)).to_pylist())
             yield pa.RecordBatch.from_arrays([*batch.columns[:-1], pa.array(scores, pa.float64()), pa.array((scores >= threshold).astype(np.int32))], names)
 

@@ -219,7 +219,6 @@ def naive_bayes(tokens: DataFrame, words: Words, tables: Scratch) -> Odds:
 
 def judge(pages: DataFrame, rules: list[Rule], key: str = "page_id", url: str = "url", html: str = "html") -> DataFrame:
     """key, host, path, rule (its name, or null), verdict, tokens, score (log odds of block)."""
-    pages.sparkSession.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "10000")
     kind = pages.schema[key].dataType.simpleString()
     host, path = host_and_path(F.coalesce(F.col(url), F.lit("")))
     with scratch(pages.sparkSession) as tables:
