@@ -7,17 +7,21 @@ that link differ in fewer elements than there are blocks, so some block is the s
 both. Index lists are kept for each size class, block position and block content, and a set
 meets only the sets in the lists of its own blocks; all others are skipped unseen. There are
 some blocks more than that needs, so each set leaves as many of its lists, the longest ones.
+A member knows its place in a list: how many of its elements come before the block. Two members
+differ by at least the difference of their elements before plus that of those after, so members
+are read in order of place, in blocks, and blocks too far apart are skipped whole.
 
 *By answers.* A set is compared with a leader alone at first: of the sets that lead its lists
-(those in most lists), the one in most. A set that links with the leader
-has the leader's component, and the answers of others derive from their distances to the leader: by the triangle inequality of Jaccard distance, two sets of which
-one is near the leader and one is far can't link. Only pairs of a list that are in different
-components and within reach are compared in a second pass, in blocks of like size, of which
-those too far apart in size are skipped whole. Lists of more than LONG_LIST sets are dealt
-as pairs of parts.
+(those in most lists), the one in most. A set that links with the leader has the leader's
+component. All other answers derive from this one: what two sets share with their leader
+bounds what they share, and of pairs that this bound leaves, the intersection is counted from
+the few elements in which each differs from the leader (``derived``), without the sets.
+Only members of different components are looked at, so what is left of a list is the members
+outside its leader's component; each meets the others in parts of LONG_LIST.
 
-Equal sets are one class from the start. Pairs pass comparisons of counts by hash (lower
-bounds on how much they differ), of few and then of many counts, before whole sets are compared.
+Equal sets are one class from the start. Pairs pass a comparison of parities, one bit for each
+place of a table of hashes, whose number of different bits is a lower bound on how much sets
+differ, before elements are compared.
 
 Elements are 64-bit hashes of word sequences, as are classes.
 
@@ -49,14 +53,18 @@ BLOCK = 256
 #: The growth of size classes, the share of its lists that a set may leave, and the size up to which it leaves none.
 GROWTH, SPARE, SMALL_LIST = 1.3, 0.15, 16
 CACHED_WORDS = 400_000
-#: Counts in a sketch at least, and elements to a count at most: few enough that unrelated sets stand apart.
-SKETCH, PER_COUNT = 64, 13
+#: Bits in a sketch at least; there is one for each element or more.
+SKETCH = 64
+#: Bytes of sketches that are compared at once.
+COMPARED = 8_000_000
 #: So many ids, 8 bytes each, are broadcast at most; more are joined by a shuffle.
 BROADCAST_IDS = 1_000_000
 #: So many of its lists does a member carry, to tell that a pair meets in an earlier list.
 CARRIED = 8
-#: So many pairs does a task remember to hand each on once.
+#: So many pairs does a task remember to hand each on once, and so many classes to index each once.
 REMEMBERED = 300_000
+#: Kinds of parts of a list: members among themselves, or those of the leader's component with others.
+INSIDE, ACROSS = 1, 0
 
 _words = re.compile(WORD).findall
 _odd = np.array([0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0xD6E8FEB86659FD93, 0xA0761D6478BD642F, 0xE7037ED1A0B428DB], np.uint64)
@@ -130,9 +138,9 @@ class Shingler:
         return np.unique(total)
 
 
-def block_keys(join: Join, sorted_hashes: np.ndarray) -> np.ndarray:
-    """The index lists of a set: a hash of size class, block position and block content each."""
-    out = []
+def block_keys(join: Join, sorted_hashes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The index lists of a set, a hash of size class, block position and block content each, and its place in each."""
+    keys, places = [np.zeros(0, np.uint64)], [np.zeros(0, np.int64)]
     high = sorted_hashes >> np.uint64(32)
     content = mixed(sorted_hashes)
     for number in classes_of(join, len(sorted_hashes)):
@@ -143,9 +151,10 @@ def block_keys(join: Join, sorted_hashes: np.ndarray) -> np.ndarray:
         full = np.flatnonzero(counts)
         sums = np.zeros(blocks, np.uint64)
         sums[full] = np.add.reduceat(content, starts[full])
-        place = np.arange(blocks, dtype=np.uint64) + np.uint64(number << 32)
-        out.append(mixed(sums * _odd[0] + place * _odd[1]))
-    return np.concatenate(out) if out else np.zeros(0, np.uint64)
+        at = np.arange(blocks, dtype=np.uint64) + np.uint64(number << 32)
+        keys.append(mixed(sums * _odd[0] + at * _odd[1]))
+        places.append(starts)
+    return np.concatenate(keys), np.concatenate(places)
 
 
 def spare_lists(join: Join, size: int) -> int:
@@ -158,14 +167,15 @@ def set_class(sorted_hashes: np.ndarray) -> int:
     return xxhash.xxh3_64_intdigest(sorted_hashes.tobytes()) - (1 << 63)
 
 
-def list_array(parts: list[np.ndarray]) -> pa.ListArray:
-    flat = np.concatenate([*parts, np.zeros(0, np.uint64)]).view(np.int64)
-    return pa.ListArray.from_arrays(pa.array(np.cumsum([0, *map(len, parts)]), pa.int32()), pa.array(flat))
+def list_array(parts: list[np.ndarray], number: np.dtype) -> pa.ListArray:
+    flat = np.concatenate([np.zeros(0, parts[0].dtype if parts else number), *parts])
+    return pa.ListArray.from_arrays(pa.array(np.cumsum([0, *map(len, parts)]), pa.int32()), pa.array(flat.view(number) if flat.dtype.itemsize == np.dtype(number).itemsize else flat.astype(number)))
 
 
 def indexed(rows: DataFrame, join: Join) -> DataFrame:
-    """key, n (of shingles), class, spare, sketch, lists: what the first of equal sets in a task is indexed under."""
-    names = ["key", "n", "class", "spare", "sketch", "lists"]
+    """key, n (of shingles), class, spare, sketch, lists, places: what the first of equal sets in a task is indexed under."""
+    names = ["key", "n", "class", "spare", "sketch", "lists", "places"]
+    nothing = np.zeros(0, np.uint64), np.zeros(0, np.int64)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         shingler, seen = Shingler(join), set()
@@ -176,43 +186,47 @@ def indexed(rows: DataFrame, join: Join) -> DataFrame:
                 n.append(len(hashes))
                 own.append(set_class(hashes) if len(hashes) else None)
                 again = own[-1] in seen or not len(hashes)
-                seen.add(own[-1])
-                sketch.append(None if again else counts_of(hashes, PER_COUNT))
-                lists.append(np.zeros(0, np.uint64) if again else block_keys(join, hashes))
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(n, pa.int64()), pa.array(own, pa.int64()), pa.array([spare_lists(join, x) for x in n], pa.int32()), pa.array(sketch, pa.binary()), list_array(lists)], names)
+                if len(seen) < REMEMBERED:
+                    seen.add(own[-1])
+                sketch.append(None if again else parities(hashes))
+                lists.append(nothing if again else block_keys(join, hashes))
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(n, pa.int64()), pa.array(own, pa.int64()), pa.array([spare_lists(join, x) for x in n], pa.int32()), pa.array(sketch, pa.binary()), list_array([x for x, _ in lists], np.int64), list_array([x for _, x in lists], np.int32)], names)
 
     kind = rows.schema["key"].dataType.simpleString()
-    return rows.select("key", "text").mapInArrow(run, f"key {kind}, n long, class long, spare int, sketch binary, lists array<long>")
+    return rows.select("key", "text").mapInArrow(run, f"key {kind}, n long, class long, spare int, sketch binary, lists array<long>, places array<int>")
 
 
-def counts_of(sorted_hashes: np.ndarray, per_count: int) -> bytes:
-    """How many elements (255 at most) fall to each remainder of a power of two, with so many elements to a count or fewer."""
-    places = max(SKETCH, 1 << max(0, (len(sorted_hashes) // per_count - 1).bit_length()))
-    return np.minimum(np.bincount((sorted_hashes % np.uint64(places)).astype(np.int64), minlength=places), 255).astype(np.uint8).tobytes()
+def parities(sorted_hashes: np.ndarray) -> bytes:
+    """A bit for each remainder of a power of two, whether an odd number of elements has it."""
+    places = max(SKETCH, 1 << (len(sorted_hashes) - 1).bit_length())
+    counts = np.bincount((sorted_hashes % np.uint64(places)).astype(np.int64), minlength=places)
+    return np.packbits((counts & 1).astype(bool), bitorder="little").tobytes()
 
 
-def folded(counts: bytes, places: int) -> np.ndarray:
-    """Counts by a smaller power of two, 255 at most: what would have been counted by it."""
-    return np.minimum(np.frombuffer(counts, np.uint8).reshape(-1, places).sum(0, dtype=np.int32), 255)
+def folded(sketches: list[bytes], size: int) -> np.ndarray:
+    """Sketches by a smaller power of two, of ``size`` bytes: what they would have been by it. Rows of 64-bit numbers."""
+    if all(len(x) == size for x in sketches):
+        return np.frombuffer(b"".join(sketches), np.uint64).reshape(len(sketches), -1)
+    return np.array([np.bitwise_xor.reduce(np.frombuffer(x, np.uint64).reshape(-1, size // 8), 0) for x in sketches])
 
 
 def apart_at_least(x: bytes, y: bytes) -> int:
-    """A lower bound on how many elements two sets differ in, from their counts."""
-    places = min(len(x), len(y))
-    return int(np.abs(folded(x, places) - folded(y, places)).sum())
+    """A lower bound on how many elements two sets differ in, from their sketches."""
+    size = min(len(x), len(y))
+    return int(np.bitwise_count(folded([x], size) ^ folded([y], size)).sum())
 
 
 def sets_of(rows: DataFrame, join: Join) -> DataFrame:
-    """class, n, elements (binary: sorted 64-bit hashes), counts (see counts_of)."""
+    """class, elements (binary: sorted 64-bit hashes)."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         shingler = Shingler(join)
         for batch in sliced(batches, 0):
             sets = [shingler.shingles(x) for x in batch.column(0).to_pylist()]
             sets = [x for x in sets if len(x)]
-            yield pa.RecordBatch.from_arrays([pa.array([set_class(x) for x in sets], pa.int64()), pa.array(list(map(len, sets)), pa.int64()), pa.array([x.tobytes() for x in sets], pa.binary()), pa.array([counts_of(x, 2) for x in sets], pa.binary())], ["class", "n", "elements", "counts"])
+            yield pa.RecordBatch.from_arrays([pa.array([set_class(x) for x in sets], pa.int64()), pa.array([x.tobytes() for x in sets], pa.binary())], ["class", "elements"])
 
-    return rows.select("text").mapInArrow(run, "class long, n long, elements binary, counts binary").dropDuplicates(["class"])
+    return rows.select("text").mapInArrow(run, "class long, elements binary").dropDuplicates(["class"])
 
 
 def in_groups(batches: Iterator[pa.RecordBatch], keys: int) -> Iterator[tuple[tuple, list[tuple]]]:
@@ -229,15 +243,9 @@ def in_groups(batches: Iterator[pa.RecordBatch], keys: int) -> Iterator[tuple[tu
         yield now, held
 
 
-def sketches_of(rows: list[tuple], at: int, places: int) -> np.ndarray:
-    if all(len(r[at]) == places for r in rows):
-        return np.frombuffer(b"".join(r[at] for r in rows), np.uint8).reshape(-1, places).astype(np.int16)
-    return np.array([folded(r[at], places) for r in rows], np.int16)
-
-
-def near_by_count(pairs: DataFrame, sets: DataFrame, join: Join) -> DataFrame:
-    """a, b: the pairs that counts don't keep apart. Counts are a small part of the sets' size."""
-    side = lambda x: sets.select(F.col("class").alias(x), F.col("n").alias("n" + x), F.col("counts").alias("c" + x))
+def near_by_sketch(pairs: DataFrame, classes: DataFrame, join: Join) -> DataFrame:
+    """a, b: the pairs that sketches don't keep apart."""
+    side = lambda x: classes.select(F.col("class").alias(x), F.col("n").alias("n" + x), F.col("sketch").alias("s" + x))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -245,56 +253,125 @@ def near_by_count(pairs: DataFrame, sets: DataFrame, join: Join) -> DataFrame:
             kept = pa.array(near, pa.bool_())
             yield pa.RecordBatch.from_arrays([batch.column(i).filter(kept) for i in (0, 1)], ["a", "b"])
 
-    joined = pairs.select("a", "b").join(side("a"), "a").join(side("b"), "b").select("a", "b", "na", "nb", "ca", "cb")
+    joined = pairs.select("a", "b").join(side("a"), "a").join(side("b"), "b").select("a", "b", "na", "nb", "sa", "sb")
     return joined.mapInArrow(run, "a long, b long")
 
 
+def numbers(data: bytes) -> np.ndarray:
+    return np.frombuffer(data, np.uint64)
+
+
 def compared(pairs: DataFrame, sets: DataFrame) -> DataFrame:
-    """a, b, common, na, nb: the exact intersection of each pair."""
+    """a, b, common, na, nb, lost, new: the exact intersection of each pair, and what b lacks of a and has besides it.
+
+    lost and new are null where sets are so different that these are no shorter than b.
+    """
+    names = ["a", "b", "common", "na", "nb", "lost", "new"]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            common, sizes = [], ([], [])
+        for batch in sliced(batches, 2, 3):
+            found = []
             for x, y in zip(batch.column(2).to_pylist(), batch.column(3).to_pylist()):
-                p, q = np.frombuffer(x, np.uint64), np.frombuffer(y, np.uint64)
+                p, q = numbers(x), numbers(y)
                 both = np.concatenate([p, q])
-                both.sort()
-                common.append(int((both[1:] == both[:-1]).sum()))
-                sizes[0].append(len(p))
-                sizes[1].append(len(q))
-            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), *(pa.array(v, pa.int64()) for v in (common, *sizes))], ["a", "b", "common", "na", "nb"])
+                order = both.argsort(kind="stable")
+                ordered = both[order]
+                twice = ordered[1:] == ordered[:-1]
+                single = ~(np.append(twice, False) | np.insert(twice, 0, False))
+                alone, from_p = ordered[single], order[single] < len(p)
+                kept = 2 * len(alone) < len(q)
+                found.append((int(twice.sum()), len(p), len(q), alone[from_p].tobytes() if kept else None, alone[~from_p].tobytes() if kept else None))
+            kinds = [pa.int64()] * 3 + [pa.binary()] * 2
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), *(pa.array([x[i] for x in found], kind) for i, kind in enumerate(kinds))], names)
 
     side = lambda x: sets.select(F.col("class").alias(x), F.col("elements").alias("e" + x))
     joined = pairs.select("a", "b").join(side("a"), "a").join(side("b"), "b").select("a", "b", "ea", "eb")
-    return joined.mapInArrow(run, "a long, b long, common long, na long, nb long")
+    return joined.mapInArrow(run, "a long, b long, common long, na long, nb long, lost binary, new binary")
 
 
-def within_reach(dealt: DataFrame, join: Join, reach: float) -> DataFrame:
-    """a, b: pairs of a list in different components that no bound keeps apart.
+def derived(pairs: DataFrame, exact: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """a, b, common, na, nb of the pairs with one leader, from how each differs from it; and the other pairs.
 
-    Members come by size, so blocks of them that are too far apart in size are skipped whole.
+    exact: what ``compared`` found of each class (b) and its leader (a).
     """
+    own = exact.filter(F.col("lost").isNotNull())
+    side = lambda x: own.select(F.col("b").alias(x), F.struct(F.col("a").alias("leader"), F.col("na").alias("of_leader"), F.col("nb").alias("n"), "lost", "new").alias("d" + x))
+    joined = pairs.join(side("a"), "a", "left").join(side("b"), "b", "left").withColumn("one", F.coalesce(F.col("da.leader") == F.col("db.leader"), F.lit(False)))
 
-    def block(rows: list[tuple], places: int) -> tuple[np.ndarray, ...]:
-        own, component, leader, low, high, n = (np.array(x) for x in list(zip(*rows))[1:7])
-        return own, component, low, high, n, sketches_of(rows, 7, places), leader, [r[8] for r in rows]
-
-    def near(x: tuple, y: tuple) -> Iterator[tuple[int, int, list[int], list[int]]]:
-        """Both classes and the lists that each carries."""
-        may = x[1][:, None] != y[1][None]
-        bounded = (x[2][:, None] - y[3][None] > reach) | (y[2][None] - x[3][:, None] > reach)
-        may &= ~bounded | (x[6][:, None] != y[6][None])
-        if x is y:
-            may = np.triu(may, 1)
-        p, q = np.nonzero(may)
-        step = max(1, 1_280_000 // x[5].shape[1])
-        for k in range(0, len(p), step):
-            r, s = p[k : k + step], q[k : k + step]
-            sizes = x[4][r] + y[4][s]
-            apart = np.abs(x[5][r] - y[5][s]).sum(1)
-            ok = apart * (100 + join.percent) <= (100 - join.percent) * sizes
-            for m, n in zip(r[ok].tolist(), s[ok].tolist()):
-                yield int(x[0][m]), int(y[0][n]), x[7][m], y[7][n]
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in sliced(batches, *range(5, 9)):
+            a, b, whole, na, nb, *differences = (c.to_pylist() for c in batch.columns)
+            common = []
+            for size, lost_a, new_a, lost_b, new_b in zip(whole, *differences):
+                either = np.concatenate([numbers(lost_a), numbers(lost_b)])
+                common.append(size - len(np.unique(either)) + len(np.intersect1d(numbers(new_a), numbers(new_b), assume_unique=True)))
+            yield pa.RecordBatch.from_arrays([pa.array(x, pa.int64()) for x in (a, b, common, na, nb)], ["a", "b", "common", "na", "nb"])
+
+    ready = joined.filter("one").select("a", "b", "da.of_leader", F.col("da.n").alias("na"), F.col("db.n").alias("nb"), F.col("da.lost").alias("lost_a"), F.col("da.new").alias("new_a"), F.col("db.lost").alias("lost_b"), F.col("db.new").alias("new_b"))
+    return ready.mapInArrow(run, "a long, b long, common long, na long, nb long"), joined.filter("not one").select("a", "b")
+
+
+class Block(NamedTuple):
+    """Members of a list: class, component, place, n, what each shares with the list's leader (-1: not known), sketch, the lists that it carries."""
+
+    own: np.ndarray
+    component: np.ndarray
+    place: np.ndarray
+    n: np.ndarray
+    common: np.ndarray
+    sketch: np.ndarray
+    carried: list[list[int]]
+
+    @property
+    def after(self) -> np.ndarray:
+        return self.n - self.place
+
+
+def blocks_of(rows: list[tuple], size: int) -> list[Block]:
+    """Members in blocks by place; those of a component that fills blocks have blocks of their own."""
+    if not rows:
+        return []
+    own, component, place, n, common = (np.array(x, np.int64) for x in list(zip(*rows))[:5])
+    _, which, counts = np.unique(component, return_inverse=True, return_counts=True)
+    order = np.lexsort((n, place, np.where(counts[which] >= BLOCK, which, -1)))
+    out = []
+    for k in range(0, len(order), BLOCK):
+        at = order[k : k + BLOCK]
+        out.append(Block(own[at], component[at], place[at], n[at], common[at], folded([rows[i][5] for i in at], size), [rows[i][6] for i in at]))
+    return out
+
+
+def skipped(x: Block, y: Block, join: Join) -> bool:
+    """Whether no two members of two blocks can link, or all are in one component."""
+    gap = lambda p, q: max(0, p.min() - q.max(), q.min() - p.max())
+    if gap(x.place, y.place) + gap(x.after, y.after) > join.apart(int(x.n.max() + y.n.max())):
+        return True
+    return x.component.min() == x.component.max() == y.component.min() == y.component.max()
+
+
+def within_reach(x: Block, y: Block, join: Join) -> Iterator[tuple[int, int]]:
+    """Places in two blocks of pairs in different components that no bound keeps apart."""
+    may = x.component[:, None] != y.component[None]
+    if x is y:
+        may = np.triu(may, 1)
+    p, q = np.nonzero(may)
+    sizes = x.n[p] + y.n[q]
+    apart = np.abs(x.place[p] - y.place[q]) + np.abs(x.after[p] - y.after[q])
+    common, other = x.common[p], y.common[q]
+    most = np.minimum(common, other) + np.minimum(x.n[p] - common, y.n[q] - other)  # of what both may share
+    far = (common >= 0) & (other >= 0) & (100 * most < join.percent * (sizes - most))
+    ok = (apart * (100 + join.percent) <= (100 - join.percent) * sizes) & ~far
+    p, q, sizes = p[ok], q[ok], sizes[ok]
+    step = max(1, COMPARED // (8 * x.sketch.shape[1]))
+    for k in range(0, len(p), step):
+        r, s = p[k : k + step], q[k : k + step]
+        apart = np.bitwise_count(x.sketch[r] ^ y.sketch[s]).sum(1, dtype=np.int64)
+        ok = apart * (100 + join.percent) <= (100 - join.percent) * sizes[k : k + step]
+        yield from zip(r[ok].tolist(), s[ok].tolist())
+
+
+def candidates(dealt: DataFrame, join: Join) -> DataFrame:
+    """a, b: pairs of a list in different components that no bound keeps apart."""
 
     def here_first(listed: int, x: list[int], y: list[int]) -> bool:
         """Whether no list that both are known to be in comes before this one."""
@@ -303,24 +380,24 @@ def within_reach(dealt: DataFrame, join: Join, reach: float) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         told: set[tuple[int, int]] = set()
-        for (listed, i, j), rows in in_groups(batches, 3):
-            own = [r for r in rows if r[0] == i]
-            other = own if i == j else [r for r in rows if r[0] != i]
-            places = min(len(r[7]) for r in rows)
-            left, right = ([block(side[k : k + BLOCK], places) for k in range(0, len(side), BLOCK)] for side in (own, other))
-            right = left if i == j else right
-            for at, x in enumerate(left):
-                for y in right[at if i == j else 0 :]:
-                    if max(x[4][0], y[4][0]) > join.largest(min(x[4][-1], y[4][-1])):
-                        continue
-                    new = {(m, n) if m < n else (n, m) for m, n, p, q in near(x, y) if here_first(listed, p, q)}.difference(told)
-                    if new:
-                        if len(told) > REMEMBERED:
-                            told.clear()
-                        told |= new
-                        yield pa.RecordBatch.from_arrays([pa.array(list(v), pa.int64()) for v in zip(*new)], ["a", "b"])
-
-    return dealt.select("list", "i", "j", "part", "class", "component", "leader", "low", "high", "n", "sketch", "carried").mapInArrow(run, "a long, b long")
+        for (listed, kind, _, _), rows in in_groups(batches, 4):
+            size = min(len(r[6]) for r in rows)
+            left, right = (blocks_of([r[1:] for r in rows if r[0] == side], size) for side in (0, 1))
+            if kind == INSIDE and not right:
+                pairs = ((x, y) for i, x in enumerate(left) for y in left[i:])
+            else:
+                pairs = ((x, y) for x in left for y in right)
+            for x, y in pairs:
+                if skipped(x, y, join):
+                    continue
+                new = {tuple(sorted((int(x.own[m]), int(y.own[n])))) for m, n in within_reach(x, y, join) if here_first(listed, x.carried[m], y.carried[n])}.difference(told)
+                if new:
+                    if len(told) > REMEMBERED:
+                        told.clear()
+                    told |= new
+                    yield pa.RecordBatch.from_arrays([pa.array(list(v), pa.int64()) for v in zip(*new)], ["a", "b"])
+
+    return dealt.select("list", "kind", "i", "j", "side", "class", "component", "place", "n", "common", "sketch", "carried").mapInArrow(run, "a long, b long")
 
 
 def checked_broadcast(ids: DataFrame) -> DataFrame:
@@ -348,50 +425,70 @@ def groups(df: DataFrame, words: int = 3, percent: int = 90, key: str = "doc_id"
         return out.checkpoint()
 
 
+def dealt_out(members: DataFrame) -> DataFrame:
+    """kind, i, j, side for each member of a list: the parts in which it meets others.
+
+    Members of the leader's component (inner) meet all others (outer), which meet each other too.
+    A short list is one part.
+    """
+    cell = lambda kind, i, j, side: F.struct(F.lit(kind).cast("int").alias("kind"), i.cast("int").alias("i"), j.cast("int").alias("j"), side.cast("int").alias("side"))
+    zero = F.lit(0)
+    parts = lambda c: F.greatest(F.ceil(F.col(c) / LONG_LIST).cast("int"), F.lit(1))
+    rows = members.withColumns({"_inner": parts("inner"), "_outer": parts("outer")})
+    rows = rows.withColumn("_own", F.pmod(F.xxhash64("class"), F.when(F.col("is_inner"), F.col("_inner")).otherwise(F.col("_outer"))))
+    own = F.col("_own")
+    among = F.transform(F.sequence(zero, F.col("_outer") - 1), lambda t: cell(INSIDE, F.least(own, t), F.greatest(own, t), own > t))
+    across = F.when(F.col("is_inner"), F.transform(F.sequence(zero, F.col("_outer") - 1), lambda t: cell(ACROSS, own, t, zero))).otherwise(F.transform(F.sequence(zero, F.col("_inner") - 1), lambda t: cell(ACROSS, t, own, F.lit(1))))
+    long_ = F.when(F.col("is_inner"), across).otherwise(F.concat(across, among))
+    return rows.withColumn("_cell", F.explode(F.when(F.col("size") > LONG_LIST, long_).otherwise(F.array(cell(INSIDE, zero, zero, zero))))).select("*", "_cell.*")
+
+
 def class_links(rows: DataFrame, index: DataFrame, classes: DataFrame, join: Join, tables: Scratch) -> DataFrame:
     """a, b: links between classes that connect all that any link connects."""
-    reach = (100 - join.percent) / 100 + 1e-9
     in_list = Window.partitionBy("list")
-    lists = index.select("class", "spare", F.explode("lists").alias("list"))
+    lists = index.select("class", "spare", F.explode(F.arrays_zip("lists", "places")).alias("l")).select("class", "spare", F.col("l.lists").alias("list"), F.col("l.places").alias("place"))
     lists = lists.withColumns({"c0": F.min("class").over(in_list), "c1": F.max("class").over(in_list), "size": F.count(F.lit(1)).over(in_list)}).filter("c0 <> c1")
-    lists = tables.keep(lists.select("list", "class", "spare", "size").distinct(), "lists")
+    lists = tables.keep(lists.select("list", "class", "spare", "size", "place").distinct(), "lists")
     # a list's size is the same for all its sets, so of the lists that two sets share at most the spare ones of one of them go
     as_long = F.count(F.lit(1)).over(Window.partitionBy("class").orderBy(F.col("size").desc()).rangeBetween(Window.unboundedPreceding, 0))
     kept = lists.withColumn("as_long", as_long).filter((F.col("size") <= SMALL_LIST) | (F.col("as_long") > F.col("spare")))
     kept = kept.withColumn("degree", F.count(F.lit(1)).over(Window.partitionBy("class")))
-    led = kept.select("list", "class", "degree").withColumns({"first": F.max(F.struct("degree", "class")).over(in_list), "size": F.count(F.lit(1)).over(in_list)}).filter("size > 1")
-    led = tables.keep(led.select("list", "class", "size", F.col("first.class").alias("leader"), F.col("first.degree").alias("of_leader")), "led")
+    led = kept.select("list", "class", "place", "degree").withColumns({"first": F.max(F.struct("degree", "class")).over(in_list), "size": F.count(F.lit(1)).over(in_list)}).filter("size > 1")
+    led = tables.keep(led.select("list", "class", "place", "size", F.col("first.class").alias("leader"), F.col("first.degree").alias("of_leader")), "led")
     first = led.filter("class <> leader").groupBy("class").agg(F.max(F.struct("of_leader", "leader")).alias("l")).select(F.col("l.leader").alias("a"), F.col("class").alias("b"))
-    first = tables.keep(first, "first")
 
     def compare(pairs: DataFrame) -> DataFrame:
-        """The exact intersections of the pairs that counts leave."""
+        """The exact intersections of the pairs."""
         wanted = pairs.select(F.col("a").alias("class")).union(pairs.select("b")).distinct()
         keys = tables.keep(classes.join(wanted, "class", "left_semi").select("key").distinct(), "keys")
         own = rows.join(checked_broadcast(keys), "key", "left_semi")
         if keys.filter("key is null").limit(1).count():  # a class of which no row has a key
             own = own.union(rows.filter("key is null"))
-        sets = tables.keep(sets_of(own, join), "sets")
-        near = tables.keep(near_by_count(pairs, sets, join), "near")
-        return tables.keep(compared(near, sets), "compared")
+        sets = tables.keep(sets_of(own, join).join(wanted, "class", "left_semi"), "sets")
+        return tables.keep(compared(pairs, sets), "compared")
 
-    exact = compare(first)
+    exact = compare(tables.keep(near_by_sketch(first, classes, join), "first"))
     links = exact.filter(linked(join)).select("a", "b")
     near = components(links, tables).withColumnRenamed("id", "class")
-    distance = 1 - F.col("common") / (F.col("na") + F.col("nb") - F.col("common"))
-    itself = F.col("class") == F.col("leader")
     members = led.join(near, "class", "left").withColumn("component", F.coalesce("component", "class"))
-    open_ = members.withColumns({"c0": F.min("component").over(in_list), "c1": F.max("component").over(in_list)}).filter("c0 <> c1")
-    open_ = open_.join(exact.select(F.col("a").alias("leader"), F.col("b").alias("class"), distance.alias("exact")), ["leader", "class"], "left")
-    open_ = open_.withColumns({"low": F.when(itself, 0.0).otherwise(F.coalesce("exact", F.lit(0.0))), "high": F.when(itself, 0.0).otherwise(F.coalesce("exact", F.lit(1.0)))})
-    carried = led.groupBy("class").agg(F.slice(F.array_sort(F.collect_list("list")), 1, CARRIED).alias("carried"))  # a set's lists
-    open_ = open_.join(classes.select("class", "n", "sketch"), "class").join(carried, "class").withColumn("parts", F.ceil(F.col("size") / LONG_LIST).cast("int"))
-    open_ = open_.withColumn("part", F.pmod(F.xxhash64("class"), F.col("parts")).cast("int")).withColumn("x", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)))
-    open_ = open_.withColumns({"i": F.least("part", "x"), "j": F.greatest("part", "x")})
-    dealt = open_.repartition("list", "i", "j").sortWithinPartitions("list", "i", "j", "part", "n", "class")
-    second = within_reach(dealt, join, reach).distinct().join(exact.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")), ["a", "b"], "left_anti")
-    second = tables.keep(second, "second")
+    inner = F.max(F.when(F.col("class") == F.col("leader"), F.col("component"))).over(in_list)
+    open_ = members.withColumns({"c0": F.min("component").over(in_list), "c1": F.max("component").over(in_list), "inner": inner}).filter("c0 <> c1").drop("c0", "c1")
+    open_ = open_.withColumn("is_inner", F.col("component") == F.col("inner"))
+    open_ = tables.keep(open_.withColumn("inner", F.count_if("is_inner").over(in_list)).withColumn("outer", F.col("size") - F.col("inner")), "open")
+    two = open_.filter("size = 2").groupBy("list").agg(F.min("class").alias("a"), F.max("class").alias("b")).select("a", "b").distinct()
+    open_ = open_.filter("size > 2")
+    shared = exact.select(F.col("a").alias("leader"), F.col("b").alias("class"), "common")
+    carried = open_.groupBy("class").agg(F.slice(F.array_sort(F.collect_list("list")), 1, CARRIED).alias("carried"))  # a set's lists
+    known = classes.select("class", "n", "sketch").join(carried, "class")
+    open_ = open_.join(shared, ["leader", "class"], "left").join(known, "class")
+    open_ = open_.withColumn("common", F.when(F.col("class") == F.col("leader"), F.col("n")).otherwise(F.coalesce("common", F.lit(-1))))
+    dealt = dealt_out(open_).repartition("list", "kind", "i", "j").sortWithinPartitions("list", "kind", "i", "j", "side")
+    done = exact.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
+    second = near_by_sketch(two.join(done, ["a", "b"], "left_anti"), classes, join).union(candidates(dealt, join)).distinct()
+    second = tables.keep(second.join(done, ["a", "b"], "left_anti"), "second")
     if not second.limit(1).count():
         return links
-    more = compare(second).filter(linked(join)).select("a", "b")
-    return links.union(more)
+    soon, others = derived(second, exact)
+    links = links.union(tables.keep(soon, "derived").filter(linked(join)).select("a", "b"))
+    others = tables.keep(others, "others")
+    return links.union(compare(others).filter(linked(join)).select("a", "b")) if others.limit(1).count() else links
