@@ -167,20 +167,18 @@ def set_class(sorted_hashes: np.ndarray) -> int:
     return xxhash.xxh3_64_intdigest(sorted_hashes.tobytes()) - (1 << 63)
 
 
-def list_array(parts: list[np.ndarray], number: np.dtype) -> pa.ListArray:
-    flat = np.concatenate([np.zeros(0, parts[0].dtype if parts else number), *parts])
-    return pa.ListArray.from_arrays(pa.array(np.cumsum([0, *map(len, parts)]), pa.int32()), pa.array(flat.view(number) if flat.dtype.itemsize == np.dtype(number).itemsize else flat.astype(number)))
-
-
 def indexed(rows: DataFrame, join: Join) -> DataFrame:
-    """key, n (of shingles), class, spare, sketch, lists, places: what the first of equal sets in a task is indexed under."""
-    names = ["key", "n", "class", "spare", "sketch", "lists", "places"]
-    nothing = np.zeros(0, np.uint64), np.zeros(0, np.int64)
+    """list, class, place for each list of the first of equal sets in a task; and doc (key, n, spare, sketch) with its class for each row.
+
+    n is the number of shingles. ``list`` of the latter rows only spreads them.
+    """
+    kind = rows.schema["key"].dataType.simpleString()
+    fields = ["key", "n", "spare", "sketch"]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        shingler, seen = Shingler(join), set()
+        shingler, seen, count = Shingler(join), set(), 0
         for batch in sliced(batches, 1):
-            n, own, sketch, lists = [], [], [], []
+            n, own, sketch, lists, listed = [], [], [], [np.zeros(0, np.uint64)], [np.zeros(0, np.int64)]
             for text in batch.column(1).to_pylist():
                 hashes = shingler.shingles(text)
                 n.append(len(hashes))
@@ -189,11 +187,23 @@ def indexed(rows: DataFrame, join: Join) -> DataFrame:
                 if len(seen) < REMEMBERED:
                     seen.add(own[-1])
                 sketch.append(None if again else parities(hashes))
-                lists.append(nothing if again else block_keys(join, hashes))
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(n, pa.int64()), pa.array(own, pa.int64()), pa.array([spare_lists(join, x) for x in n], pa.int32()), pa.array(sketch, pa.binary()), list_array([x for x, _ in lists], np.int64), list_array([x for _, x in lists], np.int32)], names)
-
-    kind = rows.schema["key"].dataType.simpleString()
-    return rows.select("key", "text").mapInArrow(run, f"key {kind}, n long, class long, spare int, sketch binary, lists array<long>, places array<int>")
+                if not again:
+                    keys, places = block_keys(join, hashes)
+                    lists.append(keys)
+                    listed.append(places)
+            lengths = [len(x) for x in lists[1:]]
+            flat = np.concatenate([*lists, mixed(np.arange(count, count + len(n), dtype=np.uint64))]).view(np.int64)
+            count += len(n)
+            empty = len(flat) - len(n)
+            whole = np.repeat(np.array([x for x, y in zip(own, sketch) if y is not None], np.int64), lengths)
+            docs = [batch.column(0), pa.array(n, pa.int64()), pa.array([spare_lists(join, x) for x in n], pa.int32()), pa.array(sketch, pa.binary())]
+            docs = [pa.concat_arrays([pa.nulls(empty, x.type), x]) for x in docs]
+            doc = pa.StructArray.from_arrays(docs, fields, mask=pa.array(np.arange(len(flat)) < empty))
+            classes = pa.concat_arrays([pa.array(whole), pa.array(own, pa.int64())])
+            places = pa.array(np.concatenate([*listed, np.zeros(len(n), np.int64)]).astype(np.int32))
+            yield pa.RecordBatch.from_arrays([pa.array(flat), classes, places, doc], ["list", "class", "place", "doc"])
+
+    return rows.select("key", "text").mapInArrow(run, f"list long, class long, place int, doc struct<key:{kind},n:long,spare:int,sketch:binary>")
 
 
 def parities(sorted_hashes: np.ndarray) -> bytes:
@@ -414,9 +424,13 @@ def groups(df: DataFrame, words: int = 3, percent: int = 90, key: str = "doc_id"
     spark, join = df.sparkSession, Join(words, percent)
     rows = df.select(F.col(key).alias("key"), F.col(text).cast("string").alias("text"))
     with scratch(spark) as tables:
-        index = tables.keep(indexed(rows, join), "index")
-        classes = tables.keep(index.filter(F.col("class").isNotNull()).groupBy("class").agg(F.min("key").alias("key"), F.max("n").alias("n"), F.max("sketch").alias("sketch")), "classes")
-        links = tables.keep(class_links(rows, index, classes, join, tables), "links")
+        in_list = Window.partitionBy("list", F.col("doc").isNull())
+        found = indexed(rows, join).withColumns({"c0": F.min("class").over(in_list), "c1": F.max("class").over(in_list), "size": F.count(F.lit(1)).over(in_list)})
+        found = tables.keep(found.filter(F.col("doc").isNotNull() | (F.col("c0") != F.col("c1"))).drop("c0", "c1"), "index")  # lists of one class are of no use
+        index = found.filter(F.col("doc").isNotNull()).select("class", "doc.*")
+        lists = found.filter(F.col("doc").isNull()).select("list", "class", "place", "size")
+        classes = tables.keep(index.filter(F.col("class").isNotNull()).groupBy("class").agg(F.min("key").alias("key"), F.max("n").alias("n"), F.max("spare").alias("spare"), F.max("sketch").alias("sketch")), "classes")
+        links = tables.keep(class_links(rows, lists, classes, join, tables), "links")
         found = components(links, tables)
         own = classes.join(found.withColumnRenamed("id", "class"), "class", "left").select("class", "key", F.coalesce("component", "class").alias("component"))
         smallest = own.groupBy("component").agg(F.min("key").alias("component_id"))
@@ -443,12 +457,10 @@ def dealt_out(members: DataFrame) -> DataFrame:
     return rows.withColumn("_cell", F.explode(F.when(F.col("size") > LONG_LIST, long_).otherwise(F.array(cell(INSIDE, zero, zero, zero))))).select("*", "_cell.*")
 
 
-def class_links(rows: DataFrame, index: DataFrame, classes: DataFrame, join: Join, tables: Scratch) -> DataFrame:
+def class_links(rows: DataFrame, lists: DataFrame, classes: DataFrame, join: Join, tables: Scratch) -> DataFrame:
     """a, b: links between classes that connect all that any link connects."""
     in_list = Window.partitionBy("list")
-    lists = index.select("class", "spare", F.explode(F.arrays_zip("lists", "places")).alias("l")).select("class", "spare", F.col("l.lists").alias("list"), F.col("l.places").alias("place"))
-    lists = lists.withColumns({"c0": F.min("class").over(in_list), "c1": F.max("class").over(in_list), "size": F.count(F.lit(1)).over(in_list)}).filter("c0 <> c1")
-    lists = tables.keep(lists.select("list", "class", "spare", "size", "place").distinct(), "lists")
+    lists = lists.repartition("class").dropDuplicates(["class", "list"]).join(classes.select("class", "spare"), "class")  # equal sets of several tasks
     # a list's size is the same for all its sets, so of the lists that two sets share at most the spare ones of one of them go
     as_long = F.count(F.lit(1)).over(Window.partitionBy("class").orderBy(F.col("size").desc()).rangeBetween(Window.unboundedPreceding, 0))
     kept = lists.withColumn("as_long", as_long).filter((F.col("size") <= SMALL_LIST) | (F.col("as_long") > F.col("spare")))
