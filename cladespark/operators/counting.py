@@ -5,21 +5,25 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-#: Reads and targets meet in bins of so many bases.
-BIN = 1000
 
-
-def spanning_counts(reads: DataFrame, targets: DataFrame, bin_size: int = BIN) -> DataFrame:
+def spanning_counts(reads: DataFrame, targets: DataFrame) -> DataFrame:
     """sample, target, depth: reads of a sample that cover the whole of a target. Targets without any are absent.
 
-    A target is in the bin of its start; a read is in every bin that it touches, so a pair meets once.
+    Equal reads are counted before they meet targets, so depth makes no bin large. A read's level is the
+    power of two that its length doesn't exceed, and bins of a level are as wide: a read touches two of them
+    or three. A target is in the bin of its start, at each level on which reads are long enough, so a pair
+    meets once, and the rows of a bin are about as many as those that cover its targets.
     """
-    of_bin = lambda c: F.floor(F.col(c) / bin_size)
-    placed = targets.select("target", "chrom", "t_start", "t_end", of_bin("t_start").alias("bin"))
-    spread = reads.select("sample", "chrom", "ref_start", "ref_end", F.explode(F.sequence(of_bin("ref_start"), of_bin("ref_end"))).alias("bin"))
+    level = lambda length: F.ceil(F.log2(F.greatest(length, F.lit(1)))).cast("int")
+    of_bin = lambda c: F.floor(F.col(c) / F.pow(F.lit(2.0), F.col("level")))
+    alike = reads.groupBy("sample", "chrom", "ref_start", "ref_end").agg(F.count(F.lit(1)).alias("n")).withColumn("level", level(F.col("ref_end") - F.col("ref_start")))
+    levels = reads.select(level(F.col("ref_end") - F.col("ref_start")).alias("level")).distinct()  # 64 rows at most
+    placed = targets.select("target", "chrom", "t_start", "t_end").join(F.broadcast(levels), level(F.col("t_end") - F.col("t_start")) <= F.col("level")).withColumn("bin", of_bin("t_start"))
+    spread = alike.withColumn("bin", F.explode(F.sequence(of_bin("ref_start"), of_bin("ref_end"))))
     covers = (spread["ref_start"] <= placed["t_start"]) & (spread["ref_end"] >= placed["t_end"])
-    met = spread.join(placed, (spread["chrom"] == placed["chrom"]) & (spread["bin"] == placed["bin"]) & covers)
-    return met.groupBy("sample", "target").agg(F.count(F.lit(1)).alias("depth"))
+    same = [spread[c] == placed[c] for c in ("chrom", "level", "bin")]
+    met = spread.join(placed, same[0] & same[1] & same[2] & covers)
+    return met.groupBy("sample", "target").agg(F.sum("n").alias("depth"))
 
 
 def depth_stats(depth: DataFrame, min_reads: int = 10) -> DataFrame:

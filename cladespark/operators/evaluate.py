@@ -39,12 +39,16 @@ def triplet_accuracy(results: DataFrame) -> DataFrame:
 
 
 def sibling_percentage(siblings: DataFrame, labels: DataFrame, keys: list[str] | None = None) -> DataFrame:
-    """keys, comparisons, pairs, percentage: sibling leaves of one group, of those of which one has a group."""
+    """keys, comparisons, pairs, percentage: sibling leaves of one group, of those of which one has a group.
+
+    keys tell permutations apart, of the labels or of the trees that the siblings are of.
+    """
     keys = keys or []
-    side = lambda n: labels.select(*keys, F.col("sample").alias(n), F.col("grp").alias(f"grp_{n}"))
-    runs = labels.select(*keys).distinct()
-    pairs = siblings.crossJoin(runs) if keys else siblings  # a stated number of permutations
-    met = pairs.join(side("a"), [*keys, "a"], "left").join(side("b"), [*keys, "b"], "left").filter("grp_a is not null or grp_b is not null")
+    own = [k for k in keys if k in labels.columns]
+    side = lambda n: labels.select(*own, F.col("sample").alias(n), F.col("grp").alias(f"grp_{n}"))
+    missing = [k for k in keys if k not in siblings.columns]
+    pairs = siblings.crossJoin(labels.select(*missing).distinct()) if missing else siblings  # a stated number of permutations
+    met = pairs.join(side("a"), [*own, "a"], "left").join(side("b"), [*own, "b"], "left").filter("grp_a is not null or grp_b is not null")
     counts = met.groupBy(*keys).agg(F.count(F.lit(1)).alias("comparisons"), F.count_if(F.expr("grp_a = grp_b")).alias("pairs"))
     return counts.withColumn("percentage", F.coalesce(100 * F.try_divide("pairs", "comparisons"), F.lit(0.0)))
 

@@ -8,10 +8,14 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 
+#: Rows for each range from which the bounds of ranges of texts are taken.
+SAMPLED = 64
+
+
 def numbered_in_order(df: DataFrame, by: list[str], parts: int | None = None) -> DataFrame:
     """Adds k, the place of each row from 1 in the order of ``by``.
 
-    Rows are dealt into ranges of the first column; each range numbers its own rows and adds the sizes of the
+    Rows are dealt into ranges of the first column, by quantiles; each range numbers its own rows and adds the sizes of the
     ranges before it, which are few.
     """
     spark = df.sparkSession
@@ -19,7 +23,9 @@ def numbered_in_order(df: DataFrame, by: list[str], parts: int | None = None) ->
     first = by[0]
     kind = df.schema[first].dataType.simpleString()
     if kind in ("string", "boolean", "date", "timestamp"):
-        bounds = [r[0] for r in df.select(first).distinct().orderBy(first).limit(count).collect()]
+        sample = df.filter(F.col(first).isNotNull()).select(first, F.xxhash64(*by).alias("h")).orderBy("h", first).limit(SAMPLED * count)
+        seen = sorted(r[0] for r in sample.collect())  # SAMPLED rows for each range
+        bounds = sorted({*seen[SAMPLED // 2 :: SAMPLED]})
     else:
         found = df.agg(F.percentile_approx(first, [i / count for i in range(1, count)] or [0.5])).first()[0] or []
         bounds = sorted({*found})

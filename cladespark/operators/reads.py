@@ -36,13 +36,14 @@ def extract_single(reads: DataFrame, table: list[tuple] | None = None) -> DataFr
 def extract_paired(first: DataFrame, second: DataFrame, table: list[tuple] | None = None) -> DataFrame:
     """read_no, read_r1, read_r2, umi, lib, ms_r1, ms_r2: runs of six A and more that start within the library's window."""
     known = libraries(first.sparkSession, table or PAIRED, "lib string, low int, high int")
-    mates = first.select("read_no", F.col("seq").alias("read_r1")).join(second.select("read_no", reverse_complement(F.col("seq")).alias("read_r2")), "read_no")
+    keys = [c for c in ("file_no", "read_no") if c in first.columns and c in second.columns]
+    mates = first.select(*keys, F.col("seq").alias("read_r1")).join(second.select(*keys, reverse_complement(F.col("seq")).alias("read_r2")), keys)
     cut = mates.withColumns({"umi": F.substring("read_r1", 1, 20), "lib": F.substring("read_r1", 21, 10)}).join(F.broadcast(known), "lib", "left")  # a short list
     out = {}
     for name in ("r1", "r2"):
         run, start = first_run(F.col(f"read_{name}"), "A{6,}")
         out[f"ms_{name}"] = F.when(start.between(F.col("low"), F.col("high")), run)
-    return cut.withColumns(out).select("read_no", "read_r1", "read_r2", "umi", "lib", "ms_r1", "ms_r2")
+    return cut.withColumns(out).select(*keys, "read_r1", "read_r2", "umi", "lib", "ms_r1", "ms_r2")
 
 
 def same_number(first: DataFrame, second: DataFrame) -> None:

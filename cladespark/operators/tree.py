@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import trees
+from ..storage import shared_dir
 
 SCHEMA = "node int, parent int, name string, len double, support double, is_leaf boolean, x double, y double"
 
@@ -68,23 +69,26 @@ def to_newick(tree: DataFrame, tree_id: str = "tree_id") -> DataFrame:
     return tree.select(tree_id, "node", "parent", "name", "len", "support").groupBy(tree_id).applyInPandas(write, f"{tree_id} {kind}, newick string")
 
 
-def ancestors(tree: DataFrame, keys: list[str], most: int = 64) -> DataFrame:
-    """keys, node, anc, hops: each node with itself (0) and all nodes above it. Paths double each turn."""
+def ancestors(tree: DataFrame, keys: list[str]) -> DataFrame:
+    """keys, node, anc, hops: each node with itself (0) and all nodes above it. Paths double each turn until none is longer."""
+    shared_dir(tree.sparkSession)
+    hop = lambda rows: rows.select(*keys, F.col("node").alias("anc"), F.col("anc").alias("top"), F.col("hops").alias("h"))
+    longer = lambda x, y: x.join(hop(y), [*keys, "anc"]).select(*keys, "node", F.col("top").alias("anc"), (F.col("hops") + F.col("h")).alias("hops"))
     up = tree.filter("parent is not null").select(*keys, "node", F.col("parent").alias("anc"), F.lit(1).alias("hops"))
     reach = tree.select(*keys, "node", F.col("node").alias("anc"), F.lit(0).alias("hops"))
-    step = 1
-    while step < most:
-        more = reach.join(up.select(*keys, F.col("node").alias("anc"), F.col("anc").alias("top"), F.col("hops").alias("h")), [*keys, "anc"]).select(*keys, "node", F.col("top").alias("anc"), (F.col("hops") + F.col("h")).alias("hops"))
-        reach = reach.unionByName(more)
-        up = up.join(up.select(*keys, F.col("node").alias("anc"), F.col("anc").alias("top"), F.col("hops").alias("h")), [*keys, "anc"]).select(*keys, "node", F.col("top").alias("anc"), (F.col("hops") + F.col("h")).alias("hops"))
-        if step >= 4 and not up.limit(1).count():
-            break
-        step *= 2
-    return reach
+    for _ in range(2):  # up to three hops, in one plan
+        reach, up = reach.unionByName(longer(reach, up)), longer(up, up)
+    while True:
+        up = up.checkpoint()
+        if not up.limit(1).count():
+            return reach
+        reach, up = reach.unionByName(longer(reach, up)).checkpoint(), longer(up, up)
 
 
 def leaf_pairs(tree: DataFrame, keys: list[str]) -> DataFrame:
     """keys, a, b, edges (between them over their closest common ancestor), depth (length from the root to it), of leaf names a < b."""
+    shared_dir(tree.sparkSession)
+    tree = tree.checkpoint()  # building it is dear, and it is read several times
     reach = ancestors(tree, keys)
     lengths = reach.join(tree.select(*keys, F.col("node").alias("anc"), "len"), [*keys, "anc"]).groupBy(*keys, "node").agg(F.sum("len").alias("depth"))
     named = reach.join(tree.filter("name is not null").select(*keys, "node", "name"), [*keys, "node"])
@@ -96,6 +100,8 @@ def leaf_pairs(tree: DataFrame, keys: list[str]) -> DataFrame:
 
 def clades(tree: DataFrame, keys: list[str]) -> DataFrame:
     """keys, node, leaves: the sorted leaf names below each inner node."""
+    shared_dir(tree.sparkSession)
+    tree = tree.checkpoint()  # building it is dear, and it is read several times
     reach = ancestors(tree, keys).filter("hops > 0")
     named = reach.join(tree.filter("name is not null").select(*keys, "node", "name"), [*keys, "node"])
     return named.groupBy(*keys, F.col("anc").alias("node")).agg(F.array_sort(F.collect_list("name")).alias("leaves"))  # a tree's leaves

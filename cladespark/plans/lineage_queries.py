@@ -360,6 +360,4 @@ def genotype_permutation_test(spark: SparkSession, sf_dir: str) -> DataFrame:
     pairs = permuted_distances(spark, sf_dir, 10).select(F.col("perm").alias("tree_id"), F.col("s1").alias("i"), F.col("s2").alias("j"), "dist")
     sibs = tree.siblings(tree.neighbour_joining(pairs, outgroup="Midpoint"), ["tree_id"])
     own = labels(spark, sf_dir)
-    side = lambda n: own.select(F.col("sample").alias(n), F.col("grp").alias(f"g{n}"))
-    runs = sibs.join(side("a"), "a", "left").join(side("b"), "b", "left").groupBy("tree_id").agg((100 * F.avg(F.coalesce(F.col("ga") == F.col("gb"), F.lit(False)).cast("int"))).alias("percentage"))
-    return evaluate.permutation_summary(evaluate.sibling_percentage(tree.siblings(original_tree(spark, sf_dir)), own), runs)
+    return evaluate.permutation_summary(evaluate.sibling_percentage(tree.siblings(original_tree(spark, sf_dir)), own), evaluate.sibling_percentage(sibs, own, ["tree_id"]))

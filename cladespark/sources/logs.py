@@ -16,12 +16,17 @@ def number(text: Column, pattern: str, kind: str = "long") -> Column:
     return F.replace(F.regexp_extract(text, pattern, 1), F.lit(","), F.lit("")).try_cast(kind)
 
 
+def after(parts: Column, count: int) -> Column:
+    """An array without its first elements."""
+    return F.slice(parts, F.lit(count + 1), F.greatest(F.size(parts) - count, F.lit(0)))
+
+
 def methylpy_sessions(texts: DataFrame, paired: bool = True) -> DataFrame:
     """file, sample, total, mapped, deduplicated (of pairs), or sample, total, mapped (of single reads).
 
     A log is cut at ``Processing file:``; sessions in which a figure is missing are left out.
     """
-    sessions = texts.select("file", F.explode(F.slice(F.split("text", "Processing file:"), 2, 1_000_000)).alias("s"))
+    sessions = texts.select("file", F.explode(after(F.split("text", "Processing file:"), 1)).alias("s"))
     sample = F.regexp_extract("s", r"^\s*(\S+)", 1)
     unit = "read pairs" if paired else "reads"
     figures = {"total": rf"There are (?:total )?([\d,]+) (?:total )?(?:input )?{unit}", "mapped": rf"There are ([\d,]+) uniquely mapping {unit}"}
@@ -67,5 +72,5 @@ def bismark_average(reports: DataFrame) -> DataFrame:
 
 def bismark_sample(name: Column) -> Column:
     """A sample's name without its first three parts and any date of eight digits."""
-    parts = F.slice(F.split(name, "_"), 4, 1000)
+    parts = after(F.split(name, "_"), 3)
     return F.array_join(F.filter(parts, lambda p: ~p.rlike(r"^\d{8}$")), "_")

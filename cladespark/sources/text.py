@@ -72,15 +72,20 @@ def longest_pair(pieces: Column) -> list[Column]:
     return [best["up"].alias("up"), best["down"].alias("down")]
 
 
+def from_tenth(parts: Column) -> Column:
+    """The columns of samples."""
+    return F.slice(parts, F.lit(10), F.greatest(F.size(parts) - 9, F.lit(0)))
+
+
 def vcf(spark: SparkSession, path: str) -> DataFrame:
     """chrom, pos, target, info, format, sample, call, line: a row for each sample of each record; of a repeated target the last."""
     lines = numbered(spark, path)
-    header = lines.filter(F.col("value").startswith("#CHROM")).select("file", F.slice(F.split("value", r"\s+"), 10, 100_000).alias("samples"))
+    header = lines.filter(F.col("value").startswith("#CHROM")).select("file", from_tenth(F.split("value", r"\s+")).alias("samples"))
     body = lines.filter(~F.col("value").startswith("#") & (F.trim("value") != "")).withColumn("f", F.split(F.trim("value"), r"\s+")).filter(F.size("f") > 9)
-    rows = body.join(F.broadcast(header), "file")  # a row for each file
+    rows = body.join(header, "file")
     last = Window.partitionBy("target").orderBy(F.col("file").desc(), F.col("line").desc())
     at = lambda i: F.get("f", F.lit(i))
-    one = rows.select("file", "line", at(0).alias("chrom"), at(1).try_cast("int").alias("pos"), at(2).alias("target"), at(7).alias("info"), at(8).alias("format"), F.arrays_zip("samples", F.slice("f", 10, 100_000).alias("calls")).alias("s"))
+    one = rows.select("file", "line", at(0).alias("chrom"), at(1).try_cast("int").alias("pos"), at(2).alias("target"), at(7).alias("info"), at(8).alias("format"), F.arrays_zip("samples", from_tenth(F.col("f")).alias("calls")).alias("s"))
     one = one.withColumn("k", F.row_number().over(last)).filter("k = 1")
     return one.select("chrom", "pos", "target", "info", "format", "line", F.explode("s").alias("s")).select("chrom", "pos", "target", "info", "format", "line", F.col("s")["samples"].alias("sample"), F.col("s")["calls"].alias("call"))
 
@@ -165,8 +170,10 @@ def matrix(spark: SparkSession, path: str, value: str = "value") -> DataFrame:
 
 
 def fastq(spark: SparkSession, path: str) -> DataFrame:
-    """read_no, seq: the second of every four lines."""
-    return numbered(spark, path).filter("pmod(line, 4) = 1").select(F.floor(F.col("line") / 4).alias("read_no"), F.trim("value").alias("seq"))
+    """file_no (the file's place among those that the path names), read_no in its file, seq: the second of every four lines."""
+    lines = numbered(spark, path)
+    files = lines.select("file").distinct().withColumn("file_no", F.row_number().over(Window.orderBy("file")))  # a row for each file
+    return lines.filter("pmod(line, 4) = 1").join(files, "file").select("file_no", F.floor(F.col("line") / 4).alias("read_no"), F.trim("value").alias("seq"))
 
 
 def fasta(spark: SparkSession, path: str) -> DataFrame:

@@ -1,14 +1,12 @@
 """Tables that cut lineage, in the folder that the cluster shares.
 
-The folder is the session's ``spark.checkpoint.dir``. Only where that is unset
-(tests, a single machine) is a local folder used in its place.
+The folder is the session's ``spark.checkpoint.dir``. Only where that is unset is a
+folder below the session's warehouse, which executors share too, used in its place.
 """
 
 from __future__ import annotations
 
 import contextlib
-import os
-import tempfile
 import uuid
 from collections.abc import Iterator
 
@@ -20,7 +18,7 @@ def shared_dir(spark: SparkSession) -> str:
     context = spark.sparkContext
     folder = spark.conf.get("spark.checkpoint.dir", None) or context.getCheckpointDir()
     if not folder:
-        folder = "file://" + os.path.join(tempfile.gettempdir(), f"cladespark-{os.getpid()}")
+        folder = f"{spark.conf.get('spark.sql.warehouse.dir').rstrip('/')}/scratch"
     if not context.getCheckpointDir():
         context.setCheckpointDir(folder)
     return folder.rstrip("/")

@@ -230,3 +230,25 @@ def test_p_values():
     assert stats.p_of_t(2.228, 10) == pytest.approx(0.05, abs=1e-4)
     assert stats.p_of_f(4.26, 2, 9) == pytest.approx(0.05, abs=1e-3)
     assert stats.p_of_z(1.96) == pytest.approx(0.05, abs=1e-3)
+
+
+def test_deep_trees_keep_all_ancestors(spark):
+    """A comb of 200 levels: each level has one leaf."""
+    levels = 200
+    rows = [(0, None, None, 0.0)]
+    for k in range(levels):
+        rows += [(2 * k + 1, 2 * k, f"s{k:03d}", 1.0), (2 * k + 2, 2 * k, None if k + 1 < levels else "end", 1.0)]
+    comb = spark.createDataFrame(rows, "node int, parent int, name string, len double")
+    got = {(r.a, r.b): (r.edges, r.depth) for r in tree.leaf_pairs(comb, []).collect()}
+    assert len(got) == (levels + 1) * levels // 2
+    assert got["s000", "s199"] == (201, 0.0)
+    assert got["s150", "s199"] == (51, 150.0)
+    sizes = sorted(len(r.leaves) for r in tree.clades(comb, []).collect())
+    assert sizes == list(range(2, levels + 2))
+
+
+def test_siblings_of_many_trees(spark):
+    sibs = spark.createDataFrame([(1, "a", "b"), (1, "c", "d"), (2, "a", "c"), (2, "b", "e")], "tree_id int, a string, b string")
+    labels = spark.createDataFrame([("a", "g"), ("b", "g"), ("c", "h")], "sample string, grp string")
+    got = {r.tree_id: (r.comparisons, r.pairs, r.percentage) for r in evaluate.sibling_percentage(sibs, labels, ["tree_id"]).collect()}
+    assert got == {1: (2, 1, 50.0), 2: (2, 0, 0.0)}
