@@ -26,7 +26,7 @@ def stats(spark: SparkSession, sf_dir: str) -> DataFrame:
     return counting.merged_stats(ms, counting.cpg_stats(sites), 700, 0)
 
 
-@query("S24 J1 A1 P1 K1", f"with {DEPTH} select * from depths")
+@query("S24 J1 A1 P1", f"with {DEPTH} select * from depths")
 def target_depth(spark: SparkSession, sf_dir: str) -> DataFrame:
     return depths(spark, sf_dir)
 
@@ -36,7 +36,7 @@ def sample_depth_stats(spark: SparkSession, sf_dir: str) -> DataFrame:
     return counting.depth_stats(depths(spark, sf_dir), 3)
 
 
-@query("J6 P3 K2", f"with {STATS} select * from stats")
+@query("J6 P3", f"with {STATS} select * from stats")
 def sample_stats(spark: SparkSession, sf_dir: str) -> DataFrame:
     return stats(spark, sf_dir)
 
@@ -46,7 +46,7 @@ def passing_depth(spark: SparkSession, sf_dir: str) -> DataFrame:
     return counting.passing_only(depths(spark, sf_dir), stats(spark, sf_dir))
 
 
-@query("A3 K3", f"""with {STATS} select count(*) as samples, count(*) filter (pass) as samples_passing,
+@query("A3", f"""with {STATS} select count(*) as samples, count(*) filter (pass) as samples_passing,
  round(avg(targets_with_min_reads), 6) as mean_targets_with_min_reads_all, round(median(targets_with_min_reads), 6) as median_targets_with_min_reads_all,
  round(avg(targets_with_min_reads) filter (pass), 6) as mean_targets_with_min_reads_passing, round(median(targets_with_min_reads) filter (pass), 6) as median_targets_with_min_reads_passing,
  round(avg(cpg_count), 6) as mean_cpg_count_all, round(median(cpg_count), 6) as median_cpg_count_all,

@@ -78,7 +78,7 @@ _distance_query("allComp_EqorNot", "T4")
 _distance_query("allComp_Abs", "T4")
 
 
-@query("A8 K5", f"""with {distance_sql("minComp_EqorNot")} select round(avg(num_targets) filter (s1 = s2), 6) as cell_mean, min(num_targets) filter (s1 = s2) as cell_min, max(num_targets) filter (s1 = s2) as cell_max,
+@query("A8", f"""with {distance_sql("minComp_EqorNot")} select round(avg(num_targets) filter (s1 = s2), 6) as cell_mean, min(num_targets) filter (s1 = s2) as cell_min, max(num_targets) filter (s1 = s2) as cell_max,
  round(avg(num_targets) filter (s1 <> s2), 6) as pair_mean, min(num_targets) filter (s1 <> s2) as pair_min, max(num_targets) filter (s1 <> s2) as pair_max from dists""")
 def distance_tree_stats(spark: SparkSession, sf_dir: str) -> DataFrame:
     return distance.tree_stats(distance.pair_distances(alleles(spark, sf_dir)))
@@ -114,17 +114,17 @@ def original_tree(spark: SparkSession, sf_dir: str, outgroup: str = "Midpoint")
     return tree.neighbour_joining(pairs, outgroup=outgroup)
 
 
-@query("T6 T7 T8 T22 S23")
+@query("T6 T7 T8 T22")
 def lineage_tree(spark: SparkSession, sf_dir: str) -> DataFrame:
     return original_tree(spark, sf_dir)
 
 
-@query("K6 T11")
+@query("T11")
 def lineage_newick(spark: SparkSession, sf_dir: str) -> DataFrame:
     return tree.to_newick(original_tree(spark, sf_dir, "s00"))
 
 
-@query("T10 A10 K7 J16 D14 U5 T25")
+@query("T10 A10 J16 D14 U5 T25")
 def clade_support(spark: SparkSession, sf_dir: str) -> DataFrame:
     replicas = bootstrapped(spark, sf_dir, 20).select(F.col("iteration").alias("tree_id"), F.col("s1").alias("i"), F.col("s2").alias("j"), "dist")
     found = tree.support(original_tree(spark, sf_dir), tree.neighbour_joining(replicas, outgroup="Midpoint"), 20)
@@ -181,7 +181,7 @@ def triplet_results(spark: SparkSession, sf_dir: str) -> DataFrame:
     return triplet_rows(spark, sf_dir)
 
 
-@query("A11 A39 K11", f"""with recursive {TRIPLETS} select case when grouping(ref_max) = 1 then 'All_Distances' else cast(ref_max as varchar) end as mrca_distance, cast(coalesce(sum(correct), 0) as bigint) as correct, count(*) as total,
+@query("A11 A39", f"""with recursive {TRIPLETS} select case when grouping(ref_max) = 1 then 'All_Distances' else cast(ref_max as varchar) end as mrca_distance, cast(coalesce(sum(correct), 0) as bigint) as correct, count(*) as total,
  round(sum(correct) / count(*), 6) as accuracy from results where ref_max <> 0 group by rollup (ref_max)""")
 def triplet_accuracy(spark: SparkSession, sf_dir: str) -> DataFrame:
     return evaluate.triplet_accuracy(triplet_rows(spark, sf_dir))
@@ -207,7 +207,7 @@ def permuted_labels(spark: SparkSession, sf_dir: str) -> DataFrame:
     return resample.permuted_labels(labels(spark, sf_dir), 50)
 
 
-@query("A13 K13 T18", f"""with {SIBLINGS}, {PERMUTED}, runs as (select x.perm, 100 * count(*) filter (x.grp = y.grp) / count(*) as percentage from sibs join permuted x on x.sample = a join permuted y on y.sample = b and y.perm = x.perm group by 1),
+@query("A13 T18", f"""with {SIBLINGS}, {PERMUTED}, runs as (select x.perm, 100 * count(*) filter (x.grp = y.grp) / count(*) as percentage from sibs join permuted x on x.sample = a join permuted y on y.sample = b and y.perm = x.perm group by 1),
  observed as (select 100 * count(*) filter (x.grp = y.grp) / count(*) as observed from sibs join labels x on x.sample = a join labels y on y.sample = b)
  select round(observed, 6) as observed, count(*) as permutations, round(avg(percentage), 6) as mean, round(median(percentage), 6) as median, round(max(percentage), 6) as largest, round(avg(case when percentage >= observed then 1 else 0 end), 6) as p_value from runs, observed group by observed""")
 def label_permutation_test(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -216,13 +216,13 @@ def label_permutation_test(spark: SparkSession, sf_dir: str) -> DataFrame:
     return evaluate.permutation_summary(evaluate.sibling_percentage(sibs, own), runs)
 
 
-@query("T15 J11 K12", """with ranked as (select sample, target, row_number() over (partition by sample order by md5(concat_ws('|', '1', sample, target)), target) as k, count(*) over (partition by sample) as n from v_calls)
+@query("T15 J11", """with ranked as (select sample, target, row_number() over (partition by sample order by md5(concat_ws('|', '1', sample, target)), target) as k, count(*) over (partition by sample) as n from v_calls)
  select c.* from v_calls c join ranked r on r.sample = c.sample and r.target = c.target where n >= 100 and k <= 100""")
 def downsampled_calls(spark: SparkSession, sf_dir: str) -> DataFrame:
     return resample.downsample(view(spark, sf_dir, "v_calls"), 100)
 
 
-@query("T17 S15 K18", """with places as (select i as perm, sample, target, row_number() over (partition by i, target order by sample) as k, row_number() over (partition by i, target order by md5(concat_ws('|', '1', i, target, sample)), sample) as m, a1, a2 from v_calls, range(1, 4) t(i))
+@query("T17", """with places as (select i as perm, sample, target, row_number() over (partition by i, target order by sample) as k, row_number() over (partition by i, target order by md5(concat_ws('|', '1', i, target, sample)), sample) as m, a1, a2 from v_calls, range(1, 4) t(i))
  select cast(s.perm as integer) as perm, s.sample, s.target, g.a1, g.a2 from places s join places g on g.perm = s.perm and g.target = s.target and g.m = s.k""")
 def permuted_genotypes(spark: SparkSession, sf_dir: str) -> DataFrame:
     return resample.permuted_genotypes(view(spark, sf_dir, "v_calls").select("sample", "target", "a1", "a2"), 3)
@@ -288,7 +288,7 @@ def plotted(spark: SparkSession, sf_dir: str) -> DataFrame:
     return loci.deviations(values, loci.baselines(values)).join(own, "sample").select("target", "sample", "clone", loci.farther().alias("value"))
 
 
-@query("S14 P24", f"with {COVERED} select * from kept")
+@query("P24", f"with {COVERED} select * from kept")
 def covered_loci(spark: SparkSession, sf_dir: str) -> DataFrame:
     return covered_alleles(spark, sf_dir)
 
@@ -321,7 +321,7 @@ def centred_values(spark: SparkSession, sf_dir: str) -> DataFrame:
     return loci.centred(plotted(spark, sf_dir))
 
 
-@query("J17 S3 S4 D1", "with sheet as (select sample, min(grp) as grp from v_samples group by 1) select t.node, t.name, t.len, coalesce(s.grp, 'unknown') as grp, case s.grp when 'g0' then 'red' when 'g1' then 'blue' else 'grey' end as color from v_tree t left join sheet s on s.sample = t.name where t.name is not null")
+@query("J17 D1", "with sheet as (select sample, min(grp) as grp from v_samples group by 1) select t.node, t.name, t.len, coalesce(s.grp, 'unknown') as grp, case s.grp when 'g0' then 'red' when 'g1' then 'blue' else 'grey' end as color from v_tree t left join sheet s on s.sample = t.name where t.name is not null")
 def tree_tip_colors(spark: SparkSession, sf_dir: str) -> DataFrame:
     sheet = labels(spark, sf_dir).withColumn("color", F.when(F.col("grp") == "g0", "red").when(F.col("grp") == "g1", "blue"))
     tips = view(spark, sf_dir, "v_tree").filter("name is not null")
@@ -329,7 +329,7 @@ def tree_tip_colors(spark: SparkSession, sf_dir: str) -> DataFrame:
     return joined.select("node", "name", "len", F.coalesce("grp", F.lit("unknown")).alias("grp"), F.coalesce("color", F.lit("grey")).alias("color"))
 
 
-@query("A14 S5", "select grp, count(*) as cells from v_samples group by 1")
+@query("A14", "select grp, count(*) as cells from v_samples group by 1")
 def group_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return view(spark, sf_dir, "v_samples").groupBy("grp").agg(F.count(F.lit(1)).alias("cells"))
 
@@ -354,7 +354,7 @@ def permuted_genotype_distances(spark: SparkSession, sf_dir: str) -> DataFrame:
     return permuted_distances(spark, sf_dir, 3).filter("s1 <> s2 and num_alleles > 0").select("perm", "s1", "s2", "num_alleles", "num_diff")
 
 
-@query("T18 A13 K13")
+@query("T18 A13")
 def genotype_permutation_test(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Shuffled genotypes to trees to sibling percentages; permutations are tree ids."""
     pairs = permuted_distances(spark, sf_dir, 10).select(F.col("perm").alias("tree_id"), F.col("s1").alias("i"), F.col("s2").alias("j"), "dist")

@@ -22,12 +22,12 @@ def scores(spark: SparkSession, sf_dir: str) -> DataFrame:
     return methyl.dissimilarity(view(spark, sf_dir, "v_sites"), view(spark, sf_dir, "v_refsites"), 20)
 
 
-@query("P11 P12 S16", f"with {USABLE} select cell, site, cov, mc, round(frac, 6) as frac from cs")
+@query("P11 P12", f"with {USABLE} select cell, site, cov, mc, round(frac, 6) as frac from cs")
 def usable_sites(spark: SparkSession, sf_dir: str) -> DataFrame:
     return methyl.usable_sites(view(spark, sf_dir, "v_sites"))
 
 
-@query("A4 P10 S17", """select cell, count(*) filter (cov > 0) as cpg_count, count(*) filter (cov > 0 and mc / cov > 0.5) as methylated_count,
+@query("A4 P10", """select cell, count(*) filter (cov > 0) as cpg_count, count(*) filter (cov > 0 and mc / cov > 0.5) as methylated_count,
  round(coalesce(count(*) filter (cov > 0 and mc / cov > 0.5) / nullif(count(*) filter (cov > 0), 0), 0), 6) as methylation_rate from v_sites group by 1""")
 def cpg_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return counting.cpg_stats(view(spark, sf_dir, "v_sites"), "cell")
@@ -47,7 +47,7 @@ def methylation_rates(spark: SparkSession, sf_dir: str) -> DataFrame:
     return methyl.coverage_rates(view(spark, sf_dir, "v_sites").withColumn("context", F.expr(CONTEXT)), "cell")
 
 
-@query("A9 J4 J5 K8", f"with {SCORES} select cell, ref, shared, round(score, 6) as score from scores")
+@query("A9 J4 J5", f"with {SCORES} select cell, ref, shared, round(score, 6) as score from scores")
 def dissimilarity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scores(spark, sf_dir)
 
@@ -57,11 +57,11 @@ def z_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
     return methyl.z_scores(scores(spark, sf_dir))
 
 
-@query("W3 K10", f"with {ASSIGNED} select cell, best, round(best_score, 6) as best_score, round(best_z, 6) as best_z, second, round(second_z, 6) as second_z, assigned from assigned")
+@query("W3", f"with {ASSIGNED} select cell, best, round(best_score, 6) as best_score, round(best_z, 6) as best_z, second, round(second_z, 6) as second_z, assigned from assigned")
 def cell_types(spark: SparkSession, sf_dir: str) -> DataFrame:
     return methyl.assigned(scores(spark, sf_dir))
 
 
-@query("A35 K9", f"with {ASSIGNED} select assigned, count(*) as cells, round(100 * count(*) / sum(count(*)) over (), 6) as percent from assigned group by 1")
+@query("A35", f"with {ASSIGNED} select assigned, count(*) as cells, round(100 * count(*) / sum(count(*)) over (), 6) as percent from assigned group by 1")
 def cell_type_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
     return methyl.assignment_summary(methyl.assigned(scores(spark, sf_dir)))

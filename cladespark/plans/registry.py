@@ -39,4 +39,4 @@ def query(covers: str, sql: str | None = None) -> Callable[[Query], Query]:
     return add
 
 
-from . import counting_queries, lineage_queries, methylation_queries, sequence_queries, statistics_queries  # noqa: E402, F401
+from . import counting_queries, file_queries, lineage_queries, methylation_queries, sequence_queries, statistics_queries  # noqa: E402, F401

@@ -51,7 +51,7 @@ def homopolymer_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
 CUTS = "select doc_id, name, cast(list_sum(list_transform(p[1:i], lambda x: length(x))) + (i - 1) * length(site) + cut as integer) as pos from (select doc_id, name, site, cut, string_split(seq, site) as p, unnest(range(1, len(string_split(seq, site)))) as i from v_seq, (values ('one', 'ACG', 1), ('two', 'CCG', 2)) e(name, site, cut))"
 
 
-@query("F7 S30 D23", CUTS)
+@query("F7 D23", CUTS)
 def restriction_cuts(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = None
     for name, site in ENZYMES.items():
@@ -60,7 +60,7 @@ def restriction_cuts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out
 
 
-@query("P13 P14 S25 K14", f"""with cut as (select doc_id as read_no, seq as read, substring(seq, 4, 20) as umi, substring(seq, 24, 10) as lib from v_seq),
+@query("P13 P14", f"""with cut as (select doc_id as read_no, seq as read, substring(seq, 4, 20) as umi, substring(seq, 24, 10) as lib from v_seq),
  found as (select c.*, l.low, l.high, nullif(regexp_extract(read, l.pattern), '') as run from cut c left join (values {LIB_ROWS}) l(lib, pattern, low, high) on l.lib = c.lib)
  select read_no, read, umi, lib, case when strpos(read, run) - 1 >= low and strpos(read, run) - 1 + length(run) <= high then run end as ms from found""")
 def single_read_repeats(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -72,7 +72,7 @@ PAIRS_SQL = f"""mates as (select a.doc_id as read_no, a.seq as read_r1, reverse(
  found as (select read_no, read_r1, read_r2, umi, c.lib, case when strpos(read_r1, x1) - 1 between low and high then x1 end as ms_r1, case when strpos(read_r2, x2) - 1 between low and high then x2 end as ms_r2 from cut c left join (values {PAIRED_ROWS}) l(lib, low, high) on l.lib = c.lib)"""
 
 
-@query("P15 J15 S26", f"with {PAIRS_SQL} select * from found")
+@query("P15 J15", f"with {PAIRS_SQL} select * from found")
 def paired_read_repeats(spark: SparkSession, sf_dir: str) -> DataFrame:
     return reads.extract_paired(as_reads(spark, sf_dir), as_reads(spark, sf_dir, 1), PAIRED)
 
@@ -124,7 +124,7 @@ def sizes(spark: SparkSession, sf_dir: str) -> DataFrame:
     return probes.size_classes(probes.fragments(marks(spark, sf_dir)), 60)
 
 
-@query("A31 K15", f"with {SIZES} select class, size, n from sizes")
+@query("A31", f"with {SIZES} select class, size, n from sizes")
 def fragment_sizes(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sizes(spark, sf_dir)
 
@@ -160,7 +160,7 @@ def probe_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return probes.probe_counts(probe_rows(spark, sf_dir))
 
 
-@query("O4 K16 O5", f"with {LISTED}, run as (select target, n_probes, coalesce(sum(n_probes) over (order by md5(concat_ws('|', '1', target)), target rows between unbounded preceding and 1 preceding), 0) as before from listed) select target, n_probes from run where before < 300")
+@query("O4 O5", f"with {LISTED}, run as (select target, n_probes, coalesce(sum(n_probes) over (order by md5(concat_ws('|', '1', target)), target rows between unbounded preceding and 1 preceding), 0) as before from listed) select target, n_probes from run where before < 300")
 def probes_within_budget(spark: SparkSession, sf_dir: str) -> DataFrame:
     return probes.within_budget(probe_rows(spark, sf_dir).select("target", "n_probes"), 300)
 
@@ -172,7 +172,7 @@ def duplicate_probes(spark: SparkSession, sf_dir: str) -> DataFrame:
     return duplicates(seqs(spark, sf_dir).select(F.substring("seq", 1, 6).alias("s")), "s")
 
 
-@query("P18 P20 S31", "select doc_id from v_seq where length(regexp_extract(seq, 'A{4,}')) between 5 and 8 and substring(seq, strpos(seq, 'AAAA'), 4) = 'AAAA'")
+@query("P18 P20", "select doc_id from v_seq where length(regexp_extract(seq, 'A{4,}')) between 5 and 8 and substring(seq, strpos(seq, 'AAAA'), 4) = 'AAAA'")
 def long_repeats(spark: SparkSession, sf_dir: str) -> DataFrame:
     genome = seqs(spark, sf_dir).select(F.col("doc_id").alias("chrom"), "seq")
     start = F.instr("seq", "AAAA") - 1

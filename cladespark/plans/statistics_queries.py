@@ -11,7 +11,7 @@ from .registry import query
 from .views import table, view
 
 
-@query("A16 S13", """select sample, cast(target % 5 as integer) as length, count(q) as n, round(median(q), 6) as median, round(quantile_cont(q, 0.25), 6) as q25, round(quantile_cont(q, 0.75), 6) as q75, round(avg(case when q >= 0.9 then 1 else 0 end), 6) as frac_good from v_calls group by 1, 2""")
+@query("A16", """select sample, cast(target % 5 as integer) as length, count(q) as n, round(median(q), 6) as median, round(quantile_cont(q, 0.25), 6) as q25, round(quantile_cont(q, 0.75), 6) as q75, round(avg(case when q >= 0.9 then 1 else 0 end), 6) as frac_good from v_calls group by 1, 2""")
 def quality_by_length(spark: SparkSession, sf_dir: str) -> DataFrame:
     return stats.quality_summary(view(spark, sf_dir, "v_calls").withColumn("length", (F.col("target") % 5).cast("int")), ["sample", "length"], "q")
 
@@ -24,7 +24,7 @@ def price_description(spark: SparkSession, sf_dir: str) -> DataFrame:
 METRICS = ["l_quantity", "l_extendedprice", "l_discount"]
 
 
-@query("A18 A33 K17 K19", " union all ".join(f"select '{m}' as metric, round(avg({m}), 6) as mean, round(median({m}), 6) as median, round(stddev_samp({m}), 6) as std, round(min({m}), 6) as min, round(max({m}), 6) as max from lineitem" for m in METRICS))
+@query("A18 A33", " union all ".join(f"select '{m}' as metric, round(avg({m}), 6) as mean, round(median({m}), 6) as median, round(stddev_samp({m}), 6) as std, round(min({m}), 6) as min, round(max({m}), 6) as max from lineitem" for m in METRICS))
 def metric_table(spark: SparkSession, sf_dir: str) -> DataFrame:
     return stats.metric_table(table(spark, sf_dir, "lineitem"), METRICS)
 
@@ -64,7 +64,7 @@ def mean_bands(spark: SparkSession, sf_dir: str) -> DataFrame:
     return stats.mean_band(view(spark, sf_dir, "v_calls"), ["sample"], "q")
 
 
-@query("A36 S12", " union all ".join(f"select sample, {n} as level, round(100 * avg(case when depth >= {n} then 1 else 0 end), 6) as percent from v_calls group by 1" for n in (1, 2, 10, 30, 50)))
+@query("A36", " union all ".join(f"select sample, {n} as level, round(100 * avg(case when depth >= {n} then 1 else 0 end), 6) as percent from v_calls group by 1" for n in (1, 2, 10, 30, 50)))
 def coverage_levels(spark: SparkSession, sf_dir: str) -> DataFrame:
     return stats.coverage_table(view(spark, sf_dir, "v_calls"), ["sample"], "depth")
 
