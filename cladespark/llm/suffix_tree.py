@@ -2,22 +2,26 @@
 
 Symbols are words of ASCII-lower-cased text and one end at the end of each text. A
 context is a run of up to ``DEPTH`` words. A run counts where it occurs LEAST times in
-the training texts, at any size of corpus, so the tree grows with them. A context is
-retained if the distribution after it diverges from that of its longest retained suffix
-by ``DIVERGENCE`` nats at least, or if a longer context that ends in it is retained.
+the training texts, at any size of corpus, so the tree grows with them. The tree grows
+from its root: a context is retained if its suffix is and the distribution after it
+diverges from that after its suffix by ``DIVERGENCE`` nats at least.
 
 Next-symbol probabilities: (n(s, x) - DISCOUNT) / n(s) for symbols that count after s;
-what is left goes to all others, in proportion to the longest retained suffix, and at
-the root to the smoothed word counts (c + 0.1) / (N + 0.1 (V + 1)). Each text is scored
-from the longest retained context before each symbol.
-
-The tree is tables of runs, keyed by hash. A run that counts has all its own runs in the
-tables of shorter ones, so a text's log score is a sum of one value for each of its runs
-(``values``), and contexts are joined to the tree without any part of it on the driver.
-Workers hold the words with WORD_SHARE of the tokens (1 / WORD_SHARE at most) and a
-sieve of fixed size, which spares the shuffle runs that are in no table.
-
-Words are compared by 63 bits of a 64-bit hash, runs by 64 bits.
+what is left goes to all others, in proportion to the suffix, and at the root to the
+smoothed word counts (c + 0.1) / (N + 0.1 (V + 1)). Each text is scored from the longest
+retained context before each symbol.
+
+Texts are read once, into chunks of about CHUNK symbols, numbered within the chunk. From
+then on chunks ask and stores answer: a chunk sends its distinct runs of a length, as
+sorted and packed hashes with its own counts, to the stores of their ranges of hashes; a
+store adds up what all chunks send and sends each chunk the sums, in the chunk's own
+order. Longer runs are asked for only where both shorter ones count. In the same way one
+chunk for each run (its owner) adds the run to its context's divergence, and chunks learn
+which contexts are retained. No part of the tree is on the driver or broadcast, a hot run
+is one number in each chunk, and a worker holds one chunk or one range of hashes.
+
+Words are compared by 63 bits of a 64-bit hash, runs by 64 bits; what is left after a
+context is sent in single precision.
 
 Defined results: null text is empty and has the end alone; a null key is held out of
 nothing and trains nothing (held_out null); repeated rows count and are scored each;
@@ -27,36 +31,34 @@ with no training text every word is unknown; further columns are left out.
 from __future__ import annotations
 
 import re
-from collections import Counter
-from collections.abc import Iterator
-from typing import NamedTuple
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
 import xxhash
+from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..storage import Scratch, scratch
+from ..storage import scratch
 from .batches import WORD, remainder, sliced
 
 DEPTH = 3
-#: Occurrences that a run needs to count, and their share of all training tokens.
+#: Occurrences that a run needs to count.
 LEAST = 2
-SHARE = 0.0
-WORD_SHARE = 5e-7
 DIVERGENCE = 0.02
 DISCOUNT = 0.5
 SMOOTHING = 0.1
 #: Stands for the end of a text.
 END_HASH = 1
-CACHED_WORDS = 400_000
-#: Distinct words that a task counts before it hands its counts on.
-COUNTED_WORDS = 500_000
-#: Symbols whose runs a task counts together.
-AT_ONCE = 2_000_000
-#: Bits of the sieve, as a power of 2, and of each of its blocks.
-SIEVE, BLOCK = 27, 16
+CACHED_WORDS = 200_000
+#: Symbols in a chunk, about: a text is in one chunk.
+CHUNK = 1_500_000
+#: Chunks for each range of hashes.
+CHUNKS_TO_STORE = 6
+#: What is sent besides counts of runs of k + 1 symbols (k): sums of contexts of k symbols (CONTEXTS + k).
+CONTEXTS = 10
+TRAINS, HELD, NEITHER = 0, 1, 2
 
 _words = re.compile(WORD).findall
 
@@ -65,259 +67,334 @@ def word_hash(word: bytes) -> int:
     return xxhash.xxh3_64_intdigest(word) >> 1
 
 
-def word_counts(texts: DataFrame, tables: Scratch) -> DataFrame:
-    """word (hash), n: how often each occurs in ``texts.text``, ends included."""
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        counts: Counter[bytes] = Counter()
-        ends = 0
-
-        def flush() -> pa.RecordBatch:
-            words = np.fromiter(map(word_hash, counts), np.int64, len(counts))
-            out = pa.RecordBatch.from_arrays([pa.array(np.append(words, END_HASH)), pa.array(np.append(np.fromiter(counts.values(), np.int64, len(counts)), ends))], ["word", "n"])
-            counts.clear()
-            return out
-
-        for batch in sliced(batches, 0):
-            for text in batch.column(0).to_pylist():
-                counts.update(_words((text or "").encode().lower()))
-                ends += 1
-            if len(counts) > COUNTED_WORDS:
-                yield flush()
-                ends = 0
-        if ends:
-            yield flush()
-
-    partial = texts.select("text").mapInArrow(run, "word long, n long")
-    return tables.keep(partial.groupBy("word").agg(F.sum("n").alias("n")).filter("n > 0"), "words")
-
-
-class Lexicon(NamedTuple):
-    """The frequent words, by hash in rising order, and the base probability of each."""
+def joined(runs: np.ndarray, symbols: np.ndarray) -> np.ndarray:
+    """The hashes of runs with one more symbol each."""
+    z = runs * np.uint64(0x9E3779B97F4A7C15) + symbols
+    z = (z ^ (z >> np.uint64(30))) * np.uint64(0xBF58476D1CE4E5B9)
+    z = (z ^ (z >> np.uint64(27))) * np.uint64(0x94D049BB133111EB)
+    return z ^ (z >> np.uint64(31))
 
-    words: np.ndarray
-    log_base: np.ndarray
-    tokens: int
-    distinct: int
-    least: int
 
+def packed(ordered: np.ndarray) -> bytes:
+    """Rising 64-bit numbers as differences, of as many bytes as the largest needs."""
+    steps = np.diff(ordered, prepend=np.uint64(0))
+    width = max(1, (int(steps.max()).bit_length() + 7) // 8) if len(steps) else 1
+    return bytes([width]) + np.ascontiguousarray(steps.view(np.uint8).reshape(-1, 8)[:, :width]).tobytes()
 
-def lexicon(counts: DataFrame) -> Lexicon:
-    tokens, distinct = counts.agg(F.coalesce(F.sum("n"), F.lit(0)), F.count(F.lit(1))).first()
-    rows = counts.filter((F.col("n") >= max(1, WORD_SHARE * tokens)) | (F.col("word") == END_HASH)).toPandas()  # 1 / WORD_SHARE rows at most
-    rows = rows.sort_values("word")
-    words, n = rows["word"].to_numpy(np.int64), rows["n"].to_numpy(np.int64)
-    z = tokens + SMOOTHING * (distinct + 1)
-    return Lexicon(words, np.log10((n + SMOOTHING) / z), int(tokens), int(distinct), max(LEAST, int(np.ceil(SHARE * tokens))))
 
+def unpacked(data: bytes) -> np.ndarray:
+    width = data[0]
+    rows = np.frombuffer(data, np.uint8, offset=1).reshape(-1, width)
+    out = np.zeros((len(rows), 8), np.uint8)
+    out[:, :width] = rows
+    return np.cumsum(out.view(np.uint64).ravel(), dtype=np.uint64)
 
-def coded(documents: DataFrame, words: Lexicon) -> DataFrame:
-    """row, key, held_out, n_tokens, ids (binary: 32-bit places in the lexicon, -1 for other words), rare (their hashes)."""
-    names = ["row", "key", "held_out", "n_tokens", "ids", "rare"]
-    key = documents.schema["key"].dataType.simpleString()
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        known: dict[bytes, int] = {}
-        ending = np.searchsorted(words.words, END_HASH)
-        end = np.array([ending if len(words.words) else -1], np.int32)
-
-        def learn(new: set[bytes]) -> None:
-            order = list(new)
-            hashes = np.fromiter(map(word_hash, order), np.int64, len(order))
-            at = np.searchsorted(words.words, hashes)
-            found = at < len(words.words)
-            found[found] = words.words[at[found]] == hashes[found]
-            known.update(zip(order, np.where(found, at, ~hashes).tolist()))
-
-        for batch in sliced(batches, 3):
-            n, ids, rare = [], [], []
-            for text in batch.column(3).to_pylist():
-                own = _words((text or "").encode().lower())
-                new = {*own}.difference(known)
-                if new:
-                    if len(known) + len(new) > CACHED_WORDS:
-                        known.clear()
-                        new = {*own}
-                    learn(new)
-                codes = np.fromiter(map(known.__getitem__, own), np.int64, len(own))
-                other = codes < 0
-                rare.append(~codes[other])
-                ids.append(np.concatenate([np.where(other, -1, codes).astype(np.int32), end]).tobytes())
-                n.append(len(own) + 1)
-            lists = pa.ListArray.from_arrays(pa.array(np.cumsum([0, *map(len, rare)]), pa.int32()), pa.array(np.concatenate([*rare, np.zeros(0, np.int64)])))
-            yield pa.RecordBatch.from_arrays([*(batch.column(i) for i in range(3)), pa.array(n, pa.int64()), pa.array(ids, pa.binary()), lists], names)
+def packed_counts(counts: np.ndarray) -> bytes:
+    """A byte each, and 64-bit numbers for those that don't fit."""
+    low = np.minimum(counts, 255).astype(np.uint8)
+    return np.int64(len(counts)).tobytes() + low.tobytes() + counts[low == 255].astype(np.int64).tobytes()
 
-    rows = documents.select(F.monotonically_increasing_id().alias("row"), "key", "held_out", "text")
-    return rows.mapInArrow(run, f"row long, key {key}, held_out boolean, n_tokens long, ids binary, rare array<long>")
 
+def unpacked_counts(data: bytes) -> np.ndarray:
+    count = int(np.frombuffer(data, np.int64, 1)[0])
+    out = np.frombuffer(data, np.uint8, count, 8).astype(np.int64)
+    out[out == 255] = np.frombuffer(data[8 + count :], np.int64)
+    return out
 
-def joined(runs: np.ndarray, symbols: np.ndarray) -> np.ndarray:
-    """The hashes of runs with one more symbol each."""
-    z = runs.view(np.uint64) * np.uint64(0x9E3779B97F4A7C15) + symbols.view(np.uint64)
-    z = (z ^ (z >> np.uint64(30))) * np.uint64(0xBF58476D1CE4E5B9)
-    z = (z ^ (z >> np.uint64(27))) * np.uint64(0x94D049BB133111EB)
-    return (z ^ (z >> np.uint64(31))).view(np.int64)
 
+def in_planes(ids: np.ndarray) -> bytes:
+    """All low bytes, then all second ones and so on, which compress well."""
+    return np.ascontiguousarray(ids.astype("<u4").view(np.uint8).reshape(-1, 4).T).tobytes()
 
-def symbols_of(ids: list[bytes], rare: pa.Array, words: Lexicon) -> tuple[np.ndarray, np.ndarray]:
-    """The symbols of texts, one after another, as hashes, and the place of each in its text."""
-    places = np.frombuffer(b"".join(ids), np.int32)
-    symbols = np.zeros(len(places), np.int64)
-    symbols[places >= 0] = words.words[places[places >= 0]]
-    symbols[places < 0] = rare.flatten().to_numpy(zero_copy_only=False)
-    lengths = np.array([len(x) // 4 for x in ids], np.int64)
-    return symbols, np.arange(len(places)) - np.repeat(np.cumsum(lengths) - lengths, lengths)
 
+def from_planes(data: bytes) -> np.ndarray:
+    return np.ascontiguousarray(np.frombuffer(data, np.uint8).reshape(4, -1).T).view("<u4").ravel()
 
-def runs_ending(symbols: np.ndarray, place: np.ndarray, longest: int) -> list[tuple[np.ndarray, np.ndarray]]:
-    """For each length from 1, hashes of the runs that end at each position, and whether the text has one there."""
-    out = [(symbols, np.ones(len(symbols), bool))]
-    for k in range(1, longest + 1):
-        before = np.concatenate([np.zeros(1, np.int64), out[-1][0]])[: len(symbols)]
-        out.append((joined(before, symbols), place >= k))
-    return out
 
+def chunks_of(documents: DataFrame) -> DataFrame:
+    """chunk, level (-1), bucket (0), a (words of all texts, numbered in the chunk), b (their hashes), c (length and state of each text), keys."""
+    key = documents.schema["key"].dataType.simpleString()
+    names = ["chunk", "level", "bucket", "a", "b", "c", "keys"]
 
-def passed(sieve: np.ndarray | None, runs: np.ndarray) -> np.ndarray:
-    """Which runs may be in the table of a sieve."""
-    if sieve is None:
-        return np.ones(len(runs), bool)
-    bit = runs & ((1 << SIEVE) - 1)
-    return (sieve[bit >> 3] >> (bit & 7).astype(np.uint8) & 1).astype(bool)
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        part, made = TaskContext.get().partitionId(), 0
+        hashes: dict[bytes, int] = {}
+        numbers: dict[int, int] = {END_HASH: 0}  # of words in the chunk, by hash
+        ids, lengths, states, keys, size = [], [], [], [], 0
+        end = np.zeros(1, np.uint32)
 
+        def flush() -> pa.RecordBatch:
+            nonlocal made, size
+            c = np.array([lengths, states], np.int64).tobytes()
+            whole = pa.concat_arrays(keys)
+            columns = [[(part << 32) + made], [-1], [0], [in_planes(np.concatenate(ids))], [np.fromiter(numbers, np.uint64, len(numbers)).tobytes()], [c]]
+            out = [pa.array(x, t) for x, t in zip(columns, (pa.int64(), pa.int32(), pa.int32(), pa.binary(), pa.binary(), pa.binary()))]
+            made, size = made + 1, 0
+            for x in (ids, lengths, states, keys):
+                x.clear()
+            numbers.clear()
+            numbers[END_HASH] = 0
+            return pa.RecordBatch.from_arrays([*out, pa.ListArray.from_arrays(pa.array([0, len(whole)], pa.int32()), whole)], names)
+
+        for batch in sliced(batches, 2):
+            states += [NEITHER if x is None else HELD if x else TRAINS for x in batch.column(1).to_pylist()]
+            keys.append(batch.column(0))
+            for text in batch.column(2).to_pylist():
+                own = _words((text or "").encode().lower())
+                new = {*own}.difference(hashes)
+                if new:
+                    if len(hashes) + len(new) > CACHED_WORDS:
+                        hashes.clear()
+                        new = {*own}
+                    hashes.update((w, word_hash(w)) for w in new)
+                ids.append(np.fromiter((numbers.setdefault(hashes[w], len(numbers)) for w in own), np.uint32, len(own)))
+                ids.append(end)
+                lengths.append(len(own) + 1)
+                size += len(own) + 1
+            if size >= CHUNK:
+                yield flush()
+        if size:
+            yield flush()
 
-def sieve_of(runs: DataFrame) -> np.ndarray:
-    """One bit for each value of the low bits of a run's hash: 16 MB, however many runs there are."""
+    return documents.select("key", "held_out", "text").mapInArrow(run, f"chunk long, level int, bucket int, a binary, b binary, c binary, keys array<{key}>")
+
+
+class Chunk:
+    """The symbols of some texts and what stores have answered so far."""
+
+    def __init__(self, rows: list[tuple], base: tuple[int, int]):
+        first = next(r for r in rows if r[0] < 0)
+        self.ids, words = from_planes(first[2]), np.frombuffer(first[3], np.uint64)
+        self.lengths, self.states = np.frombuffer(first[4], np.int64).reshape(2, -1)
+        self.symbols = words[self.ids]
+        self.starts = np.cumsum(self.lengths) - self.lengths
+        self.place = (np.arange(len(self.ids)) - np.repeat(self.starts, self.lengths)).astype(np.int32)
+        self.trains = np.repeat(self.states == TRAINS, self.lengths)
+        self.tokens, self.distinct = base
+        self.answers: dict[int, list[tuple[bytes, bytes]]] = {}
+        for level, _, a, b, _ in rows:
+            if level >= 0:
+                self.answers.setdefault(level, []).append((a, b))
+        order = np.argsort(words)
+        rank = np.empty(len(words), np.int32)
+        rank[order] = np.arange(len(words))
+        #: Of each length of runs: where they end, their distinct hashes, and which of these each is.
+        self.at, self.distinct_runs, self.which = [np.arange(len(self.ids))], [words[order]], [rank[self.ids]]
+        self.runs = [self.symbols]
+        self.counts: list[np.ndarray] = []  # at each place, of the run that ends there
+        self.own: list[np.ndarray] = []
+        self.left: list[np.ndarray] = []  # at each place, what is left after the context that ends there (log10), nan if it isn't retained
+
+    @property
+    def z(self) -> float:
+        return self.tokens + SMOOTHING * (self.distinct + 1)
+
+    def learn(self, counts: int, contexts: int) -> None:
+        """Takes in the counts of runs of up to ``counts`` symbols and the contexts of up to ``contexts``. A chunk that asked nothing has no answer."""
+        for k in range(counts):
+            if k:
+                self.find(k)
+            answers = self.answers.get(k, [])
+            n = [unpacked_counts(a) for a, _ in answers]
+            own = [np.unpackbits(np.frombuffer(b, np.uint8), count=len(x)) for x, (_, b) in zip(n, answers)]
+            self.own.append(np.concatenate([*own, np.zeros(0, np.uint8)]).astype(bool))
+            here = np.zeros(len(self.ids), np.int64)
+            here[self.at[k]] = np.concatenate([*n, np.zeros(0, np.int64)])[self.which[k]]
+            self.counts.append(here)
+            if 0 < k <= contexts:
+                self._learn_contexts(k)
+
+    def find(self, k: int) -> None:
+        """Runs of k + 1 symbols of which both shorter ones count."""
+        before = np.concatenate([np.zeros(1, np.uint64), self.runs[-1][:-1]])
+        self.runs.append(joined(before, self.symbols))
+        enough = self.counts[k - 1] >= LEAST
+        at = np.flatnonzero(enough & np.concatenate([np.zeros(1, bool), enough[:-1]]) & (self.place >= k))
+        distinct, which = np.unique(self.runs[k][at], return_inverse=True)
+        self.at.append(at)
+        self.distinct_runs.append(distinct)
+        self.which.append(which.astype(np.int32))
+
+    def some(self, k: int) -> np.ndarray:
+        """A place where each distinct run of k + 1 symbols ends."""
+        out = np.empty(len(self.distinct_runs[k]), np.int64)
+        out[self.which[k]] = self.at[k]
+        return out
+
+    def contexts(self, k: int) -> np.ndarray:
+        """Which of the distinct runs of k symbols may be contexts: those that count after retained suffixes."""
+        some = self.some(k - 1)
+        may = self.counts[k - 1][some] >= LEAST
+        return may if k == 1 else may & np.isfinite(self.left[k - 2][some])
+
+    def _learn_contexts(self, k: int) -> None:
+        of_run = np.full(len(self.distinct_runs[k - 1]), np.nan, np.float32)
+        of_run[self.contexts(k)] = np.frombuffer(b"".join(a for a, _ in self.answers.get(CONTEXTS + k, [])), np.float32)
+        left = np.full(len(self.ids), np.nan, np.float32)
+        left[self.at[k - 1]] = of_run[self.which[k - 1]]
+        self.left.append(left)
+
+    def ask_counts(self, k: int) -> tuple[np.ndarray, Callable[[slice], bytes]]:
+        """The distinct runs of k + 1 symbols, and how often training texts have them."""
+        counts = np.bincount(self.which[k][self.trains[self.at[k]]], minlength=len(self.distinct_runs[k]))
+        return self.distinct_runs[k], lambda part: packed_counts(counts[part])
+
+    def ask_contexts(self, k: int) -> tuple[np.ndarray, Callable[[slice], bytes]]:
+        """Runs of k symbols that may be contexts, and the sums over the runs that this chunk owns: divergence, p after them and p after their suffixes."""
+        may = self.contexts(k)
+        place = self.some(k)
+        place = place[self.own[k] & (self.counts[k][place] >= LEAST)]
+        of_run = np.cumsum(may) - 1
+        context = np.empty(len(self.ids), np.int32)
+        context[self.at[k - 1]] = self.which[k - 1]
+        place = place[may[context[place - 1]]]
+        total = self.counts[k - 1][place - 1]
+        p = (self.counts[k][place] - DISCOUNT) / total
+        before = (self.counts[0][place] + SMOOTHING) / self.z if k == 1 else (self.counts[k - 1][place] - DISCOUNT) / self.counts[k - 2][place - 1]
+        at = of_run[context[place - 1]]
+        size = int(may.sum())
+        sums = np.stack([np.bincount(at, x, size) for x in (p * np.log(p / before), p, before)])
+        some = sums[1] > 0
+
+        def part(cut: slice) -> bytes:
+            own = some[cut]
+            return np.packbits(own).tobytes() + sums[:, cut][:, own].tobytes()
+
+        return self.distinct_runs[k - 1][may], part
+
+    def scores(self) -> tuple[np.ndarray, ...]:
+        """Of each text: known words, base and score."""
+        known = self.counts[0] if self.counts else np.zeros(len(self.ids), np.int64)
+        score = np.log10((known + SMOOTHING) / self.z)
+        base = np.add.reduceat(score, self.starts)
+        going = np.ones(len(self.ids), bool)
+        for k, left in enumerate(self.left, 1):
+            before = np.concatenate([np.full(1, np.nan, np.float32), left[:-1]])
+            going &= np.isfinite(before) & (self.place >= k)
+            counted = going & (self.counts[k] >= LEAST)
+            at = np.flatnonzero(counted)
+            score = np.where(going, score + before, score)
+            score[at] = np.log10((self.counts[k][at] - DISCOUNT) / self.counts[k - 1][at - 1])
+        return np.add.reduceat((known > 0).astype(np.int64), self.starts), base, np.add.reduceat(score, self.starts)
+
+
+def grouped(batches: Iterator[pa.RecordBatch], keys: int) -> Iterator[tuple[tuple, list[tuple]]]:
+    """The rows of each run of equal first columns, without these."""
+    now, held = None, []
+    for batch in batches:
+        for i in range(batch.num_rows):
+            row = tuple(c[i].as_py() for c in batch.columns)
+            if row[:keys] != now:
+                if held:
+                    yield now, held
+                now, held = row[:keys], []
+            held.append(row[keys:])
+    if held:
+        yield now, held
+
+
+SENT = "chunk long, kind int, bucket int, a binary, b binary"
+
+
+def sent(rows: DataFrame, known: int, counts: int | None, contexts: int | None, stores: int, base: tuple[int, int]) -> DataFrame:
+    """What chunks ask for, in a row for each range of hashes: counts of runs, or sums of contexts. known: answers of counts so far."""
+    width = (1 << 64) // stores + 1
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        bits: dict[int, np.ndarray] = {}
-        for batch in batches:
-            code = batch.column(0).to_numpy(zero_copy_only=False)
-            order = np.argsort(code)
-            code = code[order]
-            block, starts = np.unique(code >> BLOCK, return_index=True)
-            for b, own in zip(block.tolist(), np.split(code & ((1 << BLOCK) - 1), starts[1:])):
-                bits.setdefault(b, np.zeros(1 << BLOCK, bool))[own] = True
-        packed = [np.packbits(x, bitorder="little").tobytes() for x in bits.values()]
-        yield pa.RecordBatch.from_arrays([pa.array(list(bits), pa.int64()), pa.array(packed, pa.binary())], ["block", "bits"])
-
-    code = F.col("run").bitwiseAND(F.lit((1 << SIEVE) - 1))
-    out = np.zeros((1 << (SIEVE - BLOCK), 1 << (BLOCK - 3)), np.uint8)
-    for block, bits in runs.select(code.alias("code")).repartition(F.shiftright("code", BLOCK)).mapInArrow(run, "block long, bits binary").collect():  # 2 ** (SIEVE - BLOCK) rows
-        out[block] = np.frombuffer(bits, np.uint8)
-    return out.ravel()
-
-
-def count_level(train: DataFrame, k: int, shorter: np.ndarray | None, words: Lexicon, tables: Scratch) -> DataFrame:
-    """run, context, suffix, n: the runs of k + 1 symbols that count, each without its last and without its first symbol."""
-    held = train.sparkSession.sparkContext.broadcast(shorter)
+        for (number,), held in grouped(batches, 1):
+            chunk = Chunk(held, base)
+            chunk.learn(known, contexts - 1 if contexts else 0)
+            if counts:
+                chunk.find(counts)
+            asked = [(k, chunk.ask_counts(k)) for k in (counts,) if k is not None] + [(CONTEXTS + k, chunk.ask_contexts(k)) for k in (contexts,) if k is not None]
+            for kind, (hashes, part) in asked:
+                cuts = np.searchsorted(hashes, np.array([width * i for i in range(stores)], np.uint64)).tolist() + [len(hashes)]
+                spans = [(i, slice(x, y)) for i, (x, y) in enumerate(zip(cuts, cuts[1:])) if y > x]
+                columns = [[number] * len(spans), [kind] * len(spans), [i for i, _ in spans], [packed(hashes[s]) for _, s in spans], [part(s) for _, s in spans]]
+                yield pa.RecordBatch.from_arrays([pa.array(x, t) for x, t in zip(columns, (pa.int64(), pa.int32(), pa.int32(), pa.binary(), pa.binary()))], ["chunk", "kind", "bucket", "a", "b"])
+
+    return rows.select("chunk", "level", "bucket", "a", "b", "c").mapInArrow(run, SENT)
+
+
+def add_counts(rows: list[tuple], least: int) -> Iterator[tuple[int, bytes, bytes, int, int]]:
+    """For each chunk: the sums of its runs (0 if they don't count), which of them it owns, its own count of all and how many it owns."""
+    hashes = np.concatenate([unpacked(a) for _, a, _ in rows])
+    own = [unpacked_counts(b) for _, _, b in rows]
+    counts = np.concatenate(own)
+    order = np.argsort(hashes, kind="stable")
+    first = np.flatnonzero(np.concatenate([np.ones(1, bool), np.diff(hashes[order]) != 0]))
+    sums = np.add.reduceat(counts[order], first)
+    total = np.empty(len(hashes), np.int64)
+    total[order] = np.repeat(sums, np.diff(np.append(first, len(hashes))))
+    total[total < least] = 0
+    owner = np.zeros(len(hashes), bool)
+    owner[order[first]] = True
+    owner &= total > 0
+    start = 0
+    for (chunk, _, _), x in zip(rows, own):
+        part = slice(start, start + len(x))
+        yield chunk, packed_counts(total[part]), np.packbits(owner[part]).tobytes(), int(x.sum()), int(owner[part].sum())
+        start += len(x)
+
+
+def add_contexts(rows: list[tuple]) -> Iterator[tuple[int, bytes, bytes, int, int]]:
+    """For each chunk: what is left after each of its contexts (log10), nan for those that aren't retained."""
+    asked = [unpacked(a) for _, a, _ in rows]
+    hashes = np.unique(np.concatenate(asked))
+    sums = np.zeros((3, len(hashes)))
+    at = [np.searchsorted(hashes, x) for x in asked]
+    for (_, _, b), x in zip(rows, at):
+        size = (len(x) + 7) // 8
+        some = np.unpackbits(np.frombuffer(b[:size], np.uint8), count=len(x)).astype(bool)
+        sums[:, x[some]] += np.frombuffer(b[size:], float).reshape(3, -1)
+    rest, before = (np.maximum(1e-9, 1 - x) for x in sums[1:])
+    retained = (sums[0] + rest * np.log(rest / before) >= DIVERGENCE) & (sums[1] > 0)
+    left = np.where(retained, np.log10(rest / before), np.nan).astype(np.float32)
+    for (chunk, _, _), x in zip(rows, at):
+        yield chunk, left[x].tobytes(), b"", 0, 0
+
+
+def answered(asked: DataFrame) -> DataFrame:
+    """chunk, level, bucket, a, b, total, owned: the answers of stores."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        gathered: list[tuple[np.ndarray, ...]] = []
-        size = 0
+        for (kind, bucket), held in grouped(batches, 2):
+            for chunk, a, b, total, owned in add_contexts(held) if kind > CONTEXTS else add_counts(held, LEAST if kind else 1):
+                columns = [[chunk], [kind], [bucket], [a], [b], [total], [owned]]
+                yield pa.RecordBatch.from_arrays([pa.array(x, t) for x, t in zip(columns, (pa.int64(), pa.int32(), pa.int32(), pa.binary(), pa.binary(), pa.int64(), pa.int64()))], ["chunk", "level", "bucket", "a", "b", "total", "owned"])
 
-        def flush() -> Iterator[pa.RecordBatch]:
-            runs, context, suffix = (np.concatenate(x) for x in zip(*gathered))
-            gathered.clear()
-            distinct, at, counts = np.unique(runs, return_index=True, return_counts=True)
-            for i in range(0, len(distinct), 100_000):
-                part = slice(i, i + 100_000)
-                yield pa.RecordBatch.from_arrays([pa.array(x[part]) for x in (distinct, context[at], suffix[at], counts.astype(np.int64))], ["run", "context", "suffix", "n"])
+    dealt = asked.repartition("kind", "bucket").sortWithinPartitions("kind", "bucket", "chunk").select("kind", "bucket", "chunk", "a", "b")
+    return dealt.mapInArrow(run, "chunk long, level int, bucket int, a binary, b binary, total long, owned long")
 
-        for batch in batches:
-            ending = runs_ending(*symbols_of(batch.column(0).to_pylist(), batch.column(1), words), k)
-            (runs, valid), suffix = ending[k], ending[k - 1][0]
-            at = np.flatnonzero(valid)
-            at = at[passed(held.value, suffix[at]) & passed(held.value, suffix[at - 1])]  # both are runs that count, or this one isn't
-            gathered.append((runs[at], suffix[at - 1], suffix[at]))
-            size += len(at)
-            if size > AT_ONCE:
-                yield from flush()
-                size = 0
-        if size:
-            yield from flush()
 
-    counted = train.select("ids", "rare").mapInArrow(run, "run long, context long, suffix long, n long")
-    sums = counted.repartition("run").groupBy("run").agg(F.max("context").alias("context"), F.max("suffix").alias("suffix"), F.sum("n").alias("n"))
-    return tables.keep(sums.filter(F.col("n") >= words.least), f"runs-{k}")
-
-
-def grow(counts: DataFrame, levels: list[DataFrame], words: Lexicon, tables: Scratch) -> DataFrame:
-    """run, value: what each run adds to a text's log10 score, where that isn't 0.
-
-    Each context is tested against its longest retained suffix. All runs of a run that counts do so
-    too, hence the probability of its last symbol after the suffix is that of the shorter run.
-    """
-    z = words.tokens + SMOOTHING * (words.distinct + 1)
-    base = counts.filter(F.col("n") >= words.least).select(F.col("word").alias("run"), "n", ((F.col("n") + SMOOTHING) / z).alias("before"))
-    own = []  # p: of the last symbol after the context; shorter: the context without its first symbol
-    for k, level in enumerate(levels):
-        of = levels[k - 1].select(F.col("run").alias("context"), F.col("n").alias("total"), F.col("suffix").alias("shorter")) if k else base.select(F.col("run").alias("context"), F.col("n").alias("total"), F.lit(None).cast("long").alias("shorter"))
-        own.append(tables.keep(level.join(of, "context").select("run", "context", "suffix", "shorter", ((F.col("n") - DISCOUNT) / F.col("total")).alias("p")), f"own-{k}"))
-
-    def weighed(k: int, before: DataFrame) -> tuple[DataFrame, DataFrame]:
-        """The runs of a level with before, the probability after the suffix; weight and divergence of each context."""
-        runs = tables.keep(own[k].join(before.select(F.col("run").alias("suffix"), "before"), "suffix"), f"weighed-{k}")
-        sums = runs.groupBy("context").agg(F.max("shorter").alias("shorter"), F.sum(F.col("p") * F.log(F.col("p") / F.col("before"))).alias("gain"), F.sum("p").alias("p"), F.sum("before").alias("b"))
-        rest, rest_before = (F.greatest(F.lit(1e-9), 1 - F.col(c)) for c in ("p", "b"))
-        return runs, sums.select("context", "shorter", F.log10(rest / rest_before).alias("left"), (F.col("gain") + rest * F.log(rest / rest_before) >= DIVERGENCE).alias("retained"))
-
-    def after(runs: DataFrame, contexts: DataFrame) -> DataFrame:
-        """run, before: the probability of the last symbol after the longest retained context."""
-        kept = contexts.filter("retained").select("context", F.lit(True).alias("kept"))
-        return runs.join(kept, "context", "left").select("run", F.when(F.col("kept"), F.col("p")).otherwise(F.col("before")).alias("before"))
-
-    before, retained = base, []
-    for k in range(len(own)):
-        runs, contexts = weighed(k, before)
-        retained.append(tables.keep(contexts.filter("retained").select("context", "shorter", "retained"), f"retained-{k}"))
-        before = after(runs, retained[k])
-    for k in range(len(own) - 1, 0, -1):
-        longer = retained[k].select(F.col("shorter").alias("context"))
-        shorter = levels[k - 2].select(F.col("run").alias("context"), F.col("suffix").alias("shorter")) if k > 1 else base.select(F.col("run").alias("context"), F.lit(None).cast("long").alias("shorter"))
-        both = retained[k - 1].select("context").union(longer).distinct()
-        retained[k - 1] = tables.keep(both.join(shorter, "context").withColumn("retained", F.lit(True)), f"closed-{k}")
-    before, parts = base, []
-    for k in range(len(own)):  # again, with the suffixes of all that were retained
-        runs, contexts = weighed(k, before)
-        left = tables.keep(contexts.drop("retained").join(retained[k].select("context"), "context", "left_semi"), f"left-{k}")
-        parts.append(left.select(F.col("context").alias("run"), F.col("left").alias("value")))
-        parts.append(runs.join(left.select("context", "left"), "context").select("run", (F.log10(F.col("p") / F.col("before")) - F.col("left")).alias("value")))
-        before = after(runs, retained[k])
-    out = parts[0]
-    for part in parts[1:]:
-        out = out.union(part)
-    return tables.keep(out.groupBy("run").agg(F.sum("value").alias("value")), "values")
-
-
-def gained(rows: DataFrame, values: DataFrame, sieve: np.ndarray, words: Lexicon) -> DataFrame:
-    """row, gain: the sum of the values of each text's runs."""
-    held = rows.sparkSession.sparkContext.broadcast(sieve)
+def scored(rows: DataFrame, base: tuple[int, int], kind: str) -> DataFrame:
+    """key, state, n_tokens, n_known, base, score of each text."""
+    names = ["key", "state", "n_tokens", "n_known", "base", "score"]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            ids = batch.column(1).to_pylist()
-            symbols, place = symbols_of(ids, batch.column(2), words)
-            row = np.repeat(batch.column(0).to_numpy(), [len(x) // 4 for x in ids])
-            for runs, valid in runs_ending(symbols, place, DEPTH):
-                at = np.flatnonzero(valid & passed(held.value, runs))
-                if len(at):
-                    yield pa.RecordBatch.from_arrays([pa.array(row[at]), pa.array(runs[at])], ["row", "run"])
-
-    found = rows.select("row", "ids", "rare").mapInArrow(run, "row long, run long")
-    return found.join(values.hint("shuffle_hash"), "run").groupBy("row").agg(F.sum("value").alias("gain"))
+        now, held, keys = None, [], None
 
+        def flush() -> pa.RecordBatch:
+            chunk = Chunk(held, base)
+            chunk.learn(DEPTH + 1 if base[0] else 1, DEPTH if base[0] else 0)
+            known, low, high = chunk.scores()
+            return pa.RecordBatch.from_arrays([keys, pa.array(chunk.states), pa.array(chunk.lengths), pa.array(known), pa.array(low), pa.array(high)], names)
 
-def based(rows: DataFrame, words: Lexicon) -> DataFrame:
-    """row, base, found: log10 sums and the number of each text's words in the lexicon."""
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            places = [np.frombuffer(x, np.int32) for x in batch.column(1).to_pylist()]
-            places = [x[x >= 0] for x in places]
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array([float(words.log_base[x].sum()) for x in places], pa.float64()), pa.array(list(map(len, places)), pa.int64())], ["row", "base", "found"])
+            for i in range(batch.num_rows):
+                number, *row = (c[i].as_py() for c in batch.columns[:-1])
+                if number != now:
+                    if held:
+                        yield flush()
+                    now, held = number, []
+                held.append(tuple(row))
+                if row[0] < 0:
+                    keys = batch.column(6)[i].values
+        if held:
+            yield flush()
 
-    return rows.select("row", "ids").mapInArrow(run, "row long, base double, found long")
+    return rows.select("chunk", "level", "bucket", "a", "b", "c", "keys").mapInArrow(run, f"key {kind}, state long, n_tokens long, n_known long, base double, score double")
 
 
 def score_texts(documents: DataFrame, divisor: int = 10, held: int = 0, key: str = "doc_id", text: str = "text") -> DataFrame:
@@ -329,29 +406,27 @@ def score_texts(documents: DataFrame, divisor: int = 10, held: int = 0, key: str
     kind = documents.schema[key].dataType.simpleString()
     texts = documents.select(F.col(key).alias("key"), (remainder(F.col(key), divisor) == held).alias("held_out"), F.coalesce(F.col(text).cast("string"), F.lit("")).alias("text"))
     with scratch(spark) as tables:
-        counts = word_counts(texts.filter(~F.col("held_out")), tables)
-        words = lexicon(counts)
-        rows = tables.keep(coded(texts, words), "coded")
-        trained = rows.filter(~F.col("held_out"))
-        levels: list[DataFrame] = []
-        sieve = None
-        while len(levels) < DEPTH and words.tokens:
-            levels.append(count_level(trained, len(levels) + 1, sieve, words, tables))
-            if len(levels) < DEPTH:
-                sieve = sieve_of(levels[-1])
-        z = words.tokens + SMOOTHING * (words.distinct + 1)
-        if levels:
-            values = grow(counts, levels, words, tables)
-            gains = gained(rows, values, sieve_of(values), words)
-        else:
-            gains = rows.select("row", F.lit(0.0).alias("gain")).limit(0)
-        rare = rows.select("row", F.explode("rare").alias("word")).groupBy("row", "word").agg(F.count(F.lit(1)).alias("times"))
-        log = F.log10((F.coalesce("n", F.lit(0)) + SMOOTHING) / F.lit(float(z)))
-        rare = rare.join(counts, "word", "left").groupBy("row").agg(F.sum(F.col("times") * log).alias("rare_base"), F.sum(F.when(F.col("n") > 0, F.col("times")).otherwise(0)).alias("rare_known"))
-        sums = rows.select("row", "key", "held_out", "n_tokens").join(based(rows, words), "row").join(gains, "row", "left").join(rare, "row", "left")
-        zero = lambda c: F.coalesce(c, F.lit(0))
-        out = sums.select(
-            F.col("key").cast(kind).alias(key), "held_out", "n_tokens", (F.col("found") + zero("rare_known")).cast("long").alias("n_known"), F.lit(words.tokens).cast("long").alias("train_tokens"),
-            (F.col("base") + zero("rare_base")).cast("double").alias("base_score"), (F.col("base") + zero("gain") + zero("rare_base")).cast("double").alias("score"),
+        chunks = tables.keep(chunks_of(texts), "chunks")
+        stores = max(2, -(-chunks.count() // CHUNKS_TO_STORE))
+        answers = [tables.keep(answered(sent(chunks, 0, 0, None, stores, (0, 0))), "answers")]
+        tokens, distinct = answers[0].agg(F.coalesce(F.sum("total"), F.lit(0)), F.coalesce(F.sum("owned"), F.lit(0))).first()
+        base = (int(tokens), int(distinct))
+        for k in range(1, DEPTH + 2 if tokens else 1):
+            tables.free()
+            asked = sent(with_answers(chunks, answers), k, k if k <= DEPTH else None, k - 1 if k > 1 else None, stores, base)
+            answers.append(tables.keep(answered(asked), "answers"))
+        tables.free()
+        rows = scored(with_answers(chunks, answers), base, kind)
+        out = rows.select(
+            F.col("key").cast(kind).alias(key), F.when(F.col("state") != NEITHER, F.col("state") == HELD).alias("held_out"), "n_tokens", "n_known", F.lit(base[0]).cast("long").alias("train_tokens"),
+            F.col("base").alias("base_score"), "score",
         )
         return out.checkpoint()
+
+
+def with_answers(chunks: DataFrame, answers: list[DataFrame]) -> DataFrame:
+    """Each chunk beside all answers to it, in order."""
+    rows = chunks
+    for found in answers:
+        rows = rows.unionByName(found.select("chunk", "level", "bucket", "a", "b"), allowMissingColumns=True)
+    return rows.repartition("chunk").sortWithinPartitions("chunk", "level", "bucket")

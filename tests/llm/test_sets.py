@@ -252,7 +252,7 @@ def tree_by_brute_force(train, tests):
     uni = collections.Counter(w for t in tokens for w in t)
     z = n + 0.1 * (len(uni) + 1)
     base = lambda w: (uni[w] + 0.1) / z
-    least = max(2, math.ceil(suffix_tree.SHARE * n))
+    least = suffix_tree.LEAST
     often = {w for w, c in uni.items() if c >= least} | {None}
     levels, runs = [], {(w,): uni[w] for w in often if w is not None}
     for k in range(1, suffix_tree.DEPTH + 1):
@@ -266,35 +266,24 @@ def tree_by_brute_force(train, tests):
             after[k][g[:-1]][g[-1]] = (c - suffix_tree.DISCOUNT) / own[g[:-1]]
     kept = set()
 
-    def parent(s):
-        s = s[1:]
-        while s and s not in kept:
-            s = s[1:]
-        return s
-
     def probability(s, w):
         if not s:
             return base(w)
         own = after[len(s) - 1][s]
         if w in own:
             return own[w]
-        before = parent(s)
+        before = s[1:]
         return max(1e-9, 1 - sum(own.values())) / max(1e-9, 1 - sum(probability(before, x) for x in own)) * probability(before, w)
 
     for k in range(len(levels)):
         for s, own in after[k].items():
-            before = parent(s)
+            before = s[1:]
+            if before and before not in kept:  # the tree grows from its root
+                continue
             p = {w: probability(before, w) for w in own}
             rest, rest_before = max(1e-9, 1 - sum(own.values())), max(1e-9, 1 - sum(p.values()))
             if sum(q * math.log(q / p[w]) for w, q in own.items()) + rest * math.log(rest / rest_before) >= suffix_tree.DIVERGENCE:
                 kept.add(s)
-    for s in sorted(kept, key=len, reverse=True):
-        if len(s) > 1 and s[1:] in after[len(s) - 2]:
-            kept.add(s[1:])
-    for s in sorted(kept, key=len, reverse=True):
-        if len(s) > 1 and s[1:] in after[len(s) - 2]:
-            kept.add(s[1:])
-
     def score(t):
         total = 0.0
         for i, w in enumerate(t + [None]):
@@ -308,8 +297,8 @@ def tree_by_brute_force(train, tests):
 
 
 def test_suffix_tree_scores(spark, monkeypatch):
-    monkeypatch.setattr(suffix_tree, "SHARE", 2e-3)
-    monkeypatch.setattr(suffix_tree, "WORD_SHARE", 1e-3)
+    monkeypatch.setattr(suffix_tree, "CHUNK", 700)
+    monkeypatch.setattr(suffix_tree, "CHUNKS_TO_STORE", 2)
     rng = random.Random(7)
     passage = [f"p{i}" for i in range(12)]
     texts = [[rng.choice("abcdefghij") for _ in range(rng.randint(0, 60))] + (passage if rng.random() < 0.4 else []) + [f"r{rng.randint(0, 400)}"] for _ in range(150)]
@@ -320,10 +309,23 @@ def test_suffix_tree_scores(spark, monkeypatch):
     own = [(i, words(t)) for i, t, _ in rows]
     want = sorted((i, held(i), *v) for (i, _), v in zip(own, tree_by_brute_force([t for i, t in own if not held(i)], [t for _, t in own])))
     assert [g[:5] for g in got] == [w[:5] for w in want]
-    np.testing.assert_allclose([g[5:] for g in got], [w[5:] for w in want], rtol=1e-9)
+    np.testing.assert_allclose([g[5] for g in got], [w[5] for w in want], rtol=1e-9)
+    np.testing.assert_allclose([g[6] for g in got], [w[6] for w in want], rtol=1e-6)  # what is left is sent in single precision
     assert sum(g[6] for g in got if g[1]) > sum(g[5] for g in got if g[1])
 
 
+def test_packed_numbers_round_trip():
+    rng = np.random.default_rng(5)
+    for size in (0, 1, 2, 1000):
+        for top in (200, 2**40, 2**64 - 1):
+            rows = np.sort(rng.integers(0, top, size, dtype=np.uint64, endpoint=True))
+            assert (suffix_tree.unpacked(suffix_tree.packed(rows)) == rows).all()
+            counts = rng.integers(0, 600, size)
+            assert (suffix_tree.unpacked_counts(suffix_tree.packed_counts(counts)) == counts).all()
+    ids = rng.integers(0, 2**32, 1000, dtype=np.uint32)
+    assert (suffix_tree.from_planes(suffix_tree.in_planes(ids)) == ids).all()
+
+
 def test_classes_without_keys_link(spark):
     """Texts of rows without keys connect others."""
     own = [f"w{i}" for i in range(200)]
