@@ -7,6 +7,7 @@ folder below the session's warehouse, which executors share too, used in its pla
 from __future__ import annotations
 
 import contextlib
+import gc
 import uuid
 from collections.abc import Iterator
 
@@ -39,6 +40,11 @@ class Scratch:
         df.write.parquet(path)
         return self.spark.read.schema(df.schema).parquet(path)
 
+    def free(self) -> None:
+        """Lets go of shuffle files that only written tables needed: Spark removes them once the driver has collected its garbage."""
+        gc.collect()
+        self.spark._jvm.System.gc()
+
     def drop(self) -> None:
         jvm = self.spark._jvm
         path = jvm.org.apache.hadoop.fs.Path(self.root)
