@@ -49,9 +49,8 @@ LEAST = 2
 DIVERGENCE = 0.02
 DISCOUNT = 0.5
 SMOOTHING = 0.1
-#: Stands for the end of a text.
-END_HASH = 1
-CACHED_WORDS = 200_000
+#: Stand for the end of a text: a word that none is, and its hash.
+END, END_HASH = b"", 1
 #: Symbols in a chunk, about: a text is in one chunk.
 CHUNK = 1_500_000
 #: Chunks for each range of hashes.
@@ -64,7 +63,15 @@ _words = re.compile(WORD).findall
 
 
 def word_hash(word: bytes) -> int:
-    return xxhash.xxh3_64_intdigest(word) >> 1
+    return xxhash.xxh3_64_intdigest(word) >> 1 if word else END_HASH
+
+
+class Numbers(dict):
+    """A number for each word, given when it is first asked for."""
+
+    def __missing__(self, word: bytes) -> int:
+        self[word] = number = len(self)
+        return number
 
 
 def joined(runs: np.ndarray, symbols: np.ndarray) -> np.ndarray:
@@ -119,8 +126,7 @@ def chunks_of(documents: DataFrame) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         part, made = TaskContext.get().partitionId(), 0
-        hashes: dict[bytes, int] = {}
-        numbers: dict[int, int] = {END_HASH: 0}  # of words in the chunk, by hash
+        numbers = Numbers({END: 0})
         ids, lengths, states, keys, size = [], [], [], [], 0
         end = np.zeros(1, np.uint32)
 
@@ -128,13 +134,13 @@ def chunks_of(documents: DataFrame) -> DataFrame:
             nonlocal made, size
             c = np.array([lengths, states], np.int64).tobytes()
             whole = pa.concat_arrays(keys)
-            columns = [[(part << 32) + made], [-1], [0], [in_planes(np.concatenate(ids))], [np.fromiter(numbers, np.uint64, len(numbers)).tobytes()], [c]]
+            columns = [[(part << 32) + made], [-1], [0], [in_planes(np.concatenate(ids))], [np.fromiter(map(word_hash, numbers), np.uint64, len(numbers)).tobytes()], [c]]
             out = [pa.array(x, t) for x, t in zip(columns, (pa.int64(), pa.int32(), pa.int32(), pa.binary(), pa.binary(), pa.binary()))]
             made, size = made + 1, 0
             for x in (ids, lengths, states, keys):
                 x.clear()
             numbers.clear()
-            numbers[END_HASH] = 0
+            numbers[END] = 0
             return pa.RecordBatch.from_arrays([*out, pa.ListArray.from_arrays(pa.array([0, len(whole)], pa.int32()), whole)], names)
 
         for batch in sliced(batches, 2):
@@ -142,13 +148,7 @@ def chunks_of(documents: DataFrame) -> DataFrame:
             keys.append(batch.column(0))
             for text in batch.column(2).to_pylist():
                 own = _words((text or "").encode().lower())
-                new = {*own}.difference(hashes)
-                if new:
-                    if len(hashes) + len(new) > CACHED_WORDS:
-                        hashes.clear()
-                        new = {*own}
-                    hashes.update((w, word_hash(w)) for w in new)
-                ids.append(np.fromiter((numbers.setdefault(hashes[w], len(numbers)) for w in own), np.uint32, len(own)))
+                ids.append(np.fromiter(map(numbers.__getitem__, own), np.uint32, len(own)))
                 ids.append(end)
                 lengths.append(len(own) + 1)
                 size += len(own) + 1
@@ -413,8 +413,7 @@ def score_texts(documents: DataFrame, divisor: int = 10, held: int = 0, key: str
         base = (int(tokens), int(distinct))
         for k in range(1, DEPTH + 2 if tokens else 1):
             tables.free()
-            asked = sent(with_answers(chunks, answers), k, k if k <= DEPTH else None, k - 1 if k > 1 else None, stores, base)
-            answers.append(tables.keep(answered(asked), "answers"))
+            answers.append(tables.keep(answered(sent(with_answers(chunks, answers), k, k if k <= DEPTH else None, k - 1 if k > 1 else None, stores, base)), "answers"))
         tables.free()
         rows = scored(with_answers(chunks, answers), base, kind)
         out = rows.select(
