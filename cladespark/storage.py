@@ -8,6 +8,7 @@ from __future__ import annotations
 
 import contextlib
 import gc
+import time
 import uuid
 from collections.abc import Iterator
 
@@ -42,8 +43,10 @@ class Scratch:
 
     def free(self) -> None:
         """Lets go of shuffle files that only written tables needed: Spark removes them once the driver has collected its garbage."""
-        gc.collect()
-        self.spark._jvm.System.gc()
+        for _ in range(2):  # what goes first lets go of the rest
+            gc.collect()
+            self.spark._jvm.System.gc()
+            time.sleep(0.3)
 
     def drop(self) -> None:
         jvm = self.spark._jvm
