@@ -52,7 +52,7 @@ SMOOTHING = 0.1
 #: Stand for the end of a text: a word that none is, and its hash.
 END, END_HASH = b"", 1
 #: Symbols in a chunk, about: a text is in one chunk.
-CHUNK = 1_500_000
+CHUNK = 750_000
 #: Chunks for each range of hashes.
 CHUNKS_TO_STORE = 6
 #: What is sent besides counts of runs of k + 1 symbols (k): sums of contexts of k symbols (CONTEXTS + k).
@@ -180,8 +180,8 @@ class Chunk:
         rank = np.empty(len(words), np.int32)
         rank[order] = np.arange(len(words))
         #: Of each length of runs: where they end, their distinct hashes, and which of these each is.
-        self.at, self.distinct_runs, self.which = [np.arange(len(self.ids))], [words[order]], [rank[self.ids]]
-        self.runs = [self.symbols]
+        self.at, self.distinct_runs, self.which = [np.arange(len(self.ids), dtype=np.int32)], [words[order]], [rank[self.ids]]
+        self.runs = self.symbols  # the longest so far, at each place
         self.counts: list[np.ndarray] = []  # at each place, of the run that ends there
         self.own: list[np.ndarray] = []
         self.left: list[np.ndarray] = []  # at each place, what is left after the context that ends there (log10), nan if it isn't retained
@@ -207,18 +207,17 @@ class Chunk:
 
     def find(self, k: int) -> None:
         """Runs of k + 1 symbols of which both shorter ones count."""
-        before = np.concatenate([np.zeros(1, np.uint64), self.runs[-1][:-1]])
-        self.runs.append(joined(before, self.symbols))
+        self.runs = joined(np.concatenate([np.zeros(1, np.uint64), self.runs[:-1]]), self.symbols)
         enough = self.counts[k - 1] >= LEAST
-        at = np.flatnonzero(enough & np.concatenate([np.zeros(1, bool), enough[:-1]]) & (self.place >= k))
-        distinct, which = np.unique(self.runs[k][at], return_inverse=True)
+        at = np.flatnonzero(enough & np.concatenate([np.zeros(1, bool), enough[:-1]]) & (self.place >= k)).astype(np.int32)
+        distinct, which = np.unique(self.runs[at], return_inverse=True)
         self.at.append(at)
         self.distinct_runs.append(distinct)
         self.which.append(which.astype(np.int32))
 
     def some(self, k: int) -> np.ndarray:
         """A place where each distinct run of k + 1 symbols ends."""
-        out = np.empty(len(self.distinct_runs[k]), np.int64)
+        out = np.empty(len(self.distinct_runs[k]), np.int32)
         out[self.which[k]] = self.at[k]
         return out
 
