@@ -33,6 +33,7 @@ class Scratch:
         self.spark = spark
         self.root = f"{shared_dir(spark)}/scratch-{uuid.uuid4().hex}"
         self.count = 0
+        self.tables: list[str] = []
 
     def keep(self, df: DataFrame, name: str = "table") -> DataFrame:
         """Writes ``df`` once and returns it as read from disk."""
@@ -41,6 +42,14 @@ class Scratch:
         df.write.parquet(path)
         return self.spark.read.schema(df.schema).parquet(path)
 
+    def keep_dealt(self, df: DataFrame, by: str, parts: int) -> DataFrame:
+        """As ``keep``, dealt by a column into so many parts, which joins and groups by that column then read without a shuffle."""
+        self.count += 1
+        name = f"scratch_{uuid.uuid4().hex}"
+        self.tables.append(name)
+        df.write.format("parquet").bucketBy(parts, by).option("path", f"{self.root}/{self.count:03d}-{name}").saveAsTable(name)
+        return self.spark.table(name)
+
     def free(self) -> None:
         """Lets go of shuffle files that only written tables needed: Spark removes them once the driver has collected its garbage."""
         for _ in range(2):  # what goes first lets go of the rest
@@ -49,6 +58,8 @@ class Scratch:
             time.sleep(0.3)
 
     def drop(self) -> None:
+        for name in self.tables:
+            self.spark.sql(f"drop table if exists {name}")
         jvm = self.spark._jvm
         path = jvm.org.apache.hadoop.fs.Path(self.root)
         path.getFileSystem(self.spark._jsc.hadoopConfiguration()).delete(path, True)
