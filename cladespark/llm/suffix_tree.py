@@ -20,8 +20,8 @@ chunk for each run (its owner) adds the run to its context's divergence, and chu
 which contexts are retained. No part of the tree is on the driver or broadcast, a hot run
 is one number in each chunk, and a worker holds one chunk or one range of hashes.
 
-Words are compared by 63 bits of a 64-bit hash, runs by 64 bits; what is left after a
-context is sent in single precision.
+Words are compared by 63 bits of a 64-bit hash, runs by 64 bits; sums of contexts and what
+is left after them are sent in single precision.
 
 Defined results: null text is empty and has the end alone; a null key is held out of
 nothing and trains nothing (held_out null); repeated rows count and are scored each;
@@ -31,7 +31,7 @@ with no training text every word is unknown; further columns are left out.
 from __future__ import annotations
 
 import re
-from collections.abc import Callable, Iterator
+from collections.abc import Callable, Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -54,7 +54,7 @@ END, END_HASH = b"", 1
 #: Symbols in a chunk, about: a text is in one chunk.
 CHUNK = 750_000
 #: Chunks for each range of hashes.
-CHUNKS_TO_STORE = 6
+CHUNKS_TO_STORE = 3
 #: What is sent besides counts of runs of k + 1 symbols (k): sums of contexts of k symbols (CONTEXTS + k).
 CONTEXTS = 10
 TRAINS, HELD, NEITHER = 0, 1, 2
@@ -120,9 +120,9 @@ def from_planes(data: bytes) -> np.ndarray:
 
 
 def chunks_of(documents: DataFrame) -> DataFrame:
-    """chunk, level (-1), bucket (0), a (words of all texts, numbered in the chunk), b (their hashes), c (length and state of each text), keys."""
+    """chunk, ids (words of all texts, numbered in the chunk), words (their hashes), texts (length and state of each), keys."""
     key = documents.schema["key"].dataType.simpleString()
-    names = ["chunk", "level", "bucket", "a", "b", "c", "keys"]
+    names = ["chunk", "ids", "words", "texts", "keys"]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         part, made = TaskContext.get().partitionId(), 0
@@ -134,8 +134,8 @@ def chunks_of(documents: DataFrame) -> DataFrame:
             nonlocal made, size
             c = np.array([lengths, states], np.int64).tobytes()
             whole = pa.concat_arrays(keys)
-            columns = [[(part << 32) + made], [-1], [0], [in_planes(np.concatenate(ids))], [np.fromiter(map(word_hash, numbers), np.uint64, len(numbers)).tobytes()], [c]]
-            out = [pa.array(x, t) for x, t in zip(columns, (pa.int64(), pa.int32(), pa.int32(), pa.binary(), pa.binary(), pa.binary()))]
+            columns = [[(part << 32) + made], [in_planes(np.concatenate(ids))], [np.fromiter(map(word_hash, numbers), np.uint64, len(numbers)).tobytes()], [c]]
+            out = [pa.array(x, t) for x, t in zip(columns, (pa.int64(), pa.binary(), pa.binary(), pa.binary()))]
             made, size = made + 1, 0
             for x in (ids, lengths, states, keys):
                 x.clear()
@@ -157,25 +157,24 @@ def chunks_of(documents: DataFrame) -> DataFrame:
         if size:
             yield flush()
 
-    return documents.select("key", "held_out", "text").mapInArrow(run, f"chunk long, level int, bucket int, a binary, b binary, c binary, keys array<{key}>")
+    return documents.select("key", "held_out", "text").mapInArrow(run, f"chunk long, ids binary, words binary, texts binary, keys array<{key}>")
 
 
 class Chunk:
     """The symbols of some texts and what stores have answered so far."""
 
-    def __init__(self, rows: list[tuple], base: tuple[int, int]):
-        first = next(r for r in rows if r[0] < 0)
-        self.ids, words = from_planes(first[2]), np.frombuffer(first[3], np.uint64)
-        self.lengths, self.states = np.frombuffer(first[4], np.int64).reshape(2, -1)
+    def __init__(self, own: tuple[bytes, bytes, bytes], answers: Iterable[tuple[int, int, bytes, bytes]], base: tuple[int, int]):
+        """own: ids, words, texts; answers: level, bucket, a, b in any order; base: training tokens and distinct words."""
+        self.ids, words = from_planes(own[0]), np.frombuffer(own[1], np.uint64)
+        self.lengths, self.states = np.frombuffer(own[2], np.int64).reshape(2, -1)
         self.symbols = words[self.ids]
         self.starts = np.cumsum(self.lengths) - self.lengths
         self.place = (np.arange(len(self.ids)) - np.repeat(self.starts, self.lengths)).astype(np.int32)
         self.trains = np.repeat(self.states == TRAINS, self.lengths)
         self.tokens, self.distinct = base
         self.answers: dict[int, list[tuple[bytes, bytes]]] = {}
-        for level, _, a, b, _ in rows:
-            if level >= 0:
-                self.answers.setdefault(level, []).append((a, b))
+        for level, _, a, b in sorted(answers, key=lambda x: x[:2]):
+            self.answers.setdefault(level, []).append((a, b))
         order = np.argsort(words)
         rank = np.empty(len(words), np.int32)
         rank[order] = np.arange(len(words))
@@ -258,7 +257,7 @@ class Chunk:
 
         def part(cut: slice) -> bytes:
             own = some[cut]
-            return np.packbits(own).tobytes() + sums[:, cut][:, own].tobytes()
+            return np.packbits(own).tobytes() + sums[:, cut][:, own].astype(np.float32).tobytes()
 
         return self.distinct_runs[k - 1][may], part
 
@@ -296,24 +295,40 @@ def grouped(batches: Iterator[pa.RecordBatch], keys: int) -> Iterator[tuple[tupl
 SENT = "chunk long, kind int, bucket int, a binary, b binary"
 
 
-def sent(rows: DataFrame, known: int, counts: int | None, contexts: int | None, stores: int, base: tuple[int, int]) -> DataFrame:
+def chunk_of(own: pa.Table, answers: pa.Table, base: tuple[int, int]) -> Chunk:
+    columns = (answers.column(c).to_pylist() for c in ("level", "bucket", "a", "b"))
+    return Chunk(tuple(own.column(c)[0].as_py() for c in ("ids", "words", "texts")), zip(*columns), base)
+
+
+def with_answers(chunks: DataFrame, answers: list[DataFrame], run: Callable[[pa.Table, pa.Table], pa.Table], schema: str) -> DataFrame:
+    """Each chunk beside all answers to it. Chunks lie dealt, so only answers are shuffled."""
+    rows = chunks.sparkSession.createDataFrame([], "chunk long, level int, bucket int, a binary, b binary")
+    for found in answers:
+        rows = rows.union(found.select("chunk", "level", "bucket", "a", "b"))
+    return chunks.groupBy("chunk").cogroup(rows.groupBy("chunk")).applyInArrow(run, schema)
+
+
+def sent(chunks: DataFrame, answers: list[DataFrame], known: int, counts: int | None, contexts: int | None, stores: int, base: tuple[int, int]) -> DataFrame:
     """What chunks ask for, in a row for each range of hashes: counts of runs, or sums of contexts. known: answers of counts so far."""
     width = (1 << 64) // stores + 1
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for (number,), held in grouped(batches, 1):
-            chunk = Chunk(held, base)
-            chunk.learn(known, contexts - 1 if contexts else 0)
-            if counts:
-                chunk.find(counts)
-            asked = [(k, chunk.ask_counts(k)) for k in (counts,) if k is not None] + [(CONTEXTS + k, chunk.ask_contexts(k)) for k in (contexts,) if k is not None]
-            for kind, (hashes, part) in asked:
-                cuts = np.searchsorted(hashes, np.array([width * i for i in range(stores)], np.uint64)).tolist() + [len(hashes)]
-                spans = [(i, slice(x, y)) for i, (x, y) in enumerate(zip(cuts, cuts[1:])) if y > x]
-                columns = [[number] * len(spans), [kind] * len(spans), [i for i, _ in spans], [packed(hashes[s]) for _, s in spans], [part(s) for _, s in spans]]
-                yield pa.RecordBatch.from_arrays([pa.array(x, t) for x, t in zip(columns, (pa.int64(), pa.int32(), pa.int32(), pa.binary(), pa.binary()))], ["chunk", "kind", "bucket", "a", "b"])
-
-    return rows.select("chunk", "level", "bucket", "a", "b", "c").mapInArrow(run, SENT)
+    def run(own: pa.Table, found: pa.Table) -> pa.Table:
+        number = own.column("chunk")[0].as_py()
+        chunk = chunk_of(own, found, base)
+        chunk.learn(known, contexts - 1 if contexts else 0)
+        if counts:
+            chunk.find(counts)
+        asked = [(k, chunk.ask_counts(k)) for k in (counts,) if k is not None] + [(CONTEXTS + k, chunk.ask_contexts(k)) for k in (contexts,) if k is not None]
+        columns: list[list] = [[], [], [], [], []]
+        for kind, (hashes, part) in asked:
+            cuts = np.searchsorted(hashes, np.array([width * i for i in range(stores)], np.uint64)).tolist() + [len(hashes)]
+            for i, (x, y) in enumerate(zip(cuts, cuts[1:])):
+                if y > x:
+                    for column, value in zip(columns, (number, kind, i, packed(hashes[x:y]), part(slice(x, y)))):
+                        column.append(value)
+        return pa.Table.from_arrays([pa.array(x, t) for x, t in zip(columns, (pa.int64(), pa.int32(), pa.int32(), pa.binary(), pa.binary()))], ["chunk", "kind", "bucket", "a", "b"])
+
+    return with_answers(chunks.select("chunk", "ids", "words", "texts"), answers, run, SENT)
 
 
 def add_counts(rows: list[tuple], least: int) -> Iterator[tuple[int, bytes, bytes, int, int]]:
@@ -346,7 +361,7 @@ def add_contexts(rows: list[tuple]) -> Iterator[tuple[int, bytes, bytes, int, in
     for (_, _, b), x in zip(rows, at):
         size = (len(x) + 7) // 8
         some = np.unpackbits(np.frombuffer(b[:size], np.uint8), count=len(x)).astype(bool)
-        sums[:, x[some]] += np.frombuffer(b[size:], float).reshape(3, -1)
+        sums[:, x[some]] += np.frombuffer(b[size:], np.float32).reshape(3, -1)
     rest, before = (np.maximum(1e-9, 1 - x) for x in sums[1:])
     retained = (sums[0] + rest * np.log(rest / before) >= DIVERGENCE) & (sums[1] > 0)
     left = np.where(retained, np.log10(rest / before), np.nan).astype(np.float32)
@@ -367,33 +382,17 @@ def answered(asked: DataFrame) -> DataFrame:
     return dealt.mapInArrow(run, "chunk long, level int, bucket int, a binary, b binary, total long, owned long")
 
 
-def scored(rows: DataFrame, base: tuple[int, int], kind: str) -> DataFrame:
+def scored(chunks: DataFrame, answers: list[DataFrame], base: tuple[int, int], kind: str) -> DataFrame:
     """key, state, n_tokens, n_known, base, score of each text."""
-    names = ["key", "state", "n_tokens", "n_known", "base", "score"]
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        now, held, keys = None, [], None
-
-        def flush() -> pa.RecordBatch:
-            chunk = Chunk(held, base)
-            chunk.learn(DEPTH + 1 if base[0] else 1, DEPTH if base[0] else 0)
-            known, low, high = chunk.scores()
-            return pa.RecordBatch.from_arrays([keys, pa.array(chunk.states), pa.array(chunk.lengths), pa.array(known), pa.array(low), pa.array(high)], names)
-
-        for batch in batches:
-            for i in range(batch.num_rows):
-                number, *row = (c[i].as_py() for c in batch.columns[:-1])
-                if number != now:
-                    if held:
-                        yield flush()
-                    now, held = number, []
-                held.append(tuple(row))
-                if row[0] < 0:
-                    keys = batch.column(6)[i].values
-        if held:
-            yield flush()
+    def run(own: pa.Table, found: pa.Table) -> pa.Table:
+        chunk = chunk_of(own, found, base)
+        chunk.learn(DEPTH + 1 if base[0] else 1, DEPTH if base[0] else 0)
+        known, low, high = chunk.scores()
+        keys = own.column("keys").combine_chunks().flatten()
+        return pa.Table.from_arrays([keys, pa.array(chunk.states), pa.array(chunk.lengths), pa.array(known), pa.array(low), pa.array(high)], ["key", "state", "n_tokens", "n_known", "base", "score"])
 
-    return rows.select("chunk", "level", "bucket", "a", "b", "c", "keys").mapInArrow(run, f"key {kind}, state long, n_tokens long, n_known long, base double, score double")
+    return with_answers(chunks, answers, run, f"key {kind}, state long, n_tokens long, n_known long, base double, score double")
 
 
 def score_texts(documents: DataFrame, divisor: int = 10, held: int = 0, key: str = "doc_id", text: str = "text") -> DataFrame:
@@ -405,26 +404,18 @@ def score_texts(documents: DataFrame, divisor: int = 10, held: int = 0, key: str
     kind = documents.schema[key].dataType.simpleString()
     texts = documents.select(F.col(key).alias("key"), (remainder(F.col(key), divisor) == held).alias("held_out"), F.coalesce(F.col(text).cast("string"), F.lit("")).alias("text"))
     with scratch(spark) as tables:
-        chunks = tables.keep(chunks_of(texts), "chunks")
+        chunks = tables.keep_dealt(chunks_of(texts), "chunk", int(spark.conf.get("spark.sql.shuffle.partitions")))
         stores = max(2, -(-chunks.count() // CHUNKS_TO_STORE))
-        answers = [tables.keep(answered(sent(chunks, 0, 0, None, stores, (0, 0))), "answers")]
+        answers = [tables.keep(answered(sent(chunks, [], 0, 0, None, stores, (0, 0))), "answers")]
         tokens, distinct = answers[0].agg(F.coalesce(F.sum("total"), F.lit(0)), F.coalesce(F.sum("owned"), F.lit(0))).first()
         base = (int(tokens), int(distinct))
         for k in range(1, DEPTH + 2 if tokens else 1):
             tables.free()
-            answers.append(tables.keep(answered(sent(with_answers(chunks, answers), k, k if k <= DEPTH else None, k - 1 if k > 1 else None, stores, base)), "answers"))
+            answers.append(tables.keep(answered(sent(chunks, answers, k, k if k <= DEPTH else None, k - 1 if k > 1 else None, stores, base)), "answers"))
         tables.free()
-        rows = scored(with_answers(chunks, answers), base, kind)
+        rows = scored(chunks, answers, base, kind)
         out = rows.select(
             F.col("key").cast(kind).alias(key), F.when(F.col("state") != NEITHER, F.col("state") == HELD).alias("held_out"), "n_tokens", "n_known", F.lit(base[0]).cast("long").alias("train_tokens"),
             F.col("base").alias("base_score"), "score",
         )
         return out.checkpoint()
-
-
-def with_answers(chunks: DataFrame, answers: list[DataFrame]) -> DataFrame:
-    """Each chunk beside all answers to it, in order."""
-    rows = chunks
-    for found in answers:
-        rows = rows.unionByName(found.select("chunk", "level", "bucket", "a", "b"), allowMissingColumns=True)
-    return rows.repartition("chunk").sortWithinPartitions("chunk", "level", "bucket")
