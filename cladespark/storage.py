@@ -39,7 +39,7 @@ class Scratch:
         """Writes ``df`` once and returns it as read from disk."""
         self.count += 1
         path = f"{self.root}/{self.count:03d}-{name}"
-        df.write.parquet(path)
+        df.write.parquet(path, compression="zstd")
         return self.spark.read.schema(df.schema).parquet(path)
 
     def keep_dealt(self, df: DataFrame, by: str, parts: int) -> DataFrame:
@@ -47,7 +47,7 @@ class Scratch:
         self.count += 1
         name = f"scratch_{uuid.uuid4().hex}"
         self.tables.append(name)
-        df.write.format("parquet").bucketBy(parts, by).option("path", f"{self.root}/{self.count:03d}-{name}").saveAsTable(name)
+        df.write.format("parquet").option("compression", "zstd").bucketBy(parts, by).option("path", f"{self.root}/{self.count:03d}-{name}").saveAsTable(name)
         return self.spark.table(name)
 
     def free(self) -> None:
