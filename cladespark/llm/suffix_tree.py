@@ -52,7 +52,7 @@ SMOOTHING = 0.1
 #: Stand for the end of a text: a word that none is, and its hash.
 END, END_HASH = b"", 1
 #: Symbols in a chunk, about: a text is in one chunk.
-CHUNK = 750_000
+CHUNK = 1_200_000
 #: Chunks for each range of hashes.
 CHUNKS_TO_STORE = 3
 #: What is sent besides counts of runs of k + 1 symbols (k): sums of contexts of k symbols (CONTEXTS + k).
@@ -110,6 +110,20 @@ def unpacked_counts(data: bytes) -> np.ndarray:
     return out
 
 
+def without_gaps(values: np.ndarray) -> bytes:
+    """Single-precision numbers, of which nan takes a bit."""
+    known = np.isfinite(values)
+    return np.int64(len(values)).tobytes() + np.packbits(known).tobytes() + values[known].tobytes()
+
+
+def with_gaps(data: bytes) -> np.ndarray:
+    count = int(np.frombuffer(data, np.int64, 1)[0])
+    size = 8 + (count + 7) // 8
+    out = np.full(count, np.nan, np.float32)
+    out[np.unpackbits(np.frombuffer(data, np.uint8, size - 8, 8), count=count).astype(bool)] = np.frombuffer(data[size:], np.float32)
+    return out
+
+
 def in_planes(ids: np.ndarray) -> bytes:
     """All low bytes, then all second ones and so on, which compress well."""
     return np.ascontiguousarray(ids.astype("<u4").view(np.uint8).reshape(-1, 4).T).tobytes()
@@ -228,7 +242,7 @@ class Chunk:
 
     def _learn_contexts(self, k: int) -> None:
         of_run = np.full(len(self.distinct_runs[k - 1]), np.nan, np.float32)
-        of_run[self.contexts(k)] = np.frombuffer(b"".join(a for a, _ in self.answers.get(CONTEXTS + k, [])), np.float32)
+        of_run[self.contexts(k)] = np.concatenate([with_gaps(a) for a, _ in self.answers.get(CONTEXTS + k, [])] + [np.zeros(0, np.float32)])
         left = np.full(len(self.ids), np.nan, np.float32)
         left[self.at[k - 1]] = of_run[self.which[k - 1]]
         self.left.append(left)
@@ -366,7 +380,7 @@ def add_contexts(rows: list[tuple]) -> Iterator[tuple[int, bytes, bytes, int, in
     retained = (sums[0] + rest * np.log(rest / before) >= DIVERGENCE) & (sums[1] > 0)
     left = np.where(retained, np.log10(rest / before), np.nan).astype(np.float32)
     for (chunk, _, _), x in zip(rows, at):
-        yield chunk, left[x].tobytes(), b"", 0, 0
+        yield chunk, without_gaps(left[x]), b"", 0, 0
 
 
 def answered(asked: DataFrame) -> DataFrame:

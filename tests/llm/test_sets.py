@@ -322,6 +322,8 @@ def test_packed_numbers_round_trip():
             assert (suffix_tree.unpacked(suffix_tree.packed(rows)) == rows).all()
             counts = rng.integers(0, 600, size)
             assert (suffix_tree.unpacked_counts(suffix_tree.packed_counts(counts)) == counts).all()
+    for gaps in (np.zeros(0, np.float32), np.array([1.5, np.nan, -2, np.nan, 0, 7, 8, 9, np.nan], np.float32)):
+        np.testing.assert_array_equal(suffix_tree.with_gaps(suffix_tree.without_gaps(gaps)), gaps)
     ids = rng.integers(0, 2**32, 1000, dtype=np.uint32)
     assert (suffix_tree.from_planes(suffix_tree.in_planes(ids)) == ids).all()
 
