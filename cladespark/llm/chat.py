@@ -11,7 +11,7 @@ backslash goes before every backslash, ``#`` and ``</turn>``, and in roles befor
 
 Defined results: null texts and roles are empty; repeated turns stay, in the order
 of turn, role, text with nulls first; rows with a null key are one conversation;
-a record of unknown layout gives one turn with null role and text and a null layout;
+a record of unknown layout, or with a turn that isn't an object, gives one turn with null role and text and a null layout;
 further columns are left out.
 """
 
@@ -47,6 +47,9 @@ ROLES = {"human": "user", "prompter": "user", "gpt": "assistant", "bot": "assist
 NAMED = {path for m in MAPPINGS for path in m["paths"]}
 
 
+MARKED = re.compile(r"[\[\].~]")
+
+
 def fingerprint(paths: set[str]) -> str:
     """The hash of a layout's paths; paths that no mapping names don't count."""
     return hashlib.blake2b("\n".join(sorted(paths & NAMED)).encode(), digest_size=8).hexdigest()
@@ -65,12 +68,17 @@ def schema_paths(kind: T.DataType, at: str = "") -> set[str]:
 
 
 def record_paths(value: object, at: str = "") -> set[str]:
-    """The nested field paths of a JSON value; an empty list has none."""
-    if isinstance(value, dict):
-        return set().union(*(record_paths(v, f"{at}.{k}".lstrip(".")) for k, v in value.items()))
-    if isinstance(value, list):
-        return set().union(*(record_paths(v, f"{at}[]") for v in value))
-    return {at}
+    """The nested field paths of a JSON value; an empty list has none. A field's own brackets and dots are marked."""
+    found, open_ = set(), [(value, at)]
+    while open_:
+        value, at = open_.pop()
+        if isinstance(value, dict):
+            open_ += [(v, f"{at}.{MARKED.sub(r'~', k)}".lstrip(".")) for k, v in value.items()]
+        elif isinstance(value, list):
+            open_ += [(v, f"{at}[]") for v in value]
+        else:
+            found.add(at)
+    return found
 
 
 def turns_of_table(df: DataFrame, key: str) -> DataFrame:
@@ -94,6 +102,8 @@ def turns_of_table(df: DataFrame, key: str) -> DataFrame:
     def role_of(field: str):
         if field[0] == "=":
             return F.lit(field[1:])
+        if "order" in mapping:  # rows that are turns already keep their roles
+            return F.coalesce(F.col(inside + field).cast("string"), F.lit(""))
         role, names = F.coalesce(F.col(inside + field).cast("string"), F.lit("")), F.create_map(*(F.lit(x) for pair in ROLES.items() for x in pair))
         return F.coalesce(names[role], role)
 
@@ -108,13 +118,16 @@ def turns_of_record(record: str | None) -> list[tuple[str | None, str | None, st
     """(role, text, layout) of each turn of a JSON record."""
     try:
         value = json.loads(record or "")
-    except ValueError:
+    except (ValueError, RecursionError):
         value = None
     mapping = BY_FINGERPRINT.get(fingerprint(record_paths(value))) if isinstance(value, dict) else None
     if mapping is None:
         return [(None, None, None)]
     out = []
-    for item in value[mapping["each"]] if "each" in mapping else [value]:
+    items = value[mapping["each"]] if "each" in mapping else [value]
+    if not isinstance(items, list) or not all(isinstance(x, dict) for x in items):
+        return [(None, None, None)]
+    for item in items:
         for role, text in mapping["turns"]:
             said = role[1:] if role[0] == "=" else str(item.get(role) or "")
             parts = [str(item[x]) for x in text.split("\n") if item.get(x)]

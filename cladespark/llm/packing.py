@@ -57,19 +57,22 @@ class ByteBpe:
         byte = {x: i for i, x in enumerate(byte_letters())}
         ranks = {bytes(map(byte.__getitem__, t)): i for t, i in vocabulary.items() if t not in self.specials}
         plain = spec["normalizer"] is None and spec["pre_tokenizer"]["type"] == "ByteLevel" and not spec["pre_tokenizer"]["add_prefix_space"]
-        self.fast = self.library = None
+        self.path, self.fast, self.library = path, None, None
         if plain and made == sorted(made) and len(self.specials) < 2:
             import public_tokenizers
 
             self.fast = tiktoken.Encoding("ranks", pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens=self.specials)
-        else:
-            self.library = Tokenizer.from_file(path)
-            self.library.no_padding()
-            self.library.no_truncation()
 
     def encode(self, text: str) -> np.ndarray:
         if self.fast is not None:
-            return np.asarray(self.fast.encode_to_numpy(text, allowed_special="all"), "<u4")
+            try:
+                return np.asarray(self.fast.encode_to_numpy(text, allowed_special="all"), "<u4")
+            except ValueError:  # its pattern gives up on very long runs of white space
+                pass
+        if self.library is None:
+            self.library = Tokenizer.from_file(self.path)
+            self.library.no_padding()
+            self.library.no_truncation()
         return np.array(self.library.encode(text, add_special_tokens=False).ids, "<u4")
 
 

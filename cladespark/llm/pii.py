@@ -35,7 +35,7 @@ WORD_OF_NAME = r"\p{Lu}(?:['’]\p{Lu})?\p{Ll}+(?:\p{Lu}\p{Ll}+)*(?:-\p{Lu}\p{Ll
 NAME = r"(?:\p{Lu}\. ){0,2}WORD(?: (?:\p{Lu}\. )?WORD){0,3}".replace("WORD", WORD_OF_NAME)
 #: What each kind looks like (Java patterns, in the order in which they are tried).
 PATTERNS = {
-    "email": r"(?<![A-Za-z0-9._%+-])[A-Za-z0-9._%+-]{1,64}@(?:[A-Za-z0-9-]{1,63}\.){1,8}[A-Za-z]{2,24}",
+    "email": r"(?<![\p{L}\p{N}._%+-])[\p{L}\p{N}._%+-]{1,64}@(?:[\p{L}\p{N}-]{1,63}\.){1,8}\p{L}{2,24}",
     "ip": r"(?<![\d.])(?:(?:25[0-5]|2[0-4]\d|1\d\d|[1-9]?\d)\.){3}(?:25[0-5]|2[0-4]\d|1\d\d|[1-9]?\d)(?!\d|\.\d)",
     "ssn": r"(?<![\d-])\d{3}-\d{2}-\d{4}(?![\d-])",
     "phone": r"(?<![\w+])\+\d{1,3}[ .-]?(?:\(\d{1,4}\)|\d{1,4})(?:[ .-]?\d{3,4}[ .-]?\d{3,4}|(?:[ .-]\d{2}){4})(?!\d)|(?<![\w+(])\(\d{3}\) ?\d{3}[ .-]\d{4}(?!\d)|(?<![\w+.-])\d{3}[ .-]\d{3}[ .-]\d{4}(?![\d-])",
@@ -187,8 +187,8 @@ def surrogate(entity: Column, kind: Column, key: str, count: Column) -> Column:
     digits = F.array_join(F.transform(F.sequence(F.lit(0), more), lambda i: F.when(i > 0, F.pmod(F.xxhash64(own, entity, i), F.lit(10)).cast("string")).otherwise("")), "")
     kept = F.when(kind == "phone", F.regexp_extract(entity, r"^\+\d{1,3}", 0)).when(kind == "key", F.regexp_extract(entity, "^A[KS]IA", 0)).when(kind == "iban", F.regexp_extract(entity, "^[A-Z]{2}", 0)).otherwise("")
     local, domain = F.substring_index(entity, "@", 1), F.substring_index(entity, "@", -1)
-    top = F.regexp_extract(domain, r"\.[A-Za-z]+$", 0)
-    mail = F.concat(permuted(local, F.concat(own, domain)), digits, F.lit("@"), permuted(F.substring(domain, F.lit(1), F.char_length(domain) - F.char_length(top)), own), top)
+    top = F.regexp_extract(domain, r"\.\p{L}+$", 0)
+    mail = F.concat(permuted(local, F.concat(own, domain), True), digits, F.lit("@"), permuted(F.substring(domain, F.lit(1), F.char_length(domain) - F.char_length(top)), own, True), top)
     out = F.when(kind == "email", mail).when(kind == "ip", permuted_quad(entity, own)).when(kind == "card", permuted_card(entity, own)).when(kind.isin(NAMES), surrogate_part(entity, kind, own, more))
     fixed = F.array_join(F.transform(F.split(entity, ""), lambda c, i: F.chr(F.lit(97) + F.pmod(F.xxhash64(own, entity, i), F.lit(26)))), "")
     out = out.otherwise(F.when(entity.rlike(r"[\p{L}\p{N}]"), let(kept, lambda p: F.concat(p, permuted(F.substring(entity, F.char_length(p) + 1, F.char_length(entity)), own, True)))).otherwise(fixed))

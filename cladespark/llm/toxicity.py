@@ -202,6 +202,12 @@ def shares(n: np.ndarray) -> np.ndarray:
     return 0.5 / len(n) + 0.5 * (n + 1e-9) / (n + 1e-9).sum()
 
 
+def all_windows(units: list[str], weights: np.ndarray) -> tuple[list[str], np.ndarray]:
+    """The windows of units, and the weight of each."""
+    split = [windows(u) for u in units]
+    return [w for own in split for w in own], np.repeat(weights / np.array([max(1, len(own)) for own in split]), list(map(len, split)))
+
+
 class Basis:
     """Landmarks and what whitens kernel values against them."""
 
@@ -217,10 +223,10 @@ class Basis:
         self.known[self.codes] = np.arange(len(self.codes))
 
     def features(self, units: list[str]) -> np.ndarray:
-        """Whitened kernel values and a last column of ones."""
+        """Whitened kernel values of windows, and a last column of ones."""
         out = np.ones((len(units), self.whiten.shape[1] + 1), np.float32)
         for i in range(0, len(units), 1000):
-            part = [windows(u)[0] for u in units[i : i + 1000]]
+            part = units[i : i + 1000]
             who, code, weight = subsequences(part)
             at = self.known[code]
             rows = np.zeros((len(part), len(self.codes)), np.float32)
@@ -229,7 +235,9 @@ class Basis:
         return out
 
     def machine(self, positive: list[str], of_positive: np.ndarray, negative: list[str], of_negative: np.ndarray) -> Machine:
-        """A machine whose weights are folded into one table of subsequences."""
+        """A machine whose weights are folded into one table of subsequences. All windows of a unit have its label and share its weight."""
+        positive, of_positive = all_windows(positive, of_positive)
+        negative, of_negative = all_windows(negative, of_negative)
         x = np.vstack([self.features(positive), self.features(negative)])
         sign = np.concatenate([np.ones(len(positive)), -np.ones(len(negative))])
         w = linear_svm(x, sign, np.concatenate([of_positive, of_negative]))
@@ -276,7 +284,7 @@ def train(texts: list[str], labels: list[int]) -> Machine | None:
     loud: list[str] = []
     weights = lambda words, n: shares(np.array([n[number[u]] for u in words], float))
     for turn in range(TURNS):
-        basis = Basis(list(dict.fromkeys(windows(u)[0] for u in [*witness[: LANDMARKS // 2], *loud[: LANDMARKS // 4], *common])))
+        basis = Basis(list(dict.fromkeys(w for u in [*witness[: LANDMARKS // 2], *loud[: LANDMARKS // 4], *common] for w in windows(u))))
         altered = {x: u for u in witness for x in disguised(u) if x not in number}
         weight = np.concatenate([weights(witness, toxic), 0.5 * weights([*altered.values()], toxic)]) if altered else weights(witness, toxic)
         machine = basis.machine([*witness, *altered], weight, negative, weights(negative, clean))

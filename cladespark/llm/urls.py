@@ -3,7 +3,9 @@
 Concatenated names are split into words by a unigram Viterbi search. The unigram
 counts come from all page titles. The naive Bayes model is multinomial: its
 labelled rows are all urls on which a rule decides, beside a short list of
-labelled names; both classes weigh alike.
+labelled names; a class's prior is its share of these urls. Words that rules test themselves (of their hosts
+and paths) are no features: they would only repeat the rules. Each class is smoothed in
+proportion to its size, so a token that neither has is neutral.
 
 All title words that occur twice and all training tokens count. Workers hold only the
 frequent ones, those with ``WORD_SHARE`` of all title words or ``TOKEN_SHARE`` of all
@@ -32,7 +34,7 @@ from ..storage import Scratch, scratch
 WORD_SHARE = 1e-5
 TOKEN_SHARE = 1e-5
 #: The share of a class's training tokens that each labelled name adds.
-NAME_SHARE = 0.002
+NAME_SHARE = 0.02
 #: Names labelled by hand.
 BLOCKED_NAMES = ["spam", "spam farm", "cheap pills", "casino", "free money", "adult cams", "betting", "payday loans", "malware", "click bait", "porn", "viagra"]
 ALLOWED_NAMES = ["blog", "news", "library", "university", "school", "science", "museum", "docs", "wiki", "journal", "weather", "health"]
@@ -127,7 +129,8 @@ def with_rare_words(urls: DataFrame, words: Words, tables: Scratch) -> DataFrame
 class Segmenter:
     """The most likely split of a name into words; an unknown word costs more with each letter."""
 
-    def __init__(self, shares: dict[str, float], least: float = 1.0):
+    def __init__(self, shares: dict[str, float], least: float = 1.0, tested: frozenset[str] = frozenset()):
+        self.tested = tested  # names that are no features
         self.cost = {w: -math.log(p) for w, p in shares.items() if len(w) <= LONGEST_WORD}
         self.unknown = max([*self.cost.values(), 10.0, -math.log(least)])
         self.rare: dict[str, float] = {}  # the costs of all words in the next names that aren't in cost
@@ -152,20 +155,20 @@ class Segmenter:
         return tuple(words[::-1])
 
     def tokens(self, host: str, path: str) -> list[str]:
-        """h: and p: words of host and path; a number is one token of its own kind."""
+        """h: and p: words of host and path but those that rules test; a number is one token of its own kind."""
         out = []
         for kind, part in (("h:", host), ("p:", path.lower())):
             for number, name in names_in(part):
-                out += [kind + "0"] if number else [kind + w for w in self.split(name)]
+                out += [kind + "0"] if number else [kind + w for w in self.split(name) if name not in self.tested]
         return out
 
 
-def with_tokens(urls: DataFrame, words: Words, key: str) -> DataFrame:
+def with_tokens(urls: DataFrame, words: Words, key: str, tested: frozenset[str]) -> DataFrame:
     """Adds tokens, the segmented words of host and path, to row, key, host, path, rule, action."""
     frequent, least = words.frequent, words.least
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        segmenter = Segmenter(frequent, least)
+        segmenter = Segmenter(frequent, least, tested)
         for batch in batches:
             tokens = []
             for host, path, rare in zip(*(batch.column(i).to_pylist() for i in (2, 3, 6))):
@@ -178,8 +181,9 @@ def with_tokens(urls: DataFrame, words: Words, key: str) -> DataFrame:
 
 
 class Odds(NamedTuple):
-    """The log odds of block for each frequent token and for one not seen, and a table (token, odds) of the others."""
+    """The log odds of block before any token, for each frequent token and for one not seen, and a table (token, odds) of the others."""
 
+    prior: float
     frequent: dict[str, float]
     unseen: float
     rare: DataFrame | None
@@ -187,6 +191,8 @@ class Odds(NamedTuple):
 
 def naive_bayes(tokens: DataFrame, words: Words, tables: Scratch) -> Odds:
     """Over all tokens of all rows that a rule decides, and the labelled names."""
+    rows_of = {r["action"]: r["count"] for r in tokens.groupBy("action").count().collect()}
+    prior = math.log((rows_of.get("block", 0) + 1) / (rows_of.get("allow", 0) + 1))
     counts = tokens.filter(F.col("action").isNotNull()).select("action", F.explode("tokens").alias("token")).groupBy("token").agg(*(F.count_if(F.col("action") == a).alias(a) for a in ("block", "allow")))
     counts = tables.keep(counts, "tokens")
     total = counts.agg(F.sum("block").alias("block"), F.sum("allow").alias("allow"), F.count(F.lit(1)).alias("distinct")).first().asDict()
@@ -197,11 +203,11 @@ def naive_bayes(tokens: DataFrame, words: Words, tables: Scratch) -> Odds:
         segmenter.know({r["word"]: r["share"] for r in words.rare.filter(F.col("word").isin(*sorted(parts))).collect()})
     named = {"block": Counter(), "allow": Counter()}
     for a, names in (("block", BLOCKED_NAMES), ("allow", ALLOWED_NAMES)):
-        added = max(1.0, NAME_SHARE * total[a])
+        weight = max(1.0, NAME_SHARE * total[a])
         for name in names:
             for kind in ("h:", "p:"):
                 for word in {*name.split(), *(w for x in name.split() for w in segmenter.split(x))}:
-                    named[a][kind + word] += added
+                    named[a][kind + word] += weight
     labelled = sorted({*named["block"], *named["allow"]})
     often = (F.col("block") + F.col("allow") >= max(1.0, TOKEN_SHARE * (total["block"] + total["allow"]))) | F.col("token").isin(*labelled)
     rows = counts.filter(often).collect()  # 1 / TOKEN_SHARE rows at most, and those of the labelled names
@@ -210,11 +216,13 @@ def naive_bayes(tokens: DataFrame, words: Words, tables: Scratch) -> Odds:
         for a, own in seen.items():
             own[row["token"]] += row[a]
     distinct = total["distinct"] + len({*labelled}.difference(r["token"] for r in rows))
-    sums = {a: total[a] + sum(named[a].values()) + distinct for a in seen}
-    odds = {t: math.log((seen["block"][t] + 1) / sums["block"]) - math.log((seen["allow"][t] + 1) / sums["allow"]) for t in {*seen["block"], *seen["allow"]}}
-    unseen = math.log(sums["allow"]) - math.log(sums["block"])
-    rare = counts.filter(~often).select("token", (F.log((F.col("block") + 1) / (F.col("allow") + 1)) + F.lit(unseen)).alias("odds"))
-    return Odds(odds, unseen, rare if rare.limit(1).count() else None)
+    sizes = {a: max(1.0, total[a] + sum(named[a].values())) for a in seen}
+    added = {a: x / max(sizes.values()) for a, x in sizes.items()}
+    sums = {a: sizes[a] + added[a] * distinct for a in seen}
+    odds = {t: math.log((seen["block"][t] + added["block"]) / sums["block"]) - math.log((seen["allow"][t] + added["allow"]) / sums["allow"]) for t in {*seen["block"], *seen["allow"]}}
+    unseen = math.log(added["block"] / sums["block"]) - math.log(added["allow"] / sums["allow"])  # 0 but for rounding
+    rare = counts.filter(~often).select("token", (F.log((F.col("block") + added["block"]) / (F.col("allow") + added["allow"])) + F.lit(math.log(sums["allow"] / sums["block"]))).alias("odds"))
+    return Odds(prior, odds, unseen, rare if rare.limit(1).count() else None)
 
 
 def judge(pages: DataFrame, rules: list[Rule], key: str = "page_id", url: str = "url", html: str = "html") -> DataFrame:
@@ -225,7 +233,7 @@ def judge(pages: DataFrame, rules: list[Rule], key: str = "page_id", url: str =
         words = title_words(pages, tables, html)
         urls = tables.keep(pages.select(F.monotonically_increasing_id().alias("row"), key, host.alias("host"), path.alias("path")), "urls")
         urls = urls.withColumns({n: rule_of(rules, F.col("host"), F.col("path"), v) for n, v in (("rule", "name"), ("action", "action"))})
-        tokens = tables.keep(with_tokens(with_rare_words(urls, words, tables), words, key), "with-tokens")
+        tokens = tables.keep(with_tokens(with_rare_words(urls, words, tables), words, key, frozenset(x for rule in rules for part in (rule.host, rule.path.lower()) for _, x in names_in(part) if x)), "with-tokens")
         odds = naive_bayes(tokens, words, tables)
         frequent, unseen = odds.frequent, odds.unseen
 
@@ -243,5 +251,6 @@ def judge(pages: DataFrame, rules: list[Rule], key: str = "page_id", url: str =
             asked = scored.select("row", F.explode("others").alias("token")).join(odds.rare, "token", "left")
             sums = asked.groupBy("row").agg(F.sum(F.coalesce("odds", F.lit(unseen))).alias("more"))
             scored = scored.join(sums, "row", "left").withColumn("score", F.col("known") + F.coalesce("more", F.lit(0.0)))
+        scored = scored.withColumn("score", F.col("score") + odds.prior)
         verdict = F.coalesce("action", F.when(F.col("score") > 0, "block").otherwise("allow"))
         return scored.select(key, "host", "path", "rule", verdict.alias("verdict"), "tokens", "score").checkpoint()

@@ -321,3 +321,41 @@ def test_rare_words_and_tokens_count(spark, monkeypatch):
     got = {r.page_id: r for r in urls.judge(df, RULES).collect()}
     assert [(r.tokens, r.verdict) for r in got.values()] == [(want[i].tokens, want[i].verdict) for i in got]
     assert [got[i].score for i in want] == pytest.approx([want[i].score for i in want])
+
+
+def test_odd_records_give_a_null_turn():
+    deep = "[" * 100_000 + "]" * 100_000
+    mixed = ['{"messages": [{"role": "user", "content": "a"}, "b"]}', '{"messages": [{"role": "user", "content": "a"}, null]}', '{"messages[]": {"role": "user", "content": "a"}}', '{"a": ' + deep + "}", "[1]", "1"]
+    assert [chat.turns_of_record(x) for x in mixed] == [[(None, None, None)]] * len(mixed)
+
+
+def test_turn_rows_keep_their_roles(spark):
+    df = spark.createDataFrame([(1, 0, "human", "a"), (1, 1, "gpt", "b")], "conv_id int, turn int, role string, text string")
+    assert [r.role for r in chat.turns_of_table(df, "conv_id").orderBy("turn").collect()] == ["human", "gpt"]
+
+
+def test_long_white_space_is_encoded():
+    coder = packing.ByteBpe(BYTES)
+    library = Tokenizer.from_file(BYTES)
+    for text in (" " * 1_000_000, "a" + "\n" * 300_000 + "b"):
+        assert coder.encode(text).tolist() == library.encode(text, add_special_tokens=False).ids
+
+
+def test_addresses_of_other_scripts(spark):
+    texts = ["see иван@почта.рф now", "see jörg.müller@exämple.de now"]
+    got = {r.doc_id: r for r in pii.replace(docs(spark, texts)).collect()}
+    for i, x in enumerate(texts):
+        old, new = x.split()[1], got[i].text.split()[1]
+        assert [e.kind for e in got[i].entities] == ["email"]
+        assert new != old
+        assert [c for c in new if c in "@."] == [c for c in old if c in "@."]
+        assert not {*old.split("@")[0].split(".")} & {*new.split("@")[0].split(".")}
+
+
+def test_words_that_rules_test_are_no_features(spark):
+    """Language folders and suffixes are the rules' own; a labelled name still tells."""
+    rows = [(i, f"https://h{i % 7}.example.com/en/page", "") for i in range(40)] + [(100 + i, f"https://www.h{i % 7}.com/page", "") for i in range(60)]
+    rows += [(900, "https://h1.org/en/page", ""), (901, "https://casino.org/en/page", "")]
+    got = {r.page_id: r for r in urls.judge(spark.createDataFrame(rows, "page_id long, url string, html string"), RULES).collect()}
+    assert {t for r in got.values() for t in r.tokens}.isdisjoint({"h:com", "h:net", "h:example", "h:www", "p:en", "p:es"})
+    assert (got[900].verdict, got[901].verdict) == ("allow", "block")
