@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, chat, jaccard, neardup, packing, pii, suffix_tree, topk, toxicity, urls
+from . import bpe, chat, filter_audit, jaccard, mixing, neardup, packing, pii, suffix_tree, topk, toxicity, urls, vector_codes
 from .batches import remainder
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -77,7 +77,19 @@ def op10_suffix_tree(spark: SparkSession, sf_dir: str) -> DataFrame:
     return suffix_tree.score_texts(table(spark, sf_dir, "documents"))
 
 
-QUERIES: dict[str, Query] = {"op1_bpe": op1_bpe, "op2_jaccard": op2_jaccard, "op3_topk": op3_topk, "op4_neardup": op4_neardup, "op5_toxicity": op5_toxicity, "op6_chat": op6_chat, "op7_pii": op7_pii, "op8_packing": op8_packing, "op9_urls": op9_urls, "op10_suffix_tree": op10_suffix_tree}
+def op11_vector_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return vector_codes.compress(table(spark, sf_dir, "embeddings"))
+
+
+def op12_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mixing.taken(table(spark, sf_dir, "documents"))
+
+
+def op13_filter_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return filter_audit.audit(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+QUERIES: dict[str, Query] = {"op1_bpe": op1_bpe, "op2_jaccard": op2_jaccard, "op3_topk": op3_topk, "op4_neardup": op4_neardup, "op5_toxicity": op5_toxicity, "op6_chat": op6_chat, "op7_pii": op7_pii, "op8_packing": op8_packing, "op9_urls": op9_urls, "op10_suffix_tree": op10_suffix_tree, "op11_vector_codes": op11_vector_codes, "op12_mixing": op12_mixing, "op13_filter_audit": op13_filter_audit}
 
 OP6_SQL = r"""
 with rows as (
@@ -130,4 +142,53 @@ counts as (select a, count(*) as n from links group by a)
 select vec_id, coalesce(n, 0) as n_links, component_id, vec_id = component_id as kept from least left join counts on a = vec_id
 """
 
-ORACLE_SQL: dict[str, str] = {"op2_jaccard": OP2_SQL, "op3_topk": OP3_SQL, "op4_neardup": OP4_SQL, "op6_chat": OP6_SQL}
+
+
+def op11_sql(rounds: int = 4, parts: int = 4, entries: int = 256) -> str:
+    """Each round as two tables: the nearest entry of each part (least distance, then index), and the new entries."""
+    nearest = """n{r} as (
+  select vec_id, no, p, x.v as v, min_by(struct_pack(entry := c.entry, d := list_sum(list_transform(list_zip(x.v, c.v), lambda y: (y[1] - y[2]) * (y[1] - y[2])))),
+    struct_pack(d := list_sum(list_transform(list_zip(x.v, c.v), lambda y: (y[1] - y[2]) * (y[1] - y[2]))), entry := c.entry)) as best
+  from pieces x join c{r} c using (p) group by vec_id, no, p, x.v)"""
+    moved = """c{s} as (
+  select c.p, c.entry, coalesce(m.v, c.v) as v from c{r} c left join (
+    select p, entry, list(cast((s - ((s % n) + n) % n) // n as bigint) order by i) as v from (
+      select p, best.entry as entry, i, sum(v[i]) as s, count(*) as n from n{r}, unnest(range(1, len(v) + 1)) as u(i) group by all)
+    group by p, entry) m using (p, entry))"""
+    turns = [text for r in range(rounds) for text in (nearest.format(r=r), moved.format(r=r, s=r + 1))]
+    return f"""
+with whole as (
+  select row_number() over (order by vec_id nulls last, embedding) as no, vec_id, label, list_transform(embedding, lambda x: cast(floor(1024 * cast(x as double)) as bigint)) as v from embeddings
+  where embedding is not null and len(list_filter(embedding, lambda x: x is null or not isfinite(x))) = 0),
+pieces as (select no, vec_id, p, v[p * (len(v) // {parts}) + 1 : (p + 1) * (len(v) // {parts})] as v from whole, unnest(range({parts})) as u(p)),
+c0 as (select p, no - 1 as entry, v from pieces where no <= {entries}),
+{", ".join(turns)}, {nearest.format(r=rounds)},
+digest as (select sha256(string_agg(array_to_string(v, ','), ',' order by p, entry)) as codebooks_sha256 from c{rounds}),
+coded as (select no, string_agg(printf('%02x', best.entry), '' order by p) as code, cast(sum(best.d) as bigint) as error from n{rounds} group by no)
+select vec_id, code, error, cast(sum(error) over (partition by label) as bigint) as label_error, codebooks_sha256 from coded join whole using (no), digest
+"""
+
+
+OP13_SQL = r"""
+with recursive docs as (select doc_id, coalesce(lang, '') as part, coalesce(text, '') as t, regexp_extract_all(coalesce(text, ''), '[^ 	-
+]+') as w from documents),
+failing as (
+  select doc_id, part, len(w) < 100 as a, 100 * len(list_distinct(w)) < 80 * len(w) as b, 100 * length(regexp_replace(t, '[^A-Z]', '', 'g')) > 10 * length(t) as c,
+    regexp_matches(t, '[#$%&*|]') as d, coalesce(doc_id > min(doc_id) over (partition by t), false) as e from docs),
+marks as (select doc_id, max(cast(quality = 1 as integer)) as good, max(cast(toxic = 1 as integer)) as toxic from labels group by doc_id),
+fails as (
+  select part, case when a then 'A' else '' end || case when b then 'B' else '' end || case when c then 'C' else '' end || case when d then 'D' else '' end || case when e then 'E' else '' end as f,
+    count(*) as n, coalesce(sum(good), 0) as good, coalesce(sum(toxic), 0) as toxic from failing left join marks using (doc_id) group by all),
+orders(o) as (select '' union all select o || x from orders, unnest(['A', 'B', 'C', 'D', 'E']) as u(x) where length(o) < 5 and not contains(o, x)),
+steps as (select o, cast(s as integer) as step, o[s : s] as own, o[1 : s - 1] as earlier from orders, unnest(range(1, 6)) as u(s) where length(o) = 5),
+told as (
+  select part, o, step, own, n, good, toxic, contains(f, own) as fails, f = own as alone, earlier <> '' and regexp_matches(f, '[' || earlier || '0]') as gone from fails, steps),
+sums as (
+  select part, o as filter_order, step, own, coalesce(sum(n) filter (not fails and not gone), 0) as kept, coalesce(sum(n) filter (fails and not gone), 0) as removed,
+    coalesce(sum(n) filter (fails and gone), 0) as redundant, coalesce(sum(n) filter (alone), 0) as unique_fails,
+    coalesce(sum(good) filter (fails and not gone), 0) as good_lost, coalesce(sum(toxic) filter (fails and not gone), 0) as toxic_lost from told group by all)
+select part, filter_order, step, cast(kept as bigint) as kept, cast(removed as bigint) as removed, cast(redundant as bigint) as redundant, cast(unique_fails as bigint) as unique_fails,
+  cast(good_lost as bigint) as good_lost, cast(toxic_lost as bigint) as toxic_lost, cast(sum(removed) over (partition by part, own) as bigint) as shapley from sums
+"""
+
+ORACLE_SQL: dict[str, str] = {"op2_jaccard": OP2_SQL, "op3_topk": OP3_SQL, "op4_neardup": OP4_SQL, "op6_chat": OP6_SQL, "op11_vector_codes": op11_sql(), "op13_filter_audit": OP13_SQL}
