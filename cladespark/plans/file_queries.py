@@ -9,8 +9,8 @@ from pyspark.sql import functions as F
 
 from .. import sinks
 from ..functions.sequence import reverse_complement
-from ..operators import reads, tree
-from ..sources import logs, text
+from ..operators import counting, reads, tree
+from ..sources import bam, logs, text
 from ..storage import scratch
 from .registry import query
 from .views import table, view
@@ -238,3 +238,31 @@ def alleles_file(spark: SparkSession, sf_dir: str) -> DataFrame:
 def probe_order_file(spark: SparkSession, sf_dir: str) -> DataFrame:
     own = view(spark, sf_dir, "v_targets").select("target", F.expr("array(concat('P', target, 'a'), concat('P', target, 'b'))").alias("probe_list"))
     return through_files(spark, lambda path: sinks.write_probes(own, f"{path}/order", f"{path}/info"), lambda path: spark.read.text(f"{path}/order").withColumnRenamed("value", "probe"))
+
+
+def bam_files(spark: SparkSession, sf_dir: str) -> Callable[[str], None]:
+    """Writes v_reads as BAM files, samples as read groups."""
+    named = view(spark, sf_dir, "v_reads").withColumns({"read_group": F.col("sample"), "name": F.concat_ws(":", "sample", "ref_start", "ref_end")})
+    ends = named.groupBy("chrom").agg(F.max("ref_end").alias("end")).orderBy("chrom").collect()  # a row for each chromosome
+    return lambda path: bam.write_reads(named, path, {r["chrom"]: r["end"] + 1 for r in ends})
+
+
+BAM_DEPTHS = "select sample, target, count(*) as depth from v_reads r join v_targets t on r.chrom = t.chrom and r.ref_start <= t.t_start and r.ref_end >= t.t_end"
+
+
+@query("S24 J1 A1 P1", f"{BAM_DEPTHS} group by all")
+def bam_depth(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Depths from BAM files, each read in ranges of 64 KB."""
+    return through_files(spark, bam_files(spark, sf_dir), lambda path: counting.spanning_counts(bam.reads(spark, path, split=1 << 16), view(spark, sf_dir, "v_targets")))
+
+
+@query("S24", f"{BAM_DEPTHS} where t.chrom = 'chr2' and t.t_start between 1000 and 1999 group by all")
+def bam_region_depth(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Depths of the targets of one region, for which only the blocks are read that the index names."""
+    targets = view(spark, sf_dir, "v_targets").filter("chrom = 'chr2' and t_start between 1000 and 1999")
+    return through_files(spark, bam_files(spark, sf_dir), lambda path: counting.spanning_counts(bam.reads(spark, path, regions=[("chr2", 1000, 2000)]), targets))
+
+
+@query("S24 P19", "select sample, chrom, count(*) as reads, sum(ref_end - ref_start) as covered from v_reads group by all")
+def bam_reads(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return through_files(spark, bam_files(spark, sf_dir), lambda path: bam.reads(spark, path).groupBy("sample", "chrom").agg(F.count(F.lit(1)).alias("reads"), F.sum((F.col("ref_end") - F.col("ref_start")).cast("long")).alias("covered")))
