@@ -36,30 +36,53 @@ def parse_target_id(name: Column) -> Column:
     return F.struct(part(1).alias("chrom"), part(2).try_cast("int").alias("start"), part(3).try_cast("int").alias("end"), part(4).try_cast("int").alias("num_copies"), part(5).alias("motif"))
 
 
+def running_sums(lengths: Column) -> Column:
+    """The sums of an array of whole numbers up to each place, one step for each."""
+    start = F.struct(F.lit(0).alias("sum"), F.array().cast("array<int>").alias("sums"))
+    step = lambda a, x: F.struct((a["sum"] + x).alias("sum"), F.concat(a["sums"], F.array(a["sum"] + x)).alias("sums"))
+    return F.aggregate(lengths, start, step, lambda a: a["sums"])
+
+
+def found_between(seq: Column, pattern: str) -> tuple[Column, Column]:
+    """The matches of a pattern without groups, and where each ends."""
+    found = F.regexp_extract_all(seq, F.lit(f"({pattern})"), F.lit(1))
+    before = F.split(seq, pattern, -1)
+    steps = F.zip_with(F.slice(before, F.lit(1), F.size(found)), found, lambda b, f: F.char_length(b) + F.char_length(f))
+    return found, running_sums(steps)
+
+
 def runs(seq: Column, least: int = 11) -> Column:
     """start, end, count, letter of runs of one base of ``least`` bases and more.
 
     As in the tool that these lists come from, the count is one less than the run is long and the start
     is one past the run's first base. A run at the end of a sequence counts as well.
     """
-    pattern = "|".join(f"{b}{{{least},}}" for b in "ACGT")
-    upper = F.upper(seq)
-    found = F.regexp_extract_all(upper, F.lit(f"({pattern})"), F.lit(1))
-    before = F.split(upper, pattern, -1)
-    # where each run ends: the lengths of all that comes before it and its own
-    ends = F.transform(found, lambda r, i: F.aggregate(F.slice(before, F.lit(1), i + 1), F.lit(0), lambda a, x: a + F.char_length(x)) + F.aggregate(F.slice(found, F.lit(1), i + 1), F.lit(0), lambda a, x: a + F.char_length(x)))
-    return F.transform(found, lambda r, i: F.struct((F.get(ends, i) - F.char_length(r) + 1).alias("start"), F.get(ends, i).alias("end"), (F.char_length(r) - 1).alias("count"), F.left(r, F.lit(1)).alias("letter")))
+    found, ends = found_between(F.upper(seq), "|".join(f"{b}{{{least},}}" for b in "ACGT"))
+    return F.zip_with(found, ends, lambda r, e: F.struct((e - F.char_length(r) + 1).alias("start"), e.alias("end"), (F.char_length(r) - 1).alias("count"), F.left(r, F.lit(1)).alias("letter")))
+
+
+def plain_site(site: str) -> str:
+    """A restriction site without its bar, in capitals."""
+    plain = site.replace("|", "").upper()
+    if site.count("|") != 1 or not plain.isalpha():
+        raise ValueError(f"{site!r} is no restriction site: letters and one bar are")
+    return plain
 
 
 def cut_sites(seq: Column, site: str) -> Column:
     """Positions of cuts of a restriction site, given with a bar where it cuts; matches don't overlap."""
-    plain, cut = site.replace("|", ""), site.index("|")
+    plain = plain_site(site)
     pieces = F.split(F.upper(seq), plain, -1)
-    whole = F.slice(pieces, F.lit(1), F.size(pieces) - 1)
-    return F.transform(whole, lambda p, i: F.aggregate(F.slice(pieces, F.lit(1), i + 1), F.lit(0), lambda a, x: a + F.char_length(x)) + i * len(plain) + cut)
+    ends = running_sums(F.transform(F.slice(pieces, F.lit(1), F.size(pieces) - 1), lambda p: F.char_length(p) + len(plain)))
+    return F.transform(ends, lambda e: e - (len(plain) - site.index("|")))
+
+
+# The adapters of the probe order.
+LEFT_ADAPTER = "TGTAAGGCACATCTCGGATC"
+RIGHT_ADAPTER = "ATCCGACGAGAATCTTGCTTCCCTATAGTGAGTCGTATTA"
 
 
-def with_adapters(probe: Column, left: str = "TGTAAGGCACATCTCGGATC", right: str = "ATCCGACGAGAATCTTGCTTCCCTATAGTGAGTCGTATTA") -> Column:
+def with_adapters(probe: Column, left: str = LEFT_ADAPTER, right: str = RIGHT_ADAPTER) -> Column:
     return F.concat(F.lit(left), probe, F.lit(right))
 
 

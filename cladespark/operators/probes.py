@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.sequence import cut_sites, with_adapters
+from .genome import cuts
 from .resample import draw
 
 LONGEST_FRAGMENT = 2000
@@ -27,30 +28,45 @@ def on_genome(sites: DataFrame, genome: DataFrame) -> DataFrame:
 
 def positions(genome: DataFrame, enzymes: dict[str, str], sites: DataFrame) -> DataFrame:
     """chrom, pos, item: cuts and ends of repeats in order; what falls on one position is one item, enzymes first."""
-    cuts = None
-    for order, (name, site) in enumerate(enzymes.items()):
-        own = genome.select("chrom", F.explode(cut_sites(F.col("seq"), site)).alias("pos"), F.lit(order).alias("o"), F.lit(f"RE_{name}").alias("item"))
-        cuts = own if cuts is None else cuts.unionByName(own)
-    ends = sites.select("chrom", F.explode(F.array("start", "end")).alias("pos"), F.lit(len(enzymes)).alias("o"), F.concat(F.lit("MS_"), F.col("target")).alias("item"))
-    every = cuts.unionByName(ends.withColumn("pos", F.col("pos").cast("int")))
+    return merged_positions({name: genome.select("chrom", F.explode(cut_sites(F.col("seq"), site)).alias("pos")) for name, site in enzymes.items()}, sites)
+
+
+def tile_positions(tiled_genome: DataFrame, enzymes: dict[str, str], sites: DataFrame) -> DataFrame:
+    """As ``positions``, of a tiled genome."""
+    return merged_positions({name: cuts(tiled_genome, site) for name, site in enzymes.items()}, sites)
+
+
+def merged_positions(cuts_of: dict[str, DataFrame], sites: DataFrame) -> DataFrame:
+    """chrom, pos, item of the cuts (chrom, pos) of each enzyme and the ends of repeats."""
+    every = sites.select("chrom", F.explode(F.array("start", "end")).alias("pos"), F.lit(len(cuts_of)).alias("o"), F.concat(F.lit("MS_"), F.col("target")).alias("item"))
+    kind = next((c.schema["pos"].dataType for c in cuts_of.values()), every.schema["pos"].dataType)
+    every = every.withColumn("pos", F.col("pos").cast(kind))
+    for order, (name, own) in enumerate(cuts_of.items()):
+        every = every.unionByName(own.select("chrom", "pos", F.lit(order).alias("o"), F.lit(f"RE_{name}").alias("item")))
     items = F.transform(F.array_sort(F.collect_set(F.struct("o", "item"))), lambda x: x["item"])  # of one position
     return every.groupBy("chrom", "pos").agg(F.array_join(items, "|").alias("item"))
 
 
-def fragments(marks: DataFrame) -> DataFrame:
+def fragments(marks: DataFrame, span: int = 1 << 22) -> DataFrame:
     """chrom, start, end, re_left, re_right, target: pieces between cuts, with the repeat that lies inside alone, else null.
 
     The first piece of a chromosome starts at 0 with ``Start``. The last position of each is not looked at.
+    Positions are put in order within spans of a chromosome; a span is told by the few figures of those before it how many cuts
+    there were and where the last one is.
     """
-    row = Window.partitionBy("chrom").orderBy("pos")
-    back = Window.partitionBy("chrom").orderBy(F.col("pos").desc())
-    seen = marks.withColumn("_last", F.row_number().over(back)).filter("_last > 1")
     is_cut = F.contains("item", F.lit("RE"))
-    piece = F.sum(is_cut.cast("int")).over(row.rowsBetween(Window.unboundedPreceding, -1))
-    with_piece = seen.withColumn("piece", F.coalesce(piece, F.lit(0))).withColumn("cut", is_cut)
-    inside = with_piece.filter(~F.col("cut")).groupBy("chrom", "piece").agg(F.count(F.lit(1)).alias("ends"), F.count_distinct("item").alias("names"), F.min("pos").alias("ms_start"), F.max("pos").alias("ms_end"), F.min("item").alias("name"))
-    cuts = with_piece.filter("cut").withColumns({"start": F.coalesce(F.lag("pos").over(row), F.lit(0)), "re_left": F.coalesce(F.lag("item").over(row), F.lit("RE_Start"))})
-    out = cuts.join(inside, ["chrom", "piece"], "left")
+    in_span = marks.withColumns({"span": F.floor(F.col("pos") / span), "cut": is_cut, "cut_pos": F.when(is_cut, F.col("pos")), "cut_item": F.when(is_cut, F.col("item"))})
+    figures = in_span.groupBy("chrom", "span").agg(F.count("cut_pos").alias("n"), F.max("cut_pos").alias("last_cut"), F.max_by("item", "cut_pos").alias("last_item"), F.max("pos").alias("last"))
+    order = Window.partitionBy("chrom").orderBy("span")  # a row for each span
+    earlier = order.rowsBetween(Window.unboundedPreceding, -1)
+    told = figures.select("chrom", "span", F.coalesce(F.sum("n").over(earlier), F.lit(0)).alias("pieces"), F.last("last_cut", True).over(earlier).alias("cut_before"), F.last("last_item", True).over(earlier).alias("item_before"), F.max("last").over(Window.partitionBy("chrom")).alias("end_of_all"))
+    row = Window.partitionBy("chrom", "span").orderBy("pos")
+    upto = row.rowsBetween(Window.unboundedPreceding, -1)
+    within = in_span.withColumns({"own": F.coalesce(F.sum(F.col("cut").cast("int")).over(upto), F.lit(0)), "left_cut": F.last("cut_pos", True).over(upto), "left_item": F.last("cut_item", True).over(upto)})
+    seen = within.join(told, ["chrom", "span"]).filter("pos < end_of_all").withColumn("piece", F.col("pieces") + F.col("own"))
+    inside = seen.filter(~F.col("cut")).groupBy("chrom", "piece").agg(F.count(F.lit(1)).alias("ends"), F.count_distinct("item").alias("names"), F.min("pos").alias("ms_start"), F.max("pos").alias("ms_end"), F.min("item").alias("name"))
+    borders = seen.filter("cut").select("chrom", "piece", "pos", "item", F.coalesce("left_cut", "cut_before", F.lit(0)).alias("start"), F.coalesce("left_item", "item_before", F.lit("RE_Start")).alias("re_left"))
+    out = borders.join(inside, ["chrom", "piece"], "left")
     one = (F.col("ends") == 2) & (F.col("names") == 1)
     plain = lambda c: F.replace(c, F.lit("RE_"), F.lit(""))
     return out.select("chrom", "start", F.col("pos").alias("end"), plain("re_left").alias("re_left"), plain("item").alias("re_right"), F.when(one, F.substring("name", F.lit(4), F.char_length("name"))).alias("target"), F.when(one, F.col("ms_start")).alias("ms_start"), F.when(one, F.col("ms_end")).alias("ms_end"))

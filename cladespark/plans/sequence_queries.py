@@ -6,7 +6,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions import sequence
-from ..operators import probes, reads
+from ..operators import genome, probes, reads
+from ..sources import text
+from ..storage import scratch
 from .registry import query
 from .views import view
 
@@ -140,6 +142,49 @@ def fragment_enrichment(spark: SparkSession, sf_dir: str) -> DataFrame:
     return probes.enrichment(sizes(spark, sf_dir), "one")
 
 
+#: v_seq as three chromosomes; sites of the second enzyme may overlap themselves.
+LONG = "long as (select concat('chr', doc_id % 3) as chrom, string_agg(seq, '' order by doc_id) as seq from v_seq group by 1)"
+LONG_ENZYMES = {"one": "A|CG", "three": "AC|AAC"}
+LONG_CUTS = """{0}, sides as (select chrom, name, site, cut, unnest(string_split(seq, site)) as piece, generate_subscripts(string_split(seq, site), 1) as i from long, (values ('one', 'ACG', 1), ('three', 'ACAAC', 2)) e(name, site, cut)),
+ cuts as (select chrom, name, cast(sum(length(piece) + length(site)) over (partition by chrom, name order by i) - length(site) + cut as bigint) as pos from sides qualify i < max(i) over (partition by chrom, name))""".format(LONG)
+LONG_MARKS = f"""{LONG_CUTS}, reps as (select chrom, unnest(string_split(seq, 'TTTTTT')) as piece, generate_subscripts(string_split(seq, 'TTTTTT'), 1) as i from long),
+ ends as (select chrom, sum(length(piece) + 6) over (partition by chrom order by i) as e from reps qualify i < max(i) over (partition by chrom)),
+ raw as (select chrom, pos, case name when 'one' then 0 else 1 end as o, 'RE_' || name as item from cuts union select chrom, e - 6, 2, 'MS_t' || e from ends union select chrom, e, 2, 'MS_t' || e from ends),
+ marks as (select chrom, cast(pos as bigint) as pos, string_agg(item, '|' order by o, item) as item from raw group by 1, 2)"""
+
+
+def long_tiles(spark: SparkSession, sf_dir: str, size: int = 1024) -> DataFrame:
+    """Tiles of FASTA files in which each row of v_seq is a line; a line isn't a tile's multiple."""
+    chroms = seqs(spark, sf_dir).withColumn("chrom", F.concat(F.lit("chr"), F.col("doc_id") % 3))
+    lines = chroms.select("chrom", "doc_id", F.col("seq").alias("value")).unionByName(chroms.select("chrom", F.lit(-1).cast("long").alias("doc_id"), F.concat(F.lit(">"), "chrom").alias("value")).distinct())
+    with scratch(spark) as tables:
+        path = f"{tables.root}/fasta"
+        lines.repartition("chrom").sortWithinPartitions("chrom", "doc_id").select("value").write.text(path)
+        return text.fasta_tiles(spark, path, size).checkpoint()
+
+
+@query("F7 S28", f"with {LONG_CUTS} select chrom, name, pos from cuts")
+def genome_cuts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    tiles = long_tiles(spark, sf_dir)
+    found = [genome.cuts(tiles, site).withColumn("name", F.lit(name)) for name, site in LONG_ENZYMES.items()]
+    return found[0].unionByName(found[1])
+
+
+@query("F6 S28", f"""with {LONG}, found as (select chrom, unnest(regexp_extract_all(seq, 'A+|C+|G+|T+')) as run, generate_subscripts(regexp_extract_all(seq, 'A+|C+|G+|T+'), 1) as i from long),
+ ended as (select *, sum(length(run)) over (partition by chrom order by i) as e from found)
+ select chrom, cast(e - length(run) + 1 as bigint) as run_start, cast(e as bigint) as run_end, cast(length(run) - 1 as bigint) as count, left(run, 1) as letter from ended where length(run) >= 6""")
+def genome_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return genome.runs(long_tiles(spark, sf_dir), 6).select("chrom", F.col("start").alias("run_start"), F.col("end").alias("run_end"), "count", "letter")
+
+
+@query("J14 W8 S28", f"with {FRAGMENTS.replace(MARKS, LONG_MARKS)} select * exclude (ms_start, ms_end) from frags")
+def genome_fragments(spark: SparkSession, sf_dir: str) -> DataFrame:
+    tiles = long_tiles(spark, sf_dir)
+    ends = genome.cuts(tiles, "TTTTTT|")
+    sites = ends.select("chrom", (F.col("pos") - 6).alias("start"), F.col("pos").alias("end"), F.concat(F.lit("t"), "pos").alias("target"))
+    return probes.fragments(probes.tile_positions(tiles, LONG_ENZYMES, sites), 3000).drop("ms_start", "ms_end")
+
+
 PROBES = "probes as (select doc_id as probe_no, concat('t', cast(doc_id % 40 as varchar)) as target, case when doc_id % 7 = 0 then 'poor' else 'good' end as code, substring(seq, 1, 12) as seq from v_seq), bad as (select concat('t', cast(i as varchar)) as target from range(0, 40, 9) t(i))"
 LISTED = f"{PROBES}, listed as (select target, string_agg('TGTAAGGCACATCTCGGATC' || seq || 'ATCCGACGAGAATCTTGCTTCCCTATAGTGAGTCGTATTA', ',' order by probe_no) as probe_list, count(*) as n_probes from probes where code = 'good' and target not in (select target from bad) group by 1)"
 

@@ -6,6 +6,10 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..functions.sequence import strip_affixes, without_chr
+from ..operators.genome import SIZE, tiled
+
+#: Headings of sequences that are broadcast; more are joined by a shuffle.
+BROADCAST_HEADS = 100_000
 
 
 def numbered(spark: SparkSession, paths: str | list[str]) -> DataFrame:
@@ -187,6 +191,23 @@ def fasta(spark: SparkSession, path: str) -> DataFrame:
     return heads.join(parts, ["file", "n"], "left").select("chrom", F.upper(F.coalesce("seq", F.lit(""))).alias("seq"))
 
 
+def fasta_tiles(spark: SparkSession, path: str | list[str], size: int = SIZE) -> DataFrame:
+    """The tiles (``operators.genome``) of the sequences of FASTA files, without a chromosome being one value.
+
+    Each line's place in its sequence is a running sum of line lengths within a part of the file, and sums of parts before.
+    """
+    lines = numbered(spark, path).withColumn("value", F.trim("value"))
+    heading = F.col("value").startswith(">")
+    marked = lines.withColumns({"head": heading, "n": F.when(heading, F.lit(0)).otherwise(F.char_length("value")).cast("long")})
+    parts = marked.join(before_parts(marked, F.col("head").cast("int")).withColumnRenamed("_before", "heads"), ["file", "part"]).join(before_parts(marked, F.col("n")).withColumnRenamed("_before", "bases"), ["file", "part"])
+    upto = Window.partitionBy("file", "part").orderBy("line").rowsBetween(Window.unboundedPreceding, 0)
+    placed = parts.withColumns({"sequence": F.col("heads") + F.sum(F.col("head").cast("int")).over(upto), "at": F.col("bases") + F.sum("n").over(upto) - F.col("n")})
+    heads = placed.filter("head").select("file", "sequence", F.regexp_extract("value", r"^>(\S*)", 1).alias("chrom"), F.col("at").alias("first"))
+    few = heads.limit(BROADCAST_HEADS + 1).count() <= BROADCAST_HEADS
+    named = placed.filter("not head and n > 0").select("file", "sequence", "at", "value").join(F.broadcast(heads) if few else heads, ["file", "sequence"])
+    return tiled(named.select("chrom", (F.col("at") - F.col("first")).alias("at"), F.upper("value").alias("seq")), size)
+
+
 def enzymes(spark: SparkSession, path: str) -> DataFrame:
     """name, site (with its bar), seq, cut: restriction sites and where they cut."""
     rows = spark.read.text(path).select(F.split(F.trim("value"), r"\s+").alias("f")).filter(F.size("f") >= 2)
