@@ -38,8 +38,10 @@ from .joins import attached
 WHITE = " \t\n\x0b\x0c\r"
 #: Rows of a stretch in a running sum, and words (and documents) of a group in which a source's documents are put in order.
 STRETCH, GROUP = 4096, 1 << 18
-#: Rounds of a permutation.
-ROUNDS = 24
+#: Slots that a task makes of their counts.
+SLOTS = 200_000
+#: Rounds of a permutation: two neighbours stay neighbours with a chance of 2^-16. From about 20 on the JVM doesn't compile the generated code.
+ROUNDS = 16
 
 
 class Recipe(NamedTuple):
@@ -67,15 +69,16 @@ def before(df: DataFrame, by: list[str], place: str, amount: str, name: str) ->
     return own.join(sums, [*by, "_stretch"]).withColumn(name, F.col("_own") + F.col("_earlier")).drop("_stretch", "_own", "_earlier", "_sum", "_all")
 
 
-def shuffled(x: Column, n: Column, *keys: Column) -> Column:
-    """The place of x in a pseudorandom permutation of 0 to n - 1 that the keys name."""
+def shuffled(df: DataFrame, place: str, n: str, keys: list[Column], name: str) -> DataFrame:
+    """Adds the place of a place in a pseudorandom permutation of 0 to n - 1 that the keys name.
 
-    def turn(place: Column, r: Column) -> Column:
-        other = F.pmod(F.pmod(F.xxhash64(*keys, r), n) - place, n)
-        larger = F.greatest(place, other)
-        return F.when(F.xxhash64(*keys, r, larger) < 0, other).otherwise(place)
-
-    return F.aggregate(F.array(*(F.lit(r) for r in range(ROUNDS))), x.cast("long"), turn)
+    Each round is a step of the plan, so that generated code runs it.
+    """
+    out = df.withColumns({"_key": F.xxhash64(*keys), "_x": F.col(place).cast("long")})
+    for r in range(ROUNDS):
+        out = out.withColumn("_other", F.pmod(F.pmod(F.xxhash64("_key", F.lit(r)), F.col(n)) - F.col("_x"), F.col(n)))
+        out = out.withColumn("_x", F.when(F.xxhash64("_key", F.lit(r), F.greatest("_x", "_other")) < 0, F.col("_other")).otherwise(F.col("_x")))
+    return out.withColumn(name, F.col("_x")).drop("_key", "_x", "_other")
 
 
 def sources_of(docs: DataFrame, recipe: Recipe, tables: Scratch) -> DataFrame:
@@ -114,7 +117,7 @@ def placed(docs: DataFrame, sources: DataFrame, tables: Scratch) -> DataFrame:
 
 
 def drawn(sources: DataFrame, recipe: Recipe, tables: Scratch) -> DataFrame:
-    """shard, slot (both from 0), number, draw of each slot of the mix."""
+    """shard, slot (both from 0), number, draw, block of each slot of the mix."""
     spark = sources.sparkSession
     ranges = tables.keep(before(sources.select("number", "quota"), [], "number", "quota", "low"), "ranges")
     count, slots = ranges.agg(F.count(F.lit(1)), F.coalesce(F.sum("quota"), F.lit(0))).first()
@@ -127,32 +130,37 @@ def drawn(sources: DataFrame, recipe: Recipe, tables: Scratch) -> DataFrame:
     counts = tables.keep(fall.groupBy("shard", "number").agg(F.count(F.lit(1)).alias("n")), "counts")
     by_shard = Window.partitionBy("shard").orderBy("number").rowsBetween(Window.unboundedPreceding, -1)
     spread = before(counts, ["number"], "shard", "n", "first").withColumn("place", F.coalesce(F.sum("n").over(by_shard), F.lit(0)))
-    all_slots = spread.withColumn("i", F.explode(F.sequence(F.lit(0).cast("long"), F.col("n") - 1))).select("shard", "number", (F.col("place") + F.col("i")).alias("place"), (F.col("first") + F.col("i")).alias("draw"))
     # draws beyond a quota are as many as lack elsewhere: both are numbered in the order of sources and meet by number
-    made = sources.select("number", "quota").join(counts.groupBy("number").agg(F.sum("n").alias("made")), "number", "left").fillna(0, ["made"])
-    odd = made.select("number", "quota", "made", F.greatest(F.col("made") - F.col("quota"), F.lit(0)).alias("over"), F.greatest(F.col("quota") - F.col("made"), F.lit(0)).alias("under"))
+    made = sources.select("number", "blocks", "quota").join(counts.groupBy("number").agg(F.sum("n").alias("made")), "number", "left").fillna(0, ["made"])
+    odd = made.select("number", "blocks", "quota", "made", F.greatest(F.col("made") - F.col("quota"), F.lit(0)).alias("over"), F.greatest(F.col("quota") - F.col("made"), F.lit(0)).alias("under"))
     odd = tables.keep(before(before(odd, [], "number", "over", "over_before"), [], "number", "under", "under_before"), "odd")
-    told = attached(all_slots, odd.select(F.col("number").alias("_of"), "quota", "over_before"), "number", "_of")
-    lacking = odd.filter("under > 0").withColumn("i", F.explode(F.sequence(F.lit(0).cast("long"), F.col("under") - 1))).select((F.col("under_before") + F.col("i")).alias("spare"), "number", (F.col("made") + F.col("i")).alias("draw"))
-    given = told.filter("draw >= quota").select("shard", "place", (F.col("over_before") + F.col("draw") - F.col("quota")).alias("spare")).join(lacking, "spare").select("shard", "place", "number", "draw")
-    in_shard = F.least(F.lit(recipe.shard), F.lit(slots) - F.col("shard") * recipe.shard)
-    return told.filter("draw < quota").select("shard", "place", "number", "draw").unionByName(given).select("shard", shuffled(F.col("place"), in_shard, F.lit(recipe.seed), F.col("shard")).alias("slot"), "number", "draw")
-
-
-def spans_of(documents: DataFrame, sources: DataFrame, slots: DataFrame, recipe: Recipe) -> DataFrame:
+    told = attached(spread, odd.select(F.col("number").alias("_of"), "blocks", "quota", "over_before"), "number", "_of")
+    told = tables.keep(told.withColumn("good", F.least(F.col("n"), F.greatest(F.col("quota") - F.col("first"), F.lit(0)))), "told")
+    rows = lambda df, low, high: df.filter(F.col(low) < F.col(high)).withColumn("i", F.explode(F.sequence(low, F.col(high) - 1)))
+    zero = lambda df: df.withColumn("zero", F.lit(0).cast("long"))
+    tasks = max(1, -(-slots // SLOTS))
+    kept = rows(zero(told).repartition(tasks, "shard"), "zero", "good").select("shard", (F.col("place") + F.col("i")).alias("place"), "number", "blocks", (F.col("first") + F.col("i")).alias("draw"))
+    spare = rows(told, "good", "n").select("shard", (F.col("place") + F.col("i")).alias("place"), (F.col("over_before") + F.col("first") + F.col("i") - F.col("quota")).alias("spare"))
+    lacking = rows(zero(odd), "zero", "under").select((F.col("under_before") + F.col("i")).alias("spare"), "number", "blocks", (F.col("made") + F.col("i")).alias("draw"))
+    drew = kept.unionByName(spare.join(lacking, "spare").select("shard", "place", "number", "blocks", "draw"))
+    drew = drew.withColumns({"in_shard": F.least(F.lit(recipe.shard), F.lit(slots) - F.col("shard") * recipe.shard), "index": F.col("draw") % F.col("blocks")})
+    seated = shuffled(drew, "place", "in_shard", [F.lit(recipe.seed), F.col("shard")], "slot")
+    seated = tables.keep(seated.select("shard", "slot", "number", "draw", "index", "blocks"), "seated")  # generated code of both permutations would be too long to be compiled
+    chosen = shuffled(seated, "index", "blocks", [F.lit(recipe.seed), F.col("number"), F.expr("draw div blocks")], "block")
+    return tables.keep(chosen.select("shard", "slot", "number", "draw", "block"), "slots")  # a table, as joins above so many steps are slow to plan
+
+
+def spans_of(documents: DataFrame, slots: DataFrame, recipe: Recipe) -> DataFrame:
     """shard, slot, number, block, at, key, mark, start, begin, length: what each slot takes of which document.
 
     at: words of the slot before; begin: words of the document before; start: the place of the document in its source, which tells
     documents with the same key apart.
     """
-    blocks = attached(slots, sources.select(F.col("number").alias("_of"), "blocks"), "number", "_of")
-    turn, index = F.expr("draw div blocks"), F.col("draw") % F.col("blocks")
-    chosen = blocks.select("shard", "slot", "number", shuffled(index, F.col("blocks"), F.lit(recipe.seed), F.col("number"), turn).alias("block"))
     size = recipe.block
     pieces = documents.filter("start is not null").withColumn("block", F.explode(F.sequence(F.expr(f"start div {size}"), F.expr(f"(start + size - 1) div {size}"))))
     begin, end = F.greatest(F.col("block") * size - F.col("start"), F.lit(0)), F.least((F.col("block") + 1) * size - F.col("start"), F.col("size"))
     pieces = pieces.select("number", "block", F.greatest(F.col("start") - F.col("block") * size, F.lit(0)).alias("at"), "key", "mark", "start", begin.alias("begin"), (end - begin).alias("length"))
-    return chosen.join(pieces, ["number", "block"]).select("shard", "slot", "number", "block", "at", "key", "mark", "start", "begin", "length")
+    return slots.join(pieces, ["number", "block"]).select("shard", "slot", "number", "block", "at", "key", "mark", "start", "begin", "length")
 
 
 class Mix(NamedTuple):
@@ -167,7 +175,7 @@ def mix(docs: DataFrame, tables: Scratch, recipe: Recipe = Recipe(), key: str =
     counted = tables.keep(sized, "sizes")
     sources = sources_of(counted, recipe, tables)
     documents = placed(counted, sources, tables)
-    return Mix(sources, documents, spans_of(documents, sources, drawn(sources, recipe, tables), recipe))
+    return Mix(sources, documents, spans_of(documents, drawn(sources, recipe, tables), recipe))
 
 
 def texts(spans: DataFrame, docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
