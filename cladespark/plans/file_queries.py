@@ -4,13 +4,13 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from .. import sinks
 from ..functions.sequence import reverse_complement
 from ..operators import counting, reads, tree
-from ..sources import bam, logs, text
+from ..sources import bam, lines, logs, text
 from ..storage import scratch
 from .registry import query
 from .views import table, view
@@ -28,11 +28,11 @@ def lines_of(df: DataFrame, template: str, *junk: str) -> DataFrame:
     """value: the template with columns in braces filled in, after lines that readers must skip."""
     pieces = template.replace("}", "{").split("{")
     cells = [F.lit(p) if i % 2 == 0 else F.col(p).cast("string") for i, p in enumerate(pieces)]
-    lines = df.select(F.concat(*cells).alias("value"))
+    own = df.select(F.concat(*cells).alias("value"))
     if not junk:
-        return lines
+        return own
     first = df.sparkSession.createDataFrame(list(enumerate(junk)), "k int, value string")
-    both = first.unionByName(lines.withColumn("k", F.lit(len(junk))))
+    both = first.unionByName(own.withColumn("k", F.lit(len(junk))))
     return both.coalesce(1).sortWithinPartitions("k").select("value")  # in one file, the first line being a heading
 
 
@@ -144,6 +144,21 @@ def fastq_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return through_files(spark, write, lambda path: reads.extract_paired(text.fastq(spark, f"{path}/r1"), text.fastq(spark, f"{path}/r2"))).select("read_r1", "read_r2")
 
 
+@query("S25 S27", "select seq, row_number() over (order by doc_id) - 1 as read_no from v_seq")
+def fastq_blocks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Reads of block-gzip FASTQ files, each read in ranges of 4 KB, in the order of their files."""
+    lines_in_order = lines_of(view(spark, sf_dir, "v_seq"), "@{doc_id}\n{seq}\n+\n{seq}").withColumn("k", F.regexp_extract("value", r"^@(\d+)", 1).cast("long"))
+    ordered = lines_in_order.repartitionByRange(3, "k").sortWithinPartitions("k").select("value")
+
+    def read(path: str) -> DataFrame:
+        found = text.fastq(spark, f"{path}/*.gz", split=1 << 12)
+        sizes = found.groupBy("file_no").agg(F.count(F.lit(1)).alias("n"))  # a row for each file
+        before = F.coalesce(F.sum("n").over(Window.orderBy("file_no").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+        return found.join(F.broadcast(sizes.select("file_no", before.alias("before"))), "file_no").select("seq", (F.col("before") + F.col("read_no")).alias("read_no"))
+
+    return through_files(spark, lambda path: lines.write_blocks(ordered, path), read)
+
+
 @query("S28 K15", "select concat('d', doc_id) as chrom, seq from v_seq")
 def fasta_file(spark: SparkSession, sf_dir: str) -> DataFrame:
     seqs = view(spark, sf_dir, "v_seq").select(F.concat(F.lit("d"), "doc_id").alias("target"), F.lower("seq").alias("seq"))

@@ -7,29 +7,12 @@ from pyspark.sql import functions as F
 
 from ..functions.sequence import strip_affixes, without_chr
 from ..operators.genome import SIZE, tiled
+from .lines import SPLIT, before_parts, numbered
 
 #: Headings of sequences that are broadcast; more are joined by a shuffle.
 BROADCAST_HEADS = 100_000
 
 
-def numbered(spark: SparkSession, paths: str | list[str]) -> DataFrame:
-    """file, part, line (from 0), value: the lines of each file in order.
-
-    A part is what one task reads of a file. Lines are numbered within their part; only the sizes of parts
-    are summed over a file, so no task holds a whole file.
-    """
-    lines = spark.read.text(paths).select(F.input_file_name().alias("file"), F.col("_metadata.file_block_start").alias("part"), F.monotonically_increasing_id().alias("_row"), "value")
-    within = F.row_number().over(Window.partitionBy("file", "part").orderBy("_row")) - 1
-    return lines.withColumn("_k", within).join(before_parts(lines, F.lit(1)), ["file", "part"]).select("file", "part", (F.col("_k") + F.col("_before")).alias("line"), "value")
-
-
-def before_parts(lines: DataFrame, amount: Column) -> DataFrame:
-    """file, part, _before: the sum of an amount over all earlier parts of the file."""
-    sums = lines.groupBy("file", "part").agg(F.sum(amount).alias("_n"))
-    earlier = Window.partitionBy("file").orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
-    return sums.select("file", "part", F.coalesce(F.sum("_n").over(earlier), F.lit(0)).alias("_before"))
-
-
 def sample_sheet(spark: SparkSession, path: str) -> DataFrame:
     """sample_id, ms_fastq_1, meth_fastq_1, grp, color, clone; rows without an id or with one that starts with # are left out."""
     raw = spark.read.csv(path, header=True, comment="#")
@@ -50,8 +33,12 @@ def bed(spark: SparkSession, path: str) -> DataFrame:
     rows = numbered(spark, path).withColumn("f", F.split(F.rtrim("value"), "\t")).filter(F.size("f") >= 6)
     at = lambda i: F.get("f", F.lit(i))
     out = rows.select("file", "line", at(0).alias("chrom"), at(1).try_cast("int").alias("t_start"), at(2).try_cast("int").alias("t_end"), at(3).try_cast("int").alias("motif_len"), at(4).try_cast("int").alias("num_copies"), at(5).alias("target")).dropna(subset=["t_start", "t_end", "motif_len", "num_copies"])
-    last = Window.partitionBy("target").orderBy(F.col("file").desc(), F.col("line").desc())
-    return out.withColumn("k", F.row_number().over(last)).filter("k = 1").drop("k", "file", "line")
+    return last_of_target(out, ["chrom", "t_start", "t_end", "motif_len", "num_copies", "target"])
+
+
+def last_of_target(rows: DataFrame, columns: list[str]) -> DataFrame:
+    """The last row (by file and line) of each target; rows are compared before they are shuffled."""
+    return rows.groupBy(F.col("target").alias("_of")).agg(F.max_by(F.struct(*columns), F.struct("file", "line")).alias("r")).select("r.*")
 
 
 def bed_intervals(spark: SparkSession, path: str) -> DataFrame:
@@ -87,10 +74,9 @@ def vcf(spark: SparkSession, path: str) -> DataFrame:
     header = lines.filter(F.col("value").startswith("#CHROM")).select("file", from_tenth(F.split("value", r"\s+")).alias("samples"))
     body = lines.filter(~F.col("value").startswith("#") & (F.trim("value") != "")).withColumn("f", F.split(F.trim("value"), r"\s+")).filter(F.size("f") > 9)
     rows = body.join(header, "file")
-    last = Window.partitionBy("target").orderBy(F.col("file").desc(), F.col("line").desc())
     at = lambda i: F.get("f", F.lit(i))
     one = rows.select("file", "line", at(0).alias("chrom"), at(1).try_cast("int").alias("pos"), at(2).alias("target"), at(7).alias("info"), at(8).alias("format"), F.arrays_zip("samples", from_tenth(F.col("f")).alias("calls")).alias("s"))
-    one = one.withColumn("k", F.row_number().over(last)).filter("k = 1")
+    one = last_of_target(one, ["chrom", "pos", "target", "info", "format", "line", "s"])
     return one.select("chrom", "pos", "target", "info", "format", "line", F.explode("s").alias("s")).select("chrom", "pos", "target", "info", "format", "line", F.col("s")["samples"].alias("sample"), F.col("s")["calls"].alias("call"))
 
 
@@ -173,11 +159,10 @@ def matrix(spark: SparkSession, path: str, value: str = "value") -> DataFrame:
     return raw.select(F.col(f"`{first}`").alias("row"), cells.alias("c")).select("row", "c.*")
 
 
-def fastq(spark: SparkSession, path: str) -> DataFrame:
+def fastq(spark: SparkSession, path: str | list[str], split: int = SPLIT) -> DataFrame:
     """file_no (the file's place among those that the path names), read_no in its file, seq: the second of every four lines."""
-    lines = numbered(spark, path)
-    files = lines.select("file").distinct().withColumn("file_no", F.row_number().over(Window.orderBy("file")))  # a row for each file
-    return lines.filter("pmod(line, 4) = 1").join(files, "file").select("file_no", F.floor(F.col("line") / 4).alias("read_no"), F.trim("value").alias("seq"))
+    lines = numbered(spark, path, split).filter("pmod(line, 4) = 1")
+    return lines.select("file_no", F.floor(F.col("line") / 4).alias("read_no"), F.trim("value").alias("seq"))
 
 
 def fasta(spark: SparkSession, path: str) -> DataFrame:
