@@ -2,14 +2,19 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import trees
 from ..storage import shared_dir
 
+#: Leaves whose pairs are a task's.
+LEAVES = 128
 SCHEMA = "node int, parent int, name string, len double, support double, is_leaf boolean, x double, y double"
 
 
@@ -85,34 +90,118 @@ def ancestors(tree: DataFrame, keys: list[str]) -> DataFrame:
         reach, up = reach.unionByName(longer(reach, up)).checkpoint(), longer(up, up)
 
 
+def tours(tree: DataFrame, keys: list[str]) -> DataFrame:
+    """A row for each tree: its leaves in preorder and, for neighbours among them, their closest common ancestor.
+
+    names, hops and depths of leaves (edges and length from the root); met_hops and met_depths of the ancestor of each leaf and the next.
+    The common ancestor of any two leaves is the one with the fewest hops among those of the neighbours between them, so these arrays are all that
+    distances need. nodes, lows, highs: inner nodes and the leaves below them, as a range of places; sums, others: sums of two hashes of the names there.
+    A tree is a task's, as it is when it is built; it has a few numbers for each node. Names of leaves must differ within a tree.
+    """
+    kinds = {f.name: f.dataType.simpleString() for f in tree.schema}
+    arrays = "names array<string>, hops array<long>, depths array<double>, met_hops array<long>, met_depths array<double>, nodes array<long>, lows array<long>, highs array<long>, sums array<long>, others array<long>"
+
+    def tour(key: tuple, rows: pd.DataFrame) -> pd.DataFrame:
+        rows = rows.sort_values("node", kind="stable")
+        numbers, names, lengths = rows["node"].tolist(), rows["name"].tolist(), rows["len"].fillna(0).tolist()
+        row = {n: k for k, n in enumerate(numbers)}
+        up = [None if pd.isna(p) else row[int(p)] for p in rows["parent"].tolist()]
+        children: dict[int, list[int]] = {}
+        for k, p in enumerate(up):
+            if p is not None:
+                children.setdefault(p, []).append(k)
+        hops, depth, low, high = ([0] * len(names) for _ in range(4))
+        depth = list(lengths)  # the root's own; others follow
+        order: list[int] = []  # leaves
+        met: list[int] = []
+        stack = [(k, False) for k, p in enumerate(up) if p is None][:1]
+        last = None  # the node that was left last: the next leaf is below its parent
+        while stack:
+            at, left = stack.pop()
+            if left or at not in children:
+                if not left:
+                    low[at] = len(order)
+                    if last is not None:
+                        met.append(up[last])
+                    order.append(at)
+                high[at], last = len(order), at
+                continue
+            low[at] = len(order)
+            stack.append((at, True))
+            for child in reversed(children[at]):
+                hops[child], depth[child] = hops[at] + 1, depth[at] + lengths[child]
+                stack.append((child, False))
+        known = [names[k] for k in order if names[k] is not None]
+        if len(set(known)) < len(known):
+            raise ValueError(f"leaves of tree {key} have the same name")
+        inner = sorted(children)
+        sums = [np.append(0, np.cumsum(rows[c].to_numpy(np.int64)[order])) for c in ("h1", "h2")]  # they wrap round
+        of = lambda values, at: [values[k] for k in at]
+        lows, highs = of(low, inner), of(high, inner)
+        found = {"names": of(names, order), "hops": of(hops, order), "depths": of(depth, order), "met_hops": of(hops, met), "met_depths": of(depth, met), "nodes": of(numbers, inner), "lows": lows, "highs": highs}
+        found |= {c: (s[highs] - s[lows]).tolist() for c, s in zip(("sums", "others"), sums)}
+        return pd.DataFrame({**{k: [v] for k, v in zip(keys, key)}, **{k: [v] for k, v in found.items()}})
+
+    fields = "".join(f"{k} {kinds[k]}, " for k in keys)
+    hashed = tree.select(*keys, "node", "parent", "name", "len", F.when(F.col("name").isNull(), 0).otherwise(F.xxhash64("name")).alias("h1"), F.when(F.col("name").isNull(), 0).otherwise(F.xxhash64(F.lit("other"), "name")).alias("h2"))
+    return hashed.groupBy(*keys).applyInPandas(tour, fields + arrays)
+
+
 def leaf_pairs(tree: DataFrame, keys: list[str]) -> DataFrame:
-    """keys, a, b, edges (between them over their closest common ancestor), depth (length from the root to it), of leaf names a < b."""
-    shared_dir(tree.sparkSession)
-    tree = tree.checkpoint()  # building it is dear, and it is read several times
-    reach = ancestors(tree, keys)
-    lengths = reach.join(tree.select(*keys, F.col("node").alias("anc"), "len"), [*keys, "anc"]).groupBy(*keys, "node").agg(F.sum("len").alias("depth"))
-    named = reach.join(tree.filter("name is not null").select(*keys, "node", "name"), [*keys, "node"])
-    x = named.select(*keys, "anc", F.col("name").alias("a"), F.col("hops").alias("ha"))
-    y = named.select(*keys, "anc", F.col("name").alias("b"), F.col("hops").alias("hb"))
-    met = x.join(y, [*keys, "anc"]).filter("a < b").join(lengths.select(*keys, F.col("node").alias("anc"), "depth"), [*keys, "anc"])
-    return met.groupBy(*keys, "a", "b").agg(F.min(F.col("ha") + F.col("hb")).alias("edges"), F.min_by("depth", F.col("ha") + F.col("hb")).alias("depth"))
+    """keys, a, b, edges (between them over their closest common ancestor), depth (length from the root to it), length (between them), of leaf names a < b.
+
+    Tasks are blocks of leaves; each goes along the leaves after its own with the least ancestor so far.
+    """
+    found = tours(tree, keys).withColumn("first", F.explode(F.sequence(F.lit(0), F.greatest(F.size("names") - 1, F.lit(0)), F.lit(LEAVES))))
+    kinds = {f.name: f.dataType.simpleString() for f in tree.schema}
+
+    def pairs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for r in range(batch.num_rows):
+                names, hops, depths, met_hops, met_depths, first = (batch.column(len(keys) + k)[r].as_py() for k in range(6))
+                hops, depths, met_hops, met_depths = (np.array(x) for x in (hops, depths, met_hops, met_depths))
+                for i in range(first, min(first + LEAVES, len(names) - 1)):
+                    ahead = met_hops[i:]
+                    least = np.minimum.accumulate(ahead)
+                    place = np.maximum.accumulate(np.where(ahead == least, np.arange(len(ahead)), 0))
+                    depth = met_depths[i:][place]
+                    there = [k for k in range(i + 1, len(names)) if names[k] is not None] if names[i] is not None else []
+                    if not there:
+                        continue
+                    j = np.array(there)
+                    at = j - i - 1
+                    low = [min(names[i], names[k]) for k in there]
+                    high = [max(names[i], names[k]) for k in there]
+                    own = [pa.repeat(batch.column(k)[r], len(there)) for k in range(len(keys))]
+                    yield pa.RecordBatch.from_arrays([*own, pa.array(low), pa.array(high), pa.array(hops[i] + hops[j] - 2 * least[at]), pa.array(depth[at]), pa.array(depths[i] + depths[j] - 2 * depth[at])], [*keys, "a", "b", "edges", "depth", "length"])
+
+    fields = "".join(f"{k} {kinds[k]}, " for k in keys)
+    return found.select(*keys, "names", "hops", "depths", "met_hops", "met_depths", "first").mapInArrow(pairs, f"{fields}a string, b string, edges long, depth double, length double")
+
+
+def clade_rows(toured: DataFrame, keys: list[str]) -> DataFrame:
+    """keys, node, size (leaves), h1, h2 (hashes of the set of their names), leaves (sorted names) of each inner node."""
+    each = toured.withColumn("c", F.explode(F.arrays_zip("nodes", "lows", "highs", "sums", "others")))
+    below = F.slice("names", (F.col("c.lows") + 1).cast("int"), (F.col("c.highs") - F.col("c.lows")).cast("int"))
+    return each.select(*keys, F.col("c.nodes").alias("node"), (F.col("c.highs") - F.col("c.lows")).alias("size"), F.col("c.sums").alias("h1"), F.col("c.others").alias("h2"), F.array_sort(F.array_compact(below)).alias("leaves"))
 
 
 def clades(tree: DataFrame, keys: list[str]) -> DataFrame:
     """keys, node, leaves: the sorted leaf names below each inner node."""
-    shared_dir(tree.sparkSession)
-    tree = tree.checkpoint()  # building it is dear, and it is read several times
-    reach = ancestors(tree, keys).filter("hops > 0")
-    named = reach.join(tree.filter("name is not null").select(*keys, "node", "name"), [*keys, "node"])
-    return named.groupBy(*keys, F.col("anc").alias("node")).agg(F.array_sort(F.collect_list("name")).alias("leaves"))  # a tree's leaves
+    return clade_rows(tours(tree, keys), keys).select(*keys, "node", "leaves")
 
 
 def support(original: DataFrame, replicates: DataFrame, iterations: int) -> DataFrame:
-    """leaves, num_verified, support: the share of replicate trees (tree_id) that have each clade of the original."""
-    own = clades(original, []).select("leaves").distinct()
-    seen = clades(replicates, ["tree_id"]).select("tree_id", "leaves").distinct()
-    found = own.join(seen, "leaves", "left").groupBy("leaves").agg(F.count("tree_id").alias("num_verified"))
-    return found.withColumn("support", F.round(F.col("num_verified") / iterations, 2))
+    """leaves, num_verified, support: the share of replicate trees (tree_id) that have each clade of the original.
+
+    Clades meet by their size and two sums of 64-bit hashes of their names; names themselves are only listed for the original.
+    """
+    same = ["size", "h1", "h2"]
+    own = clade_rows(tours(original, []), []).select(*same, "leaves").dropDuplicates(same)
+    seen = clade_rows(tours(replicates, ["tree_id"]), ["tree_id"]).select("tree_id", *same).distinct()
+    found = seen.groupBy(*same).agg(F.count(F.lit(1)).alias("num_verified"))
+    told = own.join(found, same, "left").select("leaves", F.coalesce("num_verified", F.lit(0)).cast("long").alias("num_verified"))
+    return told.withColumn("support", F.round(F.col("num_verified") / iterations, 2))
 
 
 def support_summary(supports: DataFrame) -> DataFrame:

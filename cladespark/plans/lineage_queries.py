@@ -133,11 +133,11 @@ def clade_support(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 UP = """up as (select node, node as anc, 0 as hops from v_tree union all select u.node, t.parent, u.hops + 1 from up u join v_tree t on t.node = u.anc where t.parent is not null)"""
 LEAF_PAIRS = f"""{UP}, depth as (select u.node, sum(t.len) as depth from up u join v_tree t on t.node = u.anc group by 1),
- pairs as (select a.name as a, b.name as b, min(x.hops + y.hops) as edges, arg_min(d.depth, x.hops + y.hops) as depth from up x join up y on x.anc = y.anc join v_tree a on a.node = x.node join v_tree b on b.node = y.node join depth d on d.node = x.anc where a.name < b.name group by 1, 2)"""
+ pairs as (select a.name as a, b.name as b, min(x.hops + y.hops) as edges, arg_min(d.depth, x.hops + y.hops) as depth, arg_min(f.depth + g.depth - 2 * d.depth, x.hops + y.hops) as length from up x join up y on x.anc = y.anc join v_tree a on a.node = x.node join v_tree b on b.node = y.node join depth d on d.node = x.anc join depth f on f.node = x.node join depth g on g.node = y.node where a.name < b.name group by 1, 2)"""
 SIBLINGS = "sibs as (select a.name as a, b.name as b from v_tree a join v_tree b on a.parent = b.parent and a.name < b.name)"
 
 
-@query("T13 J10", f"with recursive {LEAF_PAIRS} select a, b, edges, depth from pairs")
+@query("T13 J10", f"with recursive {LEAF_PAIRS} select a, b, edges, depth, length from pairs")
 def tree_leaf_pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
     return tree.leaf_pairs(view(spark, sf_dir, "v_tree"), [])
 
@@ -147,6 +147,49 @@ def tree_clades(spark: SparkSession, sf_dir: str) -> DataFrame:
     return tree.clades(view(spark, sf_dir, "v_tree"), []).withColumn("leaves", F.array_join("leaves", ","))
 
 
+def rebuilt_tree(spark: SparkSession, sf_dir: str, outgroup: str) -> DataFrame:
+    """The tree that neighbour joining finds from the lengths between the leaves of v_tree, which it must find again."""
+    lengths = tree.leaf_pairs(view(spark, sf_dir, "v_tree"), []).select(F.lit(0).alias("tree_id"), F.col("a").alias("i"), F.col("b").alias("j"), F.col("length").alias("dist"))
+    return tree.neighbour_joining(lengths, outgroup=outgroup)
+
+
+@query("T6 T8 T13 T22", f"with recursive {LEAF_PAIRS} select a, b, round(length, 6) as length from pairs")
+def tree_rebuilt_lengths(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return tree.leaf_pairs(rebuilt_tree(spark, sf_dir, "Midpoint"), ["tree_id"]).select("a", "b", "length")
+
+
+BELOW = f"{UP}, below as (select u.anc as node, list(t.name order by t.name) as leaves from up u join v_tree t on t.node = u.node where t.name is not null and u.hops > 0 group by 1)"
+
+
+@query("T6 T7 T8 T11 S23 K6", f"""with recursive {BELOW}, everyone as (select list(name order by name) as names from v_tree where name is not null),
+ sides as (select distinct case when list_contains(leaves, 's00') then list_filter(names, lambda x: not list_contains(leaves, x)) else leaves end as leaves, len(names) as n from below, everyone)
+ select array_to_string(leaves, ',') as leaves from sides where len(leaves) between 2 and n - 2""")
+def tree_rebuilt_clades(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Clades of the rebuilt tree with s00 as the outgroup, by way of Newick text."""
+    again = tree.from_newick(tree.to_newick(rebuilt_tree(spark, sf_dir, "s00")))
+    found = tree.clades(again, ["tree_id"]).select("leaves")
+    most = view(spark, sf_dir, "v_tree").filter("name is not null").agg((F.count(F.lit(1)) - 2).alias("most"))
+    return found.join(F.broadcast(most), (F.size("leaves") >= 2) & (F.size("leaves") <= F.col("most"))).select(F.array_join("leaves", ",").alias("leaves"))  # one row
+
+
+@query("T10 A10 J16 U5 T25 D14", f"""with recursive {BELOW}, n as (select count(*) as n from v_tree where name is not null),
+ tips as (select node, name, node - n as place, n from v_tree, n where name is not null),
+ moved as (select cast(t as bigint) as tree_id, x.node, y.name from tips x, range(6) r(t) join tips y on y.place = (x.place + t) % y.n),
+ seen as (select distinct m.tree_id, list(m.name order by m.name) as leaves from up u join moved m on m.node = u.node where u.hops > 0 group by m.tree_id, u.anc)
+ select array_to_string(b.leaves, ',') as leaves, count(s.tree_id) as num_verified, round(count(s.tree_id) / 6, 2) as support, cast(round(100 * round(count(s.tree_id) / 6, 2)) as integer) as label
+ from (select distinct leaves from below) b left join seen s on s.leaves = b.leaves group by 1""")
+def tree_support(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Support of the clades of v_tree in six trees whose leaves have moved on by 0 to 5 places."""
+    own = view(spark, sf_dir, "v_tree").checkpoint()
+    tips = own.filter("name is not null")
+    n = F.broadcast(tips.agg(F.count(F.lit(1)).alias("n")))  # one row
+    placed = tips.join(n).select("node", "name", (F.col("node") - F.col("n")).alias("place"), "n")
+    copies = own.drop("name").join(F.broadcast(spark.range(6).withColumnRenamed("id", "tree_id")))
+    moved = placed.select("node", "place", "n").join(F.broadcast(spark.range(6).withColumnRenamed("id", "tree_id"))).withColumn("from", F.pmod(F.col("place") + F.col("tree_id"), F.col("n")))
+    named = moved.join(placed.select(F.col("place").alias("from"), "name"), "from").select("tree_id", "node", "name")
+    return tree.percent_labels(tree.support(own, copies.join(named, ["tree_id", "node"], "left"), 6)).withColumn("leaves", F.array_join("leaves", ","))
+
+
 @query("T14 J12", f"with {SIBLINGS} select * from sibs")
 def tree_siblings(spark: SparkSession, sf_dir: str) -> DataFrame:
     return tree.siblings(view(spark, sf_dir, "v_tree"))

@@ -29,10 +29,15 @@ select concat('r',cast(l_suppkey%5 as varchar(10))) as ref, l_partkey%200 as sit
 select doc_id, translate(concat(md5(text),md5(concat(lang,text)),md5(concat(source,text))),'0123456789abcdef','AAAAAACCCGGGTTTT') as seq from {documents}""",
     "v_samples": """
 select distinct concat('s',lpad(cast(s_suppkey%12 as varchar(10)),2,'0')) as sample, concat('g',cast(s_suppkey%4 as varchar(10))) as grp from {supplier}""",
+    # a tree of the samples: node k has nodes 2k and 2k + 1 below it, samples are the leaves in the order of their quantities
+    "v_tree": """
+select k+n-1 as node, cast(floor((k+n-1)/2) as bigint) as parent, sample as name, cast(total%5+1 as double) as len from (
+  select sample, total, cast(row_number() over (order by total desc, sample) as bigint) as k, count(*) over () as n from (
+    select concat('s',lpad(cast(l_suppkey%12 as varchar(10)),2,'0')) as sample, cast(sum(l_quantity) as bigint) as total from {lineitem} group by 1) t) u
+union all select k as node, case when k>1 then cast(floor(k/2) as bigint) end as parent, null as name, cast(total%7+1 as double) as len from (
+  select total, cast(row_number() over (order by total desc, sample) as bigint) as k, count(*) over () as n from (
+    select concat('s',lpad(cast(l_suppkey%12 as varchar(10)),2,'0')) as sample, cast(sum(l_quantity) as bigint) as total from {lineitem} group by 1) t) u where k<n""",
 }
-#: The fixed tree needs no table: nodes 1 to 23, each the child of half its number; leaves are 12 to 23.
-VIEWS["v_tree"] = "select node, parent, case when node>=12 then concat('s',lpad(cast(node-12 as varchar(10)),2,'0')) end as name, cast(node%5+1 as double) as len from (values " + ", ".join(f"({n}, {n // 2 or 'null'})" for n in range(1, 24)) + ") as t(node, parent)"
-
 TABLES = {t for text in VIEWS.values() for t in re.findall(r"\{(\w+)\}", text)}
 
 
