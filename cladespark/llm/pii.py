@@ -253,10 +253,11 @@ def moved_on(rows: DataFrame, key: str, tables: Scratch) -> DataFrame | None:
 
 
 def replace(df: DataFrame, key: str = "surrogates", text: str = "text") -> DataFrame:
-    """``df`` with surrogates in its text, and entities: array of (kind, surrogate) in order."""
+    """``df`` with surrogates in its text, and entities: array of (kind, surrogate) in order, in place of a column of that name."""
     spark = df.sparkSession
     none = F.array().cast("array<struct<entity:string,kind:string,female:boolean,given:boolean>>")
-    rows = df.select(*df.columns, pieces_of(F.col(text)).alias("_first"))
+    rows = df.select(F.struct("*").alias("_given"), F.col(text).alias("_text"))  # no column of df can be taken for one of these
+    rows = rows.withColumn("_first", pieces_of(F.col("_text")))
     rows = rows.withColumn("_names", F.filter(found_in(F.col("_first"), none), lambda e: e["kind"] == "name"))
     rows = rows.withColumn("_pieces", mentions_in(F.col("_first"), F.col("_names"))).withColumn("_found", found_in(F.col("_pieces"), F.col("_names")))
     with scratch(spark) as tables:
@@ -264,7 +265,7 @@ def replace(df: DataFrame, key: str = "surrogates", text: str = "text") -> DataF
         moved = moved.select("entity", "kind", "count").checkpoint() if moved is not None else None
     count: Callable[[Column], Column] = lambda e: F.lit(0)
     if moved is not None:  # the rows that hold one get a map of them
-        row = F.xxhash64(text)
+        row = F.xxhash64("_text")
         held = rows.select(row.alias("_row"), F.explode_outer("_found").alias("e")).filter("e is not null").select("_row", F.explode(parts_of(F.col("e"))).alias("e")).select("_row", "e.entity", "e.kind").distinct().join(moved, ["entity", "kind"])
         maps = held.groupBy("_row").agg(F.map_from_entries(F.collect_list(F.struct(F.concat_ws("|", "kind", "entity"), "count"))).alias("_moved"))
         rows = rows.withColumn("_row", row).join(maps, "_row", "left")
@@ -281,7 +282,7 @@ def replace(df: DataFrame, key: str = "surrogates", text: str = "text") -> DataF
     made = F.transform("_found", lambda e: F.struct(e["kind"].alias("kind"), whole(e).alias("surrogate")))
     rows = rows.withColumn("_made", made)
     woven = F.array_join(F.transform("_pieces", lambda p, i: F.when(i % 2 == 1, F.get(F.col("_made")["surrogate"], (i / 2).cast("int"))).otherwise(p)), "")
-    new = F.when(F.size("_made") > 0, woven).otherwise(F.col(text)).alias(text)
-    return rows.select(*(new if c == text else F.col(c) for c in df.columns), F.col("_made").alias("entities"))
+    new = F.when(F.size("_made") > 0, woven).otherwise(F.col("_text"))
+    return rows.select(*((new if c == text else F.col("_given").getField(c)).alias(c) for c in df.columns if c != "entities"), F.col("_made").alias("entities"))
 
 

@@ -16,8 +16,8 @@ from cladespark.storage import scratch
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents whose score is under the threshold; the machine is fitted on the labelled documents."""
     machine = toxicity.fit(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"))
-    scored = toxicity.score(docs, machine, docs.columns)
-    return scored.filter(F.col("predicted") == 0).select(*docs.columns)
+    rows = docs.select(F.struct("*").alias("row"), "text")  # whatever its columns are called
+    return toxicity.score(rows, machine, ["row"]).filter("predicted = 0").select("row.*")
 
 
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -32,11 +32,12 @@ def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataF
 
 def replace_pii(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents with surrogates for personal data and secrets."""
-    replaced = pii.replace(docs)
+    replaced = pii.replace(docs.select(F.struct("*").alias("row"), "text"))
+    new = {"text": F.col("text")}
     if "n_chars" in docs.columns:
         length = F.char_length("text").cast(docs.schema["n_chars"].dataType)
-        replaced = replaced.withColumn("n_chars", F.when(F.size("entities") > 0, length).otherwise(F.col("n_chars")))
-    return replaced.select(*docs.columns)
+        new["n_chars"] = F.when(F.size("entities") > 0, length).otherwise(F.col("row.n_chars"))
+    return replaced.select(*(new.get(c, F.col("row").getField(c)).alias(c) for c in docs.columns))
 
 
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

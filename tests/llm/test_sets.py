@@ -395,3 +395,28 @@ def test_pipeline_stages(spark):
     assert sorted(k for k, _ in kept) == sorted(k for k, _, c in groups_by_brute_force(rows, 5, 80) if k == c)
     packed = corpus_pipeline.run(spark, SF)
     assert packed.count() >= packed.select("doc_id").distinct().count() > 0
+
+
+def test_pipeline_stages_keep_columns_of_any_name(spark):
+    """Columns that are called as the stages' own, null and empty texts, and an empty table."""
+    mail = "Write to jane.doe@example.com or call Dr. Smith, please."
+    rows = [(1, mail, 9, 0.5, [1], "x"), (2, None, None, 0.1, None, None), (3, "", 0, 0.2, [], ""), (4, "just a quiet text of some words that is clean", 3, 0.3, [2], "y"), (None, "no key here at all", 1, None, None, "z"), (5, "w" * 100_000, 7, 1.0, [3], "long")]
+    kinds = "doc_id long, text string, n_chars int, score double, _found array<int>, predicted string"
+    for docs in (spark.createDataFrame(rows, kinds), spark.createDataFrame([], kinds)):
+        more = docs
+        for name in ("entities", "_first", "_names", "_pieces", "_made", "_row", "_moved", "_given", "_text", "row", "_scored", "component_id", "n_shingles", "class", "key", "list", "label"):
+            more = more.withColumn(name, F.col("score"))
+        current = more
+        for _, stage in corpus_pipeline.STAGES[:-1]:
+            current = stage(spark, current, SF)
+            assert current.columns == more.columns and current.dtypes == more.dtypes
+            current = current.checkpoint()
+        got = {r.doc_id: r for r in current.collect()}
+        if docs.limit(1).count():
+            assert set(got) == {1, 2, 3, 4, 5, None}
+            for k, text, n, score, found, predicted in rows:
+                r = got[k]
+                assert (r["score"], r["_found"], r["predicted"], r["entities"], r["_made"]) == (score, found, predicted, score, score)
+                assert (r["text"], r["n_chars"]) == ((text, n) if k != 1 else (r["text"], len(r["text"])))
+            assert "jane.doe" not in got[1]["text"]
+        assert corpus_pipeline.pack(spark, current, SF).filter("doc_id = 1").count() == docs.filter("doc_id = 1").count()
