@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from .. import sinks
 from ..functions.sequence import reverse_complement
 from ..operators import counting, reads, tree
-from ..sources import bam, lines, logs, text
+from ..sources import bam, excel, lines, logs, text
 from ..storage import scratch
 from .registry import query
 from .views import table, view
@@ -281,3 +281,16 @@ def bam_region_depth(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("S24 P19", "select sample, chrom, count(*) as reads, sum(ref_end - ref_start) as covered from v_reads group by all")
 def bam_reads(spark: SparkSession, sf_dir: str) -> DataFrame:
     return through_files(spark, bam_files(spark, sf_dir), lambda path: bam.reads(spark, path).groupBy("sample", "chrom").agg(F.count(F.lit(1)).alias("reads"), F.sum((F.col("ref_end") - F.col("ref_start")).cast("long")).alias("covered")))
+
+
+@query("S32 K19 U3", "select cast(target as varchar) as target, chrom, cast(t_start as varchar) as t_start, case when target % 5 = 0 then null else concat('<', num_copies, '> & _x0041_ ', chr(9)) end as note from v_targets")
+def excel_file(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A table in several workbooks of several sheets."""
+    rows = view(spark, sf_dir, "v_targets").select("target", "chrom", "t_start", F.when(F.col("target") % 5 != 0, F.concat(F.lit("<"), "num_copies", F.lit("> & _x0041_ \t"))).alias("note"))
+    return through_files(spark, lambda path: excel.write_tables(rows.repartition(3), path, rows=150), lambda path: excel.tables(spark, path))
+
+
+@query("S21", "select concat('t', target) as row, 'start' as col, cast(t_start as double) as value from v_targets union all select concat('t', target), 'end', cast(t_end as double) from v_targets")
+def excel_matrix(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = view(spark, sf_dir, "v_targets").select(F.concat(F.lit("t"), "target").alias("name"), F.col("t_start").alias("start"), F.col("t_end").alias("end"))
+    return through_files(spark, lambda path: excel.write_tables(rows, path), lambda path: text.matrix(spark, f"{path}/*.xlsx"))

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from ..functions.sequence import strip_affixes, without_chr
 from ..operators.genome import SIZE, tiled
+from . import excel
 from .lines import SPLIT, before_parts, numbered
 
 #: Headings of sequences that are broadcast; more are joined by a shuffle.
@@ -152,8 +153,8 @@ def interval_list(spark: SparkSession, path: str) -> DataFrame:
 
 
 def matrix(spark: SparkSession, path: str, value: str = "value") -> DataFrame:
-    """row, col, value of a square or other matrix with names in the first row and column; parted by commas, or tabs in .tsv and .txt files."""
-    raw = spark.read.csv(path, header=True, sep="\t" if path.endswith((".tsv", ".txt")) else ",")
+    """row, col, value of a square or other matrix with names in the first row and column; parted by commas, or tabs in .tsv and .txt files, or a workbook."""
+    raw = excel.tables(spark, path) if path.endswith(".xlsx") else spark.read.csv(path, header=True, sep="\t" if path.endswith((".tsv", ".txt")) else ",")
     first, *rest = raw.columns
     cells = F.explode(F.array(*(F.struct(F.lit(c).alias("col"), F.col(f"`{c}`").try_cast("double").alias(value)) for c in rest)))
     return raw.select(F.col(f"`{first}`").alias("row"), cells.alias("c")).select("row", "c.*")
