@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -57,3 +59,28 @@ def permutation_summary(observed: DataFrame, permuted: DataFrame) -> DataFrame:
     """One row: the observed percentage, permutations, their mean, median and largest, and p: the share at or above the observed."""
     both = permuted.select("percentage").crossJoin(observed.select(F.col("percentage").alias("observed")))  # one row
     return both.groupBy("observed").agg(F.count(F.lit(1)).alias("permutations"), F.avg("percentage").alias("mean"), F.median("percentage").alias("median"), F.max("percentage").alias("largest"), F.avg((F.col("percentage") >= F.col("observed")).cast("int")).alias("p_value"))
+
+
+def sequential_test(observed: DataFrame, permuted: Callable[[int, int], DataFrame], batch: int = 50, most: int = 1000, enough: int = 10) -> DataFrame:
+    """One row: observed, permutations, at_or_above, failed, stopped, p_value of a permutation test that stops early.
+
+    permuted(first, last) gives perm and percentage of permutations first to last - 1, each batch one job; a permutation that it doesn't
+    list or whose percentage is null has failed (its tree couldn't be built, nothing was comparable): it is counted as such and
+    not as a value of 0, which would flatter p. The test ends with the permutation at which ``enough`` values reached the observed one
+    (Besag and Clifford 1991): p is then enough / (permutations without failures so far); else, after ``most``, (at_or_above + 1) / (their number + 1).
+    """
+    spark = observed.sparkSession
+    value = observed.first()["percentage"]
+    above, valid, done, stopped = 0, 0, 0, False
+    while done < most and not stopped:
+        last = min(most, done + batch)
+        found = permuted(done, last).filter("percentage is not null").select("perm", (F.col("percentage") >= F.lit(value)).alias("reached")).orderBy("perm").collect()  # a batch's permutations
+        for perm, reached in found:
+            valid, above = valid + 1, above + reached
+            if above == enough:
+                done, stopped = perm + 1, True
+                break
+        else:
+            done = last
+    p = enough / valid if stopped else (above + 1) / (valid + 1)
+    return spark.createDataFrame([(value, done, above, done - valid, stopped, p)], "observed double, permutations int, at_or_above int, failed int, stopped boolean, p_value double")

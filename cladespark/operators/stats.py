@@ -5,6 +5,7 @@ from __future__ import annotations
 import math
 
 import numpy as np
+import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -129,3 +130,49 @@ def p_of_f(f: float, df1: float, df2: float) -> float:
 def p_of_z(z: float) -> float:
     """Two-sided."""
     return math.erfc(abs(z) / math.sqrt(2))
+
+
+def p_value_t(t: Column, freedom: Column) -> Column:
+    """Two-sided p of a column of t, for the few rows of a result; null where t is."""
+
+    @F.pandas_udf("double")
+    def p(t: pd.Series, freedom: pd.Series) -> pd.Series:
+        return pd.Series([p_of_t(x, f) for x, f in zip(t, freedom)], dtype=float)
+
+    return F.when(t.isNotNull(), p(t.cast("double"), freedom.cast("double")))
+
+
+def p_value_f(f: Column, df1: Column, df2: Column) -> Column:
+    """The upper tail of a column of F; null where F is."""
+
+    @F.pandas_udf("double")
+    def p(f: pd.Series, df1: pd.Series, df2: pd.Series) -> pd.Series:
+        return pd.Series([p_of_f(*x) for x in zip(f, df1, df2)], dtype=float)
+
+    return F.when(f.isNotNull(), p(f.cast("double"), df1.cast("double"), df2.cast("double")))
+
+
+def p_value_z(z: Column) -> Column:
+    """Two-sided p of a column of z; null where z is."""
+
+    @F.pandas_udf("double")
+    def p(z: pd.Series) -> pd.Series:
+        return pd.Series([p_of_z(x) for x in z], dtype=float)
+
+    return F.when(z.isNotNull(), p(z.cast("double")))
+
+
+def regression_test(df: DataFrame, by: list[str], x: str, y: str) -> DataFrame:
+    """As ``regression``, with the p of its slope."""
+    return regression(df, by, x, y).withColumn("p", p_value_t(F.col("t"), F.col("n") - 2))
+
+
+def interaction_test(df: DataFrame, group: str, x: str, y: str) -> DataFrame:
+    """As ``interaction``, with its p."""
+    return interaction(df, group, x, y).withColumn("p", p_value_f(F.col("f"), F.col("df1"), F.col("df2")))
+
+
+def rank_test(df: DataFrame, group: str, value: str) -> DataFrame:
+    """As ``mann_whitney``, with p and p_adjusted for the number of comparisons. A z below 0 is one of 0: the correction for continuity went past the centre."""
+    tested = mann_whitney(df, group, value).withColumn("p", p_value_z(F.greatest(F.col("z"), F.lit(0.0))))
+    return tested.withColumn("p_adjusted", bonferroni(F.col("p"), F.col("comparisons")))

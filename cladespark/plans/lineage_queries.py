@@ -259,6 +259,22 @@ def label_permutation_test(spark: SparkSession, sf_dir: str) -> DataFrame:
     return evaluate.permutation_summary(evaluate.sibling_percentage(sibs, own), runs)
 
 
+@query("A13 T18", f"""with {SIBLINGS}, {PERMUTED.replace("range(1, 51)", "range(1, 201)")}, runs as (select x.perm, 100 * count(*) filter (x.grp = y.grp) / count(*) as percentage from sibs join permuted x on x.sample = a join permuted y on y.sample = b and y.perm = x.perm group by 1),
+ observed as (select 100 * count(*) filter (x.grp = y.grp) / count(*) as observed from sibs join labels x on x.sample = a join labels y on y.sample = b),
+ told as (select perm, observed, sum(cast(percentage >= observed as integer)) over (order by perm) as above from runs, observed),
+ ended as (select coalesce(min(perm) filter (above = 8), 200) as permutations, bool_or(above = 8) as stopped from told)
+ select round(observed, 6) as observed, cast(permutations as integer) as permutations, cast(above as integer) as at_or_above, 0 as failed, stopped, round(case when stopped then 8 / permutations else (above + 1) / (permutations + 1) end, 6) as p_value from told, ended where perm = permutations""")
+def sequential_label_test(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """As ``label_permutation_test``, in batches of 25 until 8 permutations reach the observed value."""
+    sibs, own = tree.siblings(view(spark, sf_dir, "v_tree")).checkpoint(), labels(spark, sf_dir).checkpoint()
+
+    def permuted(first: int, last: int) -> DataFrame:
+        drawn = resample.permuted_labels(own, last).filter(F.col("perm") > first)
+        return evaluate.sibling_percentage(sibs, drawn, ["perm"]).withColumn("perm", F.col("perm") - 1)
+
+    return evaluate.sequential_test(evaluate.sibling_percentage(sibs, own), permuted, 25, 200, 8)
+
+
 @query("T15 J11", """with ranked as (select sample, target, row_number() over (partition by sample order by md5(concat_ws('|', '1', sample, target)), target) as k, count(*) over (partition by sample) as n from v_calls)
  select c.* from v_calls c join ranked r on r.sample = c.sample and r.target = c.target where n >= 100 and k <= 100""")
 def downsampled_calls(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -53,6 +53,43 @@ def rank_tests(spark: SparkSession, sf_dir: str) -> DataFrame:
     return stats.mann_whitney(rows, "o_orderpriority", "v").withColumns({c: F.col(c).cast("long") for c in ("n1", "n2")})
 
 
+def integral(density: str, upper: str, steps: int = 2000) -> str:
+    """DuckDB SQL of Simpson's rule from 0 to ``upper`` of a density of x."""
+    at = density.replace("<x>", f"({upper} * i / {steps})")
+    return f"(select sum((case when i in (0, {steps}) then 1 when i % 2 = 1 then 4 else 2 end) * {at}) * {upper} / {steps} / 3 from range(0, {steps + 1}) r(i))"
+
+
+T_DENSITY = "exp(lgamma((v + 1) / 2) - lgamma(v / 2)) / sqrt(v * pi()) * pow(1 + <x> * <x> / v, -(v + 1) / 2)"
+F_DENSITY = "exp(lgamma((df1 + df2) / 2) - lgamma(df1 / 2) - lgamma(df2 / 2) + df1 / 2 * ln(df1 / df2)) * pow(<x>, df1 / 2 - 1) * pow(1 + df1 * <x> / df2, -(df1 + df2) / 2)"
+Z_DENSITY = "exp(-<x> * <x> / 2) / sqrt(2 * pi())"
+
+
+@query("A24", f"""with s as (select p_brand, count(*) as n, regr_slope(p_retailprice, p_size) as slope, regr_r2(p_retailprice, p_size) as r2, regr_sxx(p_retailprice, p_size) as sxx, regr_syy(p_retailprice, p_size) as syy from part group by 1),
+ told as (select p_brand, n, slope, slope / sqrt((1 - r2) * syy / ((n - 2) * sxx)) as t, cast(n - 2 as double) as v from s)
+ select p_brand, n, round(slope, 6) as slope, round(t, 6) as t, round(1 - 2 * {integral(T_DENSITY, 'abs(t)')}, 6) as p from told""")
+def slope_p_values(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return stats.regression_test(table(spark, sf_dir, "part"), ["p_brand"], "p_size", "p_retailprice").select("p_brand", "n", "slope", "t", "p")
+
+
+@query("A25", f"""with q as (select p_brand, count(*) as n, regr_sxx(p_retailprice, p_size) as sxx, regr_syy(p_retailprice, p_size) as syy, regr_sxy(p_retailprice, p_size) as sxy from part group by 1),
+ t as (select count(*) as k, sum(n) as n, sum(sxx) as sxx, sum(syy) as syy, sum(sxy) as sxy, sum(syy - sxy * sxy / sxx) as apart from q),
+ told as (select ((syy - sxy * sxy / sxx - apart) / (k - 1)) / (apart / (n - 2 * k)) as f, cast(k - 1 as double) as df1, cast(n - 2 * k as double) as df2 from t)
+ select round(f, 6) as f, cast(df1 as bigint) as df1, cast(df2 as bigint) as df2, round(1 - {integral(F_DENSITY, 'f', 20000)}, 6) as p from told""")
+def slope_interaction_p_value(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return stats.interaction_test(table(spark, sf_dir, "part"), "p_brand", "p_size", "p_retailprice")
+
+
+@query("A26 W6", f"""with r as (select o_orderpriority as g, cast(floor(o_totalprice / 1000) as bigint) as v from orders), p as (select a.g as g1, b.g as g2 from (select distinct g from r) a join (select distinct g from r) b on a.g < b.g),
+ k as (select g1, g2, r.g, v, rank() over (partition by g1, g2 order by v) + (count(*) over (partition by g1, g2, v) - 1) / 2 as rk, count(*) over (partition by g1, g2, v) as c from p join r on r.g = g1 or r.g = g2),
+ s as (select g1, g2, count(*) filter (g = g1) as n1, count(*) filter (g = g2) as n2, sum(rk) filter (g = g1) as r1, sum(c * c - 1) as ties from k group by 1, 2),
+ told as (select g1, g2, (abs(r1 - n1 * (n1 + 1) / 2 - n1 * n2 / 2) - 0.5) / sqrt(n1 * n2 / 12 * (n1 + n2 + 1 - ties / ((n1 + n2) * (n1 + n2 - 1)))) as z, count(*) over () as comparisons from s),
+ ps as (select *, 1 - 2 * {integral(Z_DENSITY, 'greatest(z, 0)')} as p from told)
+ select g1, g2, round(z, 6) as z, round(p, 6) as p, round(least(1, p * comparisons), 6) as p_adjusted from ps""")
+def rank_test_p_values(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = table(spark, sf_dir, "orders").select("o_orderpriority", F.floor(F.col("o_totalprice") / 1000).alias("v"))
+    return stats.rank_test(rows, "o_orderpriority", "v").select("g1", "g2", "z", "p", "p_adjusted")
+
+
 @query("A27", "select cast(floor(num_copies / 5) as bigint) as bin, count(*) as n, min(t_start) as min, max(t_start) as max, round(avg(t_start), 6) as mean from v_targets group by 1")
 def length_bins(spark: SparkSession, sf_dir: str) -> DataFrame:
     t = view(spark, sf_dir, "v_targets").withColumn("bin", F.floor(F.col("num_copies") / 5))

@@ -252,3 +252,29 @@ def test_siblings_of_many_trees(spark):
     labels = spark.createDataFrame([("a", "g"), ("b", "g"), ("c", "h")], "sample string, grp string")
     got = {r.tree_id: (r.comparisons, r.pairs, r.percentage) for r in evaluate.sibling_percentage(sibs, labels, ["tree_id"]).collect()}
     assert got == {1: (2, 1, 50.0), 2: (2, 0, 0.0)}
+
+
+def test_sequential_tests_stop_and_count_failures(spark):
+    from cladespark.operators import evaluate
+
+    values = [10.0, None, 50.0, 20.0, 60.0, None, 70.0, 10.0, 80.0, 90.0] * 10
+    asked = []
+
+    def permuted(first, last):
+        asked.append((first, last))
+        rows = [(k, values[k]) for k in range(first, last) if k % 10 != 5]  # one isn't listed, another has no value
+        return spark.createDataFrame(rows, "perm int, percentage double")
+
+    observed = spark.createDataFrame([(60.0,)], "percentage double")
+    got = evaluate.sequential_test(observed, permuted, batch=8, most=100, enough=3).first()
+    assert got[:] == (60.0, 9, 3, 2, True, 3 / 7) and asked == [(0, 8), (8, 16)]
+    got = evaluate.sequential_test(observed, permuted, batch=30, most=100, enough=1000).first()
+    assert got[:] == (60.0, 100, 40, 20, False, 41 / 81)
+
+
+def test_p_value_columns(spark):
+    rows = spark.createDataFrame([(2.228, 10.0), (None, 3.0), (1.0, 0.0)], "t double, v double")
+    got = [r.p for r in rows.select(stats.p_value_t(F.col("t"), F.col("v")).alias("p")).collect()]
+    assert got[0] == pytest.approx(0.05, abs=1e-4) and got[1] is None and (got[2] is None or got[2] != got[2])
+    ranked = stats.rank_test(spark.createDataFrame([("a", 1.0), ("a", 2.0), ("b", 1.5), ("b", 9.0), ("c", 8.0), ("c", 7.0)], "g string, v double"), "g", "v").collect()
+    assert all(r.p <= r.p_adjusted <= 1 for r in ranked) and len(ranked) == 3
