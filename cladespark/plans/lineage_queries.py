@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..operators import distance, evaluate, genotype, loci, neighbors, resample, tree
+from ..operators import distance, evaluate, genotype, loci, neighbors, pair_blocks, resample, tree
 from .registry import query
 from .views import view
 
@@ -78,6 +78,18 @@ _distance_query("allComp_EqorNot", "T4")
 _distance_query("allComp_Abs", "T4")
 
 
+def _blocked_query(metric: str, covers: str) -> None:
+    def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+        return pair_blocks.pair_distances(alleles(spark, sf_dir), metric, cells=4, targets=200)
+
+    run.__name__ = f"blocked_distance_{metric.lower()}"
+    query(covers, f"with {distance_sql(metric)} select * replace (round(dist, 6) as dist) from dists")(run)
+
+
+_blocked_query("minComp_EqorNot", "T2 T5 J2 J3 A7")
+_blocked_query("minComp_Abs", "T3 J2 J3 A7")
+
+
 @query("A8", f"""with {distance_sql("minComp_EqorNot")} select round(avg(num_targets) filter (s1 = s2), 6) as cell_mean, min(num_targets) filter (s1 = s2) as cell_min, max(num_targets) filter (s1 = s2) as cell_max,
  round(avg(num_targets) filter (s1 <> s2), 6) as pair_mean, min(num_targets) filter (s1 <> s2) as pair_min, max(num_targets) filter (s1 <> s2) as pair_max from dists""")
 def distance_tree_stats(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -278,3 +278,17 @@ def test_p_value_columns(spark):
     assert got[0] == pytest.approx(0.05, abs=1e-4) and got[1] is None and (got[2] is None or got[2] != got[2])
     ranked = stats.rank_test(spark.createDataFrame([("a", 1.0), ("a", 2.0), ("b", 1.5), ("b", 9.0), ("c", 8.0), ("c", 7.0)], "g string, v double"), "g", "v").collect()
     assert all(r.p <= r.p_adjusted <= 1 for r in ranked) and len(ranked) == 3
+
+
+@pytest.mark.parametrize("metric", sorted(distance.METRICS))
+def test_blocks_give_the_same_distances(spark, monkeypatch, metric):
+    from cladespark.operators import pair_blocks
+
+    monkeypatch.setattr(pair_blocks, "SLICE", 3)
+    rng = random.Random(metric)
+    rows = [(f"s{s:02d}", t, [rng.choice([10, 11, 12, 20, 21, 30]) for _ in range(rng.choice([1, 2, 2, 3]))][:2]) for s in range(11) for t in range(23) if rng.random() < 0.6]
+    rows += [("alone", 999, [5]), ("none", 5, [])]
+    calls = spark.createDataFrame(rows, "sample string, target int, alleles array<long>")
+    want = sorted(tuple(r) for r in distance.pair_distances(calls, metric, 2).collect())
+    for cells, targets in ((4, 5), (128, 2048)):
+        assert sorted(tuple(r) for r in pair_blocks.pair_distances(calls, metric, 2, cells, targets).collect()) == want
