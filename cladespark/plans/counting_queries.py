@@ -6,6 +6,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..operators import counting
+from ..storage import scratch
+from ..streaming import depth
 from .registry import query
 from .views import table, view
 
@@ -81,3 +83,14 @@ def common_without(spark: SparkSession, sf_dir: str) -> DataFrame:
     lines = table(spark, sf_dir, "lineitem").withColumn("n", F.col("l_partkey") % 100)
     of = lambda c: lines.filter(c).select("n")
     return of("l_returnflag = 'R'").intersect(of("l_returnflag = 'A'")).exceptAll(of("l_quantity > 49 and l_partkey % 7 = 0").distinct())
+
+
+@query("A2 K1", "select sample, count(*) as targets_total, count(*) filter (depth >= 3) as targets_with_min_reads from v_calls group by sample")
+def streamed_depth_stats(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Figures of depth files that a stream reads as they arrive, two at a time; the last version of its table."""
+    own = view(spark, sf_dir, "v_calls").select("sample", F.col("target").cast("string").alias("target"), F.col("depth").cast("long").alias("depth"))
+    with scratch(spark) as tables:
+        arrived, out = f"{tables.root}/arrived", f"{tables.root}/figures"
+        own.repartition(5, "target").write.parquet(arrived)
+        depth.start(depth.running_stats(depth.arriving_depth(spark, arrived, 2), 3), out, f"{tables.root}/state", once=True).awaitTermination()
+        return depth.current(spark, out).checkpoint()

@@ -146,5 +146,27 @@ def test_streamed_depth_equals_batch(spark, tmp_path):
     query = depth.start(depth.running_stats(depth.arriving_depth(spark, folder, 1)), str(tmp_path / "out"), str(tmp_path / "cp"))
     query.processAllAvailable()
     query.stop()
-    got = {tuple(r) for r in spark.read.parquet(str(tmp_path / "out")).collect()}
+    got = {tuple(r) for r in depth.current(spark, str(tmp_path / "out")).collect()}
     assert got == {tuple(r) for r in depth.running_stats(rows).collect()}
+
+
+def test_stream_versions_are_whole_and_count_once(spark, tmp_path):
+    folder, out, state = (str(tmp_path / n) for n in ("in", "out", "state"))
+    batches = [[("a", "t1", 12), ("a", "t2", 3)], [("b", "t1", 10)], [("a", "t3", 50), ("c", "t1", 0)], [("b", "t2", 11)], [("c", "t2", 30)]]
+    table = lambda upto: {tuple(r) for r in depth.running_stats(spark.createDataFrame([r for b in batches[:upto] for r in b], depth.SCHEMA)).collect()}
+    assert depth.current(spark, out).count() == 0
+    for n, rows in enumerate(batches, 1):  # stopped and started again for each
+        spark.createDataFrame(rows, depth.SCHEMA).coalesce(1).write.mode("append").parquet(folder)
+        stats = depth.running_stats(depth.arriving_depth(spark, folder, 1))
+        query = depth.start(stats, out, state, once=True)
+        query.awaitTermination()
+        assert {tuple(r) for r in depth.current(spark, out).collect()} == table(n)
+        assert len(depth.versions(spark, out)) <= 3
+    # a version that is being written has no mark yet, and isn't read
+    spark.createDataFrame([("x", 9, 9)], depth.STATS).write.parquet(f"{out}/{depth.FOLDER}{999:012d}")
+    assert {tuple(r) for r in depth.current(spark, out).collect()} == table(5)
+    reader = depth.current(spark, out)
+    spark.createDataFrame([("d", "t1", 10)], depth.SCHEMA).coalesce(1).write.mode("append").parquet(folder)
+    depth.start(depth.running_stats(depth.arriving_depth(spark, folder, 1)), out, state, once=True).awaitTermination()
+    assert {tuple(r) for r in reader.collect()} == table(5)  # one that had begun
+    assert depth.current(spark, out).filter("sample = 'd'").count() == 1
