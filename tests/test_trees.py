@@ -129,3 +129,48 @@ def test_linkage_with_ties_and_many_items():
     began = time.perf_counter()
     assert len(trees.average_linkage(np.linalg.norm(points[:, None] - points[None], axis=2))) == 2999
     assert time.perf_counter() - began < 60
+
+
+def joined_by_brute_force(names, distance):
+    """Every q of every step."""
+    nodes, d = [trees.Node(n) for n in names], np.array(distance, float)
+    while len(nodes) > 3:
+        n, total = len(nodes), d.sum(1)
+        q = (n - 2) * d - total[:, None] - total[None]
+        q[np.tril_indices(n)] = np.inf
+        i, j = np.unravel_index(np.argmin(q), q.shape)
+        to_i = d[i, j] / 2 + (total[i] - total[j]) / (2 * (n - 2))
+        nodes[i].length, nodes[j].length = max(0.0, to_i), max(0.0, d[i, j] - to_i)
+        away = (d[i] + d[j] - d[i, j]) / 2
+        keep = [k for k in range(n) if k not in (i, j)]
+        grown = np.zeros((n - 1, n - 1))
+        grown[1:, 1:] = d[np.ix_(keep, keep)]
+        grown[0, 1:] = grown[1:, 0] = away[keep]
+        nodes, d = [trees.Node(children=[nodes[i], nodes[j]]), *(nodes[k] for k in keep)], grown
+    if len(nodes) == 3:
+        for i, j, k in ((0, 1, 2), (1, 0, 2), (2, 0, 1)):
+            nodes[i].length = max(0.0, (d[i, j] + d[i, k] - d[j, k]) / 2)
+    elif len(nodes) == 2:
+        nodes[0].length = nodes[1].length = d[0, 1] / 2
+    return nodes[0] if len(nodes) == 1 else trees.Node(children=nodes)
+
+
+def test_joining_with_bounds_gives_the_same_trees():
+    rng = np.random.default_rng(5)
+    for n in (1, 2, 3, 4, 5, 9, 33, 60):
+        for d in (rng.random((n, n)), rng.integers(0, 4, (n, n)) * 64.0, np.zeros((n, n)), np.full((n, n), 8.0)):
+            d = np.triu(d, 1) + np.triu(d, 1).T
+            names = [f"x{k}" for k in range(n)]
+            got, want = trees.neighbour_joining(names, d), joined_by_brute_force(names, d)
+            plain = lambda t: [(x.name, p) for x, p in trees.preorder(t)]
+            assert plain(got) == plain(want)
+            assert np.allclose([x.length for x, _ in trees.preorder(got)], [x.length for x, _ in trees.preorder(want)])
+
+
+def test_joining_many_cells():
+    rng = np.random.default_rng(6)
+    points = rng.random((2000, 6)).cumsum(1)
+    began = time.perf_counter()
+    root = trees.neighbour_joining([str(k) for k in range(2000)], np.linalg.norm(points[:, None] - points[None], axis=2))
+    assert len(trees.leaves(root)) == 2000
+    assert time.perf_counter() - began < 90
