@@ -19,6 +19,13 @@ def good_flanks(seq: Column, copies: Column, motif: Column, least: int = 5) -> C
     return (start >= least) & (start + F.char_length(run) <= F.char_length(seq) - least)
 
 
+def bad_targets(seqs: DataFrame) -> DataFrame:
+    """target: sequences (chrom, seq) named ..._NxMOTIF without that repeat, or with fewer than five bases to a side of it. Names without one are left out."""
+    last = F.element_at(F.split("chrom", "_"), -1)
+    named = seqs.withColumns({"copies": F.regexp_extract(last, r"^(\d+)x[A-Z]+$", 1).try_cast("int"), "motif": F.regexp_extract(last, r"^\d+x([A-Z]+)$", 1)}).filter("copies is not null")
+    return named.filter(~good_flanks(F.upper("seq"), F.col("copies"), F.col("motif"))).select(F.col("chrom").alias("target"))
+
+
 def on_genome(sites: DataFrame, genome: DataFrame) -> DataFrame:
     """Repeats (chrom, start, copies, motif) whose sequence is what the genome has there."""
     run = F.repeat(F.col("motif"), F.col("copies"))

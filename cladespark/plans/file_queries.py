@@ -4,12 +4,12 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from .. import sinks
 from ..functions.sequence import reverse_complement
-from ..operators import counting, reads, tree
+from ..operators import counting, probes, reads, tree
 from ..sources import bam, excel, lines, logs, text
 from ..storage import scratch
 from .registry import query
@@ -24,11 +24,15 @@ def through_files(spark: SparkSession, write: Callable[[str], None], read: Calla
         return read(path).checkpoint()
 
 
+def texts_column(template: str) -> Column:
+    """value: the template with columns in braces filled in."""
+    pieces = template.replace("}", "{").split("{")
+    return F.concat(*(F.lit(p) if i % 2 == 0 else F.col(p).cast("string") for i, p in enumerate(pieces))).alias("value")
+
+
 def lines_of(df: DataFrame, template: str, *junk: str) -> DataFrame:
     """value: the template with columns in braces filled in, after lines that readers must skip."""
-    pieces = template.replace("}", "{").split("{")
-    cells = [F.lit(p) if i % 2 == 0 else F.col(p).cast("string") for i, p in enumerate(pieces)]
-    own = df.select(F.concat(*cells).alias("value"))
+    own = df.select(texts_column(template))
     if not junk:
         return own
     first = df.sparkSession.createDataFrame(list(enumerate(junk)), "k int, value string")
@@ -296,3 +300,42 @@ def excel_file(spark: SparkSession, sf_dir: str) -> DataFrame:
 def excel_matrix(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = view(spark, sf_dir, "v_targets").select(F.concat(F.lit("t"), "target").alias("name"), F.col("t_start").alias("start"), F.col("t_end").alias("end"))
     return through_files(spark, lambda path: excel.write_tables(rows, path), lambda path: text.matrix(spark, f"{path}/*.xlsx"))
+
+
+@query("S38", "select concat('Brain_', n_nationkey, '_Plate1') as sample, n_nationkey + 50.5 as rate from nation where n_nationkey % 4 <> 1")
+def bisulfite_log(spark: SparkSession, sf_dir: str) -> DataFrame:
+    own = table(spark, sf_dir, "nation").selectExpr("n_nationkey as k", "case when n_nationkey % 4 = 1 then 'no rate' else concat('Bisulfite conversion rate: ', n_nationkey + 50.5, '% (x)\n  Bisulfite conversion rate: 1%') end as rate")
+    lines_ = lines_of(own, "Summary for Methyl_X_SC_Brain_{k}_20250422_Plate1_:\n reads 5\n  {rate}").repartition(3)
+    found = through_files(spark, lambda path: lines_.write.text(path), lambda path: logs.bisulfite_summary(logs.whole(spark, path)))
+    return found.select("sample", "rate")
+
+
+@query("S40", "select concat('r', n_nationkey, '.cov.', n_nationkey * 10) as run, n_nationkey * 10 as n_target, round(100 * (n_nationkey + 1) / 50, 6) as accuracy, n_nationkey + 30 as n_sample, n_nationkey + 0.25 as targets_per_pair from nation where n_nationkey <> 3")
+def downsampled_reports(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Accuracy tables and tree reports of runs; one run has no accuracy table."""
+    own = table(spark, sf_dir, "nation").selectExpr("n_nationkey as k", "concat('r', n_nationkey, '.cov.', n_nationkey * 10) as run", "(n_nationkey + 1) / 50 as share", "n_nationkey + 30 as n", "n_nationkey + 0.25 as shared")
+
+    def write(path: str) -> None:
+        for suffix, rows, template in (("evalPhylo", own.filter("k <> 3"), "MRCA_Distance\tCorrect_Triplets\tTotal_Triplets\tPercent_Accuracy\n2\t1\t2\t0.5\nAll_Distances\t{k}\t50\t{share}"), ("buildPhylo.stats", own, "Number of Samples Analyzed:\t{n}\na,b\nAvg targets captured per single cell:\t9.5\t[Min:1, Max:2]\nAvg targets shared per pair of cells:\t{shared}\t[Min:1, Max:3]\n")):
+            named = F.concat("run", F.lit(f".{suffix}.txt")).alias("run")
+            rows.select(named, texts_column(template)).repartition("run").write.partitionBy("run").text(f"{path}/{suffix}")
+
+    return through_files(spark, write, lambda path: logs.accuracies(spark, f"{path}/evalPhylo").join(logs.tree_figures(spark, f"{path}/buildPhylo.stats"), "run"))
+
+
+@query("S29 S28", "with own as (select concat('t', doc_id, '_5xA') as target, seq from v_seq) select target from own where not (strpos(seq, 'AAAAA') - 1 >= 5 and strpos(seq, 'AAAAA') - 1 + 5 <= length(seq) - 5)")
+def bad_target_file(spark: SparkSession, sf_dir: str) -> DataFrame:
+    own = view(spark, sf_dir, "v_seq").select(F.concat(F.lit("t"), "doc_id", F.lit("_5xA")).alias("target"), "seq")
+    return through_files(spark, lambda path: sinks.write_fasta(own, path), lambda path: probes.bad_targets(text.fasta(spark, path)))
+
+
+@query("S20", "select concat('sample=', sample) as folder, cast(row_number() over (order by sample) as bigint) as place from (select distinct sample from v_calls where sample <> 's03') t")
+def listed_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Files that overlapping patterns name, once each and in order."""
+    own = view(spark, sf_dir, "v_calls").select("sample", F.col("target").cast("string").alias("value")).repartition("sample")
+
+    def read(path: str) -> DataFrame:
+        found = text.files(spark, [f"{path}/sample=s0[0-24-9]/*", f"{path}/sample=s1*/*", f"{path}/sample=s05/*"]).withColumn("id", F.monotonically_increasing_id())
+        return found.select(F.regexp_extract("file", r"([^/]+)/[^/]+$", 1).alias("folder"), F.row_number().over(Window.orderBy("id")).cast("long").alias("place"))  # a row for each file
+
+    return through_files(spark, lambda path: own.write.partitionBy("sample").text(path), read)

@@ -96,6 +96,19 @@ def distance_tree_stats(spark: SparkSession, sf_dir: str) -> DataFrame:
     return distance.tree_stats(distance.pair_distances(alleles(spark, sf_dir)))
 
 
+@query("S39 K5", f"""with {distance_sql("minComp_EqorNot")}, both_ as (select s1, s2, dist, num_targets from dists union all select s2, s1, dist, num_targets from dists where s1 <> s2) select s1, s2, round(dist, 4) as dist, cast(num_targets as double) as targets from both_""")
+def tree_report(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The matrices of a tree's report, from its text."""
+    from .. import sinks
+    from ..sources import logs
+    from .file_queries import through_files
+
+    pairs = distance.pair_distances(alleles(spark, sf_dir))
+    found = through_files(spark, lambda path: sinks.write_tree_stats(pairs, path), lambda path: logs.tree_matrices(spark, path))
+    value = lambda name: F.max(F.when(F.col("matrix") == name, F.col("value")))
+    return found.groupBy("s1", "s2").agg(value("distance").alias("dist"), value("targets").alias("targets"))
+
+
 @query("A15 J5", """with deep as (select sample, target from v_calls where depth >= 10 and sample <> 's03'), names as (select distinct sample from v_calls)
  select a.sample as s1, b.sample as s2, coalesce(n, 0) as shared from names a join names b on a.sample < b.sample left join (select x.sample as s1, y.sample as s2, count(*) as n from deep x join deep y on x.target = y.target and x.sample < y.sample group by all) c on c.s1 = a.sample and c.s2 = b.sample""")
 def shared_targets(spark: SparkSession, sf_dir: str) -> DataFrame:

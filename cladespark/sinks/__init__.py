@@ -45,6 +45,24 @@ def write_matrix(long_: DataFrame, path: str, row: str, column: str, value: str,
     wide.write.csv(path, header=True)
 
 
+def write_tree_stats(distances: DataFrame, path: str) -> None:
+    """The text report of a tree: how many samples and shared targets there are, and the matrices of distances (four decimals) and targets.
+
+    distances: s1, s2 (both ways round or not), num_targets, dist. One file; each line has a value for every sample.
+    """
+    both = distances.select("s1", "s2", "dist", "num_targets").union(distances.filter("s1 <> s2").select("s2", "s1", "dist", "num_targets"))
+    listed = lambda c: F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("s2", F.col(c).cast("string").alias("v")))), lambda x: x["v"]), ",")
+    rows = both.withColumn("dist", F.round("dist", 4)).groupBy("s1").agg(listed("dist").alias("dist"), listed("num_targets").alias("targets"), F.array_join(F.array_sort(F.collect_list("s2")), ",").alias("names"))
+    itself = F.col("s1") == F.col("s2")
+    one = distances.agg(F.count_if(itself).alias("n"), F.avg(F.when(itself, F.col("num_targets"))).alias("own"), F.avg(F.when(~itself, F.col("num_targets"))).alias("shared"), *(f(F.when(c, F.col("num_targets"))).alias(n) for n, f, c in (("a", F.min, itself), ("b", F.max, itself), ("c", F.min, ~itself), ("d", F.max, ~itself))))
+    line = lambda text, k: F.struct(F.lit(k).alias("k"), text.alias("value"))
+    top = F.array(line(F.concat(F.lit("Number of Samples Analyzed:\t"), "n"), 0), line(F.format_string("Avg targets captured per single cell:\t%s\t[Min:%s, Max:%s]", "own", "a", "b"), 2), line(F.format_string("Avg targets shared per pair of cells:\t%s\t[Min:%s, Max:%s]", "shared", "c", "d"), 3), line(F.lit(""), 4), line(F.lit("Distance Matrix (pairwise distances between samples):"), 5), line(F.lit(""), 8), line(F.lit("Target Matrix (number of shared targets between samples):"), 9))
+    names = rows.agg(F.min_by("names", "s1").alias("names")).select(F.explode(F.array(line(F.col("names"), 1), line(F.concat(F.lit("Sample,"), "names"), 6), line(F.concat(F.lit("Sample,"), "names"), 10))).alias("x"))
+    body = [rows.select(F.struct(F.lit(k).alias("k"), F.concat_ws(",", "s1", c).alias("value")).alias("x"), "s1") for k, c in ((7, "dist"), (11, "targets"))]
+    lines = one.select(F.explode(top).alias("x")).union(names).withColumn("s1", F.lit("")).union(body[0]).union(body[1])
+    lines.select("x.k", "s1", "x.value").coalesce(1).sortWithinPartitions("k", "s1").select("value").write.text(path)
+
+
 def write_newick(newicks: DataFrame, path: str) -> None:
     newicks.select("newick").write.text(path)
 

@@ -14,6 +14,11 @@ from .lines import SPLIT, before_parts, numbered
 BROADCAST_HEADS = 100_000
 
 
+def files(spark: SparkSession, patterns: str | list[str]) -> DataFrame:
+    """file: the files that paths, folders and patterns name, each once, in order. Nothing of them is read."""
+    return spark.read.format("binaryFile").load(patterns).select(F.col("path").alias("file")).distinct().orderBy("file")
+
+
 def sample_sheet(spark: SparkSession, path: str) -> DataFrame:
     """sample_id, ms_fastq_1, meth_fastq_1, grp, color, clone; rows without an id or with one that starts with # are left out."""
     raw = spark.read.csv(path, header=True, comment="#")
