@@ -10,6 +10,10 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 
+#: Ranges of values whose rows are ranked together.
+RANGES = 64
+
+
 def describe(df: DataFrame, by: list[str], value: str) -> DataFrame:
     """by, count, mean, std, min, q25, q50, q75, max of a column."""
     quarter = lambda p: F.percentile(value, F.lit(p))
@@ -54,8 +58,17 @@ def mann_whitney(df: DataFrame, group: str, value: str) -> DataFrame:
     counts = rows.groupBy("g", "v").agg(F.count(F.lit(1)).alias("c"))
     both = pairs.join(counts, (F.col("g") == F.col("g1")) | (F.col("g") == F.col("g2")))
     at = both.groupBy("g1", "g2", "v").agg(F.sum("c").alias("c"), F.sum(F.when(F.col("g") == F.col("g1"), F.col("c")).otherwise(0)).alias("c1"))
-    before = F.coalesce(F.sum("c").over(Window.partitionBy("g1", "g2").orderBy("v").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
-    ranked = at.withColumn("rank", before + (F.col("c") + 1) / 2)
+    # values are put in order within ranges; a range adds what the ranges before it have
+    found = rows.agg(F.percentile_approx(F.col("v").cast("double"), [i / RANGES for i in range(1, RANGES)])).first()[0] or []
+    place = F.lit(0)
+    for bound in sorted({*found}):
+        place = place + (F.col("v").cast("double") > F.lit(bound)).cast("int")
+    at = at.withColumn("part", place)
+    earlier = lambda *by: Window.partitionBy("g1", "g2", *by).rowsBetween(Window.unboundedPreceding, -1)
+    sizes = at.groupBy("g1", "g2", "part").agg(F.sum("c").alias("n"))
+    parts = sizes.select("g1", "g2", "part", F.coalesce(F.sum("n").over(earlier().orderBy("part")), F.lit(0)).alias("before"))  # RANGES rows a pair
+    own = F.coalesce(F.sum("c").over(earlier("part").orderBy("v")), F.lit(0))
+    ranked = at.withColumn("own", own).join(parts, ["g1", "g2", "part"]).withColumn("rank", F.col("before") + F.col("own") + (F.col("c") + 1) / 2)
     sums = ranked.groupBy("g1", "g2").agg(F.sum("c1").alias("n1"), F.sum(F.col("c") - F.col("c1")).alias("n2"), F.sum(F.col("rank") * F.col("c1")).alias("r1"), F.sum(F.col("c") * F.col("c") * F.col("c") - F.col("c")).alias("ties"))
     n = F.col("n1") + F.col("n2")
     u = F.col("r1") - F.col("n1") * (F.col("n1") + 1) / 2

@@ -71,21 +71,25 @@ def write_fasta(seqs: DataFrame, path: str, name: str = "target", seq: str = "se
     seqs.select(F.concat(F.lit(">"), F.col(name), F.lit("\n"), F.col(seq)).alias("value")).write.text(path)
 
 
-def write_vcf(records: DataFrame, path: str, header: list[str] | None = None) -> None:
+def write_vcf(records: DataFrame, path: str, header: list[str] | None = None, samples: list[str] | None = None) -> None:
     """A VCF from a row for each sample and record: chrom, pos, target, info, format, sample, call; other fixed columns are dots.
 
     Each file has the heading, with all samples in order, and the records of a range of places; a sample
     without a call in a record has a dot. Meant for samples that fit a row, as the format is.
+    samples: the samples in order, those of the records if not given. Without records there is one file with the heading.
     """
-    names = [r[0] for r in records.select("sample").distinct().orderBy("sample").collect()]  # the heading's columns
+    names = samples if samples is not None else [r[0] for r in records.select("sample").distinct().orderBy("sample").collect()]  # the heading's columns
     whole = records.groupBy("chrom", "pos", "target", "info", "format").agg(F.map_from_entries(F.collect_list(F.struct("sample", "call"))).alias("calls"))
     dot = lambda c: F.coalesce(F.col(c).cast("string"), F.lit("."))
     cells = F.array_join(F.transform(F.array(*map(F.lit, names)), lambda n: F.coalesce(F.col("calls")[n], F.lit("."))), "\t")
     line = F.concat_ws("\t", "chrom", "pos", "target", *(F.lit(".") for _ in range(4)), dot("info"), dot("format"), cells)
     ranged = whole.repartitionByRange("chrom", "pos", "target").sortWithinPartitions("chrom", "pos", "target").select(line.alias("value"))
     head = "\n".join([*(header or ["##fileformat=VCFv4.2"]), "\t".join(["#CHROM", "POS", "ID", "REF", "ALT", "QUAL", "FILTER", "INFO", "FORMAT", *names])])
+    if not records.limit(1).count():
+        records.sparkSession.createDataFrame([(head,)], "value string").coalesce(1).write.text(path)
+        return
     first = F.monotonically_increasing_id().bitwiseAND(F.lit((1 << 33) - 1)) == 0  # of its file
-    ranged.select(F.when(first, F.concat(F.lit(head + "\n"), "value")).otherwise(F.col("value")).alias("value")).write.text(path)
+    ranged.select(F.when(first, F.concat(F.lit(head + "\n"), "value")).otherwise(F.col("value")).alias("value")).write.option("maxRecordsPerFile", 0).text(path)  # a file for each task, whatever the session says
 
 
 def write_report(metrics: DataFrame, path: str) -> None:

@@ -170,3 +170,19 @@ def test_stream_versions_are_whole_and_count_once(spark, tmp_path):
     depth.start(depth.running_stats(depth.arriving_depth(spark, folder, 1)), out, state, once=True).awaitTermination()
     assert {tuple(r) for r in reader.collect()} == table(5)  # one that had begun
     assert depth.current(spark, out).filter("sample = 'd'").count() == 1
+
+
+def test_vcf_headings(spark, tmp_path):
+    from cladespark.sinks import write_vcf
+
+    kinds = "chrom string, pos int, target string, info string, format string, sample string, call string"
+    write_vcf(spark.createDataFrame([], kinds), str(tmp_path / "none"), samples=["b", "a"])
+    assert [r.value.split("\t")[-2:] for r in spark.read.text(str(tmp_path / "none")).filter("value like '#CHROM%'").collect()] == [["b", "a"]]
+    assert text.vcf(spark, str(tmp_path / "none")).count() == 0
+    spark.conf.set("spark.sql.files.maxRecordsPerFile", "3")
+    try:
+        rows = [("chr1", p, f"t{p}", "PERIOD=1", "GT", s, f"{p}") for p in range(20) for s in "ab"]
+        write_vcf(spark.createDataFrame(rows, kinds), str(tmp_path / "some"))
+    finally:
+        spark.conf.unset("spark.sql.files.maxRecordsPerFile")
+    assert sorted((r.pos, r.sample, r.call) for r in text.vcf(spark, str(tmp_path / "some")).collect()) == sorted((p, s, c) for _, p, _, _, _, s, c in rows)
