@@ -29,6 +29,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..storage import scratch
+from .batches import sliced
 from .vectors import dimension, matrix
 
 PIVOTS = 64
@@ -66,7 +67,6 @@ def top_k(df: DataFrame, is_query: Callable[[Column], Column], k: int = 10, scal
     is_query tells by its key whether a row is a query.
     """
     spark = df.sparkSession
-    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "10000")
     width = dimension(df, vector)
     with scratch(spark) as tables:
         numbers = tables.keep(whole_numbers(df, scale, key, vector, width), "numbers")
@@ -94,14 +94,11 @@ def top_k(df: DataFrame, is_query: Callable[[Column], Column], k: int = 10, scal
             order = Window.partitionBy("query_id").orderBy(F.col("score").desc(), F.col("key").asc_nulls_last())
             return found.withColumn("rank", F.row_number().over(order)).filter(F.col("rank") <= k)
 
-        spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "16")  # of blocks and chunks
         none = asked.withColumn("least", F.lit(None).cast("binary"))
         first = best(True, none).groupBy("query_id").agg(F.when(F.count(F.lit(1)) == k, F.min("score")).alias("least"))
         first = tables.keep(first, "least")
         found = best(False, tables.keep(with_least(asked, first), "asked"))
-        out = found.select("query_id", F.col("rank").cast("int").alias("rank"), F.col("key").alias(key), "score").checkpoint()
-        spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "10000")
-        return out
+        return found.select("query_id", F.col("rank").cast("int").alias("rank"), F.col("key").alias(key), "score").checkpoint()
 
 
 def chunked(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -155,7 +152,7 @@ def pack(values):  # noqa: ANN001, ANN201
 
 def answers(width: int, k: int, most: int, home: bool):  # noqa: ANN201
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in sliced(batches, 1, 8, rows=16):  # of blocks and chunks
             out: list[list[np.ndarray]] = [[], [], []]
             for keys, rows, aways, least, cell, low, high, chunk_keys, chunk_rows in zip(*(c.to_pylist() for c in batch.columns)):
                 keys, chunk_keys = np.frombuffer(keys, np.int64), np.frombuffer(chunk_keys, np.int64)
