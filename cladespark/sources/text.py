@@ -15,8 +15,15 @@ BROADCAST_HEADS = 100_000
 
 
 def files(spark: SparkSession, patterns: str | list[str]) -> DataFrame:
-    """file: the files that paths, folders and patterns name, each once, in order. Nothing of them is read."""
-    return spark.read.format("binaryFile").load(patterns).select(F.col("path").alias("file")).distinct().orderBy("file")
+    """file: the files that paths, folders and patterns name, each once, in order; none for a pattern that fits nothing. Nothing of them is read."""
+    found = set()
+    for pattern in [patterns] if isinstance(patterns, str) else patterns:
+        path = spark._jvm.org.apache.hadoop.fs.Path(pattern)
+        system = path.getFileSystem(spark._jsc.hadoopConfiguration())
+        for status in system.globStatus(path) or []:
+            inside = system.listStatus(status.getPath()) if status.isDirectory() else [status]
+            found |= {f.getPath().toString() for f in inside if f.isFile() and f.getPath().getName()[0] not in "._"}
+    return spark.createDataFrame([(f,) for f in sorted(found)], "file string")
 
 
 def sample_sheet(spark: SparkSession, path: str) -> DataFrame:

@@ -186,3 +186,12 @@ def test_vcf_headings(spark, tmp_path):
     finally:
         spark.conf.unset("spark.sql.files.maxRecordsPerFile")
     assert sorted((r.pos, r.sample, r.call) for r in text.vcf(spark, str(tmp_path / "some")).collect()) == sorted((p, s, c) for _, p, _, _, _, s, c in rows)
+
+
+def test_files_of_patterns(spark, tmp_path):
+    (tmp_path / "d").mkdir()
+    for name in ("b.txt", "a.txt", "d/c.txt", ".hidden", "_temporary"):
+        (tmp_path / name).write_text("x")
+    names = lambda *patterns: [r.file.removeprefix(f"file:{tmp_path}/") for r in text.files(spark, [f"{tmp_path}/{p}" for p in patterns]).collect()]
+    assert names("*.txt", "d", "a.txt", "none/*") == ["a.txt", "b.txt", "d/c.txt"]
+    assert names("") == ["a.txt", "b.txt"] and names("zzz*") == []
