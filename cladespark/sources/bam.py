@@ -356,7 +356,7 @@ class Output:
     """A BAM file and its index as they grow."""
 
     def __init__(self, references: dict[str, int], stream):  # noqa: ANN001
-        self.stream, self.place, self.held = stream, 0, b""
+        self.stream, self.place, self.held = stream, 0, bytearray()
         self.bins: list[dict[int, list[list[int]]]] = [{} for _ in references]
         self.windows: list[dict[int, int]] = [{} for _ in references]
         self.last, self.ordered = (0, 0), True
