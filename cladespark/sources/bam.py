@@ -4,7 +4,7 @@
     spark.read.format("bam").load(folder)                      # or ``reads(spark, folder)``
     write_reads(df, folder, {"chr1": 248956422})
 
-Reading. A file is cut into byte ranges (option ``split``); a task owns the records that start between two places of its
+Reading. A file is cut into byte ranges (option ``split``), of which a task takes one, or as many small ones as make some MB; a range owns the records that start between two places of its
 own finding: the first record start at or after the start of its range, and that of the next range. With an index (.bai beside
 the file) both come from the index; without one they are sought in the text, where a start is what the format's own
 rules hold for in a run of records. A task follows the records from one place to the other and raises an error if the last
@@ -33,14 +33,15 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.datasource import DataSource, DataSourceArrowWriter, DataSourceReader, InputPartition, WriterCommitMessage
+from pyspark.sql.datasource import DataSource, DataSourceArrowWriter, DataSourceReader, WriterCommitMessage
 from pyspark.sql.types import StructType
 
 from .. import reach_workers
-from .bgzf import END_OF_FILE, LARGEST_BLOCK, PAYLOAD, BlockFile, block, listed, opened
+from .bgzf import END_OF_FILE, LARGEST_BLOCK, PAYLOAD, BlockFile, Range, block, listed, opened, ranges
 
 SCHEMA = "file string, sample string, name string, flag int, chrom string, ref_start int, ref_end int, mapq int, read_group string"
 SPLIT = 64 << 20
@@ -238,6 +239,40 @@ def read_group(text: bytes, at: int, end: int) -> str | None:
     return None
 
 
+def gathered(data: np.ndarray, begin: np.ndarray, length: np.ndarray) -> np.ndarray:
+    """Places of the bytes of many stretches, one stretch behind the other."""
+    return np.repeat(begin - (np.cumsum(length) - length), length) + np.arange(int(length.sum()))
+
+
+def strings(data: np.ndarray, begin: np.ndarray, end: np.ndarray, known: np.ndarray | None = None) -> pa.Array:
+    """The texts between these places; null where not ``known``."""
+    length = end - begin if known is None else np.where(known, end - begin, 0)
+    offsets = np.concatenate([[0], np.cumsum(length)]).astype(np.int32)
+    bits = None if known is None else pa.py_buffer(np.packbits(known, bitorder="little").tobytes())
+    out = pa.StringArray.from_buffers(len(begin), pa.py_buffer(offsets), pa.py_buffer(data[gathered(data, begin, length)]), bits)
+    out.validate(full=True)  # names must be UTF-8
+    return out
+
+
+def read_groups(text: bytes, tags: np.ndarray, ends: np.ndarray) -> pa.Array:
+    """The RG tag of each record; at once where it is the first tag or there is none."""
+    data = np.frombuffer(text, np.uint8)
+    room = ends - tags >= 4
+    first = room.copy()
+    for at, letter in enumerate(b"RGZ"):
+        first[room] &= data[tags[room] + at] == letter
+    zeros = np.flatnonzero(data == 0)
+    stop = np.append(zeros, len(data))[np.searchsorted(zeros, tags + 3)]
+    found = strings(data, tags + 3, stop, first & (stop < ends))
+    others = np.flatnonzero(~first & (ends - tags >= 3))
+    if len(others):
+        found = found.to_pylist()
+        for i in others.tolist():
+            found[i] = read_group(text, int(tags[i]), int(ends[i]))
+        found = pa.array(found, pa.string())
+    return found
+
+
 def decoded(text: bytes, places: list[int], head: Heading) -> dict[str, np.ndarray]:
     """Fields of the records at these places, many at once."""
     data, at = np.frombuffer(text, np.uint8), np.array(places, np.int64)
@@ -257,11 +292,6 @@ def decoded(text: bytes, places: list[int], head: Heading) -> dict[str, np.ndarr
     return {"ref": ref, "pos": pos, "flag": flag, "mapq": fixed[:, 13].astype(np.int64), "covered": covered, "name_end": begin - 1, "tags": tags, "end": at + 4 + size, "at": at}
 
 
-class Range(InputPartition):
-    def __init__(self, path: str, start: int, end: int):
-        self.path, self.start, self.end = path, start, end
-
-
 def apart(regions: list[tuple[str, int, int]]) -> dict[str, np.ndarray]:
     """By chromosome, starts and ends (rows) of the regions, those that touch as one, in order."""
     found: dict[str, list[list[int]]] = {}
@@ -280,18 +310,23 @@ class BamReader(DataSourceReader):
         self.regions = apart([(c, int(a), int(b)) for c, a, b in json.loads(options["regions"])]) if "regions" in options else None
 
     def partitions(self) -> list[Range]:
-        return [Range(path, at, min(size, at + self.split)) for path, size in listed(self.path, ".bam") for at in range(0, size, self.split)] or [Range("", 0, 0)]
+        return ranges(listed(self.path, ".bam"), self.split)
 
     def read(self, partition: Range) -> Iterator[pa.RecordBatch]:
         if not partition.path:
             return
         with BlockFile(partition.path) as file:
             head, index = heading(file), linear_index(partition.path)
-            at, high = bound(file, head, index, partition.start), bound(file, head, index, partition.end)
-            if self.regions is None or index is None:
-                for text, places, _ in chunks(file, at, high):
-                    yield self.batch(partition.path, text, places, head)
-                return
+            bounds = [bound(file, head, index, at) for at in partition.bounds]
+            for at, high in zip(bounds, bounds[1:]):
+                yield from self.between(file, head, index, partition.path, at, high)
+
+    def between(self, file: BlockFile, head: Heading, index: list[list[int]] | None, path: str, at: int, high: int) -> Iterator[pa.RecordBatch]:
+        """The records of one range."""
+        if self.regions is None or index is None:
+            for text, places, _ in chunks(file, at, high):
+                yield self.batch(path, text, places, head)
+        else:
             for ref, name in enumerate(head.names):
                 for start, end in self.regions.get(name, np.zeros((2, 0), np.int64)).T.tolist():
                     # the first read of this or a later window: none before it reaches the region
@@ -299,7 +334,7 @@ class BamReader(DataSourceReader):
                     if not any(index[ref][start >> WINDOW :]) or at >= high:
                         continue
                     for text, places, after in chunks(file, at, high):
-                        yield self.batch(partition.path, text, places, head)
+                        yield self.batch(path, text, places, head)
                         at = after
                         if struct.unpack_from("<Ii", text, places[-1] + 4) >= (ref, end):  # reads are in order, those without a place last
                             break
@@ -319,18 +354,18 @@ class BamReader(DataSourceReader):
                     keep[own] = (nth < len(begins)) & (begins[np.minimum(nth, len(begins) - 1)] < pos[own] + np.maximum(covered[own], 1))
             found, placed, ends = {k: v[keep] for k, v in found.items()}, placed[keep], ends[keep]
             ref, pos, covered = found["ref"], found["pos"], found["covered"]
-        groups = [read_group(text, a, b) for a, b in zip(found["tags"].tolist(), found["end"].tolist())]
+        groups = read_groups(text, found["tags"], found["end"])
         stem = path.rsplit("/", 1)[-1].split(".")[0]
         columns = [
-            pa.array([path] * len(ref), pa.string()),
-            pa.array([stem if g is None else g for g in groups], pa.string()),
-            pa.array([text[a + 36 : b].decode() for a, b in zip(found["at"].tolist(), found["name_end"].tolist())], pa.string()),
+            pa.array([path], pa.string()).take(pa.array(np.zeros(len(ref), np.int64))),
+            groups.fill_null(stem),
+            strings(np.frombuffer(text, np.uint8), found["at"] + 36, found["name_end"]),
             pa.array(found["flag"], pa.int32()),
-            pa.array(np.append(np.array(head.names, object), None)[np.where(ref >= 0, ref, len(head.names))], pa.string()),
+            pa.array(head.names, pa.string()).take(pa.array(ref, pa.int64(), mask=ref < 0)),
             pa.array(pos, pa.int32(), mask=~placed),
             pa.array(pos + covered, pa.int32(), mask=~ends),
             pa.array(found["mapq"], pa.int32()),
-            pa.array(groups, pa.string()),
+            groups,
         ]
         return pa.RecordBatch.from_arrays(columns, [f.split()[0] for f in SCHEMA.split(", ")])
 
@@ -352,6 +387,48 @@ def record(name: str, flag: int, ref: int, start: int, end: int, mapq: int, ciga
     return struct.pack("<i", len(body)) + body
 
 
+def bins_of(start: np.ndarray, end: np.ndarray) -> np.ndarray:
+    """``bin_of`` for many intervals."""
+    out = np.zeros(len(start), np.int64)
+    for level, shift in ((1, 26), (2, 23), (3, 20), (4, 17), (5, 14)):
+        out = np.where(start >> shift == end - 1 >> shift, ((1 << 3 * level) - 1) // 7 + (start >> shift), out)
+    return out
+
+
+FIXED = np.dtype([("size", "<i4"), ("ref", "<i4"), ("pos", "<i4"), ("name", "u1"), ("mapq", "u1"), ("bin", "<u2"), ("steps", "<u2"), ("flag", "<u2"), ("length", "<i4"), ("next_ref", "<i4"), ("next_pos", "<i4"), ("span", "<i4")])
+
+
+def records(names: pa.Array, flag: np.ndarray, ref: np.ndarray, start: np.ndarray, end: np.ndarray, mapq: np.ndarray, groups: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+    """The bytes and sizes of many reads as ``record`` makes them, without cigar strings."""
+    for what, values, most in (("a flag", flag, 1 << 16), ("a mapping quality", mapq, 1 << 8), ("a position", np.maximum(start, end), 1 << 31)):
+        if len(values) and (values.max() >= most or values.min() < (-1 if most == 1 << 31 else 0)):
+            raise ValueError(f"{what} doesn't fit the format")
+    texts = {}
+    for kind, values in (("name", names), ("group", groups)):
+        values = values.cast(pa.large_binary())
+        length = pc.fill_null(pc.binary_length(values), 0).to_numpy(zero_copy_only=False).astype(np.int64)
+        given = pc.is_valid(values).to_numpy(zero_copy_only=False)
+        texts[kind] = (np.frombuffer(b"".join(pc.fill_null(values, b"").to_pylist()), np.uint8), length, given)
+    (name, n_name, _), (group, n_group, grouped) = texts["name"], texts["group"]
+    if len(n_name) and n_name.max() > 254:
+        raise ValueError("a read's name has more than 254 bytes")
+    steps = ((ref >= 0) & (end > start)).astype(np.int64)
+    sizes = 36 + n_name + 1 + 4 * steps + np.where(grouped, n_group + 4, 0)
+    at = np.cumsum(sizes) - sizes
+    fixed = np.zeros(len(ref), FIXED)
+    for column, values in (("size", sizes - 4), ("ref", ref), ("pos", start), ("name", n_name + 1), ("mapq", mapq), ("bin", bins_of(np.maximum(start, 0), np.maximum(np.maximum(end, start + 1), 1)) & 0xFFFF), ("steps", steps), ("flag", flag), ("next_ref", -1), ("next_pos", -1)):
+        fixed[column] = values
+    out = np.zeros(int(sizes.sum()), np.uint8)
+    out[at[:, None] + np.arange(36)] = fixed.view(np.uint8).reshape(-1, 36)
+    out[gathered(out, at + 36, n_name)] = name
+    own = np.flatnonzero(steps)
+    out[(at + 37 + n_name)[own, None] + np.arange(4)] = ((end - start)[own] << 4).astype("<u4").view(np.uint8).reshape(-1, 4)
+    tags = at + 37 + n_name + 4 * steps
+    out[tags[grouped, None] + np.arange(3)] = np.frombuffer(b"RGZ", np.uint8)
+    out[gathered(out, tags + 3, n_group)] = group
+    return out, sizes
+
+
 class Output:
     """A BAM file and its index as they grow."""
 
@@ -395,6 +472,49 @@ class Output:
             for window in range(start >> WINDOW, (max(end, start + 1) - 1 >> WINDOW) + 1):
                 self.windows[ref].setdefault(window, begin)
 
+    def reads(self, ref: np.ndarray, start: np.ndarray, end: np.ndarray, data: np.ndarray, sizes: np.ndarray) -> None:
+        """As ``read``, for many records that lie one behind the other."""
+        upto = np.cumsum(sizes)
+        begin, stop = (np.zeros(len(sizes), np.int64) for _ in range(2))
+        at = 0
+        while at < len(sizes):
+            before = int(upto[at - 1]) if at else 0
+            after = int(np.searchsorted(upto, before + PAYLOAD - len(self.held), "right"))  # those that fit the block
+            if after == at:
+                if self.held:
+                    self.flush()
+                    continue
+                after = at + 1  # larger than a block
+            own = upto[at:after] - before + len(self.held)
+            begin[at:after], stop[at:after] = self.place << 16 | own - sizes[at:after], self.place << 16 | own
+            self.held += data[before : upto[after - 1]].tobytes()
+            if len(self.held) > PAYLOAD:
+                self.flush()
+                stop[after - 1] = self.place << 16 | len(self.held)
+            at = after
+        first = np.where(ref >= 0, ref, 1 << 31)
+        keys = [self.last, *((int(first[i]), int(start[i])) for i in (0, -1))]
+        self.ordered = self.ordered and keys[0] <= keys[1] and not ((first[1:] < first[:-1]) | (first[1:] == first[:-1]) & (start[1:] < start[:-1])).any() and not (end >= 1 << 29).any()
+        self.last = keys[2]
+        placed = np.flatnonzero((ref >= 0) & (start >= 0))
+        if not self.ordered or not len(placed):
+            return
+        ref, start, end, begin, stop = (x[placed] for x in (ref, start, np.maximum(end, start + 1), begin, stop))
+        bins = bins_of(start, end)
+        turn = np.flatnonzero(np.concatenate([[True], (ref[1:] != ref[:-1]) | (bins[1:] != bins[:-1]) | (begin[1:] != stop[:-1])]))
+        for i, j in zip(turn.tolist(), np.append(turn[1:], len(ref)).tolist()):
+            parts = self.bins[ref[i]].setdefault(int(bins[i]), [])
+            if parts and parts[-1][1] == begin[i]:
+                parts[-1][1] = int(stop[j - 1])
+            else:
+                parts.append([int(begin[i]), int(stop[j - 1])])
+        low, high = start >> WINDOW, end - 1 >> WINDOW
+        which = np.repeat(np.arange(len(ref)), high - low + 1)
+        window = low[which] + np.arange(len(which)) - np.repeat(np.cumsum(high - low + 1) - (high - low + 1), high - low + 1)
+        _, firsts = np.unique(ref[which] << 32 | window, return_index=True)
+        for i in firsts.tolist():
+            self.windows[ref[which[i]]].setdefault(int(window[i]), int(begin[which[i]]))
+
     def close(self) -> bytes | None:
         """Ends the file; its index, if it can have one."""
         self.flush()
@@ -430,13 +550,13 @@ class BamWriter(DataSourceArrowWriter):
         system.create_dir(folder, recursive=True)
         out, number = None, {n: i for i, n in enumerate(self.references)}
         for batch in iterator:
-            rows = {c: batch.column(i).to_pylist() for i, c in enumerate(self.columns)}
-            given = lambda c, default: rows.get(c) or [default] * batch.num_rows  # noqa: B023, E731
-            for i, (chrom, start, end, read, flag, mapq, cigar, group) in enumerate(zip(rows["chrom"], rows["ref_start"], rows["ref_end"], given("name", None), given("flag", 0), given("mapq", 255), given("cigar", None), given("read_group", None))):
-                out = out or Output(self.references, system.open_output_stream(f"{folder}/{name}"))
-                ref, start = (number[chrom], start) if chrom in number and start is not None else (-1, -1)  # no place, or one that the heading lacks
-                end = start if end is None or ref < 0 else end
-                out.read(ref, start, end, record("*" if read is None else read, flag or 0, ref, start, end, 255 if mapq is None else mapq, cigar, group))
+            if not batch.num_rows:
+                continue
+            out = out or Output(self.references, system.open_output_stream(f"{folder}/{name}"))
+            if "cigar" in self.columns and batch.column(self.columns.index("cigar")).null_count < batch.num_rows:
+                self.one_by_one(out, batch, number)
+            else:
+                self.at_once(out, batch)
         if out is None:
             return Written([])
         index = out.close()
@@ -445,6 +565,24 @@ class BamWriter(DataSourceArrowWriter):
                 stream.write(index)
         return Written([name] + [f"{name}.bai"] * (index is not None))
 
+    def at_once(self, out: Output, batch: pa.RecordBatch) -> None:
+        column = lambda c, kind: batch.column(self.columns.index(c)).cast(kind) if c in self.columns else pa.nulls(batch.num_rows, kind)
+        numbers = lambda c, default: pc.fill_null(column(c, pa.int64()), default).to_numpy(zero_copy_only=False)
+        ref = pc.fill_null(pc.index_in(column("chrom", pa.string()), value_set=pa.array(list(self.references), pa.string())), -1).to_numpy(zero_copy_only=False).astype(np.int64)
+        there = (ref >= 0) & pc.is_valid(column("ref_start", pa.int64())).to_numpy(zero_copy_only=False)  # with a place that the heading has
+        ref, start = np.where(there, ref, -1), np.where(there, numbers("ref_start", -1), -1)
+        end = np.where(there & pc.is_valid(column("ref_end", pa.int64())).to_numpy(zero_copy_only=False), numbers("ref_end", -1), start)
+        data, sizes = records(pc.fill_null(column("name", pa.string()), "*"), numbers("flag", 0), ref, start, end, numbers("mapq", 255), column("read_group", pa.string()))
+        out.reads(ref, start, end, data, sizes)
+
+    def one_by_one(self, out: Output, batch: pa.RecordBatch, number: dict[str, int]) -> None:
+        rows = {c: batch.column(i).to_pylist() for i, c in enumerate(self.columns)}
+        given = lambda c, default: rows.get(c) or [default] * batch.num_rows
+        for chrom, start, end, read, flag, mapq, cigar, group in zip(rows["chrom"], rows["ref_start"], rows["ref_end"], given("name", None), given("flag", 0), given("mapq", 255), given("cigar", None), given("read_group", None)):
+            ref, start = (number[chrom], start) if chrom in number and start is not None else (-1, -1)  # no place, or one that the heading lacks
+            end = start if end is None or ref < 0 else end
+            out.read(ref, start, end, record("*" if read is None else read, flag or 0, ref, start, end, 255 if mapq is None else mapq, cigar, group))
+
     def commit(self, messages: list[Written | None]) -> None:
         system, folder = opened(self.path)
         system.create_dir(folder, recursive=True)

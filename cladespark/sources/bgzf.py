@@ -8,6 +8,7 @@ from collections.abc import Iterator
 from fnmatch import fnmatch
 
 from pyarrow import fs
+from pyspark.sql.datasource import InputPartition
 
 # Fixed values of the format.
 MAGIC = b"\x1f\x8b\x08\x04"
@@ -17,6 +18,8 @@ LARGEST_BLOCK = 1 << 16
 PAYLOAD = 0xFF00
 #: Bytes that are asked of the file system at once, and block headers that must follow each other to be taken for such.
 READ_AT_ONCE, FOLLOWING = 1 << 20, 3
+#: Bytes of small ranges that one task takes at most, where there are more than so many ranges.
+OF_A_TASK, TASKS = 4 << 20, 200
 
 
 def opened(path: str) -> tuple[fs.FileSystem, str]:
@@ -40,6 +43,26 @@ def listed(path: str, suffix: str) -> list[tuple[str, int]]:
     return sorted((scheme + f.path, f.size) for f in files)
 
 
+class Range(InputPartition):
+    """Bytes of a file for one task, read from each of the bounds to the next; without these, in one go."""
+
+    def __init__(self, path: str, start: int, end: int, bounds: list[int] | None = None):
+        self.path, self.start, self.end = path, start, end
+        self.bounds = bounds or [start, end]
+
+
+def ranges(files: list[tuple[str, int]], split: int) -> list[Range]:
+    """The ranges of all files; where there are many small ones, several for a task, whose start costs more than they do."""
+    count = sum(-(-size // split) for _, size in files)
+    many, out = max(1, min(OF_A_TASK // split, count // TASKS)), []
+    for path, size in files:
+        bounds = [*range(0, size, split), size]
+        for i in range(0, len(bounds) - 1, many):
+            own = bounds[i : i + many + 1]
+            out.append(Range(path, own[0], own[-1], own))
+    return out or [Range("", 0, 0)]
+
+
 def block(data: bytes) -> bytes:
     """One block of at most PAYLOAD bytes of text."""
     packer = zlib.compressobj(6, zlib.DEFLATED, -15)

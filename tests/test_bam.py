@@ -1,9 +1,12 @@
 """BAM files: blocks, ranges with and without an index, regions, odd records."""
 
+import io
 import os
 import random
 import struct
 
+import numpy as np
+import pyarrow as pa
 import pytest
 
 from cladespark.sources import bam, bgzf
@@ -154,3 +157,33 @@ def test_operations_give_the_end(spark, tmp_path):
     df = spark.createDataFrame([("chr1", 100, 5, "10S20M5D3I2N4M"), ("chr1", 7, 9, None)], "chrom string, ref_start int, ref_end int, cigar string")
     bam.write_reads(df, str(tmp_path / "x"), REFERENCES)
     assert sorted(r.ref_end for r in bam.reads(spark, str(tmp_path / "x")).collect()) == [9, 131]
+
+
+def test_many_records_at_once_are_those_of_one_by_one():
+    draw, references = np.random.default_rng(5), {"chr1": 10**6, "chr2": 10**6}
+    n = 6000
+    ref, start = np.sort(draw.integers(0, 2, n)), draw.integers(0, 10**6, n)
+    order = np.lexsort((start, ref))
+    ref, start = np.append(ref[order], -1), np.append(start[order], -1)
+    end = np.where(ref < 0, start, start + draw.integers(0, 40_000, n + 1))
+    names, groups = [f"r{i % 977}" for i in range(n)] + ["é"], [None if i % 3 == 0 else f"s{i % 5}" for i in range(n + 1)]
+    flag, mapq = draw.integers(0, 1 << 16, n + 1), draw.integers(0, 256, n + 1)
+    one, many = (bam.Output(references, io.BytesIO()) for _ in range(2))
+    for o in (one, many):
+        o.stream.close = lambda: None
+    for i in range(n + 1):
+        args = [x[i] if isinstance(x, list) else int(x[i]) for x in (names, flag, ref, start, end, mapq)]
+        one.read(int(ref[i]), int(start[i]), int(end[i]), bam.record(*args, None, groups[i]))
+    for i in range(0, n + 1, 1500):
+        part = slice(i, i + 1500)
+        data, sizes = bam.records(pa.array(names[part], pa.string()), flag[part], ref[part], start[part], end[part], mapq[part], pa.array(groups[part], pa.string()))
+        many.reads(ref[part], start[part], end[part], data, sizes)
+    assert one.close() == many.close() is not None
+    assert one.stream.getvalue() == many.stream.getvalue()
+
+
+def test_small_ranges_share_tasks():
+    found = bgzf.ranges([("a", 10_000_000), ("b", 5)], 1 << 12)
+    assert len(found) < 300
+    assert [x for r in found if r.path == "a" for x in r.bounds[:-1]] == list(range(0, 10_000_000, 1 << 12))
+    assert all(a.end == b.start for a, b in zip(found, found[1:]) if b.path == "a") and found[-1].bounds == [0, 5]
