@@ -1,6 +1,6 @@
 """Excel workbooks (.xlsx: zipped XML) as a Spark data source that reads and writes.
 
-A workbook's sheets are tasks of their own; rows are streamed through the XML parser, of which only the shared strings are held. Every cell
+A workbook's sheets are tasks of their own, or share one where they are many; rows are streamed through the XML parser, of which only the shared strings are held. Every cell
 is text, as it stands in the file; cells that a row leaves out are null. Written files, one for each task, have a
 heading row in each sheet and go on in a further sheet after ROWS rows. Letters that XML can't hold are escaped as the format does it.
 """
@@ -8,6 +8,7 @@ heading row in each sheet and go on in a further sheet after ROWS rows. Letters
 from __future__ import annotations
 
 import dataclasses
+import itertools
 import re
 import uuid
 import zipfile
@@ -27,6 +28,8 @@ from .bgzf import listed, opened
 
 #: Rows of a sheet with its heading: the format's limit. Rows that are handed on at once.
 ROWS, AT_ONCE = 1_048_576, 5000
+#: Beyond so many sheets, a task reads several of a workbook.
+TASKS = 200
 
 # Fixed values of the format.
 MAIN = "http://schemas.openxmlformats.org/spreadsheetml/2006/main"
@@ -104,41 +107,53 @@ def rows_of(book: zipfile.ZipFile, part: str, shared: list[str]) -> Iterator[tup
 
 
 class Sheet(InputPartition):
-    def __init__(self, path: str, name: str, part: str):
+    """Sheets of a workbook for one task: name and part of the first, and those that follow."""
+
+    def __init__(self, path: str, name: str, part: str, more: list[tuple[str, str]] = ()):
         self.path, self.name, self.part = path, name, part
+        self.sheets = [(name, part), *more]
 
 
 class ExcelReader(DataSourceReader):
     def __init__(self, options: dict):
-        self.path, self.sheet = options["path"], options.get("sheet")
+        self.path, self.sheet, self.first = options["path"], options.get("sheet"), options.get("first") == "true"
 
     def partitions(self) -> list[Sheet]:
         out = []
         for path, _ in listed(self.path, ".xlsx"):
             system, inner = opened(path)
             with system.open_input_file(inner) as stream, zipfile.ZipFile(stream) as book:
-                out += [Sheet(path, name, part) for name, part in sheets_of(book) if self.sheet is None or name == self.sheet]
-        return out or [Sheet("", "", "")]
+                out += [(path, name, part) for name, part in sheets_of(book) if self.sheet is None or name == self.sheet]
+        # a task reads its workbook's list of parts: tasks for single sheets would take time by the square of their number
+        many, tasks = max(1, len(out) // TASKS), []
+        for path, own in itertools.groupby(out, lambda x: x[0]):
+            named = [x[1:] for x in own]
+            tasks += [Sheet(path, *named[i], named[i + 1 : i + many]) for i in range(0, len(named), many)]
+        return tasks or [Sheet("", "", "")]
 
     def read(self, partition: Sheet) -> Iterator[pa.RecordBatch]:
         if not partition.path:
             return
         system, inner = opened(partition.path)
 
-        def handed(rows: list[tuple[int, list[str | None]]]) -> pa.RecordBatch:
+        def handed(name: str, rows: list[tuple[int, list[str | None]]]) -> pa.RecordBatch:
             n = len(rows)
-            columns = [pa.array([partition.path] * n, pa.string()), pa.array([partition.name] * n, pa.string()), pa.array([r for r, _ in rows], pa.int32()), pa.array([c for _, c in rows], pa.list_(pa.string()))]
+            columns = [pa.array([partition.path] * n, pa.string()), pa.array([name] * n, pa.string()), pa.array([r for r, _ in rows], pa.int32()), pa.array([c for _, c in rows], pa.list_(pa.string()))]
             return pa.RecordBatch.from_arrays(columns, ["file", "sheet", "row", "cells"])
 
         with system.open_input_file(inner) as stream, zipfile.ZipFile(stream) as book:
-            held = []
-            for row in rows_of(book, partition.part, shared_strings(book)):
-                held.append(row)
-                if len(held) == AT_ONCE:
-                    yield handed(held)
-                    held = []
-            if held:
-                yield handed(held)
+            shared = shared_strings(book)
+            for name, part in partition.sheets:
+                held = []
+                for row in rows_of(book, part, shared):
+                    held.append(row)
+                    if len(held) == AT_ONCE or self.first:
+                        yield handed(name, held)
+                        held = []
+                    if self.first:
+                        break
+                if held:
+                    yield handed(name, held)
 
 
 @dataclasses.dataclass
@@ -233,11 +248,11 @@ class ExcelSource(DataSource):
         return ExcelWriter(self.options, schema, overwrite)
 
 
-def cells(spark: SparkSession, path: str, sheet: str | None = None) -> DataFrame:
-    """file, sheet, row, cells of the workbooks of a path."""
+def cells(spark: SparkSession, path: str, sheet: str | None = None, first: bool = False) -> DataFrame:
+    """file, sheet, row, cells of the workbooks of a path; of each sheet's first row alone, if ``first``."""
     reach_workers(spark)
     spark.dataSource.register(ExcelSource)
-    source = spark.read.format("excel")
+    source = spark.read.format("excel").option("first", str(first).lower())
     return (source.option("sheet", sheet) if sheet is not None else source).load(path)
 
 
@@ -247,7 +262,7 @@ def tables(spark: SparkSession, path: str, sheet: str | None = None) -> DataFram
     Columns that a sheet lacks are null, those without a name are called by their place, and of equal names the later ones get a number.
     """
     found = cells(spark, path, sheet)
-    heads = found.groupBy("file", "sheet").agg(F.min("row").alias("first"), F.min_by("cells", "row").alias("heading"))
+    heads = cells(spark, path, sheet, first=True).select("file", "sheet", F.col("row").alias("first"), F.col("cells").alias("heading"))
     body = found.join(F.broadcast(heads), ["file", "sheet"]).filter("row > first")  # a row for each sheet
     out = None
     for (heading,) in sorted((tuple(r) for r in heads.select("heading").distinct().collect()), key=str):  # the kinds of headings

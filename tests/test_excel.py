@@ -4,6 +4,7 @@ import random
 import zipfile
 
 import pytest
+from pyspark.sql import functions as F
 
 from cladespark.sources import excel, text
 
@@ -55,3 +56,12 @@ def test_matrix_of_a_workbook(spark, tmp_path):
     excel.write_tables(df, str(tmp_path / "m"))
     got = text.matrix(spark, str(tmp_path / "m" / "*.xlsx"), "dist").collect()
     assert sorted(tuple(r) for r in got) == [("a", "a", 0.0), ("a", "b", 1.5), ("b", "a", 1.5), ("b", "b", 0.0)]
+
+
+def test_many_sheets_share_tasks(spark, tmp_path):
+    path = str(tmp_path / "books")
+    excel.write_tables(spark.range(1200).select("id", F.lit("x").alias("x")).coalesce(2), path, rows=3)
+    tasks = excel.ExcelReader({"path": path}).partitions()
+    assert sum(len(t.sheets) for t in tasks) == 600 and len(tasks) < 400
+    got = excel.tables(spark, path).collect()
+    assert sorted(int(r.id) for r in got) == list(range(1200)) and {r.x for r in got} == {"x"}
