@@ -19,12 +19,12 @@ import pyarrow as pa
 from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
-from pyspark.sql.datasource import DataSource, DataSourceArrowWriter, DataSourceReader, InputPartition, WriterCommitMessage
+from pyspark.sql.datasource import DataSource, DataSourceArrowWriter, DataSourceReader, WriterCommitMessage
 from pyspark.sql.types import StructType
 
 from .. import reach_workers
 from ..storage import shared_dir
-from .bgzf import END_OF_FILE, PAYLOAD, BlockFile, block, listed, opened, size_of_block
+from .bgzf import END_OF_FILE, PAYLOAD, BlockFile, Range, block, listed, opened, ranges, size_of_block
 
 #: Parts of files that are broadcast (some 100 bytes each); more are joined by a shuffle.
 BROADCAST_PARTS = 500_000
@@ -87,28 +87,24 @@ def in_blocks(path: str) -> bool:
         return False
 
 
-class Range(InputPartition):
-    def __init__(self, path: str, start: int, end: int):
-        self.path, self.start, self.end = path, start, end
-
-
 class LineReader(DataSourceReader):
     def __init__(self, options: dict):
         self.path, self.split = options["path"], int(options.get("split", SPLIT))
 
     def partitions(self) -> list[Range]:
-        return [Range(path, at, min(size, at + self.split)) for path, size in listed(self.path, "gz") for at in range(0, size, self.split)] or [Range("", 0, 0)]
+        return ranges(listed(self.path, "gz"), self.split)
 
     def read(self, partition: Range) -> Iterator[pa.RecordBatch]:
         if not partition.path:
             return
-        row = 0
         with BlockFile(partition.path) as file:
-            for lines in owned(file, partition.start, partition.end):
-                values = pa.array([x.removesuffix(b"\r").decode("utf-8", "replace") for x in lines], pa.string())
-                n = len(lines)
-                yield pa.RecordBatch.from_arrays([pa.array([partition.path] * n, pa.string()), pa.array([partition.start] * n, pa.int64()), pa.array(range(row, row + n), pa.int64()), values], ["file", "part", "row", "value"])
-                row += n
+            for start, end in zip(partition.bounds, partition.bounds[1:]):
+                row = 0
+                for lines in owned(file, start, end):
+                    values = pa.array([x.removesuffix(b"\r").decode("utf-8", "replace") for x in lines], pa.string())
+                    n = len(lines)
+                    yield pa.RecordBatch.from_arrays([pa.array([partition.path] * n, pa.string()), pa.array([start] * n, pa.int64()), pa.array(range(row, row + n), pa.int64()), values], ["file", "part", "row", "value"])
+                    row += n
 
 
 def owned(file: BlockFile, start: int, end: int) -> Iterator[list[bytes]]:
