@@ -29,7 +29,25 @@ def quality_summary(df: DataFrame, by: list[str], value: str, good: float = 0.9)
 def metric_table(df: DataFrame, metrics: list[str]) -> DataFrame:
     """metric, mean, median, std, min, max, a row for each column named."""
     long_ = df.select(F.explode(F.array(*(F.struct(F.lit(m).alias("metric"), F.col(m).cast("double").alias("value")) for m in metrics))).alias("m")).select("m.*")
-    return long_.groupBy("metric").agg(F.avg("value").alias("mean"), F.median("value").alias("median"), F.stddev_samp("value").alias("std"), F.min("value").alias("min"), F.max("value").alias("max"))
+    figures = long_.groupBy("metric").agg(F.avg("value").alias("mean"), F.stddev_samp("value").alias("std"), F.min("value").alias("min"), F.max("value").alias("max"))
+    return figures.join(F.broadcast(medians(long_, "metric", "value")), "metric", "left").select("metric", "mean", "median", "std", "min", "max")
+
+
+def medians(df: DataFrame, by: str, value: str) -> DataFrame:
+    """by, median of a few groups: equal values are counted first and put in order within ranges of values, so no task holds a group.
+
+    Groups without values are absent.
+    """
+    rows = df.select(F.col(by).alias("g"), F.col(value).alias("v")).filter("v is not null")
+    found = rows.groupBy("g").agg(F.percentile_approx("v", [i / RANGES for i in range(1, RANGES)]).alias("bounds"), F.count(F.lit(1)).alias("total"))
+    counts = rows.groupBy("g", "v").agg(F.count(F.lit(1)).alias("c")).join(F.broadcast(found), "g")  # a row for each group
+    placed = counts.select("g", "v", "c", "total", F.size(F.filter("bounds", lambda x: x < F.col("v"))).alias("part"))
+    upto = Window.partitionBy("g").orderBy("part").rowsBetween(Window.unboundedPreceding, 0)
+    parts = placed.groupBy("g", "part").agg(F.sum("c").alias("n")).select("g", "part", (F.sum("n").over(upto) - F.col("n")).alias("before"))  # RANGES rows a group
+    after = F.col("before") + F.sum("c").over(Window.partitionBy("g", "part").orderBy("v").rowsBetween(Window.unboundedPreceding, 0))
+    ordered = placed.join(F.broadcast(parts), ["g", "part"]).withColumn("after", after)
+    at = lambda rank: F.min(F.when((F.col("after") - F.col("c") <= rank) & (rank < F.col("after")), F.col("v")))
+    return ordered.groupBy("g").agg((at(F.floor((F.col("total") - 1) / 2)) * 0.5 + at(F.floor(F.col("total") / 2)) * 0.5).alias("median")).withColumnRenamed("g", by)
 
 
 def regression(df: DataFrame, by: list[str], x: str, y: str) -> DataFrame:

@@ -2,8 +2,9 @@ import random
 from collections import Counter
 
 import pyarrow as pa
+from pyspark.sql import functions as F
 
-from cladespark.operators import counting
+from cladespark.operators import counting, stats
 
 READS, TARGETS = "sample string, chrom string, ref_start long, ref_end long", "target long, chrom string, t_start long, t_end long"
 
@@ -39,3 +40,14 @@ def test_a_bin_in_pieces(monkeypatch):
         for r in batch.to_pylist():
             got[r["sample"], r["chrom"], r["t_start"]] += r["n"]
     assert got == {("s", "c", 10 + k): 2 * (11 + k) for k in range(7)}
+
+
+def test_medians_from_counts(spark):
+    values = {"a": [3.0, 1.0, 1.0, 2.0, 8.0], "b": [5.0], "c": [-1.0, float("inf"), 4.0, 4.0, 7.0, 9.0], "d": [k * 0.5 for k in range(1000)], "e": []}
+    rows = [(g, v) for g, own in values.items() for v in [*own, None]]
+    df = spark.createDataFrame(rows, "g string, v double")
+    assert {r.g: r.median for r in stats.medians(df, "g", "v").collect()} == {r.g: r.m for r in df.groupBy("g").agg(F.median("v").alias("m")).collect() if r.m is not None}
+    wide = spark.createDataFrame([(1.0, None), (2.0, None)], "x double, y double")
+    got = {r.metric: (r.median, r.mean) for r in stats.metric_table(wide, ["x", "y"]).collect()}
+    assert got == {"x": (1.5, 1.5), "y": (None, None)}
+    assert "median(" not in stats.metric_table(wide, ["x"])._jdf.queryExecution().optimizedPlan().toString()
