@@ -430,7 +430,9 @@ def groups(df: DataFrame, words: int = 3, percent: int = 90, key: str = "doc_id"
         index = found.filter(F.col("doc").isNotNull()).select("class", "doc.*")
         lists = found.filter(F.col("doc").isNull()).select("list", "class", "place", "size")
         classes = tables.keep(index.filter(F.col("class").isNotNull()).groupBy("class").agg(F.min("key").alias("key"), F.max("n").alias("n"), F.max("spare").alias("spare"), F.max("sketch").alias("sketch")), "classes")
+        tables.free()
         links = tables.keep(class_links(rows, lists, classes, join, tables), "links")
+        tables.free()
         found = components(links, tables)
         own = classes.join(found.withColumnRenamed("id", "class"), "class", "left").select("class", "key", F.coalesce("component", "class").alias("component"))
         smallest = own.groupBy("component").agg(F.min("key").alias("component_id"))
@@ -479,7 +481,9 @@ def class_links(rows: DataFrame, lists: DataFrame, classes: DataFrame, join: Joi
         sets = tables.keep(sets_of(own, join).join(wanted, "class", "left_semi"), "sets")
         return tables.keep(compared(pairs, sets), "compared")
 
+    tables.free()
     exact = compare(tables.keep(near_by_sketch(first, classes, join), "first"))
+    tables.free()
     links = exact.filter(linked(join)).select("a", "b")
     near = components(links, tables).withColumnRenamed("id", "class")
     members = led.join(near, "class", "left").withColumn("component", F.coalesce("component", "class"))
@@ -487,6 +491,7 @@ def class_links(rows: DataFrame, lists: DataFrame, classes: DataFrame, join: Joi
     open_ = members.withColumns({"c0": F.min("component").over(in_list), "c1": F.max("component").over(in_list), "inner": inner}).filter("c0 <> c1").drop("c0", "c1")
     open_ = open_.withColumn("is_inner", F.col("component") == F.col("inner"))
     open_ = tables.keep(open_.withColumn("inner", F.count_if("is_inner").over(in_list)).withColumn("outer", F.col("size") - F.col("inner")), "open")
+    tables.free()
     two = open_.filter("size = 2").groupBy("list").agg(F.min("class").alias("a"), F.max("class").alias("b")).select("a", "b").distinct()
     open_ = open_.filter("size > 2")
     shared = exact.select(F.col("a").alias("leader"), F.col("b").alias("class"), "common")
@@ -498,6 +503,7 @@ def class_links(rows: DataFrame, lists: DataFrame, classes: DataFrame, join: Joi
     done = exact.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
     second = near_by_sketch(two.join(done, ["a", "b"], "left_anti"), classes, join).union(candidates(dealt, join)).distinct()
     second = tables.keep(second.join(done, ["a", "b"], "left_anti"), "second")
+    tables.free()
     if not second.limit(1).count():
         return links
     soon, others = derived(second, exact)

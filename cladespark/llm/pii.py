@@ -82,17 +82,17 @@ def let(value: Column, body: Callable[[Column], Column]) -> Column:
     return F.element_at(F.transform(F.array(value), body), 1)
 
 
-def shifted(part: Column, stream: Column, scripts: bool) -> Column:
+def shifted(part: Column, stream: Column) -> Column:
     """Each digit and letter of ``part``, moved within its class by a byte (two for large scripts) of a 128-digit hex stream.
 
-    Without ``scripts`` those of ASCII alone. Letters of scripts that aren't listed become ASCII letters: for them alone it isn't one-to-one.
+    Letters of scripts that aren't listed become ASCII letters: for them alone it isn't one-to-one.
     """
 
     def move(c: Column, i: Column) -> Column:
         by = F.conv(F.substring(stream, 2 * (i % 64) + 1, 2), 16, 10).cast("int")
         within = lambda first, count: F.chr(F.lit(first) + (F.ascii(c) - first + by) % count)
         out = F.when(c.rlike("^[0-9]$"), within(48, 10)).when(c.rlike("^[a-z]$"), within(97, 26)).when(c.rlike("^[A-Z]$"), within(65, 26))
-        return out.when(c.rlike(r"^[\p{L}\p{N}]$"), elsewhere(c, i, by)).otherwise(c) if scripts else out.otherwise(c)
+        return out.when(c.rlike(r"^[\p{L}\p{N}]$"), elsewhere(c, i, by)).otherwise(c)
 
     def elsewhere(c: Column, i: Column, by: Column) -> Column:
         out = F.chr(F.lit(97) + (F.ascii(c) + by) % 26)
@@ -106,16 +106,13 @@ def shifted(part: Column, stream: Column, scripts: bool) -> Column:
     return F.array_join(F.transform(F.split(part, ""), move), "")
 
 
-def permuted(text: Column, key: Column, scripts: bool = False) -> Column:
-    """The keyed permutation of a text within its shape."""
-    stream = lambda turn, other: F.sha2(F.concat_ws("|", key, F.lit(turn), other).cast("binary"), 512)
+def permuted(text: Column, key: Column) -> Column:
+    """The keyed permutation of a text within its shape. Its three turns are a fold, so that the plan holds them once."""
+    stream = lambda turn, other: F.sha2(F.concat_ws("|", key, turn.cast("string"), other).cast("binary"), 512)
     half = (F.char_length(text) / 2).cast("int")
-
-    def turns(sides: Column) -> Column:
-        left, right = sides["left"], sides["right"]
-        return let(shifted(left, stream("1", right), scripts), lambda a: let(shifted(right, stream("2", a), scripts), lambda b: F.concat(shifted(a, stream("3", b), scripts), b)))
-
-    return let(F.struct(F.substring(text, F.lit(1), half).alias("left"), F.substring(text, half + 1, F.char_length(text)).alias("right")), turns)
+    sides = F.struct(F.substring(text, F.lit(1), half).alias("one"), F.substring(text, half + 1, F.char_length(text)).alias("other"))
+    turned = lambda s, turn: F.struct(s["other"].alias("one"), shifted(s["one"], stream(turn, s["other"])).alias("other"))
+    return F.aggregate(F.array(*map(F.lit, (1, 2, 3))), sides, turned, lambda s: F.concat(s["other"], s["one"]))
 
 
 def permuted_quad(text: Column, key: Column) -> Column:
@@ -133,12 +130,9 @@ def luhn(digits: Column, doubled: int) -> Column:
     return F.aggregate(at, F.lit(0), lambda a, x: a + x) % 10
 
 
-def permuted_card(text: Column, key: Column) -> Column:
-    """A card number, its first digit kept; where its check digit is right, so is the new one."""
-    body = F.substring(text, F.lit(2), F.char_length(text) - 2)
-    digits = F.regexp_replace(text, "[^0-9]", "")
-    valid = let(F.concat(F.left(text, F.lit(1)), permuted(body, key)), lambda x: F.concat(x, ((10 - luhn(F.regexp_replace(x, "[^0-9]", ""), 0)) % 10).cast("string")))
-    return F.when(luhn(digits, 1) == 0, valid).otherwise(F.concat(F.left(text, F.lit(1)), permuted(F.substring(text, F.lit(2), F.char_length(text)), key)))
+def with_check_digit(digits: Column) -> Column:
+    """A card number without its check digit, and the one that it gets."""
+    return F.concat(digits, ((10 - luhn(F.regexp_replace(digits, "[^0-9]", ""), 0)) % 10).cast("string"))
 
 
 def pick(values: list[str], seed: Column) -> Column:
@@ -188,11 +182,23 @@ def surrogate(entity: Column, kind: Column, key: str, count: Column) -> Column:
     kept = F.when(kind == "phone", F.regexp_extract(entity, r"^\+\d{1,3}", 0)).when(kind == "key", F.regexp_extract(entity, "^A[KS]IA", 0)).when(kind == "iban", F.regexp_extract(entity, "^[A-Z]{2}", 0)).otherwise("")
     local, domain = F.substring_index(entity, "@", 1), F.substring_index(entity, "@", -1)
     top = F.regexp_extract(domain, r"\.\p{L}+$", 0)
-    mail = F.concat(permuted(local, F.concat(own, domain), True), digits, F.lit("@"), permuted(F.substring(domain, F.lit(1), F.char_length(domain) - F.char_length(top)), own, True), top)
-    out = F.when(kind == "email", mail).when(kind == "ip", permuted_quad(entity, own)).when(kind == "card", permuted_card(entity, own)).when(kind.isin(NAMES), surrogate_part(entity, kind, own, more))
+    valid = luhn(F.regexp_replace(entity, "[^0-9]", ""), 1) == 0
+    part = lambda text, by: F.struct(text.alias("text"), by.alias("by"))
+    from_ = lambda i, less: F.substring(entity, i, F.char_length(entity) - less)
+    none = F.array().cast("array<struct<text:string,by:string>>")
+    # what is permuted, each kind's parts in one array: the plan holds the permutation once
+    parts = F.when(kind == "email", F.array(part(local, F.concat(own, domain)), part(F.substring(domain, F.lit(1), F.char_length(domain) - F.char_length(top)), own)))
+    parts = parts.when(kind == "card", F.array(part(from_(F.lit(2), F.when(valid, 2).otherwise(0)), own)))
+    parts = parts.when(kind.isin("ip", *NAMES) | ~entity.rlike(r"[\p{L}\p{N}]"), none).otherwise(F.array(part(from_(F.char_length(kept) + 1, 0), own)))
     fixed = F.array_join(F.transform(F.split(entity, ""), lambda c, i: F.chr(F.lit(97) + F.pmod(F.xxhash64(own, entity, i), F.lit(26)))), "")
-    out = out.otherwise(F.when(entity.rlike(r"[\p{L}\p{N}]"), let(kept, lambda p: F.concat(p, permuted(F.substring(entity, F.char_length(p) + 1, F.char_length(entity)), own, True)))).otherwise(fixed))
-    return F.when(kind.isin("email", *NAMES), out).otherwise(F.concat(out, digits))
+
+    def whole(moved: Column) -> Column:
+        mail = F.concat(F.get(moved, F.lit(0)), digits, F.lit("@"), F.get(moved, F.lit(1)), top)
+        card = let(F.concat(F.left(entity, F.lit(1)), F.get(moved, F.lit(0))), lambda x: F.when(valid, with_check_digit(x)).otherwise(x))
+        out = F.when(kind == "ip", permuted_quad(entity, own)).when(kind == "card", card).when(F.size(moved) > 0, F.concat(kept, F.get(moved, F.lit(0)))).otherwise(fixed)
+        return F.when(kind == "email", mail).when(kind.isin(NAMES), surrogate_part(entity, kind, own, more)).otherwise(F.concat(out, digits))
+
+    return let(F.transform(parts, lambda x: permuted(x["text"], x["by"])), whole)
 
 
 def pieces_of(text: Column) -> Column:
@@ -263,6 +269,7 @@ def replace(df: DataFrame, key: str = "surrogates", text: str = "text") -> DataF
     with scratch(spark) as tables:
         moved = moved_on(rows, key, tables)
         moved = moved.select("entity", "kind", "count").checkpoint() if moved is not None else None
+        tables.free()
     count: Callable[[Column], Column] = lambda e: F.lit(0)
     if moved is not None:  # the rows that hold one get a map of them
         row = F.xxhash64("_text")
@@ -275,9 +282,8 @@ def replace(df: DataFrame, key: str = "surrogates", text: str = "text") -> DataF
 
     def whole(e: Column) -> Column:
         between = F.regexp_extract_all(e["entity"], F.lit("([ -])"), F.lit(1))
-        new = F.transform(parts_of(e), alone)
-        name = F.array_join(F.flatten(F.zip_with(new, between, lambda x, y: F.array(x, F.coalesce(y, F.lit(""))))), "")
-        return F.when(e["kind"] == "name", name).otherwise(F.get(new, F.lit(0)))
+        name = lambda new: F.array_join(F.flatten(F.zip_with(new, between, lambda x, y: F.array(x, F.coalesce(y, F.lit(""))))), "")
+        return let(F.transform(parts_of(e), alone), lambda new: F.when(e["kind"] == "name", name(new)).otherwise(F.get(new, F.lit(0))))
 
     made = F.transform("_found", lambda e: F.struct(e["kind"].alias("kind"), whole(e).alias("surrogate")))
     rows = rows.withColumn("_made", made)

@@ -348,8 +348,21 @@ def fit(documents: DataFrame, labels: DataFrame, divisor: int = 4, held: int = 2
     known = labels.select(F.col(key).alias("key"), F.col(label).cast("int").alias("label")).filter((remainder(F.col("key"), divisor) != held) & F.col("label").isin(0, 1)).distinct()
     chosen = known.orderBy(F.xxhash64("key"), "key", "label").limit(sample)
     rows = documents.select(F.col(key).alias("key"), F.col(text).cast("string").alias("text")).join(F.broadcast(chosen), "key")  # sample rows at most
-    found = rows.orderBy(F.xxhash64("key"), "key", "label", F.xxhash64("text")).limit(sample).toPandas()
-    return train([x or "" for x in found["text"]], found["label"].tolist())
+    found = rows.orderBy(F.xxhash64("key"), "key", "label", F.xxhash64("text")).limit(sample).select("text", "label").coalesce(1)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        texts, marks = [], []
+        for batch in batches:
+            texts += [x or "" for x in batch.column(0).to_pylist()]
+            marks += batch.column(1).to_pylist()
+        machine = train(texts, marks)
+        if machine is not None:
+            yield pa.RecordBatch.from_pylist([{"weights": machine.table.tobytes(), "bias": machine.bias, "shape": machine.shape.tobytes()}])
+
+    # a task fits it, which the driver has no room for; the driver gets the machine alone
+    for weights, bias, shape in found.mapInArrow(run, "weights binary, bias double, shape binary").collect():
+        return Machine(np.frombuffer(bytes(weights)), bias, np.frombuffer(bytes(shape)))
+    return None
 
 
 def score(documents: DataFrame, machine: Machine | None, columns: list[str], text: str = "text", threshold: float = THRESHOLD) -> DataFrame:

@@ -51,7 +51,10 @@ class Scratch:
         return self.spark.table(name)
 
     def free(self) -> None:
-        """Lets go of shuffle files that only written tables needed: Spark removes them once the driver has collected its garbage."""
+        """Lets go of shuffle files that only written tables needed: Spark removes them once the driver has collected its garbage.
+
+        The driver's heap, which plans of many jobs fill, gets small again.
+        """
         for _ in range(2):  # what goes first lets go of the rest
             gc.collect()
             self.spark._jvm.System.gc()

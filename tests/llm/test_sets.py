@@ -2,6 +2,7 @@
 
 import collections
 import math
+import os
 import random
 import re
 import zlib
@@ -245,6 +246,20 @@ def test_toxicity_query(spark):
     assert toxicity.score(docs.limit(0), machine, ["doc_id"]).count() == 0
 
 
+def test_a_task_fits_the_machine(spark, monkeypatch):
+    driver, train = os.getpid(), toxicity.train
+
+    def elsewhere(texts, labels):
+        if os.getpid() == driver:
+            raise MemoryError("the driver fits it")
+        return train(texts, labels)
+
+    monkeypatch.setattr(toxicity, "train", elsewhere)
+    rows = labelled(2, 300)
+    machine = toxicity.fit(spark.createDataFrame([(i, t) for i, t, _ in rows], "doc_id long, text string"), spark.createDataFrame([(i, y) for i, _, y in rows], "doc_id long, toxic int"))
+    assert machine.margins(["idiot"])[0] > machine.margins(["table"])[0]
+
+
 def tree_by_brute_force(train, tests):
     """Scores by the definition, over counters of word tuples."""
     tokens = [t + [None] for t in train]
